@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlab.plans import flow as FL
 from cohortlab.plans import models as M
+from cohortlab.plans import reports as RP
 from cohortlab.plans.staging import staged
 from cohortlab.sources import seeds
 from cohortlab.sources.landing import landing_tables
@@ -46,6 +48,14 @@ def dag(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return M.build_all(spark, stage(spark, sf_dir))
 
 
+def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dag(spark, sf_dir)["validation_cohort"]
+
+
+def _flow_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FL.flow_cohort(landing_tables(spark, sf_dir))
+
+
 def _staged(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: present(stage(spark, sf_dir)[name])
 
@@ -70,4 +80,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validation_cohort": _model("validation_cohort"),
     "validation_summary": _model("validation_summary"),
     "cycle_trends": _model("cycle_protein_trends"),
+    # dashboard reports (M7, M8)
+    "mortality_rates_long": lambda spark, d: present(RP.mortality_rates_long(_cohort(spark, d), spark)),
+    "source_rates_long": lambda spark, d: present(RP.source_rates_long(_cohort(spark, d))),
+    # orchestrator flow (M9, M10)
+    "flow_cohort": lambda spark, d: present(_flow_cohort(spark, d)),
+    "flow_summary": lambda spark, d: present(FL.flow_summary(_flow_cohort(spark, d))),
 }
