@@ -87,3 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flow_cohort": lambda spark, d: present(_flow_cohort(spark, d)),
     "flow_summary": lambda spark, d: present(FL.flow_summary(_flow_cohort(spark, d))),
 }
+
+# Operator-level queries.
+from cohortlab.plans.operator_queries import OPERATOR_QUERIES  # noqa: E402
+
+for _name, _fn in OPERATOR_QUERIES.items():
+    QUERIES[_name] = (lambda f: lambda spark, d: present(f(spark, d)))(_fn)

@@ -624,3 +624,248 @@ SELECT PAPER_AGE_BAND, PROTEIN_GROUP_DAY1, count(*) AS SAMPLE_N,
   round(avg(PERMTH_EXM), 6) AS AVG_FOLLOWUP_MONTHS_FROM_EXAM
 FROM f_cohort GROUP BY PAPER_AGE_BAND, PROTEIN_GROUP_DAY1
 """)
+
+
+# ---------------------------------------------------------------- operator queries
+def q(select: str) -> str:
+    return with_ctes(select)
+
+
+def _union_days(cols: str) -> str:
+    return f"SELECT {cols} FROM s_dr1iff UNION ALL SELECT {cols} FROM s_dr2iff"
+
+
+_PGROUP = """CASE WHEN {x} < 0.10 THEN 'LOW' WHEN {x} < 0.20 THEN 'MODERATE' ELSE 'HIGH' END"""
+_SHARE1 = "(day_1_protein_g * 4.0) / nullif(day_1_energy_kcal, 0)"
+_W7 = "CASE WHEN l_linenumber <> 7 THEN l_quantity END"
+_CAT_PARTS = [("l_demo", "XPT"), ("l_dr1iff", "XPT"), ("l_dr2iff", "XPT"), ("l_dr1tot", "XPT"),
+              ("l_dr2tot", "XPT"), ("l_glu", "XPT")]
+_CATALOG_NOTE = ("The 2014 reference paper used the earlier national survey wave, so this continuous 2003-2018 "
+                 "pipeline is a validation extension rather than an exact reproduction.")
+CATALOG = "o_catalog_raw AS (" + " UNION ALL ".join(
+    [f"SELECT DISTINCT asset_type, file_code, '{fmt}' AS file_format, cycle_start_year, cycle_end_year, "
+     f"cycle_label, source_url, CAST(NULL AS BIGINT) AS mortality_public_release_year FROM {t}"
+     for t, fmt in _CAT_PARTS]
+    + ["SELECT DISTINCT asset_type, file_code, 'DAT' AS file_format, cycle_start_year, cycle_end_year, "
+       "cycle_label, source_url, mortality_public_release_year FROM l_mortality"]) + f"""),
+o_catalog AS (
+  SELECT *, CAST(NULL AS VARCHAR) AS mortality_followup_available_through,
+    '{_CATALOG_NOTE}' AS paper_comparability_note
+  FROM o_catalog_raw
+),
+o_stg_catalog AS (
+  SELECT asset_type || '|' || file_code || '|' || CAST(cycle_start_year AS VARCHAR) || '|'
+      || CAST(cycle_end_year AS VARCHAR) AS source_asset_key,
+    lower(asset_type) AS asset_type, file_code, file_format,
+    {sint('cycle_start_year')} AS cycle_start_year, {sint('cycle_end_year')} AS cycle_end_year,
+    cycle_label, source_url, {sint('mortality_public_release_year')} AS mortality_public_release_year,
+    mortality_followup_available_through, paper_comparability_note
+  FROM o_catalog
+)"""
+_REL_PAT = r"SURVEY_(\d{4})_(\d{4})_MORT_(\d{4})_PUBLIC\.dat"
+_FOLLOW_PAT = r"(?i)updated with mortality follow-up data through ([^.]+?\d{4})"
+
+
+def _reconcile(day: int) -> str:
+    return f"""
+  SELECT d.respondent_key, {day} AS recall_day, round(d.day_{day}_protein_g, 6) AS total_protein_g,
+    round(p.day_{day}_item_protein_g, 6) AS item_protein_g
+  FROM m_daily d LEFT JOIN m_sources p USING (respondent_key)
+  WHERE d.day_{day}_protein_g IS NOT NULL AND p.day_{day}_item_protein_g IS NOT NULL
+    AND abs(d.day_{day}_protein_g - p.day_{day}_item_protein_g) > 0.1"""
+
+
+_LI_WIDE = """SELECT l_returnflag, sum(l_quantity) AS sum_qty, CAST(count(*) AS DOUBLE) AS n_lines,
+    max(l_quantity) AS max_qty FROM lineitem GROUP BY 1"""
+
+ORACLE.update({
+    "cast_safe_int": q(f"""SELECT l_orderkey, l_linenumber, {sint('l_quantity / 2')} AS half_qty_int,
+        {sint('-l_quantity / 2')} AS neg_half_qty_int, {sint('l_discount * 100')} AS discount_pct_int
+        FROM lineitem"""),
+    "cast_safe_numeric": q("SELECT c_custkey, round(TRY_CAST(c_acctbal AS DOUBLE), 6) AS acctbal_numeric FROM customer"),
+    "cast_string": q(f"""SELECT l_orderkey, l_linenumber, {fstr('l_quantity')} AS qty_text,
+        {fstr('(l_quantity / 2)')} AS half_qty_text, CAST(l_linenumber AS VARCHAR) AS line_text FROM lineitem"""),
+    "key_composite": q(f"""SELECT {rkey()} AS respondent_key, {fstr('seqn')} || '|' || {fstr('ridageyr')} AS seqn_age_key
+        FROM l_demo"""),
+    "key_item": q(_union_days("protein_item_key, respondent_key, food_line_number")),
+    "flt_boolean_3vl": q("SELECT respondent_key, eligibility_status FROM m_daily WHERE mortality_eligible_flag"),
+    "flt_not_null": q("""SELECT respondent_key, round(day_1_energy_kcal, 6) AS day_1_energy_kcal,
+        round(day_1_protein_g, 6) AS day_1_protein_g FROM m_daily
+        WHERE day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL"""),
+    "flt_between": q("SELECT respondent_key, age_years FROM s_demo WHERE age_years BETWEEN 50 AND 65"),
+    "flt_in_list": q("""SELECT respondent_key, underlying_cause_group_code FROM s_mortality
+        WHERE underlying_cause_group_code IN ('001', '005')"""),
+    "band_age": q("""SELECT respondent_key, age_years, CASE WHEN age_years BETWEEN 50 AND 65 THEN '50_65'
+        WHEN age_years >= 66 THEN '66_PLUS' ELSE 'UNDER_50' END AS age_band_levine FROM s_demo"""),
+    "band_adult_age": q("""SELECT respondent_key, age_years, CASE WHEN age_years BETWEEN 18 AND 49 THEN '18_49'
+        WHEN age_years BETWEEN 50 AND 65 THEN '50_65' WHEN age_years >= 66 THEN '66_PLUS' ELSE 'UNDER_18' END
+        AS adult_age_band FROM s_demo"""),
+    "band_paper_age": q("""SELECT round(seqn, 6) AS SEQN, round(a, 6) AS AGE_YEARS,
+        CASE WHEN a BETWEEN 50 AND 65 THEN '50_65' WHEN a >= 66 THEN '66_PLUS' ELSE NULL END AS PAPER_AGE_BAND
+        FROM (SELECT seqn, ridageyr + CASE WHEN seqn % 2 = 1 THEN 0.5 ELSE 0.0 END AS a FROM l_demo)"""),
+    "ratio_protein_energy": q(f"SELECT respondent_key, round({_SHARE1}, 6) AS protein_pct_kcal_day_1 FROM m_daily"),
+    "band_protein_group": q(f"""SELECT respondent_key, round({_SHARE1}, 6) AS protein_pct_kcal_day_1,
+        {_PGROUP.format(x=_SHARE1)} AS protein_group_day_1 FROM m_daily"""),
+    "ratio_two_day_mean": q("""SELECT respondent_key, round(CASE WHEN day_2_energy_kcal IS NOT NULL AND day_2_protein_g IS NOT NULL
+        THEN (((day_1_protein_g + day_2_protein_g) / 2.0) * 4.0) / nullif((day_1_energy_kcal + day_2_energy_kcal) / 2.0, 0)
+        END, 6) AS protein_pct_kcal_mean_2day FROM m_daily"""),
+    "weight_rescale": q("""SELECT respondent_key, round(mec_weight_2yr / 8.0, 6) AS mec_weight_16yr,
+        round(day_1_recall_weight_2yr / 8.0, 6) AS day_1_recall_weight_16yr,
+        round(day_2_recall_weight_2yr / 8.0, 6) AS day_2_recall_weight_16yr,
+        round(fasting_weight_2yr / 8.0, 6) AS fasting_weight_16yr FROM m_daily"""),
+    "band_glucose": q("""SELECT respondent_key, round(fasting_glucose_mg_dl, 6) AS fasting_glucose_mg_dl,
+        CASE WHEN fasting_glucose_mg_dl >= 126 THEN 'DIABETES_RANGE' WHEN fasting_glucose_mg_dl >= 100
+        THEN 'PREDIABETES_RANGE' WHEN fasting_glucose_mg_dl IS NULL THEN 'MISSING' ELSE 'NORMAL_RANGE' END
+        AS fasting_glucose_category FROM m_daily"""),
+    "flag_nullable": q("""SELECT respondent_key, mortality_eligible_flag, died_during_followup,
+        CAST(underlying_cause_group_code = '002' AS BOOLEAN) AS cancer_death_flag,
+        CAST(diabetes_mentioned_flag = 1 AS BOOLEAN) AS diabetes_mcod_flag,
+        CAST(hypertension_mentioned_flag = 1 AS BOOLEAN) AS hypertension_mcod_flag FROM m_daily"""),
+    "food_major_group": q(_union_days("protein_item_key, food_code, food_code_padded, food_code_major_group")),
+    "band_animal_bins": q(f"""SELECT respondent_key, round(day_1_animal_protein_g_est, 6) AS day_1_animal_protein_g_est,
+        {_bins('day_1_animal_protein_g_est', (25, 35, 45))} AS protein_quartile FROM m_sources
+        WHERE day_1_animal_protein_g_est IS NOT NULL"""),
+    "band_plant_bins": q(f"""SELECT respondent_key, round(day_1_plant_protein_g_est, 6) AS day_1_plant_protein_g_est,
+        {_bins('day_1_plant_protein_g_est', (10, 15, 20))} AS protein_quartile FROM m_sources
+        WHERE day_1_plant_protein_g_est IS NOT NULL"""),
+    "label_title_case": q("SELECT event_id, upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) AS label FROM events"),
+    "join_left_star": q("""SELECT d.respondent_key, d.age_years, round(t1.day_1_protein_g, 6) AS day_1_protein_g,
+        round(t2.day_2_protein_g, 6) AS day_2_protein_g, round(g.fasting_glucose_mg_dl, 6) AS fasting_glucose_mg_dl,
+        m.mortality_status
+        FROM s_demo d LEFT JOIN s_dr1tot t1 USING (respondent_key) LEFT JOIN s_dr2tot t2 USING (respondent_key)
+        LEFT JOIN s_glu g USING (respondent_key) LEFT JOIN s_mortality m USING (respondent_key)"""),
+    "join_left_multikey": q("""SELECT d.seqn AS SEQN, d.cycle_start_year AS CYCLE_START_YEAR,
+        d.cycle_end_year AS CYCLE_END_YEAR, d.ridageyr AS RIDAGEYR, t1.tprot AS DR1TPROT, m.mortstat AS MORTSTAT
+        FROM l_demo d LEFT JOIN l_dr1tot t1 USING (seqn, cycle_start_year, cycle_end_year)
+        LEFT JOIN l_mortality m USING (seqn, cycle_start_year, cycle_end_year)"""),
+    "join_lookup_default": q("""SELECT i.protein_item_key, i.food_code_major_group,
+        coalesce(m.major_group_label, 'Unknown') AS major_group_label,
+        coalesce(m.protein_source_group, 'unclassified') AS protein_source_group
+        FROM s_dr1iff i LEFT JOIN s_group_map m ON i.food_code_major_group = m.food_code_major_group"""),
+    "agg_count": q("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2"),
+    "agg_sum": q("SELECT l_linestatus, round(sum(l_quantity), 6) AS sum_qty FROM lineitem GROUP BY 1"),
+    "agg_conditional_sum": q("""SELECT l_linestatus, round(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END), 6)
+        AS returned_qty FROM lineitem GROUP BY 1"""),
+    "agg_conditional_count": q("""SELECT l_linestatus, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT)
+        AS returned_lines FROM lineitem GROUP BY 1"""),
+    "agg_weighted_total": q(f"""SELECT l_returnflag, round(sum(coalesce({_W7}, 0)), 6) AS weighted_total
+        FROM lineitem GROUP BY 1"""),
+    "agg_weighted_conditional": q(f"""SELECT l_linestatus,
+        round(sum(CASE WHEN l_returnflag = 'R' THEN coalesce({_W7}, 0) ELSE 0 END), 6) AS weighted_returned
+        FROM lineitem GROUP BY 1"""),
+    "agg_avg_nullable": q("""SELECT l_returnflag, round(avg(CASE WHEN l_linenumber > 3 THEN l_quantity END), 6)
+        AS avg_qty_late_lines FROM lineitem GROUP BY 1"""),
+    "agg_weighted_rate": q("""SELECT l_linestatus, round(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END)
+        / nullif(sum(l_quantity), 0) * 1000, 6) AS returned_per_1000 FROM lineitem GROUP BY 1"""),
+    "reshape_pivot": q("""SELECT respondent_key,
+        round(sum(CASE WHEN recall_day = 1 THEN protein_g END), 6) AS day_1_item_protein_g,
+        nullif(count(CASE WHEN recall_day = 1 THEN 1 END), 0) AS day_1_item_count,
+        round(sum(CASE WHEN recall_day = 2 THEN protein_g END), 6) AS day_2_item_protein_g,
+        nullif(count(CASE WHEN recall_day = 2 THEN 1 END), 0) AS day_2_item_count
+        FROM m_items GROUP BY 1"""),
+    "reshape_melt_all": q(f"""SELECT l_returnflag, measure, round(value, 6) AS value FROM ({_LI_WIDE})
+        UNPIVOT INCLUDE NULLS (value FOR measure IN (sum_qty, n_lines, max_qty))"""),
+    "reshape_melt_cols": q(f"""SELECT l_returnflag, measure, round(value, 6) AS value FROM ({_LI_WIDE})
+        UNPIVOT INCLUDE NULLS (value FOR measure IN (sum_qty, max_qty))"""),
+    "set_union_all": q("""SELECT protein_item_key, respondent_key, 1 AS recall_day FROM s_dr1iff
+        UNION ALL SELECT protein_item_key, respondent_key, 2 AS recall_day FROM s_dr2iff"""),
+    "sort_category": q("""SELECT respondent_key, protein_group_day_1, CASE protein_group_day_1 WHEN 'LOW' THEN 0
+        WHEN 'MODERATE' THEN 1 WHEN 'HIGH' THEN 2 END AS protein_group_order FROM m_cohort"""),
+    "scalar_functions": q(r"""SELECT c_custkey, lower(c_name) AS name_lower, upper(c_mktsegment) AS segment_upper,
+        trim('  ' || c_mktsegment || ' ') AS segment_trimmed,
+        lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS key_padded,
+        substr(lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 1, 1) AS key_first_digit,
+        replace(c_mktsegment, 'E', 'e') AS segment_replaced,
+        regexp_extract(c_name, '(\d+)$', 1) AS name_number,
+        list_max(list_transform(regexp_extract_all(c_name, '(\d)', 1), lambda x: CAST(x AS INTEGER))) AS max_digit,
+        coalesce(nullif(c_nationkey % 5, 0), -1) AS nation_mod_or_default,
+        round(CAST(c_custkey AS DOUBLE) / nullif(CAST(c_nationkey AS DOUBLE), 0), 6) AS key_per_nation,
+        round(abs(c_acctbal), 6) AS abs_acctbal,
+        c_mktsegment || '_' || CAST(c_nationkey AS VARCHAR) AS formatted
+        FROM customer"""),
+    "src_fixed_width": q("""SELECT seqn AS SEQN, eligstat AS ELIGSTAT, mortstat AS MORTSTAT,
+        ucod_leading AS UCOD_LEADING, diabetes AS DIABETES, hyperten AS HYPERTEN, permth_int AS PERMTH_INT,
+        permth_exm AS PERMTH_EXM FROM l_mortality"""),
+    "ing_metadata": q("""SELECT CAST(k AS DOUBLE) AS SEQN, CAST((k * 7) % 86 AS DOUBLE) AS RIDAGEYR,
+        CAST(1 + k % 5 AS DOUBLE) AS DMDEDUC2, CAST(2003 AS BIGINT) AS CYCLE_START_YEAR,
+        CAST(2004 AS BIGINT) AS CYCLE_END_YEAR, '2003-2004' AS CYCLE_LABEL, 'DEMO_C' AS FILE_CODE,
+        'demo' AS ASSET_TYPE, 'landing/2003/DEMO_C.xpt' AS SOURCE_URL FROM l_cust WHERE k % 8 = 0"""),
+    "ing_union_cycles": q("""SELECT CAST(k AS DOUBLE) AS SEQN, CAST((k * 7) % 86 AS DOUBLE) AS RIDAGEYR,
+        CASE WHEN (k % 8) % 2 = 0 THEN CAST(1 + k % 5 AS DOUBLE) END AS DMDEDUC2,
+        cycle_start_year AS CYCLE_START_YEAR, cycle_end_year AS CYCLE_END_YEAR, cycle_label AS CYCLE_LABEL,
+        'DEMO_' || sfx AS FILE_CODE, 'demo' AS ASSET_TYPE,
+        'landing/' || CAST(cycle_start_year AS VARCHAR) || '/DEMO_' || sfx || '.xpt' AS SOURCE_URL FROM l_cust"""),
+    "ing_source_catalog": _with_extra(CATALOG, "SELECT * FROM o_catalog"),
+    "stg_source_catalog": _with_extra(CATALOG, "SELECT * FROM o_stg_catalog"),
+    "ing_latest_release": q(f"""SELECT CAST(regexp_extract(f, '{_REL_PAT}', 1) AS BIGINT) AS cycle_start_year,
+        CAST(regexp_extract(f, '{_REL_PAT}', 2) AS BIGINT) AS cycle_end_year,
+        max(CAST(regexp_extract(f, '{_REL_PAT}', 3) AS BIGINT)) AS latest_release_year
+        FROM (SELECT unnest(regexp_extract_all(source_url, '{_REL_PAT}', 0)) AS f FROM l_mortality)
+        GROUP BY 1, 2"""),
+    "ing_followup_text": q(f"""SELECT page_id, nullif(trim(regexp_extract(html, '{_FOLLOW_PAT}', 1)), '')
+        AS followup_through FROM pages"""),
+    "ing_incremental": q("""SELECT seqn AS SEQN, eligstat AS ELIGSTAT, mortstat AS MORTSTAT,
+        ucod_leading AS UCOD_LEADING, diabetes AS DIABETES, hyperten AS HYPERTEN, permth_int AS PERMTH_INT,
+        permth_exm AS PERMTH_EXM, cycle_start_year AS CYCLE_START_YEAR, cycle_end_year AS CYCLE_END_YEAR,
+        mortality_public_release_year AS MORTALITY_PUBLIC_RELEASE_YEAR, cycle_label AS CYCLE_LABEL
+        FROM l_mortality"""),
+    "snk_overwrite_roundtrip": ORACLE["validation_summary"],
+    "snk_range_partition": q("""SELECT cycle_bucket, cycle_start_year, age_band_levine, protein_group_day_1,
+        count(*) AS respondent_n
+        FROM (SELECT *, CAST(least(greatest(floor((cycle_start_year - 2003) / 2) + 1, 0), 9) AS INTEGER)
+              AS cycle_bucket FROM m_cohort)
+        GROUP BY 1, 2, 3, 4"""),
+    "dq_not_null": q("SELECT respondent_key, age_years FROM s_demo WHERE age_years IS NULL"),
+    "dq_unique": q("""SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
+        WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"""),
+    "dq_accepted_values": q("""SELECT event_type, count(*) AS n_records FROM events
+        WHERE event_type IS NOT NULL AND event_type NOT IN ('signup', 'click', 'view', 'purchase') GROUP BY 1"""),
+    "dq_reconcile": q(_reconcile(1) + "\n  UNION ALL" + _reconcile(2)),
+})
+
+# The model data tests: (model, relation, not_null, unique, accepted values).
+_DQ_TABLES = [
+    ("stg_source_catalog", "o_stg_catalog", ["source_asset_key"], ["source_asset_key"], {}),
+    ("stg_demo", "s_demo", ["respondent_key", "respondent_id", "cycle_label"], ["respondent_key"], {}),
+    ("stg_dr1tot", "s_dr1tot", ["respondent_key"], ["respondent_key"], {}),
+    ("stg_dr2tot", "s_dr2tot", ["respondent_key"], ["respondent_key"], {}),
+    ("stg_dr1iff", "s_dr1iff", ["protein_item_key"], ["protein_item_key"], {}),
+    ("stg_dr2iff", "s_dr2iff", ["protein_item_key"], ["protein_item_key"], {}),
+    ("stg_glu", "s_glu", ["respondent_key"], ["respondent_key"], {}),
+    ("stg_mortality", "s_mortality", ["respondent_key"], ["respondent_key"], {}),
+    ("respondent_daily", "m_daily", ["respondent_key"], ["respondent_key"],
+     {"age_band_levine": ["UNDER_50", "50_65", "66_PLUS"]}),
+    ("protein_items", "m_items", ["protein_item_key"], ["protein_item_key"],
+     {"protein_source_group": ["animal", "plant", "unclassified"]}),
+    ("protein_source_estimates", "m_sources", ["respondent_key"], ["respondent_key"], {}),
+    ("validation_cohort", "m_cohort", ["respondent_key"], ["respondent_key"],
+     {"age_band_levine": ["50_65", "66_PLUS"], "protein_group_day_1": ["LOW", "MODERATE", "HIGH"]}),
+    ("validation_summary", "m_summary", ["summary_key"], ["summary_key"], {}),
+    ("cycle_protein_trends", "m_trends", ["trend_key"], ["trend_key"],
+     {"adult_age_band": ["18_49", "50_65", "66_PLUS"], "protein_group_day_1": ["LOW", "MODERATE", "HIGH"]}),
+    ("food_code_major_group_map", "s_group_map", ["food_code_major_group"], ["food_code_major_group"],
+     {"protein_source_group": ["animal", "plant", "unclassified"]}),
+]
+
+
+def _dq_report_sql() -> str:
+    rows = []
+    for model, rel, nn, un, acc in _DQ_TABLES:
+        for c in nn:
+            rows.append(f"SELECT 'not_null' AS check_name, '{model}' AS model_name, '{c}' AS column_name, "
+                        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failing_rows FROM {rel}")
+        for c, vals in acc.items():
+            lst = ", ".join(f"'{v}'" for v in vals)
+            rows.append(f"SELECT 'accepted_values', '{model}', '{c}', "
+                        f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({lst})) AS BIGINT) FROM {rel}")
+        for c in un:
+            rows.append(f"SELECT 'unique', '{model}', '{c}', CAST(count(*) AS BIGINT) FROM "
+                        f"(SELECT {c} FROM {rel} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+    for day in (1, 2):
+        rows.append(f"SELECT 'protein_item_totals_match_day_{day}', 'respondent_daily', '', "
+                    f"CAST(count(*) AS BIGINT) FROM ({_reconcile(day)})")
+    body = "\n  UNION ALL ".join(rows)
+    return _with_extra(CATALOG, f"SELECT *, failing_rows = 0 AS passed FROM (\n  {body}\n)")
+
+
+ORACLE["dq_report"] = _dq_report_sql()
