@@ -1,80 +1,65 @@
 """Warehouse-faithful casts and composite keys (PRJ1-PRJ6, FN1).
 
-All helpers return Columns built from built-in expressions, so they stay
-inside whole-stage codegen.
+Every helper takes Spark SQL expression text and returns expression text, so
+a whole projection is handed to the JVM in one call (``selectExpr`` /
+:func:`cohortlab.functions.sql.project`) and stays inside whole-stage codegen.
+Wrap a result in ``F.expr`` to get a Column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
-
 # NUMERIC in the source warehouse: 38 digits, scale 9.
-NUMERIC = DecimalType(38, 9)
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+NUMERIC = "decimal(38,9)"
 
 
-def safe_int(c: Column | str) -> Column:
+def safe_int(x: str) -> str:
     """``safe_cast(x as int64)``: rounds half away from zero, NULL on failure.
 
     A plain cast truncates (2.5 -> 2); rounding first gives 3 and -3 for -2.5.
     NaN and infinities become NULL.
     """
-    return F.round(_col(c)).try_cast("bigint")
+    return f"try_cast(round({x}) as bigint)"
 
 
-def safe_numeric(c: Column | str) -> Column:
+def safe_numeric(x: str) -> str:
     """``safe_cast(x as numeric)``: decimal(38,9), NULL on failure."""
-    return _col(c).try_cast(NUMERIC)
+    return f"try_cast({x} as {NUMERIC})"
 
 
-def float_text(c: Column | str) -> Column:
+def float_text(x: str) -> str:
     """Text form of a float the way the warehouse prints it.
 
     Integral values print without a fraction (``21005``, not ``21005.0``);
     other values use the default text form.
     """
-    x = _col(c)
-    return F.when(x % 1 == 0, x.try_cast("bigint").cast("string")).otherwise(x.cast("string"))
+    return (f"(case when ({x}) % 1 = 0 then cast(try_cast({x} as bigint) as string) "
+            f"else cast({x} as string) end)")
 
 
-def composite_key(*parts: Column | str, sep: str = "|") -> Column:
+def composite_key(*parts: str, sep: str = "|") -> str:
     """``concat(a, '|', b, ...)``; NULL if any part is NULL (unlike concat_ws)."""
-    cols: list[Column] = []
-    for i, p in enumerate(parts):
-        if i:
-            cols.append(F.lit(sep))
-        cols.append(_col(p))
-    return F.concat(*cols)
+    return "concat(" + f", '{sep}', ".join(parts) + ")"
 
 
-def respondent_key(seqn: Column | str = "seqn",
-                   start: Column | str = "cycle_start_year",
-                   end: Column | str = "cycle_end_year") -> Column:
+def respondent_key(seqn: str = "seqn", start: str = "cycle_start_year", end: str = "cycle_end_year") -> str:
     """``seqn|cycle_start|cycle_end`` with the float parts printed as integers."""
-    return composite_key(float_text(seqn), _col(start).cast("string"), _col(end).cast("string"))
+    return composite_key(float_text(seqn), f"cast({start} as string)", f"cast({end} as string)")
 
 
-def item_key(seqn: Column | str, start: Column | str, end: Column | str,
-             day: int, line: Column | str) -> Column:
+def item_key(seqn: str, start: str, end: str, day: int, line: str) -> str:
     """``seqn|start|end|day|line`` with the recall day as a literal."""
-    return composite_key(float_text(seqn), _col(start).cast("string"), _col(end).cast("string"),
-                         F.lit(str(day)), float_text(line))
+    return composite_key(float_text(seqn), f"cast({start} as string)", f"cast({end} as string)",
+                         f"'{day}'", float_text(line))
 
 
-def padded_code(code: Column | str, width: int = 8) -> Column:
+def padded_code(code: str, width: int = 8) -> str:
     """``lpad(cast(code as string), 8, '0')`` for non-NULL codes.
 
     Like the warehouse, lpad also truncates codes longer than ``width``.
     """
-    c = _col(code)
-    return F.when(c.isNotNull(), F.lpad(c.cast("string"), width, "0"))
+    return f"(case when {code} is not null then lpad(cast({code} as string), {width}, '0') end)"
 
 
-def leading_digit(padded: Column | str) -> Column:
+def leading_digit(padded: str) -> str:
     """``safe_cast(substr(padded, 1, 1) as int64)``."""
-    return F.substring(_col(padded), 1, 1).try_cast("bigint")
+    return f"try_cast(substring({padded}, 1, 1) as bigint)"

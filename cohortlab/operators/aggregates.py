@@ -1,57 +1,49 @@
-"""Aggregate expressions (AGG1-AGG11).
+"""Aggregate expressions (AGG1-AGG11) as Spark SQL text.
 
-All are ordinary aggregate Columns, so any number of them is evaluated in a
-single ``agg`` with a map-side partial aggregate before the shuffle.
+All are ordinary aggregates, so any number of them run in one ``GROUP BY``
+with a map-side partial aggregate before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def conditional_sum(cond: Column, value: Column | str, zero=0) -> Column:
+def conditional_sum(cond: str, value: str, zero: str = "0") -> str:
     """``sum(case when cond then value else 0 end)``."""
-    return F.sum(F.when(cond, _col(value)).otherwise(F.lit(zero)))
+    return f"sum(CASE WHEN {cond} THEN {value} ELSE {zero} END)"
 
 
-def conditional_count(cond: Column) -> Column:
+def conditional_count(cond: str) -> str:
     """``sum(case when cond then 1 else 0 end)``: 0, never NULL, for an empty match."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    return f"cast(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) as bigint)"
 
 
-def weighted_total(weight: Column | str) -> Column:
+def weighted_total(weight: str) -> str:
     """``sum(coalesce(w, 0))``."""
-    return F.sum(F.coalesce(_col(weight), F.lit(0.0)))
+    return f"sum(coalesce(cast({weight} as double), 0D))"
 
 
-def weighted_conditional(flag: Column, weight: Column | str, null_weight_as_zero: bool = True) -> Column:
+def weighted_conditional(flag: str, weight: str, null_weight_as_zero: bool = True) -> str:
     """``sum(case when flag then coalesce(w, 0) else 0 end)``.
 
     With ``null_weight_as_zero=False`` the weight is used as is, so a NULL
     weight is skipped by ``sum`` (the flow summary's form).
     """
-    w = F.coalesce(_col(weight), F.lit(0.0)) if null_weight_as_zero else _col(weight)
-    return F.sum(F.when(flag, w).otherwise(F.lit(0.0)))
+    w = f"coalesce(cast({weight} as double), 0D)" if null_weight_as_zero else f"cast({weight} as double)"
+    return f"sum(CASE WHEN {flag} THEN {w} ELSE 0D END)"
 
 
-def weighted_rate(flag: Column, weight: Column | str, per: float = 1000.0) -> Column:
+def weighted_rate(flag: str, weight: str, per: float = 1000.0) -> str:
     """Weighted rate per ``per``: ``sum(flag ? w : 0) / nullif(sum(w), 0) * per``."""
-    w = _col(weight).cast("double")
-    num = F.sum(F.when(flag, w).otherwise(F.lit(0.0)))
-    den = F.nullif(F.sum(w), F.lit(0.0))
-    return F.try_divide(num, den) * F.lit(float(per))
+    w = f"cast({weight} as double)"
+    return (f"try_divide(sum(CASE WHEN {flag} THEN {w} ELSE 0D END), nullif(sum({w}), 0D)) "
+            f"* {float(per)!r}D")
 
 
-def mean(c: Column | str) -> Column:
+def mean(c: str) -> str:
     """``avg`` ignoring NULLs, computed in doubles."""
-    return F.avg(_col(c).cast("double"))
+    return f"avg(cast({c} as double))"
 
 
-def max_when(cond: Column, value: Column | str) -> Column:
+def max_when(cond: str, value: str) -> str:
     """``max(case when cond then value end)`` (the long-to-wide pivot cell)."""
-    return F.max(F.when(cond, _col(value)))
+    return f"max(CASE WHEN {cond} THEN {value} END)"

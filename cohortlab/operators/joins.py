@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlab.functions.bands import lit
+
 # Row bound under which a side with a *proven* bound may be hinted for
 # broadcast. Anything without a proven bound is left to AQE's runtime check.
 BROADCAST_ROW_BOUND = 100_000
@@ -23,13 +25,12 @@ def left_star_join(fact: DataFrame, dims: Sequence[DataFrame], on: str | Sequenc
     """``fact LEFT JOIN d1 USING (on) LEFT JOIN d2 USING (on) ...``.
 
     All joins share one key, so the fact side is exchanged once and every
-    later join reuses its hash partitioning.
+    later join reuses its hash partitioning. Built as one statement.
     """
-    out = fact
     keys = [on] if isinstance(on, str) else list(on)
-    for d in dims:
-        out = out.join(d, keys, "left")
-    return out
+    using = ", ".join(f"`{k}`" for k in keys)
+    text = "SELECT * FROM {f}" + "".join(f" LEFT JOIN {{d{i}}} USING ({using})" for i in range(len(dims)))
+    return fact.sparkSession.sql(text, f=fact, **{f"d{i}": d for i, d in enumerate(dims)})
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str],
@@ -41,14 +42,16 @@ def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str],
     then is the side hinted for broadcast. Without it the join is planned by
     size statistics and AQE.
     """
-    right = dim
-    if dim_row_bound is not None and dim_row_bound <= BROADCAST_ROW_BOUND:
-        right = F.broadcast(dim)
     keys = [on] if isinstance(on, str) else list(on)
-    out = df.join(right, keys, "left")
-    if defaults:
-        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
-    return out
+    hint = "/*+ BROADCAST(m) */ " if dim_row_bound is not None and dim_row_bound <= BROADCAST_ROW_BOUND else ""
+    filled = set(defaults or {})
+    left_cols = [f"u.`{c}`" for c in df.columns]
+    right_cols = [f"coalesce(m.`{c}`, {lit(defaults[c])}) AS `{c}`" if c in filled else f"m.`{c}`"
+                  for c in dim.columns if c not in keys]
+    cond = " AND ".join(f"u.`{k}` = m.`{k}`" for k in keys)
+    text = (f"SELECT {hint}" + ", ".join(left_cols + right_cols)
+            + f" FROM {{u}} u LEFT JOIN {{m}} m ON {cond}")
+    return df.sparkSession.sql(text, u=df, m=dim)
 
 
 def cross_with_bounded(df: DataFrame, small: DataFrame, small_row_bound: int) -> DataFrame:

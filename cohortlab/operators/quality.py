@@ -2,9 +2,9 @@
 
 Each check returns its failing rows as a DataFrame (the warehouse-test
 convention) or, for the report, one row per check with the failing count.
-Checks on the same table are batched into one aggregate pass; uniqueness
-needs one aggregate per key column, with map-side partial counts so a hot
-key collapses before the shuffle.
+Not-NULL and accepted-values checks on one table are batched into a single
+aggregate pass; uniqueness needs one aggregate per key column, with
+map-side partial counts, so a hot key collapses before the shuffle.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from cohortlab.functions.bands import lit
+from cohortlab.functions.sql import aggregate, project, q
 from cohortlab.operators.reshape import union_all_by_name
 
 REPORT_COLUMNS = ["check_name", "model_name", "column_name", "failing_rows", "passed"]
@@ -22,36 +23,36 @@ REPORT_COLUMNS = ["check_name", "model_name", "column_name", "failing_rows", "pa
 
 def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` is NULL."""
-    return df.filter(F.col(column).isNull())
+    return df.filter(f"{q(column)} IS NULL")
 
 
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """Values of ``column`` occurring more than once (NULLs ignored), with their counts."""
-    return (df.filter(F.col(column).isNotNull()).groupBy(column)
-            .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
+    return unique_key_failures(df, [column])
 
 
 def unique_key_failures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Duplicated composite keys (any NULL part ignores the row), with counts."""
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & F.col(c).isNotNull()
-    return (df.filter(cond).groupBy(*columns)
-            .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
+    """Duplicated composite keys (a row with any NULL part is ignored), with counts."""
+    where = " AND ".join(f"{q(c)} IS NOT NULL" for c in columns)
+    return aggregate(df, [q(c) for c in columns], ["count(1) AS n_records"], where=where,
+                     having="count(1) > 1")
 
 
 def accepted_values_failures(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Non-NULL values outside the accepted list, with their counts."""
-    return (df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
-            .groupBy(column).agg(F.count(F.lit(1)).alias("n_records")))
+    c = q(column)
+    return aggregate(df, [c], ["count(1) AS n_records"],
+                     where=f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(lit(v) for v in values)})")
 
 
 def reconcile_failures(left: DataFrame, right: DataFrame, key: str, left_col: str, right_col: str,
                        tolerance: float = 0.1) -> DataFrame:
     """Keys where two measures differ by more than ``tolerance`` (both present)."""
-    j = left.select(key, left_col).join(right.select(key, right_col), key, "left")
-    return j.filter(F.col(left_col).isNotNull() & F.col(right_col).isNotNull()
-                    & (F.abs(F.col(left_col).cast("double") - F.col(right_col).cast("double")) > tolerance))
+    text = (f"SELECT l.{q(key)}, l.{q(left_col)}, r.{q(right_col)} FROM {{l}} l "
+            f"LEFT JOIN {{r}} r ON l.{q(key)} = r.{q(key)} "
+            f"WHERE l.{q(left_col)} IS NOT NULL AND r.{q(right_col)} IS NOT NULL "
+            f"AND abs(cast(l.{q(left_col)} as double) - cast(r.{q(right_col)} as double)) > {lit(float(tolerance))}")
+    return left.sparkSession.sql(text, l=left, r=right)
 
 
 @dataclass
@@ -65,41 +66,35 @@ class TableChecks:
     accepted: dict[str, list] = field(default_factory=dict)
 
 
-def _row(check: str, model: str, column: str, failing: Column) -> list[Column]:
-    return [F.lit(check).alias("check_name"), F.lit(model).alias("model_name"),
-            F.lit(column).alias("column_name"), failing.cast("bigint").alias("failing_rows")]
-
-
 def table_report(tc: TableChecks) -> DataFrame:
     """One row per test on ``tc``: not-NULL and accepted-values in one pass, uniques apart."""
     parts: list[DataFrame] = []
-    counts = []
-    for c in tc.not_null:
-        counts.append(("not_null", c, F.count_if(F.col(c).isNull())))
-    for c, vals in tc.accepted.items():
-        counts.append(("accepted_values", c,
-                       F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(vals)))))
+    counts = [("not_null", c, f"count_if({q(c)} IS NULL)") for c in tc.not_null]
+    counts += [("accepted_values", c,
+                f"count_if({q(c)} IS NOT NULL AND {q(c)} NOT IN ({', '.join(lit(v) for v in vals)}))")
+               for c, vals in tc.accepted.items()]
     if counts:
-        wide = tc.df.agg(*[expr.alias(f"n{i}") for i, (_, _, expr) in enumerate(counts)])
-        stack = F.inline(F.array(*[
-            F.struct(F.lit(chk).alias("check_name"), F.lit(col).alias("column_name"),
-                     F.col(f"n{i}").cast("bigint").alias("failing_rows"))
-            for i, (chk, col, _) in enumerate(counts)]))
-        parts.append(wide.select(stack).select(
-            "check_name", F.lit(tc.model_name).alias("model_name"), "column_name", "failing_rows"))
+        structs = ", ".join(
+            f"struct({lit(chk)} AS check_name, {lit(tc.model_name)} AS model_name, {lit(c)} AS column_name, "
+            f"cast({expr} as bigint) AS failing_rows)" for chk, c, expr in counts)
+        wide = aggregate(tc.df, [], [f"array({structs}) AS checks"])
+        parts.append(project(wide, ["inline(checks)"]))
     for c in tc.unique:
-        failing = unique_failures(tc.df.select(c), c).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(failing.select(*_row("unique", tc.model_name, c, F.col("n"))))
+        dup = unique_failures(project(tc.df, [q(c)]), c)
+        parts.append(aggregate(dup, [], [
+            f"'unique' AS check_name", f"{lit(tc.model_name)} AS model_name", f"{lit(c)} AS column_name",
+            "count(1) AS failing_rows"]))
     return union_all_by_name(parts)
 
 
 def singular_report(name: str, model: str, failures: DataFrame) -> DataFrame:
     """A singular test: its failing-row count."""
-    return failures.agg(F.count(F.lit(1)).alias("n")).select(*_row(name, model, "", F.col("n")))
+    return aggregate(failures, [], [f"{lit(name)} AS check_name", f"{lit(model)} AS model_name",
+                                    "'' AS column_name", "count(1) AS failing_rows"])
 
 
 def quality_report(tables: Sequence[TableChecks], singular: Sequence[tuple[str, str, DataFrame]] = ()) -> DataFrame:
     """All tests as rows ``(check_name, model_name, column_name, failing_rows, passed)``."""
     parts = [table_report(t) for t in tables]
     parts += [singular_report(n, m, f) for n, m, f in singular]
-    return union_all_by_name(parts).withColumn("passed", F.col("failing_rows") == 0).select(*REPORT_COLUMNS)
+    return project(union_all_by_name(parts), [*REPORT_COLUMNS[:-1], "failing_rows = 0 AS passed"])

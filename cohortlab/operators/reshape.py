@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.bands import category_ordinal
+from cohortlab.functions.bands import category_ordinal, lit
+from cohortlab.functions.sql import _esc, aggregate, project, q
 
 
 def union_all_by_name(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
@@ -21,26 +22,31 @@ def union_all_by_name(frames: Sequence[DataFrame], allow_missing: bool = False)
 
 
 def pivot_wide(df: DataFrame, keys: Sequence[str], pivot_col: str, pivot_values: Sequence,
-               measures: dict[str, Callable[[Column], Column]], name: Callable[[object, str], str]) -> DataFrame:
-    """Long to wide with explicit pivot values.
+               measures: dict[str, Callable[[str], str]], name: Callable[[object, str], str]) -> DataFrame:
+    """Long to wide with explicit pivot values as one conditional aggregate.
 
-    ``measures`` maps an output stem to an aggregate builder that receives the
-    cell's value filter, e.g. ``{"protein_g": lambda on: F.max(F.when(on, col))}``.
-    Explicit values mean no extra job to discover them, and every cell is a
-    conditional aggregate in a single ``groupBy`` (one shuffle on ``keys``).
+    ``measures`` maps an output stem to a builder that receives the cell's
+    filter text, e.g. ``{"protein_g": lambda on: f"max(CASE WHEN {on} THEN protein_g END)"}``.
+    Explicit values mean no extra job to discover them, and every cell is
+    computed in a single ``GROUP BY`` (one shuffle on ``keys``).
     """
     aggs = []
     for v in pivot_values:
-        on = F.col(pivot_col) == F.lit(v)
+        on = f"{q(pivot_col)} = {lit(v)}"
         for stem, build in measures.items():
-            aggs.append(build(on).alias(name(v, stem)))
-    return df.groupBy(*keys).agg(*aggs)
+            aggs.append(f"{build(on)} AS {q(name(v, stem))}")
+    return aggregate(df, [q(k) for k in keys], aggs)
 
 
 def pivot_builtin(df: DataFrame, keys: Sequence[str], pivot_col: str, pivot_values: Sequence,
-                  aggs: dict[str, Column], name: Callable[[object, str], str]) -> DataFrame:
-    """The same reshape through ``GroupedData.pivot`` and a rename of its ``<v>_<alias>`` columns."""
-    wide = df.groupBy(*keys).pivot(pivot_col, list(pivot_values)).agg(*[c.alias(a) for a, c in aggs.items()])
+                  aggs: dict[str, str], name: Callable[[object, str], str]) -> DataFrame:
+    """The same reshape through ``GroupedData.pivot`` (explicit values) and a rename.
+
+    ``aggs`` maps an alias to aggregate expression text. Spark names the
+    pivoted columns ``<value>_<alias>``; they are renamed with ``name``.
+    """
+    wide = df.groupBy(*keys).pivot(pivot_col, list(pivot_values)).agg(
+        *[F.expr(e).alias(a) for a, e in aggs.items()])
     if len(aggs) == 1:
         (alias,) = aggs
         renames = {str(v): name(v, alias) for v in pivot_values}
@@ -51,20 +57,24 @@ def pivot_builtin(df: DataFrame, keys: Sequence[str], pivot_col: str, pivot_valu
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None, var_name: str,
          value_name: str) -> DataFrame:
-    """Wide to long. ``values=None`` melts every non-id column."""
+    """Wide to long, NULL values kept. ``values=None`` melts every non-id column."""
     cols = list(values) if values is not None else [c for c in df.columns if c not in ids]
-    return df.unpivot(list(ids), cols, var_name, value_name)
+    items = ", ".join(q(c) for c in cols)
+    head = _esc(f"SELECT {', '.join(q(i) for i in ids)}, {q(var_name)}, {q(value_name)} ")
+    tail = _esc(f" UNPIVOT INCLUDE NULLS ({q(value_name)} FOR {q(var_name)} IN ({items}))")
+    return df.sparkSession.sql(head + "FROM {t}" + tail, t=df)
 
 
 def relabel(df: DataFrame, column: str, mapping: dict[str, str]) -> DataFrame:
     """Replace display values in one column (``50_65 -> 50-65``)."""
-    return df.replace(mapping, subset=[column])
+    case = "CASE " + " ".join(f"WHEN {q(column)} = {lit(k)} THEN {lit(v)}" for k, v in mapping.items()) \
+        + f" ELSE {q(column)} END"
+    return project(df, [f"{case} AS {q(column)}" if c == column else q(c) for c in df.columns])
 
 
-def title_label(c: Column | str, drop_suffix: str = "_rate") -> Column:
+def title_label(c: str, drop_suffix: str = "_rate") -> str:
     """``cancer_rate -> Cancer``: drop suffix, underscores to spaces, title case."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.initcap(F.replace(F.replace(col, F.lit(drop_suffix), F.lit("")), F.lit("_"), F.lit(" ")))
+    return f"initcap(replace(replace({c}, {lit(drop_suffix)}, ''), '_', ' '))"
 
 
 def order_by_category(df: DataFrame, column: str, categories: Sequence[str],
@@ -74,7 +84,7 @@ def order_by_category(df: DataFrame, column: str, categories: Sequence[str],
     With ``ordinal_name`` the ordinal is also kept as a column, so the order
     survives order-insensitive comparisons.
     """
-    ordinal = category_ordinal(column, categories)
+    ordinal = category_ordinal(q(column), categories)
     if ordinal_name:
-        return df.withColumn(ordinal_name, ordinal).orderBy(F.col(ordinal_name))
-    return df.orderBy(ordinal)
+        return project(df, [*[q(c) for c in df.columns], f"{ordinal} AS {q(ordinal_name)}"]).orderBy(ordinal_name)
+    return df.orderBy(F.expr(ordinal))

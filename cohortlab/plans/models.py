@@ -6,19 +6,22 @@ group map; M3 <- M2; M4 <- M1, M3; M5 <- M4; M6 <- M1, M3.
 Partitioning: every respondent-level input joins on ``respondent_key``. The
 demo side is exchanged once and the four left joins reuse that hash
 partitioning; M3 aggregates by ``respondent_key`` alone, so its output is
-already partitioned for the join into M4/M6 and Catalyst can drop that join
+already partitioned for the join into M4/M6, and Catalyst can drop that join
 when no M3 column is read. Null-rejecting filters in M4/M6 turn the outer
 joins they touch into inner joins.
+
+Each model is one SQL statement over its input DataFrames, so building the
+DAG costs a few driver-to-JVM calls per model.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortlab.functions import bands as B
-from cohortlab.operators.aggregates import conditional_count, conditional_sum, mean, weighted_conditional, weighted_total
-from cohortlab.operators.joins import left_star_join, lookup_join
+from cohortlab.functions.sql import aggregate, project, select_list
+from cohortlab.operators.aggregates import mean, weighted_conditional, weighted_total
+from cohortlab.operators.joins import lookup_join
 from cohortlab.operators.reshape import union_all_by_name
 from cohortlab.sources import seeds
 
@@ -35,47 +38,44 @@ PROTEIN_SOURCE_NOTE = (
 )
 POOLED_CYCLES = 8.0
 
+DEMO_COLS = ["respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label", "survey_cycle_code",
+             "age_years", "sex_code", "race_ethnicity_code", "education_code", "poverty_income_ratio",
+             "survey_psu", "survey_strata", "interview_weight_2yr", "mec_weight_2yr"]
+GLU_COLS = ["fasting_weight_2yr", "fasting_glucose_mg_dl", "fasting_glucose_mmol_l", "fasting_hours",
+            "fasting_minutes", "fasting_insulin_uuml", "fasting_insulin_pmol_l"]
+MORT_COLS = ["eligibility_status", "mortality_status", "underlying_cause_group_code",
+             "diabetes_mentioned_flag", "hypertension_mentioned_flag", "followup_months_interview",
+             "followup_months_exam", "mortality_public_release_year"]
+
+
+def _tot_cols(day: int) -> list[str]:
+    return [f"day_{day}_{c}" for c in ("recall_weight_2yr", "recall_status", "energy_kcal", "protein_g",
+                                       "carb_g", "fat_g")]
+
 
 def respondent_daily(stg: dict[str, DataFrame]) -> DataFrame:
     """M1: one row per respondent with day totals, glucose and mortality."""
-    demo = stg["stg_demo"].select(
-        KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label",
-        "survey_cycle_code", "age_years", "sex_code", "race_ethnicity_code", "education_code",
-        "poverty_income_ratio", "survey_psu", "survey_strata", "interview_weight_2yr",
-        "mec_weight_2yr")
-    t1 = stg["stg_dr1tot"].select(
-        KEY, "day_1_recall_weight_2yr", "day_1_recall_status", "day_1_energy_kcal",
-        "day_1_protein_g", "day_1_carb_g", "day_1_fat_g")
-    t2 = stg["stg_dr2tot"].select(
-        KEY, "day_2_recall_weight_2yr", "day_2_recall_status", "day_2_energy_kcal",
-        "day_2_protein_g", "day_2_carb_g", "day_2_fat_g")
-    glu = stg["stg_glu"].select(
-        KEY, "fasting_weight_2yr", "fasting_glucose_mg_dl", "fasting_glucose_mmol_l",
-        "fasting_hours", "fasting_minutes", "fasting_insulin_uuml", "fasting_insulin_pmol_l")
-    mort = stg["stg_mortality"].select(
-        KEY, "eligibility_status", "mortality_status", "underlying_cause_group_code",
-        "diabetes_mentioned_flag", "hypertension_mentioned_flag", "followup_months_interview",
-        "followup_months_exam", "mortality_public_release_year")
-    joined = left_star_join(demo, [t1, t2, glu, mort], KEY)
-    return joined.select(
-        KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label",
-        "survey_cycle_code", "age_years", "sex_code", "race_ethnicity_code", "education_code",
-        "poverty_income_ratio", "survey_psu", "survey_strata", "interview_weight_2yr",
-        "mec_weight_2yr", "day_1_recall_weight_2yr", "day_2_recall_weight_2yr",
-        "day_1_recall_status", "day_2_recall_status",
-        "day_1_energy_kcal", "day_1_protein_g", "day_1_carb_g", "day_1_fat_g",
-        "day_2_energy_kcal", "day_2_protein_g", "day_2_carb_g", "day_2_fat_g",
-        "fasting_weight_2yr", "fasting_glucose_mg_dl", "fasting_glucose_mmol_l",
-        "fasting_hours", "fasting_minutes", "fasting_insulin_uuml", "fasting_insulin_pmol_l",
-        "eligibility_status",
-        B.equals_flag("eligibility_status", 1).alias("mortality_eligible_flag"),
-        "mortality_status",
-        B.equals_flag("mortality_status", 1).alias("died_during_followup"),
-        "underlying_cause_group_code", "diabetes_mentioned_flag", "hypertension_mentioned_flag",
-        "followup_months_interview", "followup_months_exam", "mortality_public_release_year",
-        B.age_band_levine("age_years").alias("age_band_levine"),
-        B.adult_age_band("age_years").alias("adult_age_band"),
-    )
+    cols = [
+        f"d.{KEY}", *[f"d.{c}" for c in DEMO_COLS],
+        "t1.day_1_recall_weight_2yr", "t2.day_2_recall_weight_2yr",
+        "t1.day_1_recall_status", "t2.day_2_recall_status",
+        *[f"t1.day_1_{c}" for c in ("energy_kcal", "protein_g", "carb_g", "fat_g")],
+        *[f"t2.day_2_{c}" for c in ("energy_kcal", "protein_g", "carb_g", "fat_g")],
+        *[f"g.{c}" for c in GLU_COLS],
+        "m.eligibility_status",
+        f"{B.equals_flag('m.eligibility_status', 1)} AS mortality_eligible_flag",
+        "m.mortality_status",
+        f"{B.equals_flag('m.mortality_status', 1)} AS died_during_followup",
+        *[f"m.{c}" for c in MORT_COLS[2:]],
+        f"{B.age_band_levine('d.age_years')} AS age_band_levine",
+        f"{B.adult_age_band('d.age_years')} AS adult_age_band",
+    ]
+    text = (f"SELECT\n  {select_list(cols)}\nFROM {{d}} d\n"
+            f"LEFT JOIN {{t1}} t1 USING ({KEY})\nLEFT JOIN {{t2}} t2 USING ({KEY})\n"
+            f"LEFT JOIN {{g}} g USING ({KEY})\nLEFT JOIN {{m}} m USING ({KEY})")
+    return stg["stg_demo"].sparkSession.sql(
+        text, d=stg["stg_demo"], t1=stg["stg_dr1tot"], t2=stg["stg_dr2tot"], g=stg["stg_glu"],
+        m=stg["stg_mortality"])
 
 
 ITEM_COLUMNS = [
@@ -91,20 +91,19 @@ def protein_items(stg: dict[str, DataFrame], group_map: DataFrame) -> DataFrame:
 
     The 9-row map is broadcast (bounded by construction). Items with NULL
     protein are dropped after classification; the filter commutes with the
-    left join, so Catalyst pushes it to the scan side.
+    left join, so Catalyst pushes it below the join and the union.
     """
     days = []
     for d in (1, 2):
-        days.append(stg[f"stg_dr{d}iff"]
-                    .withColumn("recall_day", F.lit(d))
-                    .withColumnRenamed(f"day_{d}_recall_weight_2yr", "recall_day_weight_2yr")
-                    .select(*ITEM_COLUMNS))
+        cols = [f"{d} AS recall_day" if c == "recall_day" else
+                f"day_{d}_recall_weight_2yr AS recall_day_weight_2yr" if c == "recall_day_weight_2yr" else c
+                for c in ITEM_COLUMNS]
+        days.append(project(stg[f"stg_dr{d}iff"], cols))
     unioned = union_all_by_name(days)
-    classified = lookup_join(
-        unioned, group_map.select("food_code_major_group", "major_group_label", "protein_source_group",
-                                  "classification_method", "classification_notes"),
-        "food_code_major_group", seeds.UNMAPPED_DEFAULTS, dim_row_bound=seeds.GROUP_MAP_MAX_ROWS)
-    return classified.select(*ITEM_COLUMNS, *seeds.UNMAPPED_DEFAULTS.keys()).filter(F.col("protein_g").isNotNull())
+    gm = project(group_map, ["food_code_major_group", *seeds.UNMAPPED_DEFAULTS])
+    classified = lookup_join(unioned, gm, "food_code_major_group", seeds.UNMAPPED_DEFAULTS,
+                             dim_row_bound=seeds.GROUP_MAP_MAX_ROWS)
+    return project(classified, [*ITEM_COLUMNS, *seeds.UNMAPPED_DEFAULTS], where="protein_g IS NOT NULL")
 
 
 SOURCE_GROUPS = ("animal", "plant", "unclassified")
@@ -120,42 +119,39 @@ def protein_source_estimates(items: DataFrame) -> DataFrame:
     hash-partitioned by ``respondent_key``. A day with no items yields NULL
     totals and NULL counts, exactly as the two-level form does.
     """
-    day, src = F.col("recall_day"), F.col("protein_source_group")
-    prot, kcal = F.col("protein_g"), F.col("energy_kcal")
-    aggs = [F.max(c).alias(c) for c in ("respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label")]
+    aggs = [f"max({c}) AS {c}" for c in ("respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label")]
     for d in (1, 2):
-        on = day == d
+        on = f"recall_day = {d}"
         aggs += [
-            F.sum(F.when(on, prot)).alias(f"day_{d}_item_protein_g"),
-            F.sum(F.when(on, kcal)).alias(f"day_{d}_item_energy_kcal"),
-            F.sum(F.when(on, F.when(src == "animal", prot).otherwise(0))).alias(f"day_{d}_animal_protein_g_est"),
-            F.sum(F.when(on, F.when(src == "plant", prot).otherwise(0))).alias(f"day_{d}_plant_protein_g_est"),
-            F.sum(F.when(on, F.when(src == "unclassified", prot).otherwise(0))).alias(f"day_{d}_unclassified_protein_g"),
+            f"sum(CASE WHEN {on} THEN protein_g END) AS day_{d}_item_protein_g",
+            f"sum(CASE WHEN {on} THEN energy_kcal END) AS day_{d}_item_energy_kcal",
         ]
+        for g, name in (("animal", "animal_protein_g_est"), ("plant", "plant_protein_g_est"),
+                        ("unclassified", "unclassified_protein_g")):
+            aggs.append(f"sum(CASE WHEN {on} THEN (CASE WHEN protein_source_group = '{g}' THEN protein_g "
+                        f"ELSE 0 END) END) AS day_{d}_{name}")
         for g in SOURCE_GROUPS:
-            aggs.append(F.sum(F.when(on, F.when(src == g, 1).otherwise(0))).cast("bigint")
-                        .alias(f"day_{d}_{g}_item_count"))
-    agg = items.groupBy(KEY).agg(*aggs)
+            aggs.append(f"cast(sum(CASE WHEN {on} THEN (CASE WHEN protein_source_group = '{g}' THEN 1 "
+                        f"ELSE 0 END) END) as bigint) AS day_{d}_{g}_item_count")
+    agg = aggregate(items, [KEY], aggs)
     out = [KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label"]
     for d in (1, 2):
         total = f"day_{d}_item_protein_g"
         out += [
             total, f"day_{d}_item_energy_kcal", f"day_{d}_animal_protein_g_est",
             f"day_{d}_plant_protein_g_est", f"day_{d}_unclassified_protein_g",
-            B.safe_ratio(f"day_{d}_animal_protein_g_est", total).alias(f"day_{d}_animal_protein_share_est"),
-            B.safe_ratio(f"day_{d}_plant_protein_g_est", total).alias(f"day_{d}_plant_protein_share_est"),
-            B.safe_ratio(f"day_{d}_unclassified_protein_g", total).alias(f"day_{d}_unclassified_protein_share"),
+            f"{B.safe_ratio(f'day_{d}_animal_protein_g_est', total)} AS day_{d}_animal_protein_share_est",
+            f"{B.safe_ratio(f'day_{d}_plant_protein_g_est', total)} AS day_{d}_plant_protein_share_est",
+            f"{B.safe_ratio(f'day_{d}_unclassified_protein_g', total)} AS day_{d}_unclassified_protein_share",
             f"day_{d}_animal_item_count", f"day_{d}_plant_item_count", f"day_{d}_unclassified_item_count",
         ]
-    return agg.select(*out)
+    return project(agg, out)
 
 
-SOURCE_COLUMNS = [
-    f"day_{d}_{c}" for d in (1, 2) for c in (
-        "item_protein_g", "item_energy_kcal", "animal_protein_g_est", "plant_protein_g_est",
-        "unclassified_protein_g", "animal_protein_share_est", "plant_protein_share_est",
-        "unclassified_protein_share")
-]
+SOURCE_STEMS = ["item_protein_g", "item_energy_kcal", "animal_protein_g_est", "plant_protein_g_est",
+                "unclassified_protein_g", "animal_protein_share_est", "plant_protein_share_est",
+                "unclassified_protein_share"]
+SOURCE_COLUMNS = [f"day_{d}_{c}" for d in (1, 2) for c in SOURCE_STEMS]
 
 
 def validation_cohort(daily: DataFrame, sources: DataFrame) -> DataFrame:
@@ -164,77 +160,69 @@ def validation_cohort(daily: DataFrame, sources: DataFrame) -> DataFrame:
     The eligibility flag and the not-NULL filters reject NULLs from the
     mortality and day-1 joins, so Catalyst plans those as inner joins.
     """
-    d = daily.filter(
-        F.col("mortality_eligible_flag")
-        & (F.col("age_years") >= 50)
-        & F.col("day_1_energy_kcal").isNotNull()
-        & F.col("day_1_protein_g").isNotNull()
-    )
-    j = d.join(sources.select(KEY, *SOURCE_COLUMNS), KEY, "left")
     share1 = B.protein_energy_share("day_1_protein_g", "day_1_energy_kcal")
-    return j.select(
+    cols = [
         KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label",
         "survey_cycle_code", "age_years", "age_band_levine", "sex_code", "race_ethnicity_code",
         "education_code", "poverty_income_ratio", "survey_psu", "survey_strata",
         "interview_weight_2yr", "mec_weight_2yr", "day_1_recall_weight_2yr",
         "day_2_recall_weight_2yr", "fasting_weight_2yr",
-        B.rescale_weight("mec_weight_2yr", POOLED_CYCLES).alias("mec_weight_16yr"),
-        B.rescale_weight("day_1_recall_weight_2yr", POOLED_CYCLES).alias("day_1_recall_weight_16yr"),
-        B.rescale_weight("day_2_recall_weight_2yr", POOLED_CYCLES).alias("day_2_recall_weight_16yr"),
-        B.rescale_weight("fasting_weight_2yr", POOLED_CYCLES).alias("fasting_weight_16yr"),
+        f"{B.rescale_weight('mec_weight_2yr', POOLED_CYCLES)} AS mec_weight_16yr",
+        f"{B.rescale_weight('day_1_recall_weight_2yr', POOLED_CYCLES)} AS day_1_recall_weight_16yr",
+        f"{B.rescale_weight('day_2_recall_weight_2yr', POOLED_CYCLES)} AS day_2_recall_weight_16yr",
+        f"{B.rescale_weight('fasting_weight_2yr', POOLED_CYCLES)} AS fasting_weight_16yr",
         "day_1_energy_kcal", "day_1_protein_g", "day_1_carb_g", "day_1_fat_g",
-        share1.alias("protein_pct_kcal_day_1"),
-        B.protein_group(share1).alias("protein_group_day_1"),
+        f"{share1} AS protein_pct_kcal_day_1",
+        f"{B.protein_group(share1)} AS protein_group_day_1",
         "day_2_energy_kcal", "day_2_protein_g", "day_2_carb_g", "day_2_fat_g",
-        B.two_day_mean_share("day_1_protein_g", "day_1_energy_kcal", "day_2_protein_g",
-                             "day_2_energy_kcal").alias("protein_pct_kcal_mean_2day"),
-        *[f"day_1_{c}" for c in ("item_protein_g", "item_energy_kcal", "animal_protein_g_est",
-                                 "plant_protein_g_est", "unclassified_protein_g",
-                                 "animal_protein_share_est", "plant_protein_share_est",
-                                 "unclassified_protein_share")],
-        B.protein_energy_share("day_1_animal_protein_g_est", "day_1_energy_kcal")
-        .alias("day_1_animal_protein_pct_kcal_est"),
-        B.protein_energy_share("day_1_plant_protein_g_est", "day_1_energy_kcal")
-        .alias("day_1_plant_protein_pct_kcal_est"),
-        *[f"day_2_{c}" for c in ("item_protein_g", "item_energy_kcal", "animal_protein_g_est",
-                                 "plant_protein_g_est", "unclassified_protein_g",
-                                 "animal_protein_share_est", "plant_protein_share_est",
-                                 "unclassified_protein_share")],
+        f"{B.two_day_mean_share('day_1_protein_g', 'day_1_energy_kcal', 'day_2_protein_g', 'day_2_energy_kcal')}"
+        " AS protein_pct_kcal_mean_2day",
+        *[f"day_1_{c}" for c in SOURCE_STEMS],
+        f"{B.protein_energy_share('day_1_animal_protein_g_est', 'day_1_energy_kcal')}"
+        " AS day_1_animal_protein_pct_kcal_est",
+        f"{B.protein_energy_share('day_1_plant_protein_g_est', 'day_1_energy_kcal')}"
+        " AS day_1_plant_protein_pct_kcal_est",
+        *[f"day_2_{c}" for c in SOURCE_STEMS],
         "fasting_glucose_mg_dl", "fasting_glucose_mmol_l", "fasting_insulin_uuml",
         "fasting_insulin_pmol_l", "fasting_hours", "fasting_minutes",
-        B.glucose_category("fasting_glucose_mg_dl").alias("fasting_glucose_category"),
+        f"{B.glucose_category('fasting_glucose_mg_dl')} AS fasting_glucose_category",
         "mortality_status", "died_during_followup",
-        B.equals_flag("underlying_cause_group_code", "002").alias("cancer_death_flag"),
-        B.equals_flag("diabetes_mentioned_flag", 1).alias("diabetes_mcod_flag"),
-        B.equals_flag("hypertension_mentioned_flag", 1).alias("hypertension_mcod_flag"),
+        f"{B.equals_flag('underlying_cause_group_code', '002')} AS cancer_death_flag",
+        f"{B.equals_flag('diabetes_mentioned_flag', 1)} AS diabetes_mcod_flag",
+        f"{B.equals_flag('hypertension_mentioned_flag', 1)} AS hypertension_mcod_flag",
         "underlying_cause_group_code", "followup_months_interview", "followup_months_exam",
         "mortality_public_release_year",
-        F.lit(COMPARABILITY_NOTE).alias("comparability_note"),
-        F.lit(PROTEIN_SOURCE_NOTE).alias("protein_source_note"),
-    )
+        f"{B.lit(COMPARABILITY_NOTE)} AS comparability_note",
+        f"{B.lit(PROTEIN_SOURCE_NOTE)} AS protein_source_note",
+    ]
+    text = (f"SELECT\n  {select_list(cols)}\nFROM {{d}}\n"
+            f"LEFT JOIN (SELECT {KEY}, {', '.join(SOURCE_COLUMNS)} FROM {{p}}) USING ({KEY})\n"
+            "WHERE mortality_eligible_flag AND age_years >= 50\n"
+            "  AND day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL")
+    return daily.sparkSession.sql(text, d=daily, p=sources)
 
 
 def validation_summary(cohort: DataFrame) -> DataFrame:
     """M5: cohort aggregated by age band and protein group (NULL weights as 0)."""
     w = "day_1_recall_weight_16yr"
-    key = F.concat(F.col("age_band_levine"), F.lit("|"), F.col("protein_group_day_1"))
-    return (
-        cohort.groupBy(key.alias("summary_key"), "age_band_levine", "protein_group_day_1")
-        .agg(
-            F.count(F.lit(1)).alias("respondent_n"),
-            weighted_total(w).alias("weighted_population_day_1"),
-            weighted_conditional(F.col("died_during_followup"), w).alias("weighted_all_cause_deaths"),
-            weighted_conditional(F.col("cancer_death_flag"), w).alias("weighted_cancer_deaths"),
-            weighted_conditional(F.col("diabetes_mcod_flag"), w).alias("weighted_diabetes_mentions"),
-            mean("protein_pct_kcal_day_1").alias("avg_protein_pct_kcal_day_1"),
-            mean("protein_pct_kcal_mean_2day").alias("avg_protein_pct_kcal_mean_2day"),
-            mean("day_1_animal_protein_share_est").alias("avg_day_1_animal_protein_share_est"),
-            mean("day_1_plant_protein_share_est").alias("avg_day_1_plant_protein_share_est"),
-            mean("fasting_glucose_mg_dl").alias("avg_fasting_glucose_mg_dl"),
-            mean("followup_months_interview").alias("avg_followup_months_interview"),
-            mean("followup_months_exam").alias("avg_followup_months_exam"),
-        )
-    )
+    return aggregate(
+        cohort,
+        ["concat(age_band_levine, '|', protein_group_day_1) AS summary_key", "age_band_levine",
+         "protein_group_day_1"],
+        [
+            "count(1) AS respondent_n",
+            f"{weighted_total(w)} AS weighted_population_day_1",
+            f"{weighted_conditional('died_during_followup', w)} AS weighted_all_cause_deaths",
+            f"{weighted_conditional('cancer_death_flag', w)} AS weighted_cancer_deaths",
+            f"{weighted_conditional('diabetes_mcod_flag', w)} AS weighted_diabetes_mentions",
+            f"{mean('protein_pct_kcal_day_1')} AS avg_protein_pct_kcal_day_1",
+            f"{mean('protein_pct_kcal_mean_2day')} AS avg_protein_pct_kcal_mean_2day",
+            f"{mean('day_1_animal_protein_share_est')} AS avg_day_1_animal_protein_share_est",
+            f"{mean('day_1_plant_protein_share_est')} AS avg_day_1_plant_protein_share_est",
+            f"{mean('fasting_glucose_mg_dl')} AS avg_fasting_glucose_mg_dl",
+            f"{mean('followup_months_interview')} AS avg_followup_months_interview",
+            f"{mean('followup_months_exam')} AS avg_followup_months_exam",
+        ])
 
 
 ADULT_BANDS = ["18_49", "50_65", "66_PLUS"]
@@ -242,36 +230,34 @@ ADULT_BANDS = ["18_49", "50_65", "66_PLUS"]
 
 def cycle_protein_trends(daily: DataFrame, sources: DataFrame) -> DataFrame:
     """M6: adults per cycle, age band and day-1 protein group."""
-    d = daily.filter(
-        (F.col("age_years") >= 18)
-        & F.col("day_1_energy_kcal").isNotNull()
-        & F.col("day_1_protein_g").isNotNull()
-    ).filter(F.col("adult_age_band").isin(ADULT_BANDS))
-    j = d.join(sources.select(KEY, "day_1_animal_protein_share_est", "day_1_plant_protein_share_est"), KEY, "left")
     share1 = B.protein_energy_share("day_1_protein_g", "day_1_energy_kcal")
-    scored = j.select(
+    scored_cols = [
         "cycle_start_year", "cycle_end_year", "cycle_label", "adult_age_band",
         "day_1_recall_weight_2yr", "day_1_energy_kcal", "day_1_protein_g",
-        share1.alias("protein_pct_kcal_day_1"),
-        B.protein_group(share1).alias("protein_group_day_1"),
+        f"{share1} AS protein_pct_kcal_day_1", f"{B.protein_group(share1)} AS protein_group_day_1",
         "fasting_glucose_mg_dl", "day_1_animal_protein_share_est", "day_1_plant_protein_share_est",
-    )
-    key = F.concat(F.col("cycle_label"), F.lit("|"), F.col("adult_age_band"), F.lit("|"),
-                   F.col("protein_group_day_1"))
-    return (
-        scored.groupBy(key.alias("trend_key"), "cycle_start_year", "cycle_end_year", "cycle_label",
-                       "adult_age_band", "protein_group_day_1")
-        .agg(
-            F.count(F.lit(1)).alias("respondent_n"),
-            weighted_total("day_1_recall_weight_2yr").alias("weighted_population_2yr"),
-            mean("day_1_energy_kcal").alias("avg_day_1_energy_kcal"),
-            mean("day_1_protein_g").alias("avg_day_1_protein_g"),
-            mean("protein_pct_kcal_day_1").alias("avg_protein_pct_kcal_day_1"),
-            mean("day_1_animal_protein_share_est").alias("avg_day_1_animal_protein_share_est"),
-            mean("day_1_plant_protein_share_est").alias("avg_day_1_plant_protein_share_est"),
-            mean("fasting_glucose_mg_dl").alias("avg_fasting_glucose_mg_dl"),
-        )
-    )
+    ]
+    bands = ", ".join(B.lit(b) for b in ADULT_BANDS)
+    text = (f"SELECT\n  {select_list(scored_cols)}\nFROM {{d}}\n"
+            f"LEFT JOIN (SELECT {KEY}, day_1_animal_protein_share_est, day_1_plant_protein_share_est "
+            f"FROM {{p}}) USING ({KEY})\n"
+            "WHERE age_years >= 18 AND day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL\n"
+            f"  AND adult_age_band IN ({bands})")
+    scored = daily.sparkSession.sql(text, d=daily, p=sources)
+    return aggregate(
+        scored,
+        ["concat(cycle_label, '|', adult_age_band, '|', protein_group_day_1) AS trend_key",
+         "cycle_start_year", "cycle_end_year", "cycle_label", "adult_age_band", "protein_group_day_1"],
+        [
+            "count(1) AS respondent_n",
+            f"{weighted_total('day_1_recall_weight_2yr')} AS weighted_population_2yr",
+            f"{mean('day_1_energy_kcal')} AS avg_day_1_energy_kcal",
+            f"{mean('day_1_protein_g')} AS avg_day_1_protein_g",
+            f"{mean('protein_pct_kcal_day_1')} AS avg_protein_pct_kcal_day_1",
+            f"{mean('day_1_animal_protein_share_est')} AS avg_day_1_animal_protein_share_est",
+            f"{mean('day_1_plant_protein_share_est')} AS avg_day_1_plant_protein_share_est",
+            f"{mean('fasting_glucose_mg_dl')} AS avg_fasting_glucose_mg_dl",
+        ])
 
 
 def build_all(spark: SparkSession, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:

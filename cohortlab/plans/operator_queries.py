@@ -12,10 +12,11 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortlab.functions import bands as B
 from cohortlab.functions import casts as C
+from cohortlab.functions.bands import lit
+from cohortlab.functions.sql import aggregate, project
 from cohortlab.operators import aggregates as A
 from cohortlab.operators import quality as Q
 from cohortlab.operators import reshape as RS
@@ -54,37 +55,38 @@ def _dag(spark, d):
 
 # ------------------------------------------------------------ casts and keys
 def cast_safe_int(spark, d):
-    li = _li(spark, d)
-    return li.select("l_orderkey", "l_linenumber",
-                     C.safe_int(F.col("l_quantity") / 2).alias("half_qty_int"),
-                     C.safe_int(-F.col("l_quantity") / 2).alias("neg_half_qty_int"),
-                     C.safe_int(F.col("l_discount") * 100).alias("discount_pct_int"))
+    return project(_li(spark, d), [
+        "l_orderkey", "l_linenumber",
+        f"{C.safe_int('l_quantity / 2')} AS half_qty_int",
+        f"{C.safe_int('-l_quantity / 2')} AS neg_half_qty_int",
+        f"{C.safe_int('l_discount * 100')} AS discount_pct_int"])
 
 
 def cast_safe_numeric(spark, d):
-    c = L.read_driver(spark, d, "customer")
-    return c.select("c_custkey", C.safe_numeric("c_acctbal").alias("acctbal_numeric"))
+    return project(L.read_driver(spark, d, "customer"),
+                   ["c_custkey", f"{C.safe_numeric('c_acctbal')} AS acctbal_numeric"])
 
 
 def cast_string(spark, d):
-    li = _li(spark, d)
-    return li.select("l_orderkey", "l_linenumber",
-                     C.float_text("l_quantity").alias("qty_text"),
-                     C.float_text(F.col("l_quantity") / 2).alias("half_qty_text"),
-                     F.col("l_linenumber").cast("string").alias("line_text"))
+    return project(_li(spark, d), [
+        "l_orderkey", "l_linenumber", f"{C.float_text('l_quantity')} AS qty_text",
+        f"{C.float_text('l_quantity / 2')} AS half_qty_text", "cast(l_linenumber as string) AS line_text"])
 
 
 def key_composite(spark, d):
     demo = L.demo(L.read_driver(spark, d, "customer"))
-    return demo.select(
-        C.respondent_key("SEQN", "CYCLE_START_YEAR", "CYCLE_END_YEAR").alias(KEY),
-        C.composite_key(C.float_text("SEQN"), C.float_text("RIDAGEYR")).alias("seqn_age_key"))
+    return project(demo, [
+        f"{C.respondent_key('SEQN', 'CYCLE_START_YEAR', 'CYCLE_END_YEAR')} AS {KEY}",
+        f"{C.composite_key(C.float_text('SEQN'), C.float_text('RIDAGEYR'))} AS seqn_age_key"])
 
 
-def key_item(spark, d):
+def _items_both(spark, d, cols: list[str]) -> DataFrame:
     s = _stage(spark, d)
-    return RS.union_all_by_name([
-        s[f"stg_dr{day}iff"].select("protein_item_key", KEY, "food_line_number") for day in (1, 2)])
+    return RS.union_all_by_name([project(s[f"stg_dr{day}iff"], cols) for day in (1, 2)])
+
+
+def key_item(spark, d):
+    return _items_both(spark, d, ["protein_item_key", KEY, "food_line_number"])
 
 
 # ------------------------------------------------------------ filters
@@ -93,186 +95,176 @@ def _daily(spark, d):
 
 
 def flt_boolean_3vl(spark, d):
-    return _daily(spark, d).filter(F.col("mortality_eligible_flag")).select(KEY, "eligibility_status")
+    return project(_daily(spark, d), [KEY, "eligibility_status"], where="mortality_eligible_flag")
 
 
 def flt_not_null(spark, d):
-    return (_daily(spark, d)
-            .filter(F.col("day_1_energy_kcal").isNotNull() & F.col("day_1_protein_g").isNotNull())
-            .select(KEY, "day_1_energy_kcal", "day_1_protein_g"))
+    return project(_daily(spark, d), [KEY, "day_1_energy_kcal", "day_1_protein_g"],
+                   where="day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL")
 
 
 def flt_between(spark, d):
-    return _stage(spark, d)["stg_demo"].filter(F.col("age_years").between(50, 65)).select(KEY, "age_years")
+    return project(_stage(spark, d)["stg_demo"], [KEY, "age_years"], where="age_years BETWEEN 50 AND 65")
 
 
 def flt_in_list(spark, d):
-    return (_stage(spark, d)["stg_mortality"]
-            .filter(F.col("underlying_cause_group_code").isin(["001", "005"]))
-            .select(KEY, "underlying_cause_group_code"))
+    return project(_stage(spark, d)["stg_mortality"], [KEY, "underlying_cause_group_code"],
+                   where="underlying_cause_group_code IN ('001', '005')")
 
 
 # ------------------------------------------------------------ bands, ratios, flags
 def band_age(spark, d):
-    return _stage(spark, d)["stg_demo"].select(KEY, "age_years", B.age_band_levine("age_years").alias("age_band_levine"))
+    return project(_stage(spark, d)["stg_demo"],
+                   [KEY, "age_years", f"{B.age_band_levine('age_years')} AS age_band_levine"])
 
 
 def band_adult_age(spark, d):
-    return _stage(spark, d)["stg_demo"].select(KEY, "age_years", B.adult_age_band("age_years").alias("adult_age_band"))
+    return project(_stage(spark, d)["stg_demo"],
+                   [KEY, "age_years", f"{B.adult_age_band('age_years')} AS adult_age_band"])
 
 
 def band_paper_age(spark, d):
     demo = L.demo(L.read_driver(spark, d, "customer"))
-    raw_age = F.col("RIDAGEYR") + F.when(F.col("SEQN") % 2 == 1, 0.5).otherwise(0.0)
-    return demo.select("SEQN", raw_age.alias("AGE_YEARS"), B.paper_age_band(raw_age).alias("PAPER_AGE_BAND"))
+    raw_age = "(RIDAGEYR + CASE WHEN SEQN % 2 = 1 THEN 0.5D ELSE 0.0D END)"
+    return project(demo, ["SEQN", f"{raw_age} AS AGE_YEARS", f"{B.paper_age_band(raw_age)} AS PAPER_AGE_BAND"])
 
 
-def _shares(spark, d):
-    return _daily(spark, d).select(
-        KEY, B.protein_energy_share("day_1_protein_g", "day_1_energy_kcal").alias("protein_pct_kcal_day_1"),
-        "day_2_protein_g", "day_2_energy_kcal", "day_1_protein_g", "day_1_energy_kcal")
+_SHARE1 = B.protein_energy_share("day_1_protein_g", "day_1_energy_kcal")
 
 
 def ratio_protein_energy(spark, d):
-    return _shares(spark, d).select(KEY, "protein_pct_kcal_day_1")
+    return project(_daily(spark, d), [KEY, f"{_SHARE1} AS protein_pct_kcal_day_1"])
 
 
 def band_protein_group(spark, d):
-    return _shares(spark, d).select(KEY, "protein_pct_kcal_day_1",
-                                    B.protein_group("protein_pct_kcal_day_1").alias("protein_group_day_1"))
+    return project(_daily(spark, d), [KEY, f"{_SHARE1} AS protein_pct_kcal_day_1",
+                                      f"{B.protein_group(_SHARE1)} AS protein_group_day_1"])
 
 
 def ratio_two_day_mean(spark, d):
-    return _daily(spark, d).select(KEY, B.two_day_mean_share(
-        "day_1_protein_g", "day_1_energy_kcal", "day_2_protein_g", "day_2_energy_kcal")
-        .alias("protein_pct_kcal_mean_2day"))
+    share = B.two_day_mean_share("day_1_protein_g", "day_1_energy_kcal", "day_2_protein_g", "day_2_energy_kcal")
+    return project(_daily(spark, d), [KEY, f"{share} AS protein_pct_kcal_mean_2day"])
 
 
 def weight_rescale(spark, d):
-    return _daily(spark, d).select(KEY, *[
-        B.rescale_weight(w, 8.0).alias(w.replace("_2yr", "_16yr"))
-        for w in ("mec_weight_2yr", "day_1_recall_weight_2yr", "day_2_recall_weight_2yr", "fasting_weight_2yr")])
+    ws = ("mec_weight_2yr", "day_1_recall_weight_2yr", "day_2_recall_weight_2yr", "fasting_weight_2yr")
+    return project(_daily(spark, d), [KEY, *[
+        f"{B.rescale_weight(w, 8.0)} AS {w.replace('_2yr', '_16yr')}" for w in ws]])
 
 
 def band_glucose(spark, d):
-    return _daily(spark, d).select(KEY, "fasting_glucose_mg_dl",
-                                   B.glucose_category("fasting_glucose_mg_dl").alias("fasting_glucose_category"))
+    return project(_daily(spark, d), [
+        KEY, "fasting_glucose_mg_dl", f"{B.glucose_category('fasting_glucose_mg_dl')} AS fasting_glucose_category"])
 
 
 def flag_nullable(spark, d):
-    return _daily(spark, d).select(
+    return project(_daily(spark, d), [
         KEY, "mortality_eligible_flag", "died_during_followup",
-        B.equals_flag("underlying_cause_group_code", "002").alias("cancer_death_flag"),
-        B.equals_flag("diabetes_mentioned_flag", 1).alias("diabetes_mcod_flag"),
-        B.equals_flag("hypertension_mentioned_flag", 1).alias("hypertension_mcod_flag"))
+        f"{B.equals_flag('underlying_cause_group_code', '002')} AS cancer_death_flag",
+        f"{B.equals_flag('diabetes_mentioned_flag', 1)} AS diabetes_mcod_flag",
+        f"{B.equals_flag('hypertension_mentioned_flag', 1)} AS hypertension_mcod_flag"])
 
 
 def food_major_group(spark, d):
-    s = _stage(spark, d)
-    return RS.union_all_by_name([
-        s[f"stg_dr{day}iff"].select("protein_item_key", "food_code", "food_code_padded", "food_code_major_group")
-        for day in (1, 2)])
+    return _items_both(spark, d, ["protein_item_key", "food_code", "food_code_padded", "food_code_major_group"])
 
 
 def band_animal_bins(spark, d):
-    src = _dag(spark, d)["protein_source_estimates"]
-    return src.filter(F.col("day_1_animal_protein_g_est").isNotNull()).select(
-        KEY, "day_1_animal_protein_g_est", B.animal_protein_bins("day_1_animal_protein_g_est").alias("protein_quartile"))
+    g = "day_1_animal_protein_g_est"
+    return project(_dag(spark, d)["protein_source_estimates"],
+                   [KEY, g, f"{B.animal_protein_bins(g)} AS protein_quartile"], where=f"{g} IS NOT NULL")
 
 
 def band_plant_bins(spark, d):
-    src = _dag(spark, d)["protein_source_estimates"]
-    return src.filter(F.col("day_1_plant_protein_g_est").isNotNull()).select(
-        KEY, "day_1_plant_protein_g_est", B.plant_protein_bins("day_1_plant_protein_g_est").alias("protein_quartile"))
+    g = "day_1_plant_protein_g_est"
+    return project(_dag(spark, d)["protein_source_estimates"],
+                   [KEY, g, f"{B.plant_protein_bins(g)} AS protein_quartile"], where=f"{g} IS NOT NULL")
 
 
 def label_title_case(spark, d):
     ev = L.read_driver(spark, d, "events")
-    return ev.select("event_id", RS.title_label(F.concat(F.col("event_type"), F.lit("_rate"))).alias("label"))
+    label = RS.title_label("concat(event_type, '_rate')")
+    return project(ev, ["event_id", f"{label} AS label"])
 
 
 # ------------------------------------------------------------ joins
 def join_left_star(spark, d):
     s = _stage(spark, d)
     return left_star_join(
-        s["stg_demo"].select(KEY, "age_years"),
-        [s["stg_dr1tot"].select(KEY, "day_1_protein_g"), s["stg_dr2tot"].select(KEY, "day_2_protein_g"),
-         s["stg_glu"].select(KEY, "fasting_glucose_mg_dl"), s["stg_mortality"].select(KEY, "mortality_status")],
+        project(s["stg_demo"], [KEY, "age_years"]),
+        [project(s["stg_dr1tot"], [KEY, "day_1_protein_g"]), project(s["stg_dr2tot"], [KEY, "day_2_protein_g"]),
+         project(s["stg_glu"], [KEY, "fasting_glucose_mg_dl"]), project(s["stg_mortality"], [KEY, "mortality_status"])],
         KEY)
 
 
+L_RAW_KEY = ["SEQN", "CYCLE_START_YEAR", "CYCLE_END_YEAR"]
+
+
 def join_left_multikey(spark, d):
     lt = L.landing_tables(spark, d)
     return left_star_join(
-        lt["demo"].select(*L_RAW_KEY, "RIDAGEYR"),
-        [lt["dr1tot"].select(*L_RAW_KEY, "DR1TPROT"), lt["mortality"].select(*L_RAW_KEY, "MORTSTAT")],
+        project(lt["demo"], [*L_RAW_KEY, "RIDAGEYR"]),
+        [project(lt["dr1tot"], [*L_RAW_KEY, "DR1TPROT"]), project(lt["mortality"], [*L_RAW_KEY, "MORTSTAT"])],
         L_RAW_KEY)
 
 
-L_RAW_KEY = ["SEQN", "CYCLE_START_YEAR", "CYCLE_END_YEAR"]
-
-
 def join_lookup_default(spark, d):
-    s = _stage(spark, d)
-    items = s["stg_dr1iff"].select("protein_item_key", "food_code_major_group")
-    gm = seeds.group_map(spark).select("food_code_major_group", "major_group_label", "protein_source_group")
+    items = project(_stage(spark, d)["stg_dr1iff"], ["protein_item_key", "food_code_major_group"])
+    gm = project(seeds.group_map(spark), ["food_code_major_group", "major_group_label", "protein_source_group"])
     return lookup_join(items, gm, "food_code_major_group",
                        {"major_group_label": "Unknown", "protein_source_group": "unclassified"},
                        dim_row_bound=seeds.GROUP_MAP_MAX_ROWS)
 
 
 # ------------------------------------------------------------ aggregates
-def _flag():
-    return F.col("l_returnflag") == "R"
+_FLAG = "l_returnflag = 'R'"
+_W7 = "CASE WHEN l_linenumber <> 7 THEN l_quantity END"
 
 
 def agg_count(spark, d):
-    return _li(spark, d).groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+    return aggregate(_li(spark, d), ["l_returnflag", "l_linestatus"], ["count(1) AS n"])
 
 
 def agg_sum(spark, d):
-    return _li(spark, d).groupBy("l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"))
+    return aggregate(_li(spark, d), ["l_linestatus"], ["sum(l_quantity) AS sum_qty"])
 
 
 def agg_conditional_sum(spark, d):
-    return _li(spark, d).groupBy("l_linestatus").agg(A.conditional_sum(_flag(), "l_quantity").alias("returned_qty"))
+    return aggregate(_li(spark, d), ["l_linestatus"], [f"{A.conditional_sum(_FLAG, 'l_quantity')} AS returned_qty"])
 
 
 def agg_conditional_count(spark, d):
-    return _li(spark, d).groupBy("l_linestatus").agg(A.conditional_count(_flag()).alias("returned_lines"))
+    return aggregate(_li(spark, d), ["l_linestatus"], [f"{A.conditional_count(_FLAG)} AS returned_lines"])
 
 
 def agg_weighted_total(spark, d):
-    w = F.when(F.col("l_linenumber") != 7, F.col("l_quantity"))
-    return _li(spark, d).groupBy("l_returnflag").agg(A.weighted_total(w).alias("weighted_total"))
+    return aggregate(_li(spark, d), ["l_returnflag"], [f"{A.weighted_total(_W7)} AS weighted_total"])
 
 
 def agg_weighted_conditional(spark, d):
-    w = F.when(F.col("l_linenumber") != 7, F.col("l_quantity"))
-    return _li(spark, d).groupBy("l_linestatus").agg(A.weighted_conditional(_flag(), w).alias("weighted_returned"))
+    return aggregate(_li(spark, d), ["l_linestatus"], [f"{A.weighted_conditional(_FLAG, _W7)} AS weighted_returned"])
 
 
 def agg_avg_nullable(spark, d):
-    v = F.when(F.col("l_linenumber") > 3, F.col("l_quantity"))
-    return _li(spark, d).groupBy("l_returnflag").agg(A.mean(v).alias("avg_qty_late_lines"))
+    return aggregate(_li(spark, d), ["l_returnflag"],
+                     [f"{A.mean('CASE WHEN l_linenumber > 3 THEN l_quantity END')} AS avg_qty_late_lines"])
 
 
 def agg_weighted_rate(spark, d):
-    return _li(spark, d).groupBy("l_linestatus").agg(A.weighted_rate(_flag(), "l_quantity").alias("returned_per_1000"))
+    return aggregate(_li(spark, d), ["l_linestatus"], [f"{A.weighted_rate(_FLAG, 'l_quantity')} AS returned_per_1000"])
 
 
 # ------------------------------------------------------------ reshape, set, order
 def reshape_pivot(spark, d):
     items = _dag(spark, d)["protein_items"]
     return RS.pivot_builtin(items, [KEY], "recall_day", [1, 2],
-                            {"item_protein_g": F.sum("protein_g"), "item_count": F.count(F.lit(1))},
+                            {"item_protein_g": "sum(protein_g)", "item_count": "count(1)"},
                             lambda v, stem: f"day_{v}_{stem}")
 
 
 def _li_wide(spark, d):
-    return _li(spark, d).groupBy("l_returnflag").agg(
-        F.sum("l_quantity").alias("sum_qty"), F.count(F.lit(1)).cast("double").alias("n_lines"),
-        F.max("l_quantity").alias("max_qty"))
+    return aggregate(_li(spark, d), ["l_returnflag"], [
+        "sum(l_quantity) AS sum_qty", "cast(count(1) as double) AS n_lines", "max(l_quantity) AS max_qty"])
 
 
 def reshape_melt_all(spark, d):
@@ -286,53 +278,58 @@ def reshape_melt_cols(spark, d):
 def set_union_all(spark, d):
     s = _stage(spark, d)
     return RS.union_all_by_name([
-        s[f"stg_dr{day}iff"].select("protein_item_key", KEY, F.lit(day).alias("recall_day")) for day in (1, 2)])
+        project(s[f"stg_dr{day}iff"], ["protein_item_key", KEY, f"{day} AS recall_day"]) for day in (1, 2)])
 
 
 def sort_category(spark, d):
-    cohort = _dag(spark, d)["validation_cohort"].select(KEY, "protein_group_day_1")
+    cohort = project(_dag(spark, d)["validation_cohort"], [KEY, "protein_group_day_1"])
     return RS.order_by_category(cohort, "protein_group_day_1", ["LOW", "MODERATE", "HIGH"], "protein_group_order")
 
 
 def scalar_functions(spark, d):
-    c = L.read_driver(spark, d, "customer")
-    name = F.col("c_name")
-    return c.select(
+    padded = "lpad(cast(c_custkey as string), 8, '0')"
+    return project(L.read_driver(spark, d, "customer"), [
         "c_custkey",
-        F.lower(name).alias("name_lower"),
-        F.upper(F.col("c_mktsegment")).alias("segment_upper"),
-        F.trim(F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" "))).alias("segment_trimmed"),
-        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("key_padded"),
-        F.substring(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), 1, 1).alias("key_first_digit"),
-        F.replace(F.col("c_mktsegment"), F.lit("E"), F.lit("e")).alias("segment_replaced"),
-        F.regexp_extract(name, r"(\d+)$", 1).alias("name_number"),
-        F.array_max(F.transform(F.regexp_extract_all(name, F.lit(r"(\d)"), 1), lambda x: x.cast("int"))).alias("max_digit"),
-        F.coalesce(F.nullif(F.col("c_nationkey") % 5, F.lit(0)), F.lit(-1)).alias("nation_mod_or_default"),
-        F.try_divide(F.col("c_custkey").cast("double"), F.nullif(F.col("c_nationkey").cast("double"), F.lit(0.0))).alias("key_per_nation"),
-        F.abs(F.col("c_acctbal")).alias("abs_acctbal"),
-        F.format_string("%s_%s", F.col("c_mktsegment"), F.col("c_nationkey").cast("string")).alias("formatted"),
-    )
+        "lower(c_name) AS name_lower",
+        "upper(c_mktsegment) AS segment_upper",
+        "trim(concat('  ', c_mktsegment, ' ')) AS segment_trimmed",
+        f"{padded} AS key_padded",
+        f"substring({padded}, 1, 1) AS key_first_digit",
+        "replace(c_mktsegment, 'E', 'e') AS segment_replaced",
+        f"regexp_extract(c_name, {lit(r'(\d+)$')}, 1) AS name_number",
+        f"array_max(transform(regexp_extract_all(c_name, {lit(r'(\d)')}, 1), x -> cast(x as int))) AS max_digit",
+        "coalesce(nullif(c_nationkey % 5, 0), -1) AS nation_mod_or_default",
+        f"{B.safe_ratio('c_custkey', 'c_nationkey')} AS key_per_nation",
+        "abs(c_acctbal) AS abs_acctbal",
+        "format_string('%s_%s', c_mktsegment, cast(c_nationkey as string)) AS formatted",
+    ])
 
 
 # ------------------------------------------------------------ sources and ingestion
+def _mortality_lines(spark, d) -> DataFrame:
+    cust = L.read_driver(spark, d, "customer")
+    k = "c_custkey"
+    rec = {e.rsplit(" AS ", 1)[1]: e.rsplit(" AS ", 1)[0] for e in L.mortality_exprs(k)}
+    line = ING.format_mortality_line(*[rec[n] for n in (
+        "SEQN", "ELIGSTAT", "MORTSTAT", "UCOD_LEADING", "DIABETES", "HYPERTEN", "PERMTH_INT", "PERMTH_EXM")])
+    return project(cust, [f"{line} AS value", f"2003 + 2 * ({k} % 8) AS cycle"], where=f"{k} % 29 <> 0")
+
+
 def src_fixed_width(spark, d):
-    cust = L.read_driver(spark, d, "customer").filter(F.col("c_custkey") % 29 != 0)
-    cols = dict(L.mortality_columns(F.col("c_custkey")))
-    lines = cust.select(ING.format_mortality_line(
-        cols["SEQN"], cols["ELIGSTAT"], cols["MORTSTAT"], cols["UCOD_LEADING"], cols["DIABETES"],
-        cols["HYPERTEN"], cols["PERMTH_INT"], cols["PERMTH_EXM"]).alias("value"))
-    return ING.parse_mortality_lines(lines)
+    return ING.parse_mortality_lines(project(_mortality_lines(spark, d), ["value"]))
 
 
-def _demo_raw(cust: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    return cust.select(k.cast("double").alias("seqn"), ((k * 7) % 86).cast("double").alias("ridageyr"),
-                       (1 + k % 5).cast("double").alias("dmdeduc2"), k.alias("_k"))
+def _demo_raw(cust: DataFrame, with_education: bool = True) -> DataFrame:
+    cols = ["cast(c_custkey as double) AS seqn", "cast((c_custkey * 7) % 86 as double) AS ridageyr"]
+    if with_education:
+        cols.append("cast(1 + c_custkey % 5 as double) AS dmdeduc2")
+    return cust, cols
 
 
 def ing_metadata(spark, d):
-    cust = L.read_driver(spark, d, "customer").filter(F.col("c_custkey") % 8 == 0)
-    raw = _demo_raw(cust).drop("_k")
+    cust = L.read_driver(spark, d, "customer")
+    src, cols = _demo_raw(cust)
+    raw = project(src, cols, where="c_custkey % 8 = 0")
     return ING.add_common_metadata(raw, 2003, 2004, "landing/2003/DEMO_C.xpt", "DEMO_C", "demo")
 
 
@@ -341,9 +338,8 @@ def ing_union_cycles(spark, d):
     cust = L.read_driver(spark, d, "customer")
     frames = []
     for i, (start, end, sfx) in enumerate(L.CYCLES):
-        raw = _demo_raw(cust.filter(F.col("c_custkey") % 8 == i)).drop("_k")
-        if i % 2 == 1:
-            raw = raw.drop("dmdeduc2")
+        src, cols = _demo_raw(cust, with_education=i % 2 == 0)
+        raw = project(src, cols, where=f"c_custkey % 8 = {i}")
         code = ING.file_code_for("DEMO_{suffix}", sfx)
         frames.append(ING.add_common_metadata(raw, start, end, f"landing/{start}/{code}.xpt", code, "demo"))
     return ING.union_cycles(frames)
@@ -366,8 +362,7 @@ def ing_latest_release(spark, d):
 
 
 def ing_followup_text(spark, d):
-    pages = L.read_driver(spark, d, "pages")
-    return pages.select("page_id", CAT.followup_text(F.col("html")).alias("followup_through"))
+    return project(L.read_driver(spark, d, "pages"), ["page_id", f"{CAT.followup_text('html')} AS followup_through"])
 
 
 def ing_manifest(spark, d):
@@ -376,23 +371,18 @@ def ing_manifest(spark, d):
 
 def ing_incremental(spark, d):
     """Land mortality files per cycle, run the availableNow stream twice, read the result."""
-    cust = L.read_driver(spark, d, "customer").filter(F.col("c_custkey") % 29 != 0)
-    k = F.col("c_custkey")
-    cols = dict(L.mortality_columns(k))
-    start = (F.lit(2003) + 2 * (k % 8))
-    line = ING.format_mortality_line(cols["SEQN"], cols["ELIGSTAT"], cols["MORTSTAT"], cols["UCOD_LEADING"],
-                                     cols["DIABETES"], cols["HYPERTEN"], cols["PERMTH_INT"], cols["PERMTH_EXM"])
+    files = _mortality_lines(spark, d)
     src, dst = _scratch(spark, "mort-src"), _scratch(spark, "mort-landed")
-    files = cust.select(line.alias("value"), start.alias("cycle"))
     for s, e, _ in L.CYCLES:
         staging = os.path.join(src, "_staging", str(s))
-        files.filter(F.col("cycle") == s).select("value").coalesce(1).write.mode("overwrite").text(staging)
+        files.filter(f"cycle = {s}").select("value").coalesce(1).write.mode("overwrite").text(staging)
         _move_single_part(spark, staging, os.path.join(src, f"SURVEY_{s}_{e}_MORT_2019_PUBLIC.dat"))
     ckpt = _scratch(spark, "mort-ckpt")
     run_incremental(spark, src, dst, ckpt)
     run_incremental(spark, src, dst, ckpt)  # rerun with no new files: a no-op
     landed = spark.read.parquet(dst)
-    return landed.withColumn("CYCLE_START_YEAR", F.col("CYCLE_START_YEAR").cast("bigint"))
+    return project(landed, [f"`{c}`" for c in landed.columns if c != "CYCLE_START_YEAR"]
+                   + ["cast(CYCLE_START_YEAR as bigint) AS CYCLE_START_YEAR"])
 
 
 def _move_single_part(spark: SparkSession, folder: str, target: str) -> None:
@@ -414,18 +404,19 @@ def snk_overwrite_roundtrip(spark, d):
 
 
 def snk_range_partition(spark, d):
-    cohort = _dag(spark, d)["validation_cohort"].withColumn("cycle_bucket", SNK.range_bucket("cycle_start_year"))
+    cohort = _dag(spark, d)["validation_cohort"]
+    cohort = project(cohort, ["*", f"{SNK.range_bucket('cycle_start_year')} AS cycle_bucket"])
     path = _scratch(spark, "cohort")
     SNK.write_table(cohort, path, partition_cols=["cycle_bucket"],
                     cluster_cols=["age_band_levine", "protein_group_day_1"])
     back = spark.read.parquet(path)
-    return back.groupBy("cycle_bucket", "cycle_start_year", "age_band_levine", "protein_group_day_1").agg(
-        F.count(F.lit(1)).alias("respondent_n"))
+    return aggregate(back, ["cycle_bucket", "cycle_start_year", "age_band_levine", "protein_group_day_1"],
+                     ["count(1) AS respondent_n"])
 
 
 # ------------------------------------------------------------ data quality
 def dq_not_null(spark, d):
-    return Q.not_null_failures(_stage(spark, d)["stg_demo"], "age_years").select(KEY, "age_years")
+    return project(Q.not_null_failures(_stage(spark, d)["stg_demo"], "age_years"), [KEY, "age_years"])
 
 
 def dq_unique(spark, d):
@@ -433,17 +424,16 @@ def dq_unique(spark, d):
 
 
 def dq_accepted_values(spark, d):
-    ev = L.read_driver(spark, d, "events")
-    return Q.accepted_values_failures(ev, "event_type", ["signup", "click", "view", "purchase"])
+    return Q.accepted_values_failures(L.read_driver(spark, d, "events"), "event_type",
+                                      ["signup", "click", "view", "purchase"])
 
 
 def dq_reconcile(spark, d):
     m = _dag(spark, d)
     return RS.union_all_by_name([
-        checks.reconciliation(m, day).select(
-            KEY, F.lit(day).alias("recall_day"),
-            F.col(f"day_{day}_protein_g").alias("total_protein_g"),
-            F.col(f"day_{day}_item_protein_g").alias("item_protein_g"))
+        project(checks.reconciliation(m, day), [
+            KEY, f"{day} AS recall_day", f"day_{day}_protein_g AS total_protein_g",
+            f"day_{day}_item_protein_g AS item_protein_g"])
         for day in (1, 2)])
 
 

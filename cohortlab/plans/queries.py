@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlab.functions.sql import project, q
+
 from cohortlab.plans import flow as FL
 from cohortlab.plans import models as M
 from cohortlab.plans import reports as RP
 from cohortlab.plans.staging import staged
-from cohortlab.sources import seeds
 from cohortlab.sources.landing import landing_tables
 
 ROUND_PLACES = 6
@@ -26,18 +26,16 @@ ROUND_PLACES = 6
 
 def present(df: DataFrame, places: int = ROUND_PLACES) -> DataFrame:
     """Decimal -> double, doubles rounded to ``places``; other columns unchanged."""
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        name = q(f.name)
         if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
-            c = F.round(c.cast("double"), places)
+            exprs.append(f"round(cast({name} as double), {places}) AS {name}")
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, places)
+            exprs.append(f"round({name}, {places}) AS {name}")
         else:
-            cols.append(c)
-            continue
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            exprs.append(name)
+    return project(df, exprs)
 
 
 def stage(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

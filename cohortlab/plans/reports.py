@@ -6,10 +6,10 @@ reshape only the aggregate; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.functions import bands as B
+from cohortlab.functions.sql import aggregate, project, q
 from cohortlab.operators.aggregates import weighted_rate
 from cohortlab.operators.reshape import melt, order_by_category, relabel, title_label
 from cohortlab.sources import seeds
@@ -28,34 +28,28 @@ def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     The fallback rows are anti-joined against at most one row of the primary,
     so the check costs a ``limit(1)`` and never a driver round trip.
     """
-    probe = primary.limit(1).select(F.lit(1).alias("_has_rows"))
-    return primary.unionByName(fallback.join(probe, how="left_anti"))
+    probe = primary.limit(1)
+    kept = fallback.sparkSession.sql(
+        "SELECT * FROM {f} WHERE NOT EXISTS (SELECT 1 FROM {p})", f=fallback, p=probe)
+    return primary.unionByName(kept)
 
 
 def static_rates_long(spark: SparkSession) -> DataFrame:
-    wide = static_rates_wide_named(spark)
-    return melt(wide, ["age_group", "protein_intake"], CAUSES, "cause", "rate_per_1000")
-
-
-def static_rates_wide_named(spark: SparkSession) -> DataFrame:
     w = seeds.static_rates_wide(spark)
-    return w.select("age_group", "protein_intake",
-                    *[F.col(c).alias(n) for c, n in zip(
-                        ["all_cause_mortality", "cancer", "diabetes", "cvd"], CAUSES)])
+    named = project(w, ["age_group", "protein_intake", *[
+        f"{c} AS {q(n)}" for c, n in zip(["all_cause_mortality", "cancer", "diabetes", "cvd"], CAUSES)]])
+    return melt(named, ["age_group", "protein_intake"], CAUSES, "cause", "rate_per_1000")
 
 
 def mortality_rates_wide(cohort: DataFrame) -> DataFrame:
     """Four weighted death rates per 1,000 by age band and protein group."""
-    c = cohort.filter(F.col("age_band_levine").isNotNull() & F.col("protein_group_day_1").isNotNull())
-    flags: list[Column] = [
-        F.col("died_during_followup"),
-        F.col("cancer_death_flag"),
-        F.col("diabetes_mcod_flag"),
-        F.col("underlying_cause_group_code").isin(CVD_CAUSE_CODES),
-    ]
-    return c.groupBy(F.col("age_band_levine").alias("age_group"),
-                     F.col("protein_group_day_1").alias("protein_intake")).agg(
-        *[weighted_rate(f, WEIGHT).alias(n) for f, n in zip(flags, CAUSES)])
+    codes = ", ".join(B.lit(c) for c in CVD_CAUSE_CODES)
+    flags = ["died_during_followup", "cancer_death_flag", "diabetes_mcod_flag",
+             f"underlying_cause_group_code IN ({codes})"]
+    return aggregate(
+        cohort, ["age_band_levine AS age_group", "protein_group_day_1 AS protein_intake"],
+        [f"{weighted_rate(f, WEIGHT)} AS {q(n)}" for f, n in zip(flags, CAUSES)],
+        where="age_band_levine IS NOT NULL AND protein_group_day_1 IS NOT NULL")
 
 
 def mortality_rates_long(cohort: DataFrame, spark: SparkSession | None = None) -> DataFrame:
@@ -78,25 +72,23 @@ def source_rates_wide(cohort: DataFrame) -> DataFrame:
     """Rates by age band and animal / plant protein bin, one pass over the cohort.
 
     The reference unions two aggregates (animal bins, plant bins). Here each
-    cohort row emits one (type, grams, bin) pair per protein type and a single
-    ``groupBy`` covers both; the result is identical row for row.
+    cohort row emits one (type, grams, bin) pair per protein type with
+    ``inline`` and a single ``GROUP BY`` covers both; the result is identical
+    row for row, with one scan of the cohort and one shuffle.
     """
-    animal = F.col("day_1_animal_protein_g_est")
-    plant = F.col("day_1_plant_protein_g_est")
-    pairs = F.array(
-        F.struct(F.lit("Animal Protein").alias("protein_type"), animal.cast("double").alias("grams"),
-                 B.animal_protein_bins(animal).alias("protein_quartile")),
-        F.struct(F.lit("Plant Protein").alias("protein_type"), plant.cast("double").alias("grams"),
-                 B.plant_protein_bins(plant).alias("protein_quartile")),
-    )
-    exploded = (cohort.filter(F.col("age_band_levine").isNotNull())
-                .select("age_band_levine", "died_during_followup", "cancer_death_flag",
-                        "diabetes_mcod_flag", "hypertension_mcod_flag", WEIGHT,
-                        F.inline(pairs))
-                .filter(F.col("grams").isNotNull()))
+    animal, plant = "day_1_animal_protein_g_est", "day_1_plant_protein_g_est"
+    pairs = (f"inline(array("
+             f"struct('Animal Protein' AS protein_type, cast({animal} as double) AS grams, "
+             f"{B.animal_protein_bins(animal)} AS protein_quartile), "
+             f"struct('Plant Protein' AS protein_type, cast({plant} as double) AS grams, "
+             f"{B.plant_protein_bins(plant)} AS protein_quartile)))")
+    exploded = project(cohort, ["age_band_levine", "died_during_followup", "cancer_death_flag",
+                                "diabetes_mcod_flag", "hypertension_mcod_flag", WEIGHT, pairs],
+                       where="age_band_levine IS NOT NULL")
     flags = ["cancer_death_flag", "diabetes_mcod_flag", "hypertension_mcod_flag", "died_during_followup"]
-    return exploded.groupBy("age_band_levine", "protein_type", "protein_quartile").agg(
-        *[weighted_rate(F.col(f), WEIGHT).alias(n) for f, n in zip(flags, RATE_COLUMNS)])
+    return aggregate(exploded, ["age_band_levine", "protein_type", "protein_quartile"],
+                     [f"{weighted_rate(f, WEIGHT)} AS {n}" for f, n in zip(flags, RATE_COLUMNS)],
+                     where="grams IS NOT NULL")
 
 
 def source_rates_long(cohort: DataFrame) -> DataFrame:
@@ -104,4 +96,6 @@ def source_rates_long(cohort: DataFrame) -> DataFrame:
     wide = source_rates_wide(cohort)
     long = melt(wide, ["age_band_levine", "protein_type", "protein_quartile"], RATE_COLUMNS,
                 "disease", "rate_per_1000")
-    return relabel(long, "age_band_levine", AGE_DISPLAY).withColumn("disease", title_label("disease"))
+    long = relabel(long, "age_band_levine", AGE_DISPLAY)
+    return project(long, ["age_band_levine", "protein_type", "protein_quartile",
+                          f"{title_label('disease')} AS disease", "rate_per_1000"])

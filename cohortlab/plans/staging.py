@@ -1,67 +1,61 @@
 """Staging models STG1-STG8: one rename-and-cast projection per landing table.
 
 Column references are lower-case; landing names are upper-case and resolve
-case-insensitively. Each function is a pure projection (no shuffle), so
+case-insensitively. Each function is a single projection (no shuffle), so
 Catalyst prunes whatever the downstream model does not read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortlab.functions.casts import (
-    composite_key, float_text, item_key, leading_digit, padded_code, respondent_key,
-    safe_int, safe_numeric,
+    composite_key, float_text, item_key, leading_digit, padded_code, respondent_key, safe_int, safe_numeric,
 )
+from cohortlab.functions.sql import project
 
 
-def _common(with_label: bool = True):
-    cols = [
-        respondent_key("seqn", "cycle_start_year", "cycle_end_year").alias("respondent_key"),
-        safe_int("seqn").alias("respondent_id"),
-        safe_int("cycle_start_year").alias("cycle_start_year"),
-        safe_int("cycle_end_year").alias("cycle_end_year"),
+def _common() -> list[str]:
+    return [
+        f"{respondent_key('seqn', 'cycle_start_year', 'cycle_end_year')} AS respondent_key",
+        f"{safe_int('seqn')} AS respondent_id",
+        f"{safe_int('cycle_start_year')} AS cycle_start_year",
+        f"{safe_int('cycle_end_year')} AS cycle_end_year",
+        "cast(cycle_label as string) AS cycle_label",
     ]
-    if with_label:
-        cols.append(F.col("cycle_label").cast("string").alias("cycle_label"))
-    return cols
 
 
-def _source_cols():
-    return [F.col("file_code").cast("string").alias("file_code"),
-            F.col("source_url").cast("string").alias("source_url")]
+SOURCE_COLS = ["cast(file_code as string) AS file_code", "cast(source_url as string) AS source_url"]
+
+
+def _i(src: str, name: str) -> str:
+    return f"{safe_int(src)} AS {name}"
+
+
+def _n(src: str, name: str) -> str:
+    return f"{safe_numeric(src)} AS {name}"
 
 
 def stg_demo(demo: DataFrame) -> DataFrame:
-    return demo.select(
+    return project(demo, [
         *_common(),
-        safe_int("sddsrvyr").alias("survey_cycle_code"),
-        safe_int("ridageyr").alias("age_years"),
-        safe_int("riagendr").alias("sex_code"),
-        safe_int("ridreth1").alias("race_ethnicity_code"),
-        safe_int("dmdeduc2").alias("education_code"),
-        safe_numeric("indfmpir").alias("poverty_income_ratio"),
-        safe_int("sdmvpsu").alias("survey_psu"),
-        safe_int("sdmvstra").alias("survey_strata"),
-        safe_numeric("wtint2yr").alias("interview_weight_2yr"),
-        safe_numeric("wtmec2yr").alias("mec_weight_2yr"),
-        *_source_cols(),
-    )
+        _i("sddsrvyr", "survey_cycle_code"), _i("ridageyr", "age_years"), _i("riagendr", "sex_code"),
+        _i("ridreth1", "race_ethnicity_code"), _i("dmdeduc2", "education_code"),
+        _n("indfmpir", "poverty_income_ratio"), _i("sdmvpsu", "survey_psu"), _i("sdmvstra", "survey_strata"),
+        _n("wtint2yr", "interview_weight_2yr"), _n("wtmec2yr", "mec_weight_2yr"),
+        *SOURCE_COLS,
+    ])
 
 
 def stg_totals(tot: DataFrame, day: int) -> DataFrame:
     weight = "wtdrd1" if day == 1 else "wtdr2d"
-    return tot.select(
+    return project(tot, [
         *_common(),
-        safe_numeric(weight).alias(f"day_{day}_recall_weight_2yr"),
-        safe_int(f"dr{day}drstz").alias(f"day_{day}_recall_status"),
-        safe_numeric(f"dr{day}tkcal").alias(f"day_{day}_energy_kcal"),
-        safe_numeric(f"dr{day}tprot").alias(f"day_{day}_protein_g"),
-        safe_numeric(f"dr{day}tcarb").alias(f"day_{day}_carb_g"),
-        safe_numeric(f"dr{day}ttfat").alias(f"day_{day}_fat_g"),
-        *_source_cols(),
-    )
+        _n(weight, f"day_{day}_recall_weight_2yr"), _i(f"dr{day}drstz", f"day_{day}_recall_status"),
+        _n(f"dr{day}tkcal", f"day_{day}_energy_kcal"), _n(f"dr{day}tprot", f"day_{day}_protein_g"),
+        _n(f"dr{day}tcarb", f"day_{day}_carb_g"), _n(f"dr{day}ttfat", f"day_{day}_fat_g"),
+        *SOURCE_COLS,
+    ])
 
 
 def stg_items(iff: DataFrame, day: int) -> DataFrame:
@@ -72,75 +66,62 @@ def stg_items(iff: DataFrame, day: int) -> DataFrame:
     p = f"dr{day}i"
     food_code = safe_int(f"{p}fdcd")
     padded = padded_code(food_code)
-    weights = ([safe_numeric("wtdrd1").alias("day_1_recall_weight_2yr"),
-                safe_numeric("wtdr2d").alias("two_day_recall_weight_2yr")]
-               if day == 1 else
-               [safe_numeric("wtdr2d").alias("day_2_recall_weight_2yr")])
-    return iff.select(
-        item_key("seqn", "cycle_start_year", "cycle_end_year", day, f"{p}line").alias("protein_item_key"),
+    weights = ([_n("wtdrd1", "day_1_recall_weight_2yr"), _n("wtdr2d", "two_day_recall_weight_2yr")]
+               if day == 1 else [_n("wtdr2d", "day_2_recall_weight_2yr")])
+    return project(iff, [
+        f"{item_key('seqn', 'cycle_start_year', 'cycle_end_year', day, p + 'line')} AS protein_item_key",
         *_common(),
-        safe_int(f"{p}line").alias("food_line_number"),
-        food_code.alias("food_code"),
-        padded.alias("food_code_padded"),
-        leading_digit(padded).alias("food_code_major_group"),
+        _i(f"{p}line", "food_line_number"),
+        f"{food_code} AS food_code",
+        f"{padded} AS food_code_padded",
+        f"{leading_digit(padded)} AS food_code_major_group",
         *weights,
-        safe_numeric(f"{p}grms").alias("intake_grams"),
-        safe_numeric(f"{p}kcal").alias("energy_kcal"),
-        safe_numeric(f"{p}prot").alias("protein_g"),
-        safe_numeric(f"{p}carb").alias("carb_g"),
-        safe_numeric(f"{p}tfat").alias("fat_g"),
-        float_text(f"dr{day}_030z").alias("eating_occasion"),
-        float_text(f"dr{day}_040z").alias("ate_at_home_response"),
-        *_source_cols(),
-    )
+        _n(f"{p}grms", "intake_grams"), _n(f"{p}kcal", "energy_kcal"), _n(f"{p}prot", "protein_g"),
+        _n(f"{p}carb", "carb_g"), _n(f"{p}tfat", "fat_g"),
+        f"{float_text(f'dr{day}_030z')} AS eating_occasion",
+        f"{float_text(f'dr{day}_040z')} AS ate_at_home_response",
+        *SOURCE_COLS,
+    ])
 
 
 def stg_glucose(glu: DataFrame) -> DataFrame:
-    return glu.select(
+    return project(glu, [
         *_common(),
-        safe_numeric("wtsaf2yr").alias("fasting_weight_2yr"),
-        safe_numeric("lbxglu").alias("fasting_glucose_mg_dl"),
-        safe_numeric("lbdglusi").alias("fasting_glucose_mmol_l"),
-        safe_numeric("phafsthr").alias("fasting_hours"),
-        safe_numeric("phafstmn").alias("fasting_minutes"),
-        safe_numeric("lbxin").alias("fasting_insulin_uuml"),
-        safe_numeric("lbdinsi").alias("fasting_insulin_pmol_l"),
-        *_source_cols(),
-    )
+        _n("wtsaf2yr", "fasting_weight_2yr"), _n("lbxglu", "fasting_glucose_mg_dl"),
+        _n("lbdglusi", "fasting_glucose_mmol_l"), _n("phafsthr", "fasting_hours"),
+        _n("phafstmn", "fasting_minutes"), _n("lbxin", "fasting_insulin_uuml"),
+        _n("lbdinsi", "fasting_insulin_pmol_l"),
+        *SOURCE_COLS,
+    ])
 
 
 def stg_mortality(mort: DataFrame) -> DataFrame:
-    return mort.select(
+    return project(mort, [
         *_common(),
-        safe_int("eligstat").alias("eligibility_status"),
-        safe_int("mortstat").alias("mortality_status"),
-        F.col("ucod_leading").cast("string").alias("underlying_cause_group_code"),
-        safe_int("diabetes").alias("diabetes_mentioned_flag"),
-        safe_int("hyperten").alias("hypertension_mentioned_flag"),
-        safe_numeric("permth_int").alias("followup_months_interview"),
-        safe_numeric("permth_exm").alias("followup_months_exam"),
-        safe_int("mortality_public_release_year").alias("mortality_public_release_year"),
-        *_source_cols(),
-    )
+        _i("eligstat", "eligibility_status"), _i("mortstat", "mortality_status"),
+        "cast(ucod_leading as string) AS underlying_cause_group_code",
+        _i("diabetes", "diabetes_mentioned_flag"), _i("hyperten", "hypertension_mentioned_flag"),
+        _n("permth_int", "followup_months_interview"), _n("permth_exm", "followup_months_exam"),
+        _i("mortality_public_release_year", "mortality_public_release_year"),
+        *SOURCE_COLS,
+    ])
 
 
 def stg_source_catalog(catalog: DataFrame) -> DataFrame:
-    return catalog.select(
-        composite_key(F.col("asset_type").cast("string"), F.col("file_code").cast("string"),
-                      F.col("cycle_start_year").cast("string"),
-                      F.col("cycle_end_year").cast("string")).alias("source_asset_key"),
-        F.lower(F.col("asset_type").cast("string")).alias("asset_type"),
-        F.col("file_code").cast("string").alias("file_code"),
-        F.col("file_format").cast("string").alias("file_format"),
-        safe_int("cycle_start_year").alias("cycle_start_year"),
-        safe_int("cycle_end_year").alias("cycle_end_year"),
-        F.col("cycle_label").cast("string").alias("cycle_label"),
-        F.col("source_url").cast("string").alias("source_url"),
-        safe_int("mortality_public_release_year").alias("mortality_public_release_year"),
-        F.col("mortality_followup_available_through").cast("string")
-        .alias("mortality_followup_available_through"),
-        F.col("paper_comparability_note").cast("string").alias("paper_comparability_note"),
-    )
+    return project(catalog, [
+        composite_key("cast(asset_type as string)", "cast(file_code as string)",
+                      "cast(cycle_start_year as string)", "cast(cycle_end_year as string)")
+        + " AS source_asset_key",
+        "lower(cast(asset_type as string)) AS asset_type",
+        "cast(file_code as string) AS file_code",
+        "cast(file_format as string) AS file_format",
+        _i("cycle_start_year", "cycle_start_year"), _i("cycle_end_year", "cycle_end_year"),
+        "cast(cycle_label as string) AS cycle_label",
+        "cast(source_url as string) AS source_url",
+        _i("mortality_public_release_year", "mortality_public_release_year"),
+        "cast(mortality_followup_available_through as string) AS mortality_followup_available_through",
+        "cast(paper_comparability_note as string) AS paper_comparability_note",
+    ])
 
 
 def staged(landing: dict[str, DataFrame]) -> dict[str, DataFrame]:

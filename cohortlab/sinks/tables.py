@@ -15,21 +15,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def range_bucket(year: Column | str, start: int = 2003, end: int = 2019, step: int = 2) -> Column:
-    """Bucket index of ``RANGE_BUCKET(y, GENERATE_ARRAY(start, end, step))``.
+def range_bucket(year: str, start: int = 2003, end: int = 2019, step: int = 2) -> str:
+    """Bucket index of ``RANGE_BUCKET(y, GENERATE_ARRAY(start, end, step))`` as expression text.
 
     Values below ``start`` get 0 and values at or above ``end`` get the last
     bucket, as the warehouse range partitioning does with its overflow
     partitions; NULL stays NULL.
     """
-    y = F.col(year) if isinstance(year, str) else year
     n = (end - start) // step + 1
-    idx = F.floor((y - F.lit(start)) / F.lit(step)) + 1
-    return F.when(y.isNull(), F.lit(None)).otherwise(F.least(F.greatest(idx, F.lit(0)), F.lit(n))).cast("int")
+    return (f"cast(least(greatest(floor(({year} - {start}) / {step}) + 1, 0), {n}) as int)")
 
 
 def clustered(df: DataFrame, partition_cols: Sequence[str], cluster_cols: Sequence[str],

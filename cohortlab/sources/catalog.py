@@ -8,9 +8,10 @@ a few rows per partition before the shuffle) sorted like the loader's list.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from cohortlab.functions.bands import lit
+from cohortlab.functions.sql import aggregate, project
 from cohortlab.operators.reshape import union_all_by_name
 
 # Fixed value: the note stamped on every catalog row.
@@ -31,22 +32,22 @@ def source_catalog(landing: dict[str, DataFrame], followup_through: str | None =
     parts = []
     for asset, df in landing.items():
         is_dat = asset == "mortality"
-        release = F.col("MORTALITY_PUBLIC_RELEASE_YEAR").cast("bigint") if is_dat else F.lit(None).cast("bigint")
-        parts.append(df.select(
-            F.col("ASSET_TYPE").alias("asset_type"), F.col("FILE_CODE").alias("file_code"),
-            F.lit("DAT" if is_dat else "XPT").alias("file_format"),
-            F.col("CYCLE_START_YEAR").cast("bigint").alias("cycle_start_year"),
-            F.col("CYCLE_END_YEAR").cast("bigint").alias("cycle_end_year"),
-            F.col("CYCLE_LABEL").alias("cycle_label"), F.col("SOURCE_URL").alias("source_url"),
-            release.alias("mortality_public_release_year")).distinct())
-    cat = union_all_by_name(parts).select(
-        "*", F.lit(followup_through).cast("string").alias("mortality_followup_available_through"),
-        F.lit(note).alias("paper_comparability_note"))
-    return cat.select(*CATALOG_COLUMNS).orderBy("cycle_start_year", "asset_type", "file_code")
+        release = "cast(MORTALITY_PUBLIC_RELEASE_YEAR as bigint)" if is_dat else "cast(NULL as bigint)"
+        parts.append(aggregate(df, [
+            "ASSET_TYPE AS asset_type", "FILE_CODE AS file_code",
+            f"{lit('DAT' if is_dat else 'XPT')} AS file_format",
+            "cast(CYCLE_START_YEAR as bigint) AS cycle_start_year",
+            "cast(CYCLE_END_YEAR as bigint) AS cycle_end_year",
+            "CYCLE_LABEL AS cycle_label", "SOURCE_URL AS source_url",
+            f"{release} AS mortality_public_release_year"], []))
+    cat = project(union_all_by_name(parts), [
+        "*", f"cast({lit(followup_through)} as string) AS mortality_followup_available_through",
+        f"{lit(note)} AS paper_comparability_note"])
+    return project(cat, CATALOG_COLUMNS).orderBy("cycle_start_year", "asset_type", "file_code")
 
 
 def release_file_pattern(prefix: str = "SURVEY") -> str:
-    """Regex of a mortality file name; group 1 is the release year."""
+    """Regex of a mortality file name: start year, end year, release year."""
     return prefix + r"_(\d{4})_(\d{4})_MORT_(\d{4})_PUBLIC\.dat"
 
 
@@ -58,33 +59,31 @@ def latest_release_years(listing: DataFrame, text_col: str, prefix: str = "SURVE
     exploded and reduced with ``max`` per cycle: a distributed find-all + max.
     With ``fail_if_missing`` a cycle without any release raises at runtime.
     """
-    pat = release_file_pattern(prefix)
-    names = listing.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(pat), 0)).alias("f"))
-    per_file = names.select(
-        F.regexp_extract("f", pat, 1).cast("bigint").alias("cycle_start_year"),
-        F.regexp_extract("f", pat, 2).cast("bigint").alias("cycle_end_year"),
-        F.regexp_extract("f", pat, 3).cast("bigint").alias("release_year"))
-    out = per_file.groupBy("cycle_start_year", "cycle_end_year").agg(
-        F.max("release_year").alias("latest_release_year"))
+    pat = lit(release_file_pattern(prefix))
+    names = project(listing, [f"explode(regexp_extract_all({text_col}, {pat}, 0)) AS f"])
+    out = aggregate(names, [
+        f"cast(regexp_extract(f, {pat}, 1) as bigint) AS cycle_start_year",
+        f"cast(regexp_extract(f, {pat}, 2) as bigint) AS cycle_end_year"],
+        [f"max(cast(regexp_extract(f, {pat}, 3) as bigint)) AS latest_release_year"])
     if fail_if_missing:
-        out = out.withColumn("latest_release_year", F.coalesce(
-            F.col("latest_release_year"),
-            F.raise_error(F.lit("no public mortality release found for a cycle")).cast("bigint")))
+        out = project(out, ["cycle_start_year", "cycle_end_year",
+                            "coalesce(latest_release_year, cast(raise_error("
+                            "'no public mortality release found for a cycle') as bigint)) AS latest_release_year"])
     return out
 
 
-def latest_release_for_cycle(text: Column, start: int, end: int, prefix: str = "SURVEY") -> Column:
+def latest_release_for_cycle(text: str, start: int, end: int, prefix: str = "SURVEY") -> str:
     """Max release year of one cycle in one text, NULL if none (per-row form)."""
-    pat = f"{prefix}_{start}_{end}_MORT_" + r"(\d{4})_PUBLIC\.dat"
-    return F.array_max(F.transform(F.regexp_extract_all(text, F.lit(pat), 1), lambda y: y.cast("int")))
+    pat = lit(f"{prefix}_{start}_{end}_MORT_" + r"(\d{4})_PUBLIC\.dat")
+    return f"array_max(transform(regexp_extract_all({text}, {pat}, 1), y -> cast(y as int)))"
 
 
 FOLLOWUP_PATTERN = r"(?i)updated with mortality follow-up data through ([^.]+?\d{4})"
 
 
-def followup_text(text: Column) -> Column:
+def followup_text(text: str) -> str:
     """Follow-up horizon sentence fragment, trimmed; NULL when absent (ING7)."""
-    return F.nullif(F.trim(F.regexp_extract(text, FOLLOWUP_PATTERN, 1)), F.lit(""))
+    return f"nullif(trim(regexp_extract({text}, {lit(FOLLOWUP_PATTERN)}, 1)), '')"
 
 
 def run_manifest(catalog: DataFrame, window: str = "2003-2018") -> DataFrame:
@@ -93,17 +92,15 @@ def run_manifest(catalog: DataFrame, window: str = "2003-2018") -> DataFrame:
     The catalog is first reduced per cycle, then once more to a single row,
     so every collect is bounded by the number of cycles.
     """
-    per_cycle = catalog.groupBy("cycle_label").agg(
-        F.max(F.when(F.col("asset_type") == "mortality", F.col("mortality_public_release_year"))).alias("y"),
-        F.collect_set(F.when(F.col("file_format") == "XPT", F.col("asset_type"))).alias("assets"),
-        F.max("mortality_followup_available_through").alias("followup"))
-    doc = per_cycle.agg(
-        F.array_sort(F.collect_list("cycle_label")).alias("cycles"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("assets")))).alias("survey_assets"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("cycle_label", "y"))))
-        .alias("public_mortality_release_year_by_cycle"),
-        F.max("followup").alias("mortality_followup_available_through"))
-    return doc.select(F.to_json(F.struct(
-        F.lit(window).alias("dataset_window"), "cycles", "survey_assets",
-        "public_mortality_release_year_by_cycle", "mortality_followup_available_through",
-    )).alias("manifest_json"))
+    per_cycle = aggregate(catalog, ["cycle_label"], [
+        "max(CASE WHEN asset_type = 'mortality' THEN mortality_public_release_year END) AS y",
+        "collect_set(CASE WHEN file_format = 'XPT' THEN asset_type END) AS assets",
+        "max(mortality_followup_available_through) AS followup"])
+    doc = aggregate(per_cycle, [], [
+        "array_sort(collect_list(cycle_label)) AS cycles",
+        "array_sort(array_distinct(flatten(collect_list(assets)))) AS survey_assets",
+        "map_from_entries(array_sort(collect_list(struct(cycle_label, y)))) AS public_mortality_release_year_by_cycle",
+        "max(followup) AS mortality_followup_available_through"])
+    return project(doc, [
+        f"to_json(struct({lit(window)} AS dataset_window, cycles, survey_assets, "
+        "public_mortality_release_year_by_cycle, mortality_followup_available_through)) AS manifest_json"])

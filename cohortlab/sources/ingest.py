@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from cohortlab.functions.bands import lit
+from cohortlab.functions.sql import project, q
 from cohortlab.operators.reshape import union_all_by_name
 
 # Zero-based half-open column spans of the mortality file.
@@ -32,15 +33,15 @@ MORTALITY_LINE_WIDTH = 48
 def add_common_metadata(df: DataFrame, cycle_start: int, cycle_end: int, source_url: str,
                         file_code: str, asset_type: str) -> DataFrame:
     """Upper-case every column name and add the six loader constants (ING1)."""
-    up = df.toDF(*[c.upper() for c in df.columns])
-    return up.withColumns({
-        "CYCLE_START_YEAR": F.lit(cycle_start).cast("bigint"),
-        "CYCLE_END_YEAR": F.lit(cycle_end).cast("bigint"),
-        "CYCLE_LABEL": F.lit(f"{cycle_start}-{cycle_end}"),
-        "FILE_CODE": F.lit(file_code),
-        "ASSET_TYPE": F.lit(asset_type),
-        "SOURCE_URL": F.lit(source_url),
-    })
+    return project(df, [
+        *[f"{q(c)} AS {q(c.upper())}" for c in df.columns],
+        f"cast({cycle_start} as bigint) AS CYCLE_START_YEAR",
+        f"cast({cycle_end} as bigint) AS CYCLE_END_YEAR",
+        f"{lit(f'{cycle_start}-{cycle_end}')} AS CYCLE_LABEL",
+        f"{lit(file_code)} AS FILE_CODE",
+        f"{lit(asset_type)} AS ASSET_TYPE",
+        f"{lit(source_url)} AS SOURCE_URL",
+    ])
 
 
 def union_cycles(frames: Sequence[DataFrame]) -> DataFrame:
@@ -53,52 +54,58 @@ def file_code_for(template: str, suffix: str, overrides: dict[str, str] | None =
     return (overrides or {}).get(suffix, template.format(suffix=suffix))
 
 
-def file_code_column(stem: str, suffix: Column, overrides: dict[str, str] | None = None) -> Column:
-    """Column form of :func:`file_code_for`: ``coalesce(override, stem || '_' || suffix)``."""
-    code = F.format_string("%s_%s", F.lit(stem), suffix)
+def file_code_expr(stem: str, suffix: str, overrides: dict[str, str] | None = None) -> str:
+    """Expression form of :func:`file_code_for`: override, else ``stem || '_' || suffix``."""
+    code = f"format_string('%s_%s', {lit(stem)}, {suffix})"
     for sfx, value in (overrides or {}).items():
-        code = F.when(suffix == sfx, F.lit(value)).otherwise(code)
+        code = f"(CASE WHEN {suffix} = {lit(sfx)} THEN {lit(value)} ELSE {code} END)"
     return code
 
 
-def parse_mortality_lines(lines: DataFrame, text_col: str = "value",
-                          keep: Sequence[str] = ()) -> DataFrame:
-    """Slice fixed-width mortality lines into typed columns.
+def mortality_field_exprs(text_col: str = "value") -> list[str]:
+    """Typed columns sliced from a fixed-width mortality line.
 
     Numeric fields: trimmed, bad text (such as ``.``) -> NULL. The cause code
-    is only trimmed (a ``.`` stays text; a blank field is NULL). Blank lines
-    are skipped. ``keep`` columns are carried through unchanged.
+    is only trimmed (a ``.`` stays text; a blank field is NULL).
     """
-    v = F.col(text_col)
-    cols = []
+    out = []
     for name, start, end in MORTALITY_SPANS:
-        raw = F.trim(F.substring(v, start + 1, end - start))
+        raw = f"trim(substring({text_col}, {start + 1}, {end - start}))"
         if name in MORTALITY_TEXT_COLUMNS:
-            cols.append(F.nullif(raw, F.lit("")).alias(name))
+            out.append(f"nullif({raw}, '') AS {name}")
         else:
-            cols.append(raw.try_cast("double").alias(name))
-    return lines.filter(F.trim(v) != "").select(*cols, *keep)
+            out.append(f"try_cast({raw} as double) AS {name}")
+    return out
+
+
+def parse_mortality_lines(lines: DataFrame, text_col: str = "value",
+                          keep: Sequence[str] = ()) -> DataFrame:
+    """Slice fixed-width mortality lines into typed columns; blank lines are skipped.
+
+    ``keep`` columns are carried through unchanged.
+    """
+    return project(lines, [*mortality_field_exprs(text_col), *[q(k) for k in keep]],
+                   where=f"trim({text_col}) <> ''")
 
 
 def read_mortality_files(spark: SparkSession, path: str) -> DataFrame:
     """Read fixed-width mortality files (glob or folder), keeping each row's file name."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    raw = spark.read.text(path).selectExpr("value", "_metadata.file_name AS file_name")
     return parse_mortality_lines(raw, keep=["file_name"])
 
 
-def _field(c: Column, width: int, missing: str) -> Column:
+def _field(x: str, width: int, missing: str) -> str:
     """Right-aligned text field of ``width``; ``missing`` fills it for NULL."""
-    txt = F.when(c.isNull(), F.lit(missing)).otherwise(
-        F.when(c % 1 == 0, c.cast("bigint").cast("string")).otherwise(c.cast("string")))
-    return F.lpad(txt, width, " ")
+    txt = (f"(CASE WHEN ({x}) IS NULL THEN {lit(missing)} WHEN ({x}) % 1 = 0 "
+           f"THEN cast(cast({x} as bigint) as string) ELSE cast({x} as string) END)")
+    return f"lpad({txt}, {width}, ' ')"
 
 
-def format_mortality_line(seqn: Column, eligstat: Column, mortstat: Column, ucod: Column,
-                          diabetes: Column, hyperten: Column, permth_int: Column,
-                          permth_exm: Column) -> Column:
-    """Write one record in the fixed-width layout ('.' for missing numerics)."""
-    return F.concat(
+def format_mortality_line(seqn: str, eligstat: str, mortstat: str, ucod: str, diabetes: str,
+                          hyperten: str, permth_int: str, permth_exm: str) -> str:
+    """One record in the fixed-width layout ('.' for missing numerics), as expression text."""
+    return ("concat(" + ", ".join([
         _field(seqn, 14, "."), _field(eligstat, 1, "."), _field(mortstat, 1, "."),
-        F.rpad(F.coalesce(ucod, F.lit("")), 3, " "), _field(diabetes, 1, "."),
-        _field(hyperten, 1, "."), F.lit(" " * 21), _field(permth_int, 3, "."),
-        _field(permth_exm, 3, "."))
+        f"rpad(coalesce({ucod}, ''), 3, ' ')", _field(diabetes, 1, "."), _field(hyperten, 1, "."),
+        lit(" " * 21), _field(permth_int, 3, "."), _field(permth_exm, 3, "."),
+    ]) + ")")

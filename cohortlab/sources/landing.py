@@ -18,7 +18,8 @@ map-side partial aggregate.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from cohortlab.functions.sql import aggregate, project
 
 # The eight survey cycles (start year, end year, file suffix),
 # the asset file-code templates and their per-cycle override.
@@ -47,108 +48,97 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cycle_cols(k):
-    start = F.lit(2003) + F.lit(2) * (k % 8)
-    suffix = F.char(F.lit(67) + k % 8)  # C..J
-    return start.cast("bigint"), (start + 1).cast("bigint"), suffix
+def _d(expr: str) -> str:
+    return f"cast({expr} as double)"
 
 
-def _metadata(df: DataFrame, k, asset: str, stem: str | None = None) -> DataFrame:
-    """Attach the six loader metadata columns for an XPT asset."""
-    start, end, suffix = _cycle_cols(k)
-    template = ASSET_TEMPLATES[asset]
-    prefix = template.split("{")[0]
-    file_code = F.concat(F.lit(prefix), suffix)
-    for (a, sfx), code in ASSET_OVERRIDES.items():
-        if a == asset:
-            file_code = F.when(suffix == sfx, F.lit(code)).otherwise(file_code)
-    url = F.concat(F.lit("landing/"), start.cast("string"), F.lit("/"), file_code, F.lit(".xpt"))
-    return df.withColumns({
-        "CYCLE_START_YEAR": start,
-        "CYCLE_END_YEAR": end,
-        "CYCLE_LABEL": F.concat(start.cast("string"), F.lit("-"), end.cast("string")),
-        "FILE_CODE": file_code,
-        "ASSET_TYPE": F.lit(asset),
-        "SOURCE_URL": url,
-    })
+def cycle_exprs(k: str = "k") -> list[str]:
+    """Cycle start/end/label of respondent ``k`` (cycle = k mod 8)."""
+    start = f"(2003 + 2 * ({k} % 8))"
+    return [f"cast({start} as bigint) AS CYCLE_START_YEAR",
+            f"cast({start} + 1 as bigint) AS CYCLE_END_YEAR",
+            f"concat(cast({start} as string), '-', cast({start} + 1 as string)) AS CYCLE_LABEL"]
+
 
+def _suffix(k: str = "k") -> str:
+    return f"char(67 + {k} % 8)"  # C..J
 
-def _d(expr):
-    return expr.cast("double")
+
+def xpt_meta_exprs(asset: str, k: str = "k") -> list[str]:
+    """FILE_CODE / ASSET_TYPE / SOURCE_URL of an XPT asset for respondent ``k``."""
+    prefix = ASSET_TEMPLATES[asset].split("{")[0]
+    code = f"concat('{prefix}', {_suffix(k)})"
+    for (a, sfx), override in ASSET_OVERRIDES.items():
+        if a == asset:
+            code = f"(CASE WHEN {_suffix(k)} = '{sfx}' THEN '{override}' ELSE {code} END)"
+    return [f"{code} AS FILE_CODE", f"'{asset}' AS ASSET_TYPE",
+            f"concat('landing/', cast(2003 + 2 * ({k} % 8) as string), '/', {code}, '.xpt') AS SOURCE_URL"]
 
 
 def demo(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    df = customer.select(
-        _d(k).alias("SEQN"),
-        _d(3 + k % 8).alias("SDDSRVYR"),
-        F.when(k % 83 != 82, _d((k * 7) % 86)).alias("RIDAGEYR"),
-        _d(1 + k % 2).alias("RIAGENDR"),
-        _d(1 + F.col("c_nationkey") % 5).alias("RIDRETH1"),
-        _d(1 + k % 5).alias("DMDEDUC2"),
-        (_d(k % 41) / 8.0).alias("INDFMPIR"),
-        _d(1 + k % 2).alias("SDMVPSU"),
-        _d(100 + k % 15).alias("SDMVSTRA"),
-        _d(1000 + (k * 13) % 5000).alias("WTINT2YR"),
-        _d(1000 + (k * 17) % 5000).alias("WTMEC2YR"),
-        k.alias("_k"),
-    )
-    return _metadata(df, F.col("_k"), "demo").drop("_k")
+    k = "c_custkey"
+    return project(customer, [
+        f"{_d(k)} AS SEQN",
+        f"{_d(f'3 + {k} % 8')} AS SDDSRVYR",
+        f"CASE WHEN {k} % 83 <> 82 THEN {_d(f'({k} * 7) % 86')} END AS RIDAGEYR",
+        f"{_d(f'1 + {k} % 2')} AS RIAGENDR",
+        f"{_d('1 + c_nationkey % 5')} AS RIDRETH1",
+        f"{_d(f'1 + {k} % 5')} AS DMDEDUC2",
+        f"{_d(f'{k} % 41')} / 8.0D AS INDFMPIR",
+        f"{_d(f'1 + {k} % 2')} AS SDMVPSU",
+        f"{_d(f'100 + {k} % 15')} AS SDMVSTRA",
+        f"{_d(f'1000 + ({k} * 13) % 5000')} AS WTINT2YR",
+        f"{_d(f'1000 + ({k} * 17) % 5000')} AS WTMEC2YR",
+        *cycle_exprs(k), *xpt_meta_exprs("demo", k),
+    ])
 
 
 def item_base(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One row per order line: respondent k, recall day, line and its measures.
 
-    Grouping keys include ``l_orderkey`` so the aggregate is satisfied by the
-    join's partitioning (one exchange per input, none after the join).
+    Grouping keys include ``l_orderkey`` so, when the join is a shuffle join,
+    the aggregate is satisfied by the join's partitioning (one exchange per
+    input, none after the join).
     """
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    od = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k"))
-    return (
-        li.join(od, "l_orderkey")
-        .groupBy("l_orderkey", "l_linenumber", "k")
-        .agg(F.max("l_partkey").alias("pk"),
-             F.sum("l_quantity").alias("q"),
-             F.sum(F.floor("l_extendedprice")).alias("p"))
-        .select(
-            "k",
-            (1 + F.col("l_orderkey") % 2).alias("day"),
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"),
-            "pk", "q", "p",
-        )
-    )
-
-
-def _day_weights(k):
-    return (F.when(k % 31 != 30, _d(1000 + (k * 19) % 6000)),
-            _d(1000 + (k * 23) % 6000))
+    od = orders.selectExpr("o_orderkey AS l_orderkey", "o_custkey AS k")
+    joined = li.join(od, "l_orderkey")
+    return aggregate(
+        joined, ["l_orderkey", "l_linenumber", "k"],
+        ["max(l_partkey) AS pk", "sum(l_quantity) AS q", "sum(floor(l_extendedprice)) AS p"],
+    ).selectExpr("k", "1 + l_orderkey % 2 AS day", "l_orderkey * 10 + l_linenumber AS line", "pk", "q", "p")
+
+
+def _w1(k: str = "k") -> str:
+    return f"CASE WHEN {k} % 31 <> 30 THEN {_d(f'1000 + ({k} * 19) % 6000')} END"
+
+
+def _w2(k: str = "k") -> str:
+    return _d(f"1000 + ({k} * 23) % 6000")
 
 
 def items(base: DataFrame, day: int) -> DataFrame:
     """dr1iff / dr2iff landing rows for one recall day."""
-    k, pk, q, p = F.col("k"), F.col("pk"), F.col("q"), F.col("p")
-    w1, w2 = _day_weights(k)
     pre = f"DR{day}I"
     cols = [
-        _d(k).alias("SEQN"),
-        _d(F.col("line")).alias(f"DR{day}ILINE"),
-        F.when(pk % 101 != 0, _d((pk % 11) * 10000000 + pk)).alias(f"{pre}FDCD"),
+        f"{_d('k')} AS SEQN",
+        f"{_d('line')} AS DR{day}ILINE",
+        f"CASE WHEN pk % 101 <> 0 THEN {_d('(pk % 11) * 10000000 + pk')} END AS {pre}FDCD",
     ]
     if day == 1:
-        cols.append(w1.alias("WTDRD1"))
+        cols.append(f"{_w1()} AS WTDRD1")
     cols += [
-        w2.alias("WTDR2D"),
-        (q * 4).alias(f"{pre}GRMS"),
-        F.when(k % 17 != 0, F.floor(p / (200 * (1 + k % 4)))).otherwise(0).cast("double").alias(f"{pre}KCAL"),
-        F.when(pk % 97 != 0, q / 8.0).alias(f"{pre}PROT"),
-        (q / 4.0).alias(f"{pre}CARB"),
-        (q / 16.0).alias(f"{pre}TFAT"),
-        _d(1 + pk % 9).alias(f"DR{day}_030Z"),
-        _d(1 + pk % 2).alias(f"DR{day}_040Z"),
-        k.alias("_k"),
+        f"{_w2()} AS WTDR2D",
+        f"q * 4 AS {pre}GRMS",
+        f"{_d('CASE WHEN k % 17 <> 0 THEN floor(p / (200 * (1 + k % 4))) ELSE 0 END')} AS {pre}KCAL",
+        f"CASE WHEN pk % 97 <> 0 THEN q / 8.0D END AS {pre}PROT",
+        f"q / 4.0D AS {pre}CARB",
+        f"q / 16.0D AS {pre}TFAT",
+        f"{_d('1 + pk % 9')} AS DR{day}_030Z",
+        f"{_d('1 + pk % 2')} AS DR{day}_040Z",
+        *cycle_exprs("k"), *xpt_meta_exprs(f"dr{day}iff", "k"),
     ]
-    df = base.filter(F.col("day") == day).select(*cols)
-    return _metadata(df, F.col("_k"), f"dr{day}iff").drop("_k")
+    return project(base, cols, where=f"day = {day}")
 
 
 def totals(item_rows: DataFrame, day: int) -> DataFrame:
@@ -159,83 +149,68 @@ def totals(item_rows: DataFrame, day: int) -> DataFrame:
     """
     pre = f"DR{day}I"
     skip = 19 if day == 1 else 13
-    k = F.col("_k")
-    agg = (
-        item_rows.select(F.col("SEQN").cast("bigint").alias("_k"),
-                         f"{pre}KCAL", f"{pre}PROT", f"{pre}CARB", f"{pre}TFAT")
-        .filter(k % skip != 0)
-        .groupBy("_k")
-        .agg(F.sum(f"{pre}KCAL").alias(f"DR{day}TKCAL"),
-             F.sum(f"{pre}PROT").alias(f"DR{day}TPROT"),
-             F.sum(f"{pre}CARB").alias(f"DR{day}TCARB"),
-             F.sum(f"{pre}TFAT").alias(f"DR{day}TTFAT"))
-    )
-    w1, w2 = _day_weights(k)
-    df = agg.select(
-        _d(k).alias("SEQN"),
-        (w1 if day == 1 else w2).alias("WTDRD1" if day == 1 else "WTDR2D"),
-        F.lit(1.0).alias(f"DR{day}DRSTZ"),
+    agg = aggregate(
+        item_rows, ["cast(SEQN as bigint) AS k"],
+        [f"sum({pre}KCAL) AS DR{day}TKCAL", f"sum({pre}PROT) AS DR{day}TPROT",
+         f"sum({pre}CARB) AS DR{day}TCARB", f"sum({pre}TFAT) AS DR{day}TTFAT"],
+        where=f"cast(SEQN as bigint) % {skip} <> 0")
+    return project(agg, [
+        f"{_d('k')} AS SEQN",
+        f"{_w1() if day == 1 else _w2()} AS {'WTDRD1' if day == 1 else 'WTDR2D'}",
+        f"1.0D AS DR{day}DRSTZ",
         f"DR{day}TKCAL", f"DR{day}TPROT", f"DR{day}TCARB", f"DR{day}TTFAT",
-        k,
-    )
-    return _metadata(df, k, f"dr{day}tot").drop("_k")
+        *cycle_exprs("k"), *xpt_meta_exprs(f"dr{day}tot", "k"),
+    ])
 
 
 def glucose(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    glu = F.when(k % 23 != 0, _d(70 + (k * 11) % 90))
-    df = customer.filter(k % 3 != 0).select(
-        _d(k).alias("SEQN"),
-        _d(2000 + (k * 29) % 7000).alias("WTSAF2YR"),
-        glu.alias("LBXGLU"),
-        (glu / 16.0).alias("LBDGLUSI"),
-        _d(8 + k % 8).alias("PHAFSTHR"),
-        _d(k % 60).alias("PHAFSTMN"),
-        (_d(k % 40) / 2.0).alias("LBXIN"),
-        (_d(k % 40) * 3.0).alias("LBDINSI"),
-        k.alias("_k"),
-    )
-    return _metadata(df, F.col("_k"), "glu").drop("_k")
-
-
-def mortality_columns(k):
-    """The mortality record of respondent ``k`` as (name, Column) pairs."""
-    eligible = k % 10 != 0
-    mortstat = F.when(eligible, F.when(k % 4 == 1, 1.0).otherwise(0.0))
-    dead = mortstat == 1.0
-    permth_int = _d((k * 5) % 190)
+    k = "c_custkey"
+    glu = f"CASE WHEN {k} % 23 <> 0 THEN {_d(f'70 + ({k} * 11) % 90')} END"
+    return project(customer, [
+        f"{_d(k)} AS SEQN",
+        f"{_d(f'2000 + ({k} * 29) % 7000')} AS WTSAF2YR",
+        f"{glu} AS LBXGLU",
+        f"{glu} / 16.0D AS LBDGLUSI",
+        f"{_d(f'8 + {k} % 8')} AS PHAFSTHR",
+        f"{_d(f'{k} % 60')} AS PHAFSTMN",
+        f"{_d(f'{k} % 40')} / 2.0D AS LBXIN",
+        f"{_d(f'{k} % 40')} * 3.0D AS LBDINSI",
+        *cycle_exprs(k), *xpt_meta_exprs("glu", k),
+    ], where=f"{k} % 3 <> 0")
+
+
+def mortality_exprs(k: str) -> list[str]:
+    """The mortality record of respondent ``k`` as ``expr AS NAME`` texts."""
+    mortstat = f"CASE WHEN {k} % 10 <> 0 THEN (CASE WHEN {k} % 4 = 1 THEN 1.0D ELSE 0.0D END) END"
+    dead = f"({mortstat}) = 1.0D"
+    permth = _d(f"({k} * 5) % 190")
     return [
-        ("SEQN", _d(k)),
-        ("ELIGSTAT", F.when(eligible, 1.0).otherwise(2.0)),
-        ("MORTSTAT", mortstat),
-        ("UCOD_LEADING", F.when(dead, F.lpad((1 + F.floor(k / 4) % 10).cast("string"), 3, "0"))),
-        ("DIABETES", F.when(dead, F.when(k % 7 == 1, 1.0).otherwise(0.0))),
-        ("HYPERTEN", F.when(dead, F.when(k % 5 == 1, 1.0).otherwise(0.0))),
-        ("PERMTH_INT", permth_int),
-        ("PERMTH_EXM", F.greatest(permth_int - 1, F.lit(0.0))),
+        f"{_d(k)} AS SEQN",
+        f"CASE WHEN {k} % 10 <> 0 THEN 1.0D ELSE 2.0D END AS ELIGSTAT",
+        f"{mortstat} AS MORTSTAT",
+        f"CASE WHEN {dead} THEN lpad(cast(1 + floor({k} / 4) % 10 as string), 3, '0') END AS UCOD_LEADING",
+        f"CASE WHEN {dead} THEN (CASE WHEN {k} % 7 = 1 THEN 1.0D ELSE 0.0D END) END AS DIABETES",
+        f"CASE WHEN {dead} THEN (CASE WHEN {k} % 5 = 1 THEN 1.0D ELSE 0.0D END) END AS HYPERTEN",
+        f"{permth} AS PERMTH_INT",
+        f"greatest({permth} - 1, 0.0D) AS PERMTH_EXM",
     ]
 
 
-def mortality_file_code(start, end, release_year, prefix: str = "SURVEY"):
+def mortality_file_code(start: str, end: str, release: str, prefix: str = "SURVEY") -> str:
     """``<prefix>_<start>_<end>_MORT_<release>_PUBLIC`` (file name without .dat)."""
-    return F.format_string(f"{prefix}_%d_%d_MORT_%d_PUBLIC", start, end, release_year)
+    return f"format_string('{prefix}_%d_%d_MORT_%d_PUBLIC', {start}, {end}, {release})"
 
 
 def mortality(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    start, end, _ = _cycle_cols(k)
-    release = F.lit(MORTALITY_RELEASE_YEAR).cast("bigint")
-    file_code = mortality_file_code(start, end, release)
-    return customer.filter(k % 29 != 0).select(
-        *[c.alias(n) for n, c in mortality_columns(k)],
-        start.alias("CYCLE_START_YEAR"),
-        end.alias("CYCLE_END_YEAR"),
-        F.concat(start.cast("string"), F.lit("-"), end.cast("string")).alias("CYCLE_LABEL"),
-        file_code.alias("FILE_CODE"),
-        F.lit("mortality").alias("ASSET_TYPE"),
-        F.concat(F.lit("landing/mortality/"), file_code, F.lit(".dat")).alias("SOURCE_URL"),
-        release.alias("MORTALITY_PUBLIC_RELEASE_YEAR"),
-    )
+    k = "c_custkey"
+    start, end = f"(2003 + 2 * ({k} % 8))", f"(2004 + 2 * ({k} % 8))"
+    code = mortality_file_code(start, end, str(MORTALITY_RELEASE_YEAR))
+    return project(customer, [
+        *mortality_exprs(k), *cycle_exprs(k),
+        f"{code} AS FILE_CODE", "'mortality' AS ASSET_TYPE",
+        f"concat('landing/mortality/', {code}, '.dat') AS SOURCE_URL",
+        f"cast({MORTALITY_RELEASE_YEAR} as bigint) AS MORTALITY_PUBLIC_RELEASE_YEAR",
+    ], where=f"{k} % 29 <> 0")
 
 
 def landing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.session import checkpoint_dir
-from cohortlab.sources.ingest import parse_mortality_lines
+from cohortlab.functions.bands import lit
+from cohortlab.sources.ingest import mortality_field_exprs
 
 FILE_PATTERN = r"_(\d{4})_(\d{4})_MORT_(\d{4})_PUBLIC"
 
@@ -26,15 +27,15 @@ def mortality_stream(spark: SparkSession, source_dir: str) -> DataFrame:
     """Streaming DataFrame of parsed mortality rows with cycle and release from the file name."""
     lines = (spark.readStream.format("text").option("pathGlobFilter", "*.dat")
              .load(source_dir)
-             .select("value", F.col("_metadata.file_name").alias("file_name")))
-    parsed = parse_mortality_lines(lines, keep=["file_name"])
-    return parsed.select(
-        "*",
-        F.regexp_extract("file_name", FILE_PATTERN, 1).cast("bigint").alias("CYCLE_START_YEAR"),
-        F.regexp_extract("file_name", FILE_PATTERN, 2).cast("bigint").alias("CYCLE_END_YEAR"),
-        F.regexp_extract("file_name", FILE_PATTERN, 3).cast("bigint").alias("MORTALITY_PUBLIC_RELEASE_YEAR"),
-    ).withColumn("CYCLE_LABEL", F.concat_ws("-", F.col("CYCLE_START_YEAR").cast("string"),
-                                             F.col("CYCLE_END_YEAR").cast("string")))
+             .selectExpr("value", "_metadata.file_name AS file_name"))
+    pat = lit(FILE_PATTERN)
+    return lines.where("trim(value) <> ''").selectExpr(
+        *mortality_field_exprs("value"), "file_name",
+        f"cast(regexp_extract(file_name, {pat}, 1) as bigint) AS CYCLE_START_YEAR",
+        f"cast(regexp_extract(file_name, {pat}, 2) as bigint) AS CYCLE_END_YEAR",
+        f"cast(regexp_extract(file_name, {pat}, 3) as bigint) AS MORTALITY_PUBLIC_RELEASE_YEAR",
+        f"concat(regexp_extract(file_name, {pat}, 1), '-', regexp_extract(file_name, {pat}, 2)) AS CYCLE_LABEL",
+    )
 
 
 def _overwrite_cycles(target_dir: str):
