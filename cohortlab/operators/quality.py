@@ -67,26 +67,54 @@ class TableChecks:
 
 
 def table_report(tc: TableChecks) -> DataFrame:
-    """One row per test on ``tc``: not-NULL and accepted-values in one pass, uniques apart."""
-    parts: list[DataFrame] = []
-    counts = [("not_null", c, f"count_if({q(c)} IS NULL)") for c in tc.not_null]
-    counts += [("accepted_values", c,
-                f"count_if({q(c)} IS NOT NULL AND {q(c)} NOT IN ({', '.join(lit(v) for v in vals)}))")
-               for c, vals in tc.accepted.items()]
-    if counts:
-        structs = ", ".join(
-            f"struct({lit(chk)} AS check_name, {lit(tc.model_name)} AS model_name, {lit(c)} AS column_name, "
-            f"cast({expr} as bigint) AS failing_rows)" for chk, c, expr in counts)
-        wide = aggregate(tc.df, [], [f"array({structs}) AS checks"])
-        parts.append(project(wide, ["inline(checks)"]))
-    for c in tc.unique:
+    """One row per test on ``tc`` from a single grouped pass over the table.
+
+    The table is grouped by its (first) unique key with map-side partial
+    counts: the NULL-key group gives the key's not-NULL failures, groups with
+    more than one row the uniqueness failures, and per-group counters the
+    other columns' not-NULL and accepted-values failures. A second unique
+    key, if any, takes its own pass.
+    """
+    if not tc.unique:
+        return _flat_report(tc)
+    u, rest = tc.unique[0], tc.unique[1:]
+    counters = []  # (check, column, per-group counter expression or None for the key)
+    for c in tc.not_null:
+        counters.append(("not_null", c, None if c == u else f"count_if({q(c)} IS NULL)"))
+    for c, vals in tc.accepted.items():
+        counters.append(("accepted_values", c,
+                         f"count_if({q(c)} IS NOT NULL AND {q(c)} NOT IN ({', '.join(lit(v) for v in vals)}))"))
+    grouped = aggregate(tc.df, [f"{q(u)} AS k"], ["count(1) AS n", *[
+        f"{expr} AS c{i}" for i, (_, _, expr) in enumerate(counters) if expr is not None]])
+    totals = []
+    for i, (chk, c, expr) in enumerate(counters):
+        total = "sum(CASE WHEN k IS NULL THEN n ELSE 0 END)" if expr is None else f"sum(c{i})"
+        totals.append((chk, c, total))
+    totals.append(("unique", u, "count_if(k IS NOT NULL AND n > 1)"))
+    structs = ", ".join(
+        f"struct({lit(chk)} AS check_name, {lit(tc.model_name)} AS model_name, {lit(c)} AS column_name, "
+        f"cast(coalesce({expr}, 0) as bigint) AS failing_rows)" for chk, c, expr in totals)
+    parts = [project(aggregate(grouped, [], [f"array({structs}) AS checks"]), ["inline(checks)"])]
+    for c in rest:
         dup = unique_failures(project(tc.df, [q(c)]), c)
         parts.append(aggregate(dup, [], [
-            f"'unique' AS check_name", f"{lit(tc.model_name)} AS model_name", f"{lit(c)} AS column_name",
+            "'unique' AS check_name", f"{lit(tc.model_name)} AS model_name", f"{lit(c)} AS column_name",
             "count(1) AS failing_rows"]))
     return union_all_by_name(parts)
 
 
+def _flat_report(tc: TableChecks) -> DataFrame:
+    """Not-NULL and accepted-values tests of a table without a unique key: one global pass."""
+    counts = [("not_null", c, f"count_if({q(c)} IS NULL)") for c in tc.not_null]
+    counts += [("accepted_values", c,
+                f"count_if({q(c)} IS NOT NULL AND {q(c)} NOT IN ({', '.join(lit(v) for v in vals)}))")
+               for c, vals in tc.accepted.items()]
+    structs = ", ".join(
+        f"struct({lit(chk)} AS check_name, {lit(tc.model_name)} AS model_name, {lit(c)} AS column_name, "
+        f"cast({expr} as bigint) AS failing_rows)" for chk, c, expr in counts)
+    return project(aggregate(tc.df, [], [f"array({structs}) AS checks"]), ["inline(checks)"])
+
+
 def singular_report(name: str, model: str, failures: DataFrame) -> DataFrame:
     """A singular test: its failing-row count."""
     return aggregate(failures, [], [f"{lit(name)} AS check_name", f"{lit(model)} AS model_name",

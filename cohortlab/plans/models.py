@@ -16,6 +16,8 @@ DAG costs a few driver-to-JVM calls per model.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.functions import bands as B
@@ -260,17 +262,25 @@ def cycle_protein_trends(daily: DataFrame, sources: DataFrame) -> DataFrame:
         ])
 
 
-def build_all(spark: SparkSession, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The whole DAG, lazily. Callers persist M1/M3 when they read several marts."""
-    daily = respondent_daily(stg)
-    items = protein_items(stg, seeds.group_map(spark))
-    sources = protein_source_estimates(items)
-    cohort = validation_cohort(daily, sources)
+def build_all(spark: SparkSession, stg: dict[str, DataFrame],
+              cut: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The whole DAG, lazily.
+
+    ``cut(name, df)`` is applied to every model as it is built, in DAG order;
+    pass :func:`cohortlab.sinks.tables.table_cut` to write each model once to
+    shared storage and have its dependants read that table (the model-build
+    step of a scheduled run).
+    """
+    c = cut or (lambda name, df: df)
+    daily = c("respondent_daily", respondent_daily(stg))
+    items = c("protein_items", protein_items(stg, seeds.group_map(spark)))
+    sources = c("protein_source_estimates", protein_source_estimates(items))
+    cohort = c("validation_cohort", validation_cohort(daily, sources))
     return {
         "respondent_daily": daily,
         "protein_items": items,
         "protein_source_estimates": sources,
         "validation_cohort": cohort,
-        "validation_summary": validation_summary(cohort),
-        "cycle_protein_trends": cycle_protein_trends(daily, sources),
+        "validation_summary": c("validation_summary", validation_summary(cohort)),
+        "cycle_protein_trends": c("cycle_protein_trends", cycle_protein_trends(daily, sources)),
     }

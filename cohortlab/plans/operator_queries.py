@@ -201,7 +201,7 @@ L_RAW_KEY = ["SEQN", "CYCLE_START_YEAR", "CYCLE_END_YEAR"]
 
 
 def join_left_multikey(spark, d):
-    lt = L.landing_tables(spark, d)
+    lt = L.landed_tables(spark, d)
     return left_star_join(
         project(lt["demo"], [*L_RAW_KEY, "RIDAGEYR"]),
         [project(lt["dr1tot"], [*L_RAW_KEY, "DR1TPROT"]), project(lt["mortality"], [*L_RAW_KEY, "MORTSTAT"])],
@@ -346,7 +346,7 @@ def ing_union_cycles(spark, d):
 
 
 def _catalog(spark, d):
-    return CAT.source_catalog(L.landing_tables(spark, d))
+    return CAT.source_catalog(L.landed_tables(spark, d))
 
 
 def ing_source_catalog(spark, d):
@@ -358,7 +358,7 @@ def stg_source_catalog_q(spark, d):
 
 
 def ing_latest_release(spark, d):
-    return CAT.latest_release_years(L.landing_tables(spark, d)["mortality"], "SOURCE_URL")
+    return CAT.latest_release_years(L.landed_tables(spark, d)["mortality"], "SOURCE_URL")
 
 
 def ing_followup_text(spark, d):
@@ -439,9 +439,10 @@ def dq_reconcile(spark, d):
 
 def dq_report(spark, d):
     stg = _stage(spark, d)
-    lt = L.landing_tables(spark, d)
+    lt = L.landed_tables(spark, d)
     stg["stg_source_catalog"] = stg_source_catalog(CAT.source_catalog(lt))
-    m = models.build_all(spark, stg)
+    # Build the models once (tables on shared storage), then test them.
+    m = models.build_all(spark, stg, cut=SNK.table_cut(spark, _scratch(spark, "models")))
     return checks.full_report(stg, m, seeds.group_map(spark))
 
 

@@ -19,7 +19,7 @@ from cohortlab.plans import flow as FL
 from cohortlab.plans import models as M
 from cohortlab.plans import reports as RP
 from cohortlab.plans.staging import staged
-from cohortlab.sources.landing import landing_tables
+from cohortlab.sources.landing import landed_tables
 
 ROUND_PLACES = 6
 
@@ -39,7 +39,7 @@ def present(df: DataFrame, places: int = ROUND_PLACES) -> DataFrame:
 
 
 def stage(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return staged(landing_tables(spark, sf_dir))
+    return staged(landed_tables(spark, sf_dir))
 
 
 def dag(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -51,7 +51,7 @@ def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flow_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FL.flow_cohort(landing_tables(spark, sf_dir))
+    return FL.flow_cohort(landed_tables(spark, sf_dir))
 
 
 def _staged(name: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -71,3 +71,29 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, comment: str | Non
     w.saveAsTable(name)
     if comment:
         spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def write_and_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` (overwrite) and return the table read back."""
+    ddl = _ddl(df)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(ddl).parquet(path)
+
+
+def table_cut(spark: SparkSession, root: str):
+    """A ``cut(name, df)`` hook that materializes each model under ``root``.
+
+    Every model is computed once, its lineage is cut at a table on shared
+    storage (it survives executor loss), and dependants read it with column
+    pruning and pushed filters.
+    """
+    return lambda name, df: write_and_read(spark, df, f"{root}/{name}")
+
+
+def materialize(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write each DataFrame as a Parquet table under ``root`` and read it back."""
+    return {name: write_and_read(spark, df, f"{root}/{name}") for name, df in frames.items()}
