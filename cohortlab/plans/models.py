@@ -116,12 +116,16 @@ def protein_source_estimates(items: DataFrame) -> DataFrame:
 
     The reference aggregates per (respondent, day) and then pivots the two
     days with ``max(case when day = d ...)``. Because the day is a grouping key
-    of the first level, both levels fold into one conditional aggregate keyed
-    by respondent alone: one exchange, partial aggregation map-side, output
-    hash-partitioned by ``respondent_key``. A day with no items yields NULL
-    totals and NULL counts, exactly as the two-level form does.
+    of the first level, both levels fold into one conditional aggregate per
+    respondent: one exchange, with a map-side partial aggregate that collapses
+    a respondent's items (and any hot key) before the shuffle. A day with no
+    items yields NULL totals and NULL counts, exactly as the two-level form.
+
+    The respondent's descriptive columns are grouping keys (as in the
+    reference) rather than ``max()`` aggregates: a string aggregate buffer
+    would force a sort-based aggregate over every item row.
     """
-    aggs = [f"max({c}) AS {c}" for c in ("respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label")]
+    aggs = []
     for d in (1, 2):
         on = f"recall_day = {d}"
         aggs += [
@@ -135,7 +139,7 @@ def protein_source_estimates(items: DataFrame) -> DataFrame:
         for g in SOURCE_GROUPS:
             aggs.append(f"cast(sum(CASE WHEN {on} THEN (CASE WHEN protein_source_group = '{g}' THEN 1 "
                         f"ELSE 0 END) END) as bigint) AS day_{d}_{g}_item_count")
-    agg = aggregate(items, [KEY], aggs)
+    agg = aggregate(items, [KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label"], aggs)
     out = [KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label"]
     for d in (1, 2):
         total = f"day_{d}_item_protein_g"

@@ -40,13 +40,20 @@ def mortality_stream(spark: SparkSession, source_dir: str) -> DataFrame:
 
 def _overwrite_cycles(target_dir: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        # Several releases of one cycle in a batch: keep the latest only.
-        latest = batch.groupBy("CYCLE_START_YEAR").agg(
-            F.max("MORTALITY_PUBLIC_RELEASE_YEAR").alias("MORTALITY_PUBLIC_RELEASE_YEAR"))
-        rows = batch.join(latest, ["CYCLE_START_YEAR", "MORTALITY_PUBLIC_RELEASE_YEAR"], "left_semi")
-        (rows.drop("file_name").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("CYCLE_START_YEAR").parquet(target_dir))
+        # The batch is read twice (release per cycle, then the rows): keep it.
+        batch = batch.persist()
+        try:
+            # Several releases of one cycle in a batch: keep the latest only. The
+            # per-cycle maximum has one row per cycle, so broadcasting it is bounded.
+            latest = batch.groupBy("CYCLE_START_YEAR").agg(
+                F.max("MORTALITY_PUBLIC_RELEASE_YEAR").alias("MORTALITY_PUBLIC_RELEASE_YEAR"))
+            rows = batch.join(F.broadcast(latest), ["CYCLE_START_YEAR", "MORTALITY_PUBLIC_RELEASE_YEAR"],
+                              "left_semi")
+            (rows.drop("file_name").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy("CYCLE_START_YEAR").parquet(target_dir))
+        finally:
+            batch.unpersist()
 
     return write
 
