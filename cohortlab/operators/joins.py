@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortlab.functions.bands import lit
 
@@ -52,10 +51,3 @@ def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str],
     text = (f"SELECT {hint}" + ", ".join(left_cols + right_cols)
             + f" FROM {{u}} u LEFT JOIN {{m}} m ON {cond}")
     return df.sparkSession.sql(text, u=df, m=dim)
-
-
-def cross_with_bounded(df: DataFrame, small: DataFrame, small_row_bound: int) -> DataFrame:
-    """Cartesian product with a side of proven small size (JN6: assets x cycles)."""
-    if small_row_bound > BROADCAST_ROW_BOUND:
-        raise ValueError("cross product only with a bounded small side")
-    return df.crossJoin(F.broadcast(small))
