@@ -270,14 +270,21 @@ def build_all(spark: SparkSession, stg: dict[str, DataFrame],
               cut: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """The whole DAG, lazily.
 
-    ``cut(name, df)`` is applied to every model as it is built, in DAG order;
-    pass :func:`cohortlab.sinks.tables.table_cut` to write each model once to
-    shared storage and have its dependants read that table (the model-build
-    step of a scheduled run).
+    ``cut(name, df)`` is applied to every model that other models read (M1-M4)
+    as it is built; pass :func:`cohortlab.sinks.tables.table_cut` to write
+    each once to shared storage and have its dependants read that table (the
+    model-build step of a scheduled run). The two independent roots (M1, M2)
+    are cut concurrently, as separate Spark jobs. Leaf marts stay lazy.
     """
+    daily, items = respondent_daily(stg), protein_items(stg, seeds.group_map(spark))
+    if cut is not None:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            fd = pool.submit(cut, "respondent_daily", daily)
+            fi = pool.submit(cut, "protein_items", items)
+            daily, items = fd.result(), fi.result()
     c = cut or (lambda name, df: df)
-    daily = c("respondent_daily", respondent_daily(stg))
-    items = c("protein_items", protein_items(stg, seeds.group_map(spark)))
     sources = c("protein_source_estimates", protein_source_estimates(items))
     cohort = c("validation_cohort", validation_cohort(daily, sources))
     return {
@@ -285,6 +292,6 @@ def build_all(spark: SparkSession, stg: dict[str, DataFrame],
         "protein_items": items,
         "protein_source_estimates": sources,
         "validation_cohort": cohort,
-        "validation_summary": c("validation_summary", validation_summary(cohort)),
-        "cycle_protein_trends": c("cycle_protein_trends", cycle_protein_trends(daily, sources)),
+        "validation_summary": validation_summary(cohort),
+        "cycle_protein_trends": cycle_protein_trends(daily, sources),
     }
