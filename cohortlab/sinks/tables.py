@@ -27,7 +27,8 @@ def range_bucket(year: str, start: int = 2003, end: int = 2019, step: int = 2) -
     partitions; NULL stays NULL.
     """
     n = (end - start) // step + 1
-    return (f"cast(least(greatest(floor(({year} - {start}) / {step}) + 1, 0), {n}) as int)")
+    return (f"CASE WHEN {year} IS NOT NULL THEN "
+            f"cast(least(greatest(floor(({year} - {start}) / {step}) + 1, 0), {n}) as int) END")
 
 
 def clustered(df: DataFrame, partition_cols: Sequence[str], cluster_cols: Sequence[str],

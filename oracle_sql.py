@@ -812,7 +812,8 @@ ORACLE.update({
     "snk_overwrite_roundtrip": ORACLE["validation_summary"],
     "snk_range_partition": q("""SELECT cycle_bucket, cycle_start_year, age_band_levine, protein_group_day_1,
         count(*) AS respondent_n
-        FROM (SELECT *, CAST(least(greatest(floor((cycle_start_year - 2003) / 2) + 1, 0), 9) AS INTEGER)
+        FROM (SELECT *, CASE WHEN cycle_start_year IS NOT NULL
+                THEN CAST(least(greatest(floor((cycle_start_year - 2003) / 2) + 1, 0), 9) AS INTEGER) END
               AS cycle_bucket FROM m_cohort)
         GROUP BY 1, 2, 3, 4"""),
     "dq_not_null": q("SELECT respondent_key, age_years FROM s_demo WHERE age_years IS NULL"),
