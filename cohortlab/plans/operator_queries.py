@@ -326,25 +326,29 @@ def _demo_raw(cust: DataFrame, with_education: bool = True) -> DataFrame:
     return cust, cols
 
 
-def ing_metadata(spark, d):
-    cust = L.read_driver(spark, d, "customer")
-    src, cols = _demo_raw(cust)
-    raw = project(src, cols, where="c_custkey % 8 = 0")
-    return ING.add_common_metadata(raw, 2003, 2004, "landing/2003/DEMO_C.xpt", "DEMO_C", "demo")
-
-
-def ing_union_cycles(spark, d):
-    """8 per-cycle frames; the education column is absent from odd cycles."""
+def _tagged_cycles(spark, d, drift: bool) -> DataFrame:
+    """Every cycle's frame tagged with its loader metadata; with ``drift`` the
+    education column is absent from odd cycles."""
     cust = L.read_driver(spark, d, "customer")
     frames = []
     for i, (start, end, sfx) in enumerate(L.CYCLES):
-        src, cols = _demo_raw(cust, with_education=i % 2 == 0)
+        src, cols = _demo_raw(cust, with_education=not (drift and i % 2 == 1))
         raw = project(src, cols, where=f"c_custkey % 8 = {i}")
         code = ING.file_code_for("DEMO_{suffix}", sfx)
         frames.append(ING.add_common_metadata(raw, start, end, f"landing/{start}/{code}.xpt", code, "demo"))
     return ING.union_cycles(frames)
 
 
+def ing_metadata(spark, d):
+    """ING1 on every cycle file: upper-cased names plus the six loader constants."""
+    return _tagged_cycles(spark, d, drift=False)
+
+
+def ing_union_cycles(spark, d):
+    """ING2: the 8 cycle frames unioned by name; odd cycles lack the education column."""
+    return _tagged_cycles(spark, d, drift=True)
+
+
 def _catalog(spark, d):
     return CAT.source_catalog(L.landed_tables(spark, d))
 

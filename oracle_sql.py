@@ -787,9 +787,10 @@ ORACLE.update({
         ucod_leading AS UCOD_LEADING, diabetes AS DIABETES, hyperten AS HYPERTEN, permth_int AS PERMTH_INT,
         permth_exm AS PERMTH_EXM FROM l_mortality"""),
     "ing_metadata": q("""SELECT CAST(k AS DOUBLE) AS SEQN, CAST((k * 7) % 86 AS DOUBLE) AS RIDAGEYR,
-        CAST(1 + k % 5 AS DOUBLE) AS DMDEDUC2, CAST(2003 AS BIGINT) AS CYCLE_START_YEAR,
-        CAST(2004 AS BIGINT) AS CYCLE_END_YEAR, '2003-2004' AS CYCLE_LABEL, 'DEMO_C' AS FILE_CODE,
-        'demo' AS ASSET_TYPE, 'landing/2003/DEMO_C.xpt' AS SOURCE_URL FROM l_cust WHERE k % 8 = 0"""),
+        CAST(1 + k % 5 AS DOUBLE) AS DMDEDUC2,
+        cycle_start_year AS CYCLE_START_YEAR, cycle_end_year AS CYCLE_END_YEAR, cycle_label AS CYCLE_LABEL,
+        'DEMO_' || sfx AS FILE_CODE, 'demo' AS ASSET_TYPE,
+        'landing/' || CAST(cycle_start_year AS VARCHAR) || '/DEMO_' || sfx || '.xpt' AS SOURCE_URL FROM l_cust"""),
     "ing_union_cycles": q("""SELECT CAST(k AS DOUBLE) AS SEQN, CAST((k * 7) % 86 AS DOUBLE) AS RIDAGEYR,
         CASE WHEN (k % 8) % 2 = 0 THEN CAST(1 + k % 5 AS DOUBLE) END AS DMDEDUC2,
         cycle_start_year AS CYCLE_START_YEAR, cycle_end_year AS CYCLE_END_YEAR, cycle_label AS CYCLE_LABEL,

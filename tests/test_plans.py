@@ -59,3 +59,22 @@ def test_source_rates_scan_the_cohort_once(models):
     plan = optimized(reports.source_rates_wide(models["validation_cohort"]))
     assert plan.count("Generate inline") == 1
     assert plan.count("Aggregate [age_band_levine") == 1
+
+
+def test_item_base_aggregate_reuses_the_join_partitioning(spark, sf_dir):
+    from cohortlab.sources import landing as L
+
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the large-table case
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        base = L.item_base(L.read_driver(spark, sf_dir, "orders"), L.read_driver(spark, sf_dir, "lineitem"))
+        plan = physical(base)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 2  # one per join input, none after the join
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "l_orderkey" in line][0]
+    assert "l_shipdate" not in scan and "l_comment" not in scan
