@@ -17,6 +17,8 @@ map-side partial aggregate.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.functions.sql import aggregate, project
@@ -234,6 +236,7 @@ def landing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 LANDING_NAMES = ("demo", "dr1iff", "dr2iff", "dr1tot", "dr2tot", "glu", "mortality")
 # (application id, sf_dir) -> (root folder, {table: DDL schema})
 _LANDED: dict[tuple[str, str], tuple[str, dict[str, str]]] = {}
+_LAND_LOCK = threading.Lock()
 
 
 def _ddl(df: DataFrame) -> str:
@@ -286,9 +289,10 @@ def landed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     app = spark.sparkContext.applicationId
     key = (app, sf_dir)
-    if key not in _LANDED:
-        digest = hashlib.sha1(f"{app}|{sf_dir}".encode()).hexdigest()[:16]
-        root = os.path.join(checkpoint_dir(spark), "landing", digest)
-        _LANDED[key] = (root, land(spark, sf_dir, root))
+    with _LAND_LOCK:
+        if key not in _LANDED:
+            digest = hashlib.sha1(f"{app}|{sf_dir}".encode()).hexdigest()[:16]
+            root = os.path.join(checkpoint_dir(spark), "landing", digest)
+            _LANDED[key] = (root, land(spark, sf_dir, root))
     root, schemas = _LANDED[key]
     return {name: read_landed(spark, f"{root}/{name}", schemas[name]) for name in LANDING_NAMES}
