@@ -8,6 +8,7 @@ exactly with the DuckDB oracle.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +39,27 @@ def present(df: DataFrame, places: int = ROUND_PLACES) -> DataFrame:
     return project(df, exprs)
 
 
+# Staging views and the model DAG are lazy plan objects; like views they are
+# defined once per application and data folder and shared by every query
+# (no data is cached: each action reads the landed Parquet again).
+_PLANS: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+_PLANS_LOCK = threading.RLock()  # dag() builds stage() under the lock
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> dict[str, DataFrame]:
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    with _PLANS_LOCK:
+        if key not in _PLANS:
+            _PLANS[key] = build()
+    return dict(_PLANS[key])
+
+
 def stage(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return staged(landed_tables(spark, sf_dir))
+    return _memo("stage", spark, sf_dir, lambda: staged(landed_tables(spark, sf_dir)))
 
 
 def dag(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return M.build_all(spark, stage(spark, sf_dir))
+    return _memo("dag", spark, sf_dir, lambda: M.build_all(spark, stage(spark, sf_dir)))
 
 
 def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
