@@ -124,3 +124,20 @@ def test_manifest_from_landed_catalog(spark, sf_dir):
     assert doc["survey_assets"] == ["demo", "dr1iff", "dr1tot", "dr2iff", "dr2tot", "glu"]
     assert set(doc["public_mortality_release_year_by_cycle"].values()) == {2019}
     assert doc["mortality_followup_available_through"] == "December 31, 2019"
+
+
+def test_group_map_csv_reads_with_declared_schema(spark, tmp_path):
+    from cohortlab.operators.quality import TableChecks, quality_report
+    from cohortlab.sources import seeds
+
+    path = tmp_path / "map.csv"
+    lines = ["food_code_major_group,major_group_label,protein_source_group,classification_method,classification_notes"]
+    lines += [",".join([str(r[0]), *[f'"{v}"' for v in r[1:]]]) for r in seeds.GROUP_MAP_ROWS]
+    path.write_text("\n".join(lines) + "\n")
+    df = seeds.read_group_map_csv(spark, str(path))
+    assert str(df.schema["food_code_major_group"].dataType) == "LongType()"
+    assert rows(df, ["food_code_major_group"]) == rows(seeds.group_map(spark), ["food_code_major_group"])
+    rep = quality_report([TableChecks("seed", df, not_null=["food_code_major_group"],
+                                      unique=["food_code_major_group"],
+                                      accepted={"protein_source_group": ["animal", "plant", "unclassified"]})])
+    assert all(r.passed for r in rep.collect())
