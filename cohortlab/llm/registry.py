@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cohortlab.llm import chat, line_dedup, mixing, quality, sharding
+from cohortlab.llm import bpe, chat, line_dedup, mixing, quality, sharding
 
 QUERIES = {
+    "op1_byte_bpe": bpe.op1_byte_bpe,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_sharding": sharding.op5_sharding,
     "op6_mixing": mixing.op6_mixing,
