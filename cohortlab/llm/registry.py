@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlab.llm import bpe, chat, line_dedup, minhash, mixing, quality, sharding
+from cohortlab.llm import ann, bpe, chat, line_dedup, minhash, mixing, quality, sharding
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_minhash": minhash.op9_minhash,
+    "op10_multi_index": ann.op10_multi_index,
 }
 
 ORACLE = {
