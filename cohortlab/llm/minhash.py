@@ -1,7 +1,7 @@
 """MinHash near-dedup with fast similarity sketching (operator 9).
 
 1. Each document's set of word shingles gets a digest (equal sets are one class,
-   represented by its smallest id), a fast similarity sketch, and from it 25 band
+   represented by its smallest id), a fast similarity sketch, and from it 32 band
    keys of 5 coordinates and 1,024 single bits.
 2. Star round: in each band bucket every class is paired with the bucket's
    smallest only. The pairs are verified exactly on full sets, and the verified
@@ -13,8 +13,8 @@
    member, and no pair inside a component is ever formed.
 4. Links of both rounds give the final components by repeated contraction.
 
-Chance of missing a link at the threshold: (1 - 0.85^5)^25, about 4 in 10
-million for the bands, and the bits are cut five standard deviations below.
+Chance of missing a link at the threshold: (1 - 0.85^5)^32, below one in 100
+million for the bands (3 in a million at 0.8), and the bits are cut five standard deviations below.
 
 Sets are hashes of 64 bits; texts are read whole. Sets are built again only for
 the classes that share a bucket, and only those texts move.
@@ -40,7 +40,7 @@ from cohortlab.llm.common import binary_list, mix64, slices, table, written
 WORDS = 5
 COORDINATES = 1024
 LONGS = COORDINATES // 64
-BANDS, ROWS = 25, 5
+BANDS, ROWS = 32, 5
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 

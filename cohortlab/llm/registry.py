@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cohortlab.llm import ann, bpe, chat, line_dedup, lm, minhash, mixing, quality, sharding
+from cohortlab.llm import ann, bpe, chat, html_extract, line_dedup, lm, minhash, mixing, quality, sharding
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_html_extraction": html_extract.op2_html_extraction,
     "op3_lm_scoring": lm.op3_lm_scoring,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_sharding": sharding.op5_sharding,
