@@ -15,17 +15,13 @@ from pyspark.sql import DataFrame
 from cohortlab.functions import bands as B
 from cohortlab.functions.sql import aggregate, select_list
 from cohortlab.operators.aggregates import mean, weighted_conditional
+from cohortlab.plans import notes
 
 RAW_KEY = ["SEQN", "CYCLE_START_YEAR", "CYCLE_END_YEAR"]
 POOLED_CYCLES = 8.0
-# Fixed value: the flow's note text.
-FLOW_COMPARABILITY_NOTE = (
-    "Original paper used the earlier national survey wave rather than the continuous 2003-2018 "
-    "cycles; this cohort is for validation and extension, not exact replication."
-)
 
 
-def flow_cohort(landing: dict[str, DataFrame]) -> DataFrame:
+def flow_cohort(landing: dict[str, DataFrame], note: str = notes.FLOW_NOTE) -> DataFrame:
     """M9: eligible respondents aged 50+ (raw age) from cycles starting 2003-2017."""
     share = B.protein_energy_share("DR1TPROT", "DR1TKCAL")
     cols = [
@@ -50,7 +46,7 @@ def flow_cohort(landing: dict[str, DataFrame]) -> DataFrame:
         f"{B.equals_flag('m.UCOD_LEADING', '002')} AS CANCER_DEATH_FLAG",
         f"{B.equals_flag('m.DIABETES', 1)} AS DIABETES_MCOD_FLAG",
         f"{B.glucose_category('g.LBXGLU')} AS FASTING_GLUCOSE_CATEGORY",
-        f"{B.lit(FLOW_COMPARABILITY_NOTE)} AS COMPARABILITY_NOTE",
+        f"{B.lit(note)} AS COMPARABILITY_NOTE",
     ]
     using = ", ".join(RAW_KEY)
     text = (f"SELECT\n  {select_list(cols)}\nFROM {{d}} d\n"

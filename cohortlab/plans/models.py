@@ -25,19 +25,11 @@ from cohortlab.functions.sql import aggregate, project, select_list
 from cohortlab.operators.aggregates import mean, weighted_conditional, weighted_total
 from cohortlab.operators.joins import lookup_join
 from cohortlab.operators.reshape import union_all_by_name
+from cohortlab.plans import notes
 from cohortlab.sources import seeds
 
 KEY = "respondent_key"
 
-# Free-text notes stamped on every cohort row.
-COMPARABILITY_NOTE = (
-    "Original paper used the earlier national survey wave rather than the continuous 2003-2018 "
-    "cycles; this mart is a validation extension rather than an exact replication."
-)
-PROTEIN_SOURCE_NOTE = (
-    "Protein-source estimation uses broad USDA FNDDS major food groups. Mixed or ambiguous "
-    "categories remain partially unclassified until a richer food-code mapping is added."
-)
 POOLED_CYCLES = 8.0
 
 DEMO_COLS = ["respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label", "survey_cycle_code",
@@ -160,7 +152,8 @@ SOURCE_STEMS = ["item_protein_g", "item_energy_kcal", "animal_protein_g_est", "p
 SOURCE_COLUMNS = [f"day_{d}_{c}" for d in (1, 2) for c in SOURCE_STEMS]
 
 
-def validation_cohort(daily: DataFrame, sources: DataFrame) -> DataFrame:
+def validation_cohort(daily: DataFrame, sources: DataFrame, comparability_note: str = notes.COHORT_NOTE,
+                      source_note: str = notes.SOURCE_NOTE) -> DataFrame:
     """M4: mortality-eligible respondents aged 50+ with day-1 intake.
 
     The eligibility flag and the not-NULL filters reject NULLs from the
@@ -198,8 +191,8 @@ def validation_cohort(daily: DataFrame, sources: DataFrame) -> DataFrame:
         f"{B.equals_flag('hypertension_mentioned_flag', 1)} AS hypertension_mcod_flag",
         "underlying_cause_group_code", "followup_months_interview", "followup_months_exam",
         "mortality_public_release_year",
-        f"{B.lit(COMPARABILITY_NOTE)} AS comparability_note",
-        f"{B.lit(PROTEIN_SOURCE_NOTE)} AS protein_source_note",
+        f"{B.lit(comparability_note)} AS comparability_note",
+        f"{B.lit(source_note)} AS protein_source_note",
     ]
     text = (f"SELECT\n  {select_list(cols)}\nFROM {{d}}\n"
             f"LEFT JOIN (SELECT {KEY}, {', '.join(SOURCE_COLUMNS)} FROM {{p}}) USING ({KEY})\n"

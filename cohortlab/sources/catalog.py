@@ -13,12 +13,8 @@ from pyspark.sql import DataFrame
 from cohortlab.functions.bands import lit
 from cohortlab.functions.sql import aggregate, project
 from cohortlab.operators.reshape import union_all_by_name
+from cohortlab.plans import notes
 
-# Fixed value: the note stamped on every catalog row.
-CATALOG_COMPARABILITY_NOTE = (
-    "The 2014 reference paper used the earlier national survey wave, so this continuous 2003-2018 "
-    "pipeline is a validation extension rather than an exact reproduction."
-)
 CATALOG_COLUMNS = [
     "asset_type", "file_code", "file_format", "cycle_start_year", "cycle_end_year", "cycle_label",
     "source_url", "mortality_public_release_year", "mortality_followup_available_through",
@@ -27,7 +23,7 @@ CATALOG_COLUMNS = [
 
 
 def source_catalog(landing: dict[str, DataFrame], followup_through: str | None = None,
-                   note: str = CATALOG_COMPARABILITY_NOTE) -> DataFrame:
+                   note: str = notes.CATALOG_NOTE) -> DataFrame:
     """Distinct landed assets per cycle, sorted by start year, asset type, file code."""
     parts = []
     for asset, df in landing.items():
