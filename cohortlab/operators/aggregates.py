@@ -42,8 +42,3 @@ def weighted_rate(flag: str, weight: str, per: float = 1000.0) -> str:
 def mean(c: str) -> str:
     """``avg`` ignoring NULLs, computed in doubles."""
     return f"avg(cast({c} as double))"
-
-
-def max_when(cond: str, value: str) -> str:
-    """``max(case when cond then value end)`` (the long-to-wide pivot cell)."""
-    return f"max(CASE WHEN {cond} THEN {value} END)"

@@ -37,9 +37,10 @@ def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str],
                 dim_row_bound: int | None = None) -> DataFrame:
     """Left join to a dimension and fill unmatched attributes with defaults.
 
-    ``dim_row_bound`` is the caller's proven maximum row count of ``dim``; only
-    then is the side hinted for broadcast. Without it the join is planned by
-    size statistics and AQE.
+    ``dim_row_bound`` states that ``dim`` has at most so many rows; the side is
+    then hinted for broadcast, and the bound is enforced: a further row is an
+    error, not a large broadcast. Without it the join is planned by size
+    statistics and AQE.
     """
     keys = [on] if isinstance(on, str) else list(on)
     hint = "/*+ BROADCAST(m) */ " if dim_row_bound is not None and dim_row_bound <= BROADCAST_ROW_BOUND else ""
@@ -50,4 +51,18 @@ def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str],
     cond = " AND ".join(f"u.`{k}` = m.`{k}`" for k in keys)
     text = (f"SELECT {hint}" + ", ".join(left_cols + right_cols)
             + f" FROM {{u}} u LEFT JOIN {{m}} m ON {cond}")
+    if hint:
+        dim = _bounded(dim, dim_row_bound)
     return df.sparkSession.sql(text, u=df, m=dim)
+
+
+def _bounded(dim: DataFrame, rows: int) -> DataFrame:
+    """``dim``, raising when it has more than ``rows`` rows.
+
+    At most ``rows + 1`` rows are numbered, in one task; that is what a broadcast
+    would collect anyway.
+    """
+    names = ", ".join(f"`{c}`" for c in dim.columns)
+    return dim.sparkSession.sql(
+        f"SELECT {names} FROM (SELECT *, row_number() OVER (ORDER BY 1) AS __n FROM (SELECT * FROM {{d}} LIMIT {rows + 1})) "
+        f"WHERE __n <= {rows} OR raise_error('the lookup side has more than {rows} rows') IS NULL", d=dim)

@@ -46,12 +46,16 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence) -> Da
 
 
 def reconcile_failures(left: DataFrame, right: DataFrame, key: str, left_col: str, right_col: str,
-                       tolerance: float = 0.1) -> DataFrame:
-    """Keys where two measures differ by more than ``tolerance`` (both present)."""
+                       tolerance: str = "0.1") -> DataFrame:
+    """Keys where two measures differ by more than ``tolerance`` (both present).
+
+    Compared in decimal(38,9): a difference of exactly the tolerance passes.
+    """
+    exact = lambda x: f"cast({x} as decimal(38,9))"
     text = (f"SELECT l.{q(key)}, l.{q(left_col)}, r.{q(right_col)} FROM {{l}} l "
             f"LEFT JOIN {{r}} r ON l.{q(key)} = r.{q(key)} "
             f"WHERE l.{q(left_col)} IS NOT NULL AND r.{q(right_col)} IS NOT NULL "
-            f"AND abs(cast(l.{q(left_col)} as double) - cast(r.{q(right_col)} as double)) > {lit(float(tolerance))}")
+            f"AND abs({exact('l.' + q(left_col))} - {exact('r.' + q(right_col))}) > {exact(lit(tolerance))}")
     return left.sparkSession.sql(text, l=left, r=right)
 
 
@@ -72,8 +76,9 @@ def table_report(tc: TableChecks) -> DataFrame:
     The table is grouped by its (first) unique key with map-side partial
     counts: the NULL-key group gives the key's not-NULL failures, groups with
     more than one row the uniqueness failures, and per-group counters the
-    other columns' not-NULL and accepted-values failures. A second unique
-    key, if any, takes its own pass.
+    other columns' not-NULL failures. Accepted-values failures are the distinct
+    bad values, as in the single check; each such column, like a second unique
+    key, takes its own pass over that column.
     """
     if not tc.unique:
         return _flat_report(tc)
@@ -81,9 +86,6 @@ def table_report(tc: TableChecks) -> DataFrame:
     counters = []  # (check, column, per-group counter expression or None for the key)
     for c in tc.not_null:
         counters.append(("not_null", c, None if c == u else f"count_if({q(c)} IS NULL)"))
-    for c, vals in tc.accepted.items():
-        counters.append(("accepted_values", c,
-                         f"count_if({q(c)} IS NOT NULL AND {q(c)} NOT IN ({', '.join(lit(v) for v in vals)}))"))
     grouped = aggregate(tc.df, [f"{q(u)} AS k"], ["count(1) AS n", *[
         f"{expr} AS c{i}" for i, (_, _, expr) in enumerate(counters) if expr is not None]])
     totals = []
@@ -100,19 +102,26 @@ def table_report(tc: TableChecks) -> DataFrame:
         parts.append(aggregate(dup, [], [
             "'unique' AS check_name", f"{lit(tc.model_name)} AS model_name", f"{lit(c)} AS column_name",
             "count(1) AS failing_rows"]))
-    return union_all_by_name(parts)
+    return union_all_by_name(parts + _accepted_reports(tc))
+
+
+def _accepted_reports(tc: TableChecks) -> list[DataFrame]:
+    """Number of distinct bad values of each column with an accepted list."""
+    return [aggregate(accepted_values_failures(project(tc.df, [q(c)]), c, vals), [], [
+        "'accepted_values' AS check_name", f"{lit(tc.model_name)} AS model_name", f"{lit(c)} AS column_name",
+        "count(1) AS failing_rows"]) for c, vals in tc.accepted.items()]
 
 
 def _flat_report(tc: TableChecks) -> DataFrame:
-    """Not-NULL and accepted-values tests of a table without a unique key: one global pass."""
+    """Tests of a table without a unique key: one global pass for the not-NULL ones."""
     counts = [("not_null", c, f"count_if({q(c)} IS NULL)") for c in tc.not_null]
-    counts += [("accepted_values", c,
-                f"count_if({q(c)} IS NOT NULL AND {q(c)} NOT IN ({', '.join(lit(v) for v in vals)}))")
-               for c, vals in tc.accepted.items()]
+    if not counts:
+        return union_all_by_name(_accepted_reports(tc))
     structs = ", ".join(
         f"struct({lit(chk)} AS check_name, {lit(tc.model_name)} AS model_name, {lit(c)} AS column_name, "
         f"cast({expr} as bigint) AS failing_rows)" for chk, c, expr in counts)
-    return project(aggregate(tc.df, [], [f"array({structs}) AS checks"]), ["inline(checks)"])
+    flat = project(aggregate(tc.df, [], [f"array({structs}) AS checks"]), ["inline(checks)"])
+    return union_all_by_name([flat, *_accepted_reports(tc)])
 
 
 def singular_report(name: str, model: str, failures: DataFrame) -> DataFrame:

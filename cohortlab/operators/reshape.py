@@ -78,13 +78,17 @@ def title_label(c: str, drop_suffix: str = "_rate") -> str:
 
 
 def order_by_category(df: DataFrame, column: str, categories: Sequence[str],
-                      ordinal_name: str | None = None) -> DataFrame:
+                      ordinal_name: str | None = None, then_by: Sequence[str] = ()) -> DataFrame:
     """Sort by an ordered category (LOW < MODERATE < HIGH).
 
+    Row-level callers give a key in ``then_by``: the range sort then splits a
+    category over many partitions instead of one each.
+
     With ``ordinal_name`` the ordinal is also kept as a column, so the order
     survives order-insensitive comparisons.
     """
     ordinal = category_ordinal(q(column), categories)
     if ordinal_name:
-        return project(df, [*[q(c) for c in df.columns], f"{ordinal} AS {q(ordinal_name)}"]).orderBy(ordinal_name)
-    return df.orderBy(F.expr(ordinal))
+        return project(df, [*[q(c) for c in df.columns], f"{ordinal} AS {q(ordinal_name)}"]).orderBy(
+            ordinal_name, *then_by)
+    return df.orderBy(F.expr(ordinal), *then_by)

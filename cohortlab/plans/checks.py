@@ -16,7 +16,7 @@ COHORT_BANDS = ["50_65", "66_PLUS"]
 ADULT_BANDS = ["18_49", "50_65", "66_PLUS"]
 PROTEIN_GROUPS = ["LOW", "MODERATE", "HIGH"]
 SOURCE_GROUPS = ["animal", "plant", "unclassified"]
-RECONCILE_TOLERANCE_G = 0.1
+RECONCILE_TOLERANCE_G = "0.1"
 
 
 def model_checks(stg: dict[str, DataFrame], models: dict[str, DataFrame],

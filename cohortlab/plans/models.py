@@ -5,9 +5,9 @@ group map; M3 <- M2; M4 <- M1, M3; M5 <- M4; M6 <- M1, M3.
 
 Partitioning: every respondent-level input joins on ``respondent_key``. The
 demo side is exchanged once and the four left joins reuse that hash
-partitioning; M3 aggregates by ``respondent_key`` alone, so its output is
-already partitioned for the join into M4/M6, and Catalyst can drop that join
-when no M3 column is read. Null-rejecting filters in M4/M6 turn the outer
+partitioning. M4 and M6 read no descriptive column of M3, so they join the item
+sums grouped by ``respondent_key`` alone, whose output is already partitioned for
+that join; M3's own output keeps its five grouping columns. Null-rejecting filters in M4/M6 turn the outer
 joins they touch into inner joins.
 
 Each model is one SQL statement over its input DataFrames, so building the
@@ -16,7 +16,7 @@ DAG costs a few driver-to-JVM calls per model.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -103,7 +103,10 @@ def protein_items(stg: dict[str, DataFrame], group_map: DataFrame) -> DataFrame:
 SOURCE_GROUPS = ("animal", "plant", "unclassified")
 
 
-def protein_source_estimates(items: DataFrame) -> DataFrame:
+DESCRIPTIVE = ("respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label")
+
+
+def protein_source_estimates(items: DataFrame, descriptive: Sequence[str] = DESCRIPTIVE) -> DataFrame:
     """M3: per respondent, day-1 and day-2 item totals by protein source.
 
     The reference aggregates per (respondent, day) and then pivots the two
@@ -115,7 +118,8 @@ def protein_source_estimates(items: DataFrame) -> DataFrame:
 
     The respondent's descriptive columns are grouping keys (as in the
     reference) rather than ``max()`` aggregates: a string aggregate buffer
-    would force a sort-based aggregate over every item row.
+    would force a sort-based aggregate over every item row. With no
+    ``descriptive`` columns the result is keyed, and partitioned, by respondent.
     """
     aggs = []
     for d in (1, 2):
@@ -131,8 +135,8 @@ def protein_source_estimates(items: DataFrame) -> DataFrame:
         for g in SOURCE_GROUPS:
             aggs.append(f"cast(sum(CASE WHEN {on} THEN (CASE WHEN protein_source_group = '{g}' THEN 1 "
                         f"ELSE 0 END) END) as bigint) AS day_{d}_{g}_item_count")
-    agg = aggregate(items, [KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label"], aggs)
-    out = [KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label"]
+    agg = aggregate(items, [KEY, *descriptive], aggs)
+    out = [KEY, *descriptive]
     for d in (1, 2):
         total = f"day_{d}_item_protein_g"
         out += [
@@ -279,12 +283,14 @@ def build_all(spark: SparkSession, stg: dict[str, DataFrame],
             daily, items = fd.result(), fi.result()
     c = cut or (lambda name, df: df)
     sources = c("protein_source_estimates", protein_source_estimates(items))
-    cohort = c("validation_cohort", validation_cohort(daily, sources))
+    # a stored M3 is read as it is; otherwise the sums keyed by respondent
+    keyed = sources if cut is not None else protein_source_estimates(items, ())
+    cohort = c("validation_cohort", validation_cohort(daily, keyed))
     return {
         "respondent_daily": daily,
         "protein_items": items,
         "protein_source_estimates": sources,
         "validation_cohort": cohort,
         "validation_summary": validation_summary(cohort),
-        "cycle_protein_trends": cycle_protein_trends(daily, sources),
+        "cycle_protein_trends": cycle_protein_trends(daily, keyed),
     }

@@ -21,7 +21,8 @@ from cohortlab.operators import aggregates as A
 from cohortlab.operators import quality as Q
 from cohortlab.operators import reshape as RS
 from cohortlab.operators.joins import left_star_join, lookup_join
-from cohortlab.plans import checks, models
+from cohortlab.plans import checks
+from cohortlab.plans import reports as RP
 from cohortlab.plans.staging import stg_source_catalog
 from cohortlab.session import checkpoint_dir
 from cohortlab.sinks import tables as SNK
@@ -29,7 +30,7 @@ from cohortlab.sources import catalog as CAT
 from cohortlab.sources import ingest as ING
 from cohortlab.sources import landing as L
 from cohortlab.sources import seeds
-from cohortlab.streaming.incremental import run_incremental
+from cohortlab.streaming.incremental import latest_release, run_incremental
 
 KEY = "respondent_key"
 
@@ -209,7 +210,9 @@ def join_left_multikey(spark, d):
 
 
 def join_lookup_default(spark, d):
-    items = project(_stage(spark, d)["stg_dr1iff"], ["protein_item_key", "food_code_major_group"])
+    s = _stage(spark, d)
+    items = RS.union_all_by_name([project(s[f"stg_dr{day}iff"], ["protein_item_key", "food_code_major_group"])
+                                  for day in (1, 2)])
     gm = project(seeds.group_map(spark), ["food_code_major_group", "major_group_label", "protein_source_group"])
     return lookup_join(items, gm, "food_code_major_group",
                        {"major_group_label": "Unknown", "protein_source_group": "unclassified"},
@@ -257,9 +260,10 @@ def agg_weighted_rate(spark, d):
 # ------------------------------------------------------------ reshape, set, order
 def reshape_pivot(spark, d):
     items = _dag(spark, d)["protein_items"]
-    return RS.pivot_builtin(items, [KEY], "recall_day", [1, 2],
-                            {"item_protein_g": "sum(protein_g)", "item_count": "count(1)"},
-                            lambda v, stem: f"day_{v}_{stem}")
+    return RS.pivot_wide(items, [KEY], "recall_day", [1, 2],
+                         {"item_protein_g": lambda on: f"sum(CASE WHEN {on} THEN protein_g END)",
+                          "item_count": lambda on: f"nullif(count(CASE WHEN {on} THEN 1 END), 0)"},
+                         lambda v, stem: f"day_{v}_{stem}")
 
 
 def _li_wide(spark, d):
@@ -283,7 +287,7 @@ def set_union_all(spark, d):
 
 def sort_category(spark, d):
     cohort = project(_dag(spark, d)["validation_cohort"], [KEY, "protein_group_day_1"])
-    return RS.order_by_category(cohort, "protein_group_day_1", ["LOW", "MODERATE", "HIGH"], "protein_group_order")
+    return RS.order_by_category(cohort, "protein_group_day_1", ["LOW", "MODERATE", "HIGH"], "protein_group_order", [KEY])
 
 
 def scalar_functions(spark, d):
@@ -319,21 +323,17 @@ def src_fixed_width(spark, d):
     return ING.parse_mortality_lines(project(_mortality_lines(spark, d), ["value"]))
 
 
-def _demo_raw(cust: DataFrame, with_education: bool = True) -> DataFrame:
-    cols = ["cast(c_custkey as double) AS seqn", "cast((c_custkey * 7) % 86 as double) AS ridageyr"]
-    if with_education:
-        cols.append("cast(1 + c_custkey % 5 as double) AS dmdeduc2")
-    return cust, cols
-
-
 def _tagged_cycles(spark, d, drift: bool) -> DataFrame:
     """Every cycle's frame tagged with its loader metadata; with ``drift`` the
-    education column is absent from odd cycles."""
-    cust = L.read_driver(spark, d, "customer")
+    education column is absent from odd cycles. Each frame reads one cycle's
+    partition of the landed table, so together they read it once."""
+    landed = L.landed_tables(spark, d)["demo"]
     frames = []
     for i, (start, end, sfx) in enumerate(L.CYCLES):
-        src, cols = _demo_raw(cust, with_education=not (drift and i % 2 == 1))
-        raw = project(src, cols, where=f"c_custkey % 8 = {i}")
+        cols = ["SEQN AS seqn", "cast((cast(SEQN as bigint) * 7) % 86 as double) AS ridageyr"]
+        if not (drift and i % 2 == 1):
+            cols.append("DMDEDUC2 AS dmdeduc2")
+        raw = project(landed, cols, where=f"CYCLE_START_YEAR = {start}")
         code = ING.file_code_for("DEMO_{suffix}", sfx)
         frames.append(ING.add_common_metadata(raw, start, end, f"landing/{start}/{code}.xpt", code, "demo"))
     return ING.union_cycles(frames)
@@ -349,8 +349,32 @@ def ing_union_cycles(spark, d):
     return _tagged_cycles(spark, d, drift=True)
 
 
+def _cycles(spark) -> DataFrame:
+    return spark.createDataFrame([(s, e) for s, e, _ in L.CYCLES], "cycle_start_year long, cycle_end_year long")
+
+
+def _listing(spark, d) -> DataFrame:
+    """Release listing text: one file name per respondent, of one of three releases."""
+    k = "c_custkey"
+    name = L.mortality_file_code(f"2003 + 2 * ({k} % 8)", f"2004 + 2 * ({k} % 8)",
+                                 f"2011 + 4 * (cast(floor({k} / 8) as bigint) % 3)")
+    return project(L.read_driver(spark, d, "customer"), [f"concat('<a href=\"', {name}, '.dat\">') AS listing"])
+
+
+def _releases(spark, d) -> DataFrame:
+    return CAT.latest_release_years(_listing(spark, d), "listing", cycles=_cycles(spark))
+
+
+def _followups(spark, d) -> DataFrame:
+    """Every page, a third of them with the sentence that names a horizon."""
+    page = ("CASE WHEN page_id % 3 = 0 THEN concat(html, '<p>Updated with mortality follow-up data through December 31, ', "
+            "2010 + page_id % 10, '.</p>') ELSE html END")
+    pages = project(L.read_driver(spark, d, "pages"), ["page_id", f"{page} AS html"])
+    return project(pages, ["page_id", f"{CAT.followup_text('html')} AS followup_through"])
+
+
 def _catalog(spark, d):
-    return CAT.source_catalog(L.landed_tables(spark, d))
+    return CAT.source_catalog(L.landed_tables(spark, d), _releases(spark, d), _followups(spark, d))
 
 
 def ing_source_catalog(spark, d):
@@ -362,40 +386,44 @@ def stg_source_catalog_q(spark, d):
 
 
 def ing_latest_release(spark, d):
-    return CAT.latest_release_years(L.landed_tables(spark, d)["mortality"], "SOURCE_URL")
+    return _releases(spark, d)
 
 
 def ing_followup_text(spark, d):
-    return project(L.read_driver(spark, d, "pages"), ["page_id", f"{CAT.followup_text('html')} AS followup_through"])
+    return _followups(spark, d)
 
 
 def ing_manifest(spark, d):
     return CAT.run_manifest(_catalog(spark, d))
 
 
+def _release_files(spark, d, release: int, where: str, path: str) -> None:
+    """Fixed-width files of one release: a folder per file code, several files in each."""
+    code = L.mortality_file_code("cycle", "cycle + 1", str(release))
+    lines = project(_mortality_lines(spark, d), ["value", f"{code} AS file_code"], where=where)
+    lines.repartition(3, "value").write.mode("append").partitionBy("file_code").text(path)
+
+
 def ing_incremental(spark, d):
-    """Land mortality files per cycle, run the availableNow stream twice, read the result."""
-    files = _mortality_lines(spark, d)
-    src, dst = _scratch(spark, "mort-src"), _scratch(spark, "mort-landed")
-    for s, e, _ in L.CYCLES:
-        staging = os.path.join(src, "_staging", str(s))
-        files.filter(f"cycle = {s}").select("value").coalesce(1).write.mode("overwrite").text(staging)
-        _move_single_part(spark, staging, os.path.join(src, f"SURVEY_{s}_{e}_MORT_2019_PUBLIC.dat"))
-    ckpt = _scratch(spark, "mort-ckpt")
+    """Two releases per cycle land in the wrong order, each in several files; the newest is read."""
+    src, dst, ckpt = (_scratch(spark, f"mort-{x}") for x in ("src", "landed", "ckpt"))
+    _release_files(spark, d, 2019, "true", src)
     run_incremental(spark, src, dst, ckpt)
-    run_incremental(spark, src, dst, ckpt)  # rerun with no new files: a no-op
-    landed = spark.read.parquet(dst)
-    return project(landed, [f"`{c}`" for c in landed.columns if c != "CYCLE_START_YEAR"]
-                   + ["cast(CYCLE_START_YEAR as bigint) AS CYCLE_START_YEAR"])
+    _release_files(spark, d, 2015, "cast(trim(substring(value, 1, 14)) as bigint) % 2 = 0", src)
+    run_incremental(spark, src, dst, ckpt)  # older and late: kept aside
+    run_incremental(spark, src, dst, ckpt)  # nothing new: a no-op
+    return latest_release(spark, dst)
 
 
-def _move_single_part(spark: SparkSession, folder: str, target: str) -> None:
-    """Rename the one ``part-*`` file of ``folder`` to ``target`` (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path
-    fs = hpath(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = fs.globStatus(hpath(folder + "/part-*"))
-    fs.rename(parts[0].getPath(), hpath(target))
+def ing_load_files(spark, d):
+    """The loader: release files of two years -> landing rows of each cycle's newest release."""
+    src = _scratch(spark, "mort-files")
+    _release_files(spark, d, 2019, "true", src)
+    _release_files(spark, d, 2015, "true", src)
+    landed = ING.read_mortality_files(spark, src, _releases(spark, d))
+    path = _scratch(spark, "mort-table")
+    SNK.write_table(landed, path, ["CYCLE_START_YEAR"])
+    return spark.read.schema(landed.schema).parquet(path)
 
 
 # ------------------------------------------------------------ sinks
@@ -418,6 +446,27 @@ def snk_range_partition(spark, d):
                      ["count(1) AS respondent_n"])
 
 
+def snk_full_refresh_shrinks(spark, d):
+    """All cycles, then only the later half: withdrawn partitions must go."""
+    rows = project(L.landed_tables(spark, d)["mortality"], ["SEQN", "CYCLE_START_YEAR"])
+    path = _scratch(spark, "refresh")
+    SNK.write_table(rows, path, ["CYCLE_START_YEAR"])
+    SNK.write_table(rows.filter("CYCLE_START_YEAR >= 2011"), path, ["CYCLE_START_YEAR"])
+    return spark.read.schema("SEQN double, CYCLE_START_YEAR long").parquet(path)
+
+
+def mart_build(spark, d):
+    """The stored cohort, read back from its partitioned table."""
+    from cohortlab.plans.queries import stored_marts
+    return stored_marts(spark, d)["validation_cohort"]
+
+
+def flt_protein_type(spark, d):
+    """FLT8 on M8 over the stored cohort."""
+    from cohortlab.plans.queries import stored_marts
+    return RP.protein_type_rates(RP.source_rates_long(stored_marts(spark, d)["validation_cohort"]), "Plant Protein")
+
+
 # ------------------------------------------------------------ data quality
 def dq_not_null(spark, d):
     return project(Q.not_null_failures(_stage(spark, d)["stg_demo"], "age_years"), [KEY, "age_years"])
@@ -432,8 +481,17 @@ def dq_accepted_values(spark, d):
                                       ["signup", "click", "view", "purchase"])
 
 
+def _shifted(m: dict) -> dict:
+    """The models with day totals moved by exactly the tolerance, by a little more, and not at all."""
+    shift = ("CASE WHEN respondent_id % 7 = 1 THEN cast('0.1' as decimal(38,9)) "
+             "WHEN respondent_id % 7 = 2 THEN cast('0.11' as decimal(38,9)) ELSE cast(0 as decimal(38,9)) END")
+    daily = project(m["respondent_daily"], [KEY, "respondent_id", *[
+        f"cast(day_{day}_protein_g as decimal(38,9)) + {shift} AS day_{day}_protein_g" for day in (1, 2)]])
+    return {**m, "respondent_daily": daily}
+
+
 def dq_reconcile(spark, d):
-    m = _dag(spark, d)
+    m = _shifted(_dag(spark, d))
     return RS.union_all_by_name([
         project(checks.reconciliation(m, day), [
             KEY, f"{day} AS recall_day", f"day_{day}_protein_g AS total_protein_g",
@@ -442,12 +500,16 @@ def dq_reconcile(spark, d):
 
 
 def dq_report(spark, d):
-    stg = _stage(spark, d)
-    lt = L.landed_tables(spark, d)
-    stg["stg_source_catalog"] = stg_source_catalog(CAT.source_catalog(lt))
-    # Build the models once (tables on shared storage), then test them.
-    m = models.build_all(spark, stg, cut=SNK.table_cut(spark, _scratch(spark, "models")))
-    return checks.full_report(stg, m, seeds.group_map(spark))
+    """All tests on the stored tables, and again on spoilt ones that must fail."""
+    from cohortlab.plans.queries import stored_marts
+    stg = dict(_stage(spark, d))
+    stg["stg_source_catalog"] = stg_source_catalog(_catalog(spark, d))
+    m = stored_marts(spark, d)
+    spoilt = project(m["validation_cohort"], [
+        KEY, "CASE WHEN respondent_id % 10 = 3 THEN concat('BAND_', respondent_id % 4) ELSE age_band_levine END AS age_band_levine"])
+    bad = Q.TableChecks("spoilt_cohort", spoilt, not_null=[KEY], unique=[KEY], accepted={"age_band_levine": checks.COHORT_BANDS})
+    moved = [(f"shifted_totals_match_day_{day}", "spoilt_daily", checks.reconciliation(_shifted(m), day)) for day in (1, 2)]
+    return RS.union_all_by_name([checks.full_report(stg, m, seeds.group_map(spark)), Q.quality_report([bad], moved)])
 
 
 OPERATOR_QUERIES = {
@@ -499,8 +561,12 @@ OPERATOR_QUERIES = {
     "ing_followup_text": ing_followup_text,
     "ing_manifest": ing_manifest,
     "ing_incremental": ing_incremental,
+    "ing_load_files": ing_load_files,
     "snk_overwrite_roundtrip": snk_overwrite_roundtrip,
     "snk_range_partition": snk_range_partition,
+    "snk_full_refresh_shrinks": snk_full_refresh_shrinks,
+    "mart_build": mart_build,
+    "flt_protein_type": flt_protein_type,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,

@@ -19,8 +19,9 @@ from cohortlab.functions.sql import project, q
 from cohortlab.plans import flow as FL
 from cohortlab.plans import models as M
 from cohortlab.plans import reports as RP
-from cohortlab.plans.staging import staged
-from cohortlab.sources.landing import landed_tables
+from cohortlab.plans import marts as MB
+from cohortlab.plans.staging import Staged, staged
+from cohortlab.sources.landing import Landed, landed_tables
 
 ROUND_PLACES = 6
 
@@ -40,26 +41,31 @@ def present(df: DataFrame, places: int = ROUND_PLACES) -> DataFrame:
 
 
 # Staging views and the model DAG are lazy plan objects; like views they are
-# defined once per application and data folder and shared by every query
-# (no data is cached: each action reads the landed Parquet again).
-_PLANS: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+# defined once per application and version of the data folder and shared by every
+# query (no data is cached: each action reads the landed Parquet again).
+_PLANS: dict[tuple[str, Landed], object] = {}
 _PLANS_LOCK = threading.RLock()  # dag() builds stage() under the lock
 
 
-def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> dict[str, DataFrame]:
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    landed = landed_tables(spark, sf_dir)
     with _PLANS_LOCK:
-        if key not in _PLANS:
-            _PLANS[key] = build()
-    return dict(_PLANS[key])
+        if (kind, landed) not in _PLANS:
+            _PLANS[kind, landed] = build(landed)
+        return _PLANS[kind, landed]
 
 
-def stage(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _memo("stage", spark, sf_dir, lambda: staged(landed_tables(spark, sf_dir)))
+def stage(spark: SparkSession, sf_dir: str) -> Staged:
+    return _memo("stage", spark, sf_dir, staged)
 
 
 def dag(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _memo("dag", spark, sf_dir, lambda: M.build_all(spark, stage(spark, sf_dir)))
+    return _memo("dag", spark, sf_dir, lambda _: M.build_all(spark, stage(spark, sf_dir)))
+
+
+def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """M1-M6, M9 and M10 built once as tables (laid out and documented), then read back."""
+    return _memo("marts", spark, sf_dir, lambda landed: MB.build_marts(spark, landed, stage(spark, sf_dir)))
 
 
 def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validation_summary": _model("validation_summary"),
     "cycle_trends": _model("cycle_protein_trends"),
     # dashboard reports (M7, M8)
-    "mortality_rates_long": lambda spark, d: present(RP.mortality_rates_long(_cohort(spark, d), spark)),
+    "mortality_rates_long": lambda spark, d: present(RP.mortality_rates_long(_cohort(spark, d))),
     "source_rates_long": lambda spark, d: present(RP.source_rates_long(_cohort(spark, d))),
     # orchestrator flow (M9, M10)
     "flow_cohort": lambda spark, d: present(_flow_cohort(spark, d)),

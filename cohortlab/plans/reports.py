@@ -1,4 +1,4 @@
-"""Dashboard report queries M7, M8 and the static-rate fallback (SRC8).
+"""Dashboard report queries M7 and M8.
 
 Both reports aggregate the cohort mart to at most a few dozen rows first and
 reshape only the aggregate; nothing is collected.
@@ -6,13 +6,12 @@ reshape only the aggregate; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from cohortlab.functions import bands as B
 from cohortlab.functions.sql import aggregate, project, q
 from cohortlab.operators.aggregates import weighted_rate
 from cohortlab.operators.reshape import melt, order_by_category, relabel, title_label
-from cohortlab.sources import seeds
 
 # Display relabels, cause names, CVD cause codes, intake order.
 AGE_DISPLAY = {"50_65": "50-65", "66_PLUS": "66+"}
@@ -22,25 +21,6 @@ INTAKE_ORDER = ["LOW", "MODERATE", "HIGH"]
 WEIGHT = "day_1_recall_weight_16yr"
 
 
-def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """``primary`` if it has rows, else ``fallback``, decided inside the plan.
-
-    The fallback rows are anti-joined against at most one row of the primary,
-    so the check costs a ``limit(1)`` and never a driver round trip.
-    """
-    probe = primary.limit(1)
-    kept = fallback.sparkSession.sql(
-        "SELECT * FROM {f} WHERE NOT EXISTS (SELECT 1 FROM {p})", f=fallback, p=probe)
-    return primary.unionByName(kept)
-
-
-def static_rates_long(spark: SparkSession) -> DataFrame:
-    w = seeds.static_rates_wide(spark)
-    named = project(w, ["age_group", "protein_intake", *[
-        f"{c} AS {q(n)}" for c, n in zip(["all_cause_mortality", "cancer", "diabetes", "cvd"], CAUSES)]])
-    return melt(named, ["age_group", "protein_intake"], CAUSES, "cause", "rate_per_1000")
-
-
 def mortality_rates_wide(cohort: DataFrame) -> DataFrame:
     """Four weighted death rates per 1,000 by age band and protein group."""
     codes = ", ".join(B.lit(c) for c in CVD_CAUSE_CODES)
@@ -52,16 +32,11 @@ def mortality_rates_wide(cohort: DataFrame) -> DataFrame:
         where="age_band_levine IS NOT NULL AND protein_group_day_1 IS NOT NULL")
 
 
-def mortality_rates_long(cohort: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """M7: long form (age group, intake, cause, rate), display labels, intake ordinal.
-
-    With ``spark`` given, the static rates replace an empty mart result.
-    """
+def mortality_rates_long(cohort: DataFrame) -> DataFrame:
+    """M7: long form (age group, intake, cause, rate), display labels, intake ordinal."""
     wide = mortality_rates_wide(cohort)
     long = relabel(melt(wide, ["age_group", "protein_intake"], CAUSES, "cause", "rate_per_1000"),
                    "age_group", AGE_DISPLAY)
-    if spark is not None:
-        long = with_fallback(long, static_rates_long(spark))
     return order_by_category(long, "protein_intake", INTAKE_ORDER, ordinal_name="protein_intake_order")
 
 
@@ -99,3 +74,8 @@ def source_rates_long(cohort: DataFrame) -> DataFrame:
     long = relabel(long, "age_band_levine", AGE_DISPLAY)
     return project(long, ["age_band_levine", "protein_type", "protein_quartile",
                           f"{title_label('disease')} AS disease", "rate_per_1000"])
+
+
+def protein_type_rates(rates: DataFrame, protein_type: str) -> DataFrame:
+    """FLT8: the M8 rows of one protein type."""
+    return rates.filter(f"protein_type = {B.lit(protein_type)}")

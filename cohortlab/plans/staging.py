@@ -7,6 +7,8 @@ Catalyst prunes whatever the downstream model does not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame
 
 from cohortlab.functions.casts import (
@@ -124,20 +126,37 @@ def stg_source_catalog(catalog: DataFrame) -> DataFrame:
     ])
 
 
-def staged(landing: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Stage every landing table present in ``landing``."""
-    out: dict[str, DataFrame] = {}
-    if "demo" in landing:
-        out["stg_demo"] = stg_demo(landing["demo"])
-    for day in (1, 2):
-        if f"dr{day}tot" in landing:
-            out[f"stg_dr{day}tot"] = stg_totals(landing[f"dr{day}tot"], day)
-        if f"dr{day}iff" in landing:
-            out[f"stg_dr{day}iff"] = stg_items(landing[f"dr{day}iff"], day)
-    if "glu" in landing:
-        out["stg_glu"] = stg_glucose(landing["glu"])
-    if "mortality" in landing:
-        out["stg_mortality"] = stg_mortality(landing["mortality"])
-    if "source_catalog" in landing:
-        out["stg_source_catalog"] = stg_source_catalog(landing["source_catalog"])
-    return out
+STAGED = {
+    "stg_demo": ("demo", stg_demo),
+    "stg_dr1tot": ("dr1tot", lambda t: stg_totals(t, 1)),
+    "stg_dr2tot": ("dr2tot", lambda t: stg_totals(t, 2)),
+    "stg_dr1iff": ("dr1iff", lambda t: stg_items(t, 1)),
+    "stg_dr2iff": ("dr2iff", lambda t: stg_items(t, 2)),
+    "stg_glu": ("glu", stg_glucose),
+    "stg_mortality": ("mortality", stg_mortality),
+    "stg_source_catalog": ("source_catalog", stg_source_catalog),
+}
+
+
+class Staged(Mapping):
+    """The staging view of every landing table there is; a view lands its table when first used."""
+
+    def __init__(self, landing: Mapping[str, DataFrame]) -> None:
+        self.landing = landing
+        self.views: dict[str, DataFrame] = {}
+
+    def __iter__(self) -> Iterator[str]:
+        return (name for name, (source, _) in STAGED.items() if source in list(self.landing))
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.views:
+            source, build = STAGED[name]
+            self.views[name] = build(self.landing[source])
+        return self.views[name]
+
+
+def staged(landing: Mapping[str, DataFrame]) -> Staged:
+    return Staged(landing)

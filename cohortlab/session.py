@@ -21,9 +21,11 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # many small shuffle partitions that adaptive execution joins up: the number
+    # bounds a partition's size at scale and costs little on small data
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -47,6 +49,7 @@ def build_session(
     conf = dict(BASE_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     if extra_conf:
         conf.update(extra_conf)
     for key, value in conf.items():
@@ -65,11 +68,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and stream checkpoints.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in local tests, a fresh scratch folder is made and registered.
+    unset on a local master, as in tests, a fresh scratch folder is made; on a
+    cluster every executor would write to its own disk, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cohortlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

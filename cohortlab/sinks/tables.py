@@ -3,12 +3,13 @@
 * full refresh: ``mode("overwrite")`` is rerun-safe;
 * integer-range partitioning: a derived bucket column ``floor((y - start) / step)``
   used with ``partitionBy``, so readers filtering on the year prune files;
-* clustering: rows are range-partitioned by (bucket, cluster keys) and sorted
-  within each file, so Parquet min/max statistics skip row groups;
+* clustering: rows are range-partitioned by (bucket, cluster keys, row hash) and
+  sorted within each file, so Parquet min/max statistics skip row groups; the
+  hash splits a key that holds more rows than a task should;
 * column comments are kept as field metadata and land in the catalog.
 
-Writers use the folder the cluster configures (``spark.checkpoint.dir`` for
-scratch tables); nothing is written to a machine-local folder on a cluster.
+Full-refresh writers replace the whole table whatever the session's overwrite
+mode is; only ``write_partitions`` keeps the partitions it does not touch.
 """
 
 from __future__ import annotations
@@ -33,9 +34,14 @@ def range_bucket(year: str, start: int = 2003, end: int = 2019, step: int = 2) -
 
 def clustered(df: DataFrame, partition_cols: Sequence[str], cluster_cols: Sequence[str],
               num_partitions: int | None = None) -> DataFrame:
-    """Lay rows out for pruning: range-partition by partition + cluster keys, sort in files."""
+    """Lay rows out for pruning: range-partition by partition + cluster keys, sort in files.
+
+    The row hash is the last range key: with few key tuples the rows still
+    spread over all partitions, and a hot tuple is split.
+    """
     keys = [*partition_cols, *cluster_cols]
-    rp = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranges = [*[F.col(f"`{k}`") for k in keys], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    rp = df.repartitionByRange(num_partitions, *ranges) if num_partitions else df.repartitionByRange(*ranges)
     return rp.sortWithinPartitions(*keys)
 
 
@@ -43,7 +49,7 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
                 cluster_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Full-refresh write (overwrite) with optional range partitioning and clustering."""
     out = clustered(df, partition_cols, cluster_cols) if cluster_cols else df
-    w = out.write.mode("overwrite").format(fmt)
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.save(path)
@@ -66,7 +72,7 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
 def save_table(spark: SparkSession, df: DataFrame, name: str, comment: str | None = None,
                partition_cols: Sequence[str] = ()) -> None:
     """Managed-table full refresh; a table comment is set when given."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.saveAsTable(name)
@@ -74,15 +80,15 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, comment: str | Non
         spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
 
 
-def _ddl(df: DataFrame) -> str:
+def ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def write_and_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` (overwrite) and return the table read back."""
-    ddl = _ddl(df)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(ddl).parquet(path)
+    schema = ddl(df)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def table_cut(spark: SparkSession, root: str):
@@ -94,7 +100,3 @@ def table_cut(spark: SparkSession, root: str):
     """
     return lambda name, df: write_and_read(spark, df, f"{root}/{name}")
 
-
-def materialize(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write each DataFrame as a Parquet table under ``root`` and read it back."""
-    return {name: write_and_read(spark, df, f"{root}/{name}") for name, df in frames.items()}

@@ -1,13 +1,15 @@
 """Source catalog, release-year and follow-up extraction, run manifest (ING4-ING8).
 
-The catalog is derived from what actually landed: every landing row carries
-its asset type, file code, cycle and source, so the catalog is the distinct
-metadata of the landing tables (a partial-aggregated distinct per table,
-a few rows per partition before the shuffle) sorted like the loader's list.
+The catalog lists each landed file once: its asset, code, cycle and source come
+from the landing tables' partitions, its release year from the listing's newest
+release of the cycle (an error when there is none), and the follow-up horizon from
+the release page.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from cohortlab.functions.bands import lit
@@ -22,24 +24,33 @@ CATALOG_COLUMNS = [
 ]
 
 
-def source_catalog(landing: dict[str, DataFrame], followup_through: str | None = None,
-                   note: str = notes.CATALOG_NOTE) -> DataFrame:
-    """Distinct landed assets per cycle, sorted by start year, asset type, file code."""
+def source_catalog(landing: Mapping[str, DataFrame], releases: DataFrame | None = None,
+                   followup: DataFrame | None = None, note: str = notes.CATALOG_NOTE) -> DataFrame:
+    """Distinct landed assets per cycle, sorted by start year, asset type, file code.
+
+    ``releases``: (cycle_start_year, latest_release_year), for mortality files;
+    ``followup``: rows with a column ``followup_through``, of which the largest
+    is stamped on every row. Without them the columns are NULL.
+    """
     parts = []
-    for asset, df in landing.items():
+    for asset in landing:
         is_dat = asset == "mortality"
-        release = "cast(MORTALITY_PUBLIC_RELEASE_YEAR as bigint)" if is_dat else "cast(NULL as bigint)"
-        parts.append(aggregate(df, [
+        parts.append(aggregate(landing[asset], [
             "ASSET_TYPE AS asset_type", "FILE_CODE AS file_code",
             f"{lit('DAT' if is_dat else 'XPT')} AS file_format",
             "cast(CYCLE_START_YEAR as bigint) AS cycle_start_year",
             "cast(CYCLE_END_YEAR as bigint) AS cycle_end_year",
-            "CYCLE_LABEL AS cycle_label", "SOURCE_URL AS source_url",
-            f"{release} AS mortality_public_release_year"], []))
-    cat = project(union_all_by_name(parts), [
-        "*", f"cast({lit(followup_through)} as string) AS mortality_followup_available_through",
-        f"{lit(note)} AS paper_comparability_note"])
-    return project(cat, CATALOG_COLUMNS).orderBy("cycle_start_year", "asset_type", "file_code")
+            "CYCLE_LABEL AS cycle_label", "SOURCE_URL AS source_url"], []))
+    cat = union_all_by_name(parts)  # a row per landed file
+    spark = cat.sparkSession
+    rel = releases if releases is not None else spark.createDataFrame([], "cycle_start_year long, latest_release_year long")
+    through = followup if followup is not None else spark.createDataFrame([], "followup_through string")
+    text = ("SELECT c.*, CASE WHEN file_format = 'DAT' THEN r.latest_release_year END AS mortality_public_release_year, "
+            "(SELECT max(followup_through) FROM {f}) AS mortality_followup_available_through, "
+            f"{lit(note)} AS paper_comparability_note "
+            "FROM {c} c LEFT JOIN {r} r ON c.cycle_start_year = r.cycle_start_year")
+    return project(spark.sql(text, c=cat, r=rel, f=through), CATALOG_COLUMNS).orderBy(
+        "cycle_start_year", "asset_type", "file_code")
 
 
 def release_file_pattern(prefix: str = "SURVEY") -> str:
@@ -48,12 +59,13 @@ def release_file_pattern(prefix: str = "SURVEY") -> str:
 
 
 def latest_release_years(listing: DataFrame, text_col: str, prefix: str = "SURVEY",
-                         fail_if_missing: bool = False) -> DataFrame:
+                         cycles: DataFrame | None = None) -> DataFrame:
     """Latest release year per cycle found in listing text (ING6).
 
     Every file name in every listing row is extracted (``regexp_extract_all``),
     exploded and reduced with ``max`` per cycle: a distributed find-all + max.
-    With ``fail_if_missing`` a cycle without any release raises at runtime.
+    With ``cycles`` (cycle_start_year, cycle_end_year) the result has exactly
+    these, and a cycle without any release raises at runtime.
     """
     pat = lit(release_file_pattern(prefix))
     names = project(listing, [f"explode(regexp_extract_all({text_col}, {pat}, 0)) AS f"])
@@ -61,11 +73,12 @@ def latest_release_years(listing: DataFrame, text_col: str, prefix: str = "SURVE
         f"cast(regexp_extract(f, {pat}, 1) as bigint) AS cycle_start_year",
         f"cast(regexp_extract(f, {pat}, 2) as bigint) AS cycle_end_year"],
         [f"max(cast(regexp_extract(f, {pat}, 3) as bigint)) AS latest_release_year"])
-    if fail_if_missing:
-        out = project(out, ["cycle_start_year", "cycle_end_year",
-                            "coalesce(latest_release_year, cast(raise_error("
-                            "'no public mortality release found for a cycle') as bigint)) AS latest_release_year"])
-    return out
+    if cycles is None:
+        return out
+    return out.sparkSession.sql(
+        "SELECT cycle_start_year, cycle_end_year, coalesce(o.latest_release_year, cast(raise_error(concat("
+        "'no public mortality release found for cycle ', cycle_start_year)) as bigint)) AS latest_release_year "
+        "FROM {c} c LEFT JOIN {o} o USING (cycle_start_year, cycle_end_year)", c=cycles, o=out)
 
 
 def latest_release_for_cycle(text: str, start: int, end: int, prefix: str = "SURVEY") -> str:
@@ -74,6 +87,7 @@ def latest_release_for_cycle(text: str, start: int, end: int, prefix: str = "SUR
     return f"array_max(transform(regexp_extract_all({text}, {pat}, 1), y -> cast(y as int)))"
 
 
+# Fixed value: the sentence on the release page that names the horizon.
 FOLLOWUP_PATTERN = r"(?i)updated with mortality follow-up data through ([^.]+?\d{4})"
 
 
@@ -82,8 +96,9 @@ def followup_text(text: str) -> str:
     return f"nullif(trim(regexp_extract({text}, {lit(FOLLOWUP_PATTERN)}, 1)), '')"
 
 
-def run_manifest(catalog: DataFrame, window: str = "2003-2018") -> DataFrame:
-    """One-row JSON manifest: window, cycles, assets, release year per cycle (ING8).
+def run_manifest(catalog: DataFrame, window: str = "2003-2018", linkage_note: str = notes.LINKAGE_NOTE,
+                 note: str = notes.CATALOG_NOTE) -> DataFrame:
+    """One-row JSON manifest: window, cycles, assets, release year per cycle, horizon, two notes (ING8).
 
     The catalog is first reduced per cycle, then once more to a single row,
     so every collect is bounded by the number of cycles.
@@ -99,4 +114,5 @@ def run_manifest(catalog: DataFrame, window: str = "2003-2018") -> DataFrame:
         "max(followup) AS mortality_followup_available_through"])
     return project(doc, [
         f"to_json(struct({lit(window)} AS dataset_window, cycles, survey_assets, "
-        "public_mortality_release_year_by_cycle, mortality_followup_available_through)) AS manifest_json"])
+        "public_mortality_release_year_by_cycle, mortality_followup_available_through, "
+        f"{lit(linkage_note)} AS linked_mortality_note, {lit(note)} AS paper_comparability_note)) AS manifest_json"])

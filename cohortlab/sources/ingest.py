@@ -54,14 +54,6 @@ def file_code_for(template: str, suffix: str, overrides: dict[str, str] | None =
     return (overrides or {}).get(suffix, template.format(suffix=suffix))
 
 
-def file_code_expr(stem: str, suffix: str, overrides: dict[str, str] | None = None) -> str:
-    """Expression form of :func:`file_code_for`: override, else ``stem || '_' || suffix``."""
-    code = f"format_string('%s_%s', {lit(stem)}, {suffix})"
-    for sfx, value in (overrides or {}).items():
-        code = f"(CASE WHEN {suffix} = {lit(sfx)} THEN {lit(value)} ELSE {code} END)"
-    return code
-
-
 def mortality_field_exprs(text_col: str = "value") -> list[str]:
     """Typed columns sliced from a fixed-width mortality line.
 
@@ -88,10 +80,28 @@ def parse_mortality_lines(lines: DataFrame, text_col: str = "value",
                    where=f"trim({text_col}) <> ''")
 
 
-def read_mortality_files(spark: SparkSession, path: str) -> DataFrame:
-    """Read fixed-width mortality files (glob or folder), keeping each row's file name."""
-    raw = spark.read.text(path).selectExpr("value", "_metadata.file_name AS file_name")
-    return parse_mortality_lines(raw, keep=["file_name"])
+def read_mortality_files(spark: SparkSession, path: str, releases: DataFrame | None = None) -> DataFrame:
+    """Fixed-width mortality files (glob or folder) as landing rows.
+
+    Cycle, file code and source come from each file's path; files whose path
+    names no cycle are skipped. The release year is that of the file name, or the
+    cycle's newest in ``releases`` (cycle_start_year, latest_release_year).
+    """
+    raw = (spark.read.option("recursiveFileLookup", "true").text(path)
+           .selectExpr("value", "_metadata.file_path AS path"))
+    code = r"regexp_extract(path, '([A-Za-z]+_\\d{4}_\\d{4}_MORT_\\d{4}_PUBLIC)', 1)"
+    year = lambda i: f"cast(regexp_extract(path, '_(\\\\d{{4}})_(\\\\d{{4}})_MORT_(\\\\d{{4}})_PUBLIC', {i}) as bigint)"
+    rows = project(raw, [*mortality_field_exprs("value"), f"{year(1)} AS CYCLE_START_YEAR", f"{year(2)} AS CYCLE_END_YEAR",
+                         f"concat({year(1)}, '-', {year(2)}) AS CYCLE_LABEL", f"{code} AS FILE_CODE",
+                         "'mortality' AS ASSET_TYPE", f"concat('landing/mortality/', {code}, '.dat') AS SOURCE_URL",
+                         f"{year(3)} AS MORTALITY_PUBLIC_RELEASE_YEAR"],
+                   where=f"trim(value) <> '' AND {code} <> ''")
+    if releases is None:
+        return rows
+    text = ("SELECT m.* EXCEPT (MORTALITY_PUBLIC_RELEASE_YEAR), r.latest_release_year AS MORTALITY_PUBLIC_RELEASE_YEAR "
+            "FROM {m} m JOIN {r} r ON m.CYCLE_START_YEAR = r.cycle_start_year "
+            "AND m.MORTALITY_PUBLIC_RELEASE_YEAR = r.latest_release_year")
+    return spark.sql(text, m=rows, r=releases)
 
 
 def _field(x: str, width: int, missing: str) -> str:

@@ -17,11 +17,16 @@ map-side partial aggregate.
 
 from __future__ import annotations
 
+import hashlib
+import os
 import threading
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.functions.sql import aggregate, project
+from cohortlab.session import checkpoint_dir
+from cohortlab.sinks.tables import ddl
 
 # The eight survey cycles (start year, end year, file suffix),
 # the asset file-code templates and their per-cycle override.
@@ -215,84 +220,96 @@ def mortality(customer: DataFrame) -> DataFrame:
     ], where=f"{k} % 29 <> 0")
 
 
-def landing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All respondent landing tables, lazily derived from the driver tables."""
-    customer = read_driver(spark, sf_dir, "customer")
-    base = item_base(read_driver(spark, sf_dir, "orders"), read_driver(spark, sf_dir, "lineitem"))
-    dr1iff = items(base, 1)
-    dr2iff = items(base, 2)
-    return {
-        "demo": demo(customer),
-        "dr1iff": dr1iff,
-        "dr2iff": dr2iff,
-        "dr1tot": totals(dr1iff, 1),
-        "dr2tot": totals(dr2iff, 2),
-        "glu": glucose(customer),
-        "mortality": mortality(customer),
-    }
-
-
 # ---------------------------------------------------------------- landed copies
 LANDING_NAMES = ("demo", "dr1iff", "dr2iff", "dr1tot", "dr2tot", "glu", "mortality")
-# (application id, sf_dir) -> (root folder, {table: DDL schema})
-_LANDED: dict[tuple[str, str], tuple[str, dict[str, str]]] = {}
-_LAND_LOCK = threading.Lock()
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
-def land(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """Write every landing table under ``root``, partitioned by cycle start year.
-
-    This is the loader's job (full refresh, one folder per table). The
-    order-line base is written first, so the ``lineitem`` x ``orders`` join and
-    its aggregate run once and the four item/total tables read it back.
-    Returns each table's schema as DDL.
-    """
-    customer = read_driver(spark, sf_dir, "customer")
-    base = item_base(read_driver(spark, sf_dir, "orders"), read_driver(spark, sf_dir, "lineitem"))
-    base.write.mode("overwrite").parquet(f"{root}/_item_base")
-    base = spark.read.parquet(f"{root}/_item_base")
-    tables = {"demo": demo(customer), "glu": glucose(customer), "mortality": mortality(customer)}
-    for day in (1, 2):
-        tables[f"dr{day}iff"] = items(base, day)
-    schemas = {}
-    for name, df in tables.items():
-        df.write.mode("overwrite").partitionBy("CYCLE_START_YEAR").parquet(f"{root}/{name}")
-        schemas[name] = _ddl(df)
-    for day in (1, 2):
-        landed_items = read_landed(spark, f"{root}/dr{day}iff", schemas[f"dr{day}iff"])
-        tot = totals(landed_items, day)
-        tot.write.mode("overwrite").partitionBy("CYCLE_START_YEAR").parquet(f"{root}/dr{day}tot")
-        schemas[f"dr{day}tot"] = _ddl(tot)
-    return schemas
-
-
-def read_landed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A landed table read with its declared schema (partition column stays bigint)."""
-    return spark.read.schema(ddl).parquet(path)
-
-
-def landed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Landing tables written once per application, then read as Parquet.
-
-    The copy lives in the cluster's shared checkpoint folder, so it survives
-    executor loss and cuts the derivation's lineage; every later model reads
-    it with column pruning, pushed filters and cycle partition pruning.
+# (application, folder, input version) -> landed tables
+_LANDED: dict[tuple[str, str, str], "Landed"] = {}
+_LAND_LOCK = threading.RLock()
+
+
+def input_version(spark: SparkSession, sf_dir: str) -> str:
+    """Sizes and times of the driver files, so that changed input is landed anew."""
+    jvm = spark.sparkContext._jvm
+    seen = []
+    for name in DRIVER_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for f in fs.listStatus(path):
+            seen.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
+class Landed(Mapping):
+    """The landing tables of one folder; a table is written when it is first asked for.
+
+    A copy lies in the cluster's shared folder, partitioned by cycle start year:
+    it survives lost executors, cuts the derivation's lineage, and models read it
+    with column and partition pruning. Rows are rebalanced by cycle before the
+    write, so a task writes few files and a large cycle goes to several tasks.
     """
-    import hashlib
-    import os
-
-    from cohortlab.session import checkpoint_dir
 
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str) -> None:
+        self.spark, self.sf_dir, self.root = spark, sf_dir, root
+        self.schemas: dict[str, str] = {}
+
+    __hash__ = object.__hash__  # one object per version of a folder
+    __eq__ = object.__eq__
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(LANDING_NAMES)
+
+    def __len__(self) -> int:
+        return len(LANDING_NAMES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in LANDING_NAMES:
+            raise KeyError(name)
+        with _LAND_LOCK:
+            if name not in self.schemas:
+                self._write(name, self._derived(name), "CYCLE_START_YEAR")
+            return self._read(name)
+
+    def _derived(self, name: str) -> DataFrame:
+        if name in ("demo", "glu", "mortality"):
+            return {"demo": demo, "glu": glucose, "mortality": mortality}[name](self._driver("customer"))
+        day = int(name[2])
+        if name.endswith("tot"):
+            return totals(self[f"dr{day}iff"], day)
+        if "_item_base" not in self.schemas:  # the one big join, for both days
+            self._write("_item_base", item_base(self._driver("orders"), self._driver("lineitem")))
+        return items(self._read("_item_base"), day)
+
+    def _driver(self, name: str) -> DataFrame:
+        return read_driver(self.spark, self.sf_dir, name)
+
+    def _write(self, name: str, df: DataFrame, *partitions: str) -> None:
+        out = df.hint("rebalance", *partitions) if partitions else df
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (w.partitionBy(*partitions) if partitions else w).parquet(f"{self.root}/{name}")
+        self.schemas[name] = ddl(df)
+
+    def _read(self, name: str) -> DataFrame:
+        """With the declared schema: the partition column stays bigint."""
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}")
+
+
+def landed_tables(spark: SparkSession, sf_dir: str) -> Landed:
+    """The landing tables of a folder, shared by all queries of the application."""
     app = spark.sparkContext.applicationId
-    key = (app, sf_dir)
+    key = (app, sf_dir, input_version(spark, sf_dir))
     with _LAND_LOCK:
         if key not in _LANDED:
-            digest = hashlib.sha1(f"{app}|{sf_dir}".encode()).hexdigest()[:16]
-            root = os.path.join(checkpoint_dir(spark), "landing", digest)
-            _LANDED[key] = (root, land(spark, sf_dir, root))
-    root, schemas = _LANDED[key]
-    return {name: read_landed(spark, f"{root}/{name}", schemas[name]) for name in LANDING_NAMES}
+            digest = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
+            _LANDED[key] = Landed(spark, sf_dir, os.path.join(checkpoint_dir(spark), "landing", digest))
+        return _LANDED[key]
+
+
+def drop_landed(spark: SparkSession) -> int:
+    """Remove this application's landed copies; returns how many there were."""
+    jvm, dropped = spark.sparkContext._jvm, 0
+    with _LAND_LOCK:
+        for key in [k for k in _LANDED if k[0] == spark.sparkContext.applicationId]:
+            path = jvm.org.apache.hadoop.fs.Path(_LANDED.pop(key).root)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            dropped += 1
+    return dropped

@@ -1,8 +1,4 @@
-"""Lookup seed (SRC5) and the static literature rates (SRC8).
-
-Both are tiny, fixed-size tables, so broadcasting them is bounded by
-construction (9 and 24 rows).
-"""
+"""Lookup seed (SRC5): the food major-group map, nine rows."""
 
 from __future__ import annotations
 
@@ -41,7 +37,7 @@ GROUP_MAP_ROWS = [
 ]
 GROUP_MAP_MAX_ROWS = 64  # a leading digit has at most 10 values; generous bound
 
-# Defaults for food codes without a mapping.
+# Defaults for food codes without a mapping.
 UNMAPPED_DEFAULTS = {
     "major_group_label": "Unknown",
     "protein_source_group": "unclassified",
@@ -49,15 +45,6 @@ UNMAPPED_DEFAULTS = {
     "classification_notes": "No major-group mapping was available for this food code.",
 }
 
-# Static per-1,000 rates used when the cohort mart is absent,
-# in cause order All-Cause Mortality, Cancer, Diabetes, CVD.
-STATIC_CAUSES = ["All-Cause Mortality", "Cancer", "Diabetes", "CVD"]
-STATIC_RATES = {
-    "50-65": {"LOW": [50, 10, 2, 15], "MODERATE": [80, 25, 5, 25], "HIGH": [150, 40, 10, 40]},
-    "66+": {"LOW": [250, 50, 15, 80], "MODERATE": [200, 40, 10, 60], "HIGH": [150, 30, 8, 50]},
-}
-
-
 def group_map(spark: SparkSession) -> DataFrame:
     """The 9-row food group map as a DataFrame."""
     return spark.createDataFrame(GROUP_MAP_ROWS, GROUP_MAP_SCHEMA)
@@ -67,10 +54,3 @@ def read_group_map_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read the seed from a CSV on shared storage with its declared schema."""
     return spark.read.csv(path, header=True, schema=GROUP_MAP_SCHEMA)
 
-
-def static_rates_wide(spark: SparkSession) -> DataFrame:
-    """The static rates, one row per (age group, protein intake), one column per cause."""
-    rows = [(band, group, *[float(r) for r in rates])
-            for band, groups in STATIC_RATES.items() for group, rates in groups.items()]
-    cols = ["age_group", "protein_intake", "all_cause_mortality", "cancer", "diabetes", "cvd"]
-    return spark.createDataFrame(rows, cols)

@@ -1,72 +1,72 @@
 """Incremental landing of mortality files (ING9).
 
-The source is a yearly cron over idempotent full refreshes. Here new
-releases are picked up by a Structured Streaming file source with
+The source is a yearly cron over idempotent full refreshes. Here new files are
+picked up by a Structured Streaming file source with
 ``trigger(availableNow=True)``: each run processes only files not yet in the
-checkpoint, then stops. Every micro-batch overwrites just the cycle
-partitions it touched (dynamic partition overwrite), so a new release of a
-cycle replaces that cycle and nothing else; rerunning with no new files is a
-no-op. The checkpoint lives in the cluster's shared checkpoint folder.
+checkpoint, then stops.
+
+Rows are stored by (cycle, release, file). A micro-batch overwrites only the
+partitions of its own files, so replaying it changes nothing, several files of a
+release add up, and a release that arrives late never replaces a newer one:
+:func:`latest_release` picks each cycle's newest when the table is read. Files
+whose path names no cycle and release are skipped.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.session import checkpoint_dir
 from cohortlab.functions.bands import lit
+from cohortlab.sinks.tables import write_partitions
 from cohortlab.sources.ingest import mortality_field_exprs
 
+# Fixed value: the part of a file's path that names cycle and release.
 FILE_PATTERN = r"_(\d{4})_(\d{4})_MORT_(\d{4})_PUBLIC"
+LAYOUT = ("CYCLE_START_YEAR", "MORTALITY_PUBLIC_RELEASE_YEAR", "SOURCE_FILE")
 
 
-def mortality_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    """Streaming DataFrame of parsed mortality rows with cycle and release from the file name."""
-    lines = (spark.readStream.format("text").option("pathGlobFilter", "*.dat")
-             .load(source_dir)
-             .selectExpr("value", "_metadata.file_name AS file_name"))
-    pat = lit(FILE_PATTERN)
-    return lines.where("trim(value) <> ''").selectExpr(
-        *mortality_field_exprs("value"), "file_name",
-        f"cast(regexp_extract(file_name, {pat}, 1) as bigint) AS CYCLE_START_YEAR",
-        f"cast(regexp_extract(file_name, {pat}, 2) as bigint) AS CYCLE_END_YEAR",
-        f"cast(regexp_extract(file_name, {pat}, 3) as bigint) AS MORTALITY_PUBLIC_RELEASE_YEAR",
-        f"concat(regexp_extract(file_name, {pat}, 1), '-', regexp_extract(file_name, {pat}, 2)) AS CYCLE_LABEL",
-    )
-
-
-def _overwrite_cycles(target_dir: str):
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        # The batch is read twice (release per cycle, then the rows): keep it.
-        batch = batch.persist()
-        try:
-            # Several releases of one cycle in a batch: keep the latest only. The
-            # per-cycle maximum has one row per cycle, so broadcasting it is bounded.
-            latest = batch.groupBy("CYCLE_START_YEAR").agg(
-                F.max("MORTALITY_PUBLIC_RELEASE_YEAR").alias("MORTALITY_PUBLIC_RELEASE_YEAR"))
-            rows = batch.join(F.broadcast(latest), ["CYCLE_START_YEAR", "MORTALITY_PUBLIC_RELEASE_YEAR"],
-                              "left_semi")
-            (rows.drop("file_name").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("CYCLE_START_YEAR").parquet(target_dir))
-        finally:
-            batch.unpersist()
-
-    return write
+def mortality_stream(spark: SparkSession, source_dir: str, glob: str = "*") -> DataFrame:
+    """Streaming DataFrame of parsed mortality rows with cycle and release from the path."""
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+             .load(source_dir).selectExpr("value", "_metadata.file_path AS path"))
+    part = lambda i: f"regexp_extract(path, {lit(FILE_PATTERN)}, {i})"
+    return lines.where(f"trim(value) <> '' AND path rlike {lit(FILE_PATTERN)}").selectExpr(
+        *mortality_field_exprs("value"),
+        f"try_cast({part(1)} as bigint) AS CYCLE_START_YEAR",
+        f"try_cast({part(2)} as bigint) AS CYCLE_END_YEAR",
+        f"try_cast({part(3)} as bigint) AS MORTALITY_PUBLIC_RELEASE_YEAR",
+        f"concat({part(1)}, '-', {part(2)}) AS CYCLE_LABEL",
+        "sha1(path) AS SOURCE_FILE")
 
 
 def run_incremental(spark: SparkSession, source_dir: str, target_dir: str,
-                    checkpoint: str | None = None) -> int:
+                    checkpoint: str | None = None, glob: str = "*") -> int:
     """Process all new files once and stop; returns the number of rows written."""
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "mortality_incremental")
-    q = (mortality_stream(spark, source_dir).writeStream
-         .foreachBatch(_overwrite_cycles(target_dir))
-         .option("checkpointLocation", ckpt)
-         .trigger(availableNow=True)
-         .start())
+    written = []
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        seen = Observation()
+        write_partitions(batch.observe(seen, F.count(F.lit(1)).alias("n")), target_dir, LAYOUT)
+        written.append(seen.get["n"])
+
+    q = (mortality_stream(spark, source_dir, glob).writeStream.foreachBatch(write)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    progress = q.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in progress)) if progress else 0
+    return sum(written)
+
+
+def latest_release(spark: SparkSession, target_dir: str) -> DataFrame:
+    """The landed rows of each cycle's newest release.
+
+    The newest releases come from an aggregate with a row per cycle, which is
+    why it may be broadcast.
+    """
+    rows = spark.read.parquet(target_dir)
+    newest = rows.groupBy("CYCLE_START_YEAR").agg(F.max("MORTALITY_PUBLIC_RELEASE_YEAR").alias("MORTALITY_PUBLIC_RELEASE_YEAR"))
+    keep = rows.join(F.broadcast(newest), ["CYCLE_START_YEAR", "MORTALITY_PUBLIC_RELEASE_YEAR"], "left_semi")
+    return keep.drop("SOURCE_FILE").withColumns({c: F.col(c).cast("long") for c in LAYOUT[:2]})

@@ -533,14 +533,23 @@ _SHARE1 = "4 * day_1_protein_g / nullif(day_1_energy_kcal, 0)"
 _W7 = "CASE WHEN l_linenumber <> 7 THEN l_quantity END"
 _CAT_PARTS = [("l_demo", "XPT"), ("l_dr1iff", "XPT"), ("l_dr2iff", "XPT"), ("l_dr1tot", "XPT"),
               ("l_dr2tot", "XPT"), ("l_glu", "XPT")]
-CATALOG = "o_catalog_raw AS (" + " UNION ALL ".join(
+RELEASES = """o_release AS (
+  SELECT cycle_start_year, cycle_end_year, max(2011 + 4 * ((k // 8) % 3))::BIGINT AS latest_release_year
+  FROM l_cust GROUP BY ALL
+),
+o_followup AS (
+  SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'December 31, ' || (2010 + page_id % 10)::VARCHAR END AS followup_through
+  FROM pages
+),
+"""
+CATALOG = RELEASES + "o_catalog_raw AS (" + " UNION ALL ".join(
     [f"SELECT DISTINCT asset_type, file_code, '{fmt}' AS file_format, cycle_start_year, cycle_end_year, "
      f"cycle_label, source_url, CAST(NULL AS BIGINT) AS mortality_public_release_year FROM {t}"
      for t, fmt in _CAT_PARTS]
     + ["SELECT DISTINCT asset_type, file_code, 'DAT' AS file_format, cycle_start_year, cycle_end_year, "
-       "cycle_label, source_url, mortality_public_release_year FROM l_mortality"]) + f"""),
+       "cycle_label, source_url, latest_release_year FROM l_mortality JOIN o_release USING (cycle_start_year, cycle_end_year)"]) + f"""),
 o_catalog AS (
-  SELECT *, CAST(NULL AS VARCHAR) AS mortality_followup_available_through,
+  SELECT *, (SELECT max(followup_through) FROM o_followup) AS mortality_followup_available_through,
     '{notes.CATALOG_NOTE}' AS paper_comparability_note
   FROM o_catalog_raw
 ),
@@ -553,17 +562,15 @@ o_stg_catalog AS (
     mortality_followup_available_through, paper_comparability_note
   FROM o_catalog
 )"""
-_REL_PAT = r"SURVEY_(\d{4})_(\d{4})_MORT_(\d{4})_PUBLIC\.dat"
-_FOLLOW_PAT = r"(?i)updated with mortality follow-up data through ([^.]+?\d{4})"
-
-
 def _reconcile(day: int) -> str:
+    """Totals moved by 0.1 (within the tolerance) or 0.11 for some respondents, in exact decimals."""
+    total = (f"CAST(d.day_{day}_protein_g AS DECIMAL(28,9)) + CASE d.respondent_id % 7 WHEN 1 THEN 0.1::DECIMAL(28,9) "
+             "WHEN 2 THEN 0.11::DECIMAL(28,9) ELSE 0 END")
     return f"""
-  SELECT d.respondent_key, {day} AS recall_day, round(d.day_{day}_protein_g, 6) AS total_protein_g,
-    round(p.day_{day}_item_protein_g, 6) AS item_protein_g
-  FROM m_daily d LEFT JOIN m_sources p USING (respondent_key)
-  WHERE d.day_{day}_protein_g IS NOT NULL AND p.day_{day}_item_protein_g IS NOT NULL
-    AND abs(d.day_{day}_protein_g - p.day_{day}_item_protein_g) > 0.1"""
+  SELECT respondent_key, {day} AS recall_day, round(t::DOUBLE, 6) AS total_protein_g, round(i::DOUBLE, 6) AS item_protein_g
+  FROM (SELECT d.respondent_key, {total} AS t, CAST(p.day_{day}_item_protein_g AS DECIMAL(28,9)) AS i
+        FROM m_daily d JOIN m_sources p ON p.respondent_key = d.respondent_key)
+  WHERE t - i > 0.1 OR i - t > 0.1"""
 
 
 _LI_WIDE = """SELECT l_returnflag, sum(l_quantity) AS sum_qty, CAST(count(*) AS DOUBLE) AS n_lines,
@@ -627,7 +634,7 @@ ORACLE.update({
     "join_lookup_default": q("""SELECT i.protein_item_key, i.food_code_major_group,
         coalesce(m.major_group_label, 'Unknown') AS major_group_label,
         coalesce(m.protein_source_group, 'unclassified') AS protein_source_group
-        FROM s_dr1iff i LEFT JOIN s_group_map m ON i.food_code_major_group = m.food_code_major_group"""),
+        FROM s_items i LEFT JOIN s_group_map m ON i.food_code_major_group = m.food_code_major_group"""),
     "agg_count": q("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2"),
     "agg_sum": q("SELECT l_linestatus, round(sum(l_quantity), 6) AS sum_qty FROM lineitem GROUP BY 1"),
     "agg_conditional_sum": q("""SELECT l_linestatus, round(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END), 6)
@@ -684,18 +691,31 @@ ORACLE.update({
         'landing/' || CAST(cycle_start_year AS VARCHAR) || '/DEMO_' || sfx || '.xpt' AS SOURCE_URL FROM l_cust"""),
     "ing_source_catalog": _with_extra(CATALOG, "SELECT * FROM o_catalog"),
     "stg_source_catalog": _with_extra(CATALOG, "SELECT * FROM o_stg_catalog"),
-    "ing_latest_release": q(f"""SELECT CAST(regexp_extract(f, '{_REL_PAT}', 1) AS BIGINT) AS cycle_start_year,
-        CAST(regexp_extract(f, '{_REL_PAT}', 2) AS BIGINT) AS cycle_end_year,
-        max(CAST(regexp_extract(f, '{_REL_PAT}', 3) AS BIGINT)) AS latest_release_year
-        FROM (SELECT unnest(regexp_extract_all(source_url, '{_REL_PAT}', 0)) AS f FROM l_mortality)
-        GROUP BY 1, 2"""),
-    "ing_followup_text": q(f"""SELECT page_id, nullif(trim(regexp_extract(html, '{_FOLLOW_PAT}', 1)), '')
-        AS followup_through FROM pages"""),
+    "ing_latest_release": _with_extra(CATALOG, "SELECT * FROM o_release"),
+    "ing_followup_text": _with_extra(CATALOG, "SELECT * FROM o_followup"),
+    "ing_manifest": _with_extra(CATALOG, f"""SELECT '{{"dataset_window":"2003-2018","cycles":["' || (
+        SELECT string_agg(DISTINCT cycle_label, '","' ORDER BY cycle_label) FROM o_catalog)
+      || '"],"survey_assets":["' || (
+        SELECT string_agg(DISTINCT asset_type, '","' ORDER BY asset_type) FROM o_catalog WHERE file_format = 'XPT')
+      || '"],"public_mortality_release_year_by_cycle":{{"' || (
+        SELECT string_agg(cycle_label || '":' || mortality_public_release_year::VARCHAR, ',"' ORDER BY cycle_label)
+        FROM o_catalog WHERE file_format = 'DAT')
+      || '}},"mortality_followup_available_through":"' || (SELECT max(followup_through) FROM o_followup)
+      || '","linked_mortality_note":"{notes.LINKAGE_NOTE}","paper_comparability_note":"{notes.CATALOG_NOTE}"}}' AS manifest_json"""),
     "ing_incremental": q("""SELECT seqn AS SEQN, eligstat AS ELIGSTAT, mortstat AS MORTSTAT,
         ucod_leading AS UCOD_LEADING, diabetes AS DIABETES, hyperten AS HYPERTEN, permth_int AS PERMTH_INT,
         permth_exm AS PERMTH_EXM, cycle_start_year AS CYCLE_START_YEAR, cycle_end_year AS CYCLE_END_YEAR,
         mortality_public_release_year AS MORTALITY_PUBLIC_RELEASE_YEAR, cycle_label AS CYCLE_LABEL
         FROM l_mortality"""),
+    "ing_load_files": q("""SELECT seqn AS SEQN, eligstat AS ELIGSTAT, mortstat AS MORTSTAT,
+        ucod_leading AS UCOD_LEADING, diabetes AS DIABETES, hyperten AS HYPERTEN, permth_int AS PERMTH_INT,
+        permth_exm AS PERMTH_EXM, cycle_start_year AS CYCLE_START_YEAR, cycle_end_year AS CYCLE_END_YEAR,
+        cycle_label AS CYCLE_LABEL, file_code AS FILE_CODE, asset_type AS ASSET_TYPE, source_url AS SOURCE_URL,
+        mortality_public_release_year AS MORTALITY_PUBLIC_RELEASE_YEAR FROM l_mortality"""),
+    "snk_full_refresh_shrinks": q("""SELECT seqn AS SEQN, cycle_start_year AS CYCLE_START_YEAR FROM l_mortality
+        WHERE cycle_start_year > 2010"""),
+    "mart_build": ORACLE["validation_cohort"],
+    "flt_protein_type": f"SELECT * FROM ({ORACLE['source_rates_long']}) WHERE protein_type = 'Plant Protein'",
     "snk_overwrite_roundtrip": ORACLE["validation_summary"],
     "snk_range_partition": q("""SELECT cycle_bucket, cycle_start_year, age_band_levine, protein_group_day_1,
         count(*) AS respondent_n
@@ -745,13 +765,19 @@ def _dq_report_sql() -> str:
         for c, vals in acc.items():
             lst = ", ".join(f"'{v}'" for v in vals)
             rows.append(f"SELECT 'accepted_values', '{model}', '{c}', "
-                        f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({lst})) AS BIGINT) FROM {rel}")
+                        f"CAST(count(DISTINCT {c}) FILTER (WHERE {c} NOT IN ({lst})) AS BIGINT) FROM {rel}")
         for c in un:
             rows.append(f"SELECT 'unique', '{model}', '{c}', CAST(count(*) AS BIGINT) FROM "
                         f"(SELECT {c} FROM {rel} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
     for day in (1, 2):
-        rows.append(f"SELECT 'protein_item_totals_match_day_{day}', 'respondent_daily', '', "
-                    f"CAST(count(*) AS BIGINT) FROM ({_reconcile(day)})")
+        # the derived totals are the item sums themselves: nothing to report but what the shift moves
+        rows.append(f"SELECT 'protein_item_totals_match_day_{day}', 'respondent_daily', '', CAST(count(*) AS BIGINT) "
+                    f"FROM m_daily JOIN m_sources USING (respondent_key) WHERE abs(day_{day}_protein_g - day_{day}_item_protein_g) > 0.1")
+        rows.append(f"SELECT 'shifted_totals_match_day_{day}', 'spoilt_daily', '', CAST(count(*) AS BIGINT) FROM ({_reconcile(day)})")
+    rows.append("SELECT 'not_null', 'spoilt_cohort', 'respondent_key', 0::BIGINT")
+    rows.append("SELECT 'unique', 'spoilt_cohort', 'respondent_key', 0::BIGINT")
+    rows.append("SELECT 'accepted_values', 'spoilt_cohort', 'age_band_levine', count(DISTINCT respondent_id % 4)::BIGINT "
+                "FROM m_cohort WHERE respondent_id % 10 = 3")
     body = "\n  UNION ALL ".join(rows)
     return _with_extra(CATALOG, f"SELECT *, failing_rows = 0 AS passed FROM (\n  {body}\n)")
 

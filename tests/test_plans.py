@@ -78,3 +78,40 @@ def test_item_base_aggregate_reuses_the_join_partitioning(spark, sf_dir):
     assert plan.count("Exchange hashpartitioning") == 2  # one per join input, none after the join
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "l_orderkey" in line][0]
     assert "l_shipdate" not in scan and "l_comment" not in scan
+
+
+def _without_broadcast(spark, build):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        return physical(build())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_item_sums_are_exchanged_once_into_the_marts(spark, models):
+    """M4: five joined inputs and the items; M5 and M6 add their own grouping."""
+    for name, most in (("validation_cohort", 6), ("validation_summary", 7), ("cycle_protein_trends", 7)):
+        plan = _without_broadcast(spark, lambda n=name: models[n].select("*"))
+        assert plan.count("Exchange hashpartitioning") <= most, (name, plan.count("Exchange hashpartitioning"))
+        assert "SortAggregate" not in plan
+
+
+def test_mortality_rates_plan_the_cohort_once(models):
+    plan = physical(reports.mortality_rates_long(models["validation_cohort"]))
+    assert plan.count("FileScan parquet") <= 7 and "Limit" not in plan
+
+
+def test_a_query_lands_only_the_tables_it_reads(spark, tmp_path):
+    import os
+
+    from cohortlab.sources.landing import Landed
+
+    landed = Landed(spark, "/root/testdata/sf0.001", str(tmp_path / "landing"))
+    assert landed["demo"].count() > 0
+    assert os.listdir(tmp_path / "landing") == ["demo"]
+    landed["dr2tot"].count()
+    assert sorted(os.listdir(tmp_path / "landing")) == ["_item_base", "demo", "dr2iff", "dr2tot"]

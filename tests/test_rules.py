@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pytest
 from conftest import one_col
 from pyspark.sql import functions as F
 
@@ -133,3 +134,27 @@ def test_r25_accepted_values_and_unique_ignore_nulls(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("z",)], "c string")
     assert Q.unique_failures(df, "c").count() == 1
     assert [r.c for r in Q.accepted_values_failures(df, "c", ["a"]).collect()] == ["z"]
+
+
+def test_lookup_bound_is_enforced(spark):
+    from cohortlab.operators.joins import lookup_join
+
+    df, dim = spark.range(3).toDF("k"), spark.range(5).selectExpr("id AS k", "id * 2 AS v")
+    assert sorted(r.v for r in lookup_join(df, dim, "k", dim_row_bound=5).collect()) == [0, 2, 4]
+    with pytest.raises(Exception, match="more than 4 rows"):
+        lookup_join(df, dim, "k", dim_row_bound=4).collect()
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from cohortlab.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Cluster())

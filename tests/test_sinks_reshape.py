@@ -71,21 +71,43 @@ def test_melt_keeps_nulls_and_order_by_category(spark):
     assert ordered == ["LOW", "MODERATE", "HIGH"]
 
 
-def test_static_rates_replace_an_empty_mart(spark, sf_dir):
+def test_an_empty_cohort_has_no_rates(spark, sf_dir):
     from cohortlab.plans.queries import dag
 
     cohort = dag(spark, sf_dir)["validation_cohort"]
-    empty = cohort.filter("1 = 0")
-    fallback = reports.mortality_rates_long(empty, spark)
-    got = {(r.age_group, r.protein_intake, r.cause): r.rate_per_1000 for r in fallback.collect()}
-    assert len(got) == 24 and got[("66+", "LOW", "All-Cause Mortality")] == 250.0
-    live = reports.mortality_rates_long(cohort, spark)
-    assert live.count() == 24 and live.filter("rate_per_1000 = 250.0 AND cause = 'All-Cause Mortality'").count() == 0
+    assert reports.mortality_rates_long(cohort.filter("1 = 0")).count() == 0
+    assert reports.source_rates_long(cohort.filter("1 = 0")).count() == 0
+    assert reports.mortality_rates_long(cohort).count() == 24
 
 
 def test_missing_release_raises(spark):
-    listing = spark.createDataFrame([("SURVEY_2003_2004_MORT_2019_PUBLIC.dat",)], "t string")
-    assert CAT.latest_release_years(listing, "t", fail_if_missing=True).count() == 1
-    expr = f"coalesce({CAT.latest_release_for_cycle('t', 2005, 2006)}, raise_error('no release'))"
-    with pytest.raises(Exception, match="no release"):
-        listing.selectExpr(expr).collect()
+    listing = spark.createDataFrame([("SURVEY_2003_2004_MORT_2015_PUBLIC.dat SURVEY_2003_2004_MORT_2019_PUBLIC.dat",)], "t string")
+    cycles = spark.createDataFrame([(2003, 2004)], "cycle_start_year long, cycle_end_year long")
+    assert [tuple(r) for r in CAT.latest_release_years(listing, "t", cycles=cycles).collect()] == [(2003, 2004, 2019)]
+    more = spark.createDataFrame([(2003, 2004), (2005, 2006)], "cycle_start_year long, cycle_end_year long")
+    with pytest.raises(Exception, match="no public mortality release found for cycle 2005"):
+        CAT.latest_release_years(listing, "t", cycles=more).collect()
+
+
+def test_full_refresh_drops_withdrawn_partitions(spark, tmp_path):
+    path = str(tmp_path / "r")
+    SNK.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "y long, v string"), path, ["y"])
+    SNK.write_table(spark.createDataFrame([(1, "c")], "y long, v string"), path, ["y"])
+    assert [(r.y, r.v) for r in spark.read.parquet(path).collect()] == [(1, "c")]
+
+
+def test_few_cluster_keys_still_fill_the_partitions(spark):
+    df = spark.range(200_000).selectExpr("id", "id % 4 AS band", "id % 6 AS grp")
+    filled = SNK.clustered(df, ["band"], ["grp"], 400).selectExpr("spark_partition_id() AS p").distinct().count()
+    assert filled > 300
+    ordered = RS.order_by_category(
+        df.selectExpr("id", "CASE band WHEN 0 THEN 'LOW' WHEN 1 THEN 'MODERATE' ELSE 'HIGH' END AS g"),
+        "g", ["LOW", "MODERATE", "HIGH"], "o", ["id"])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert ordered.selectExpr("spark_partition_id() AS p").distinct().count() > 30
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))

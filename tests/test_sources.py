@@ -77,8 +77,12 @@ def test_fixed_width_roundtrip_through_files(spark, tmp_path):
                                 "s double, e double, m double, u string, d double, h double, pi double, pe double")
     lines = project(src, [f"{exprs} AS value"])
     assert all(len(r.value) == ING.MORTALITY_LINE_WIDTH for r in lines.collect())
-    lines.coalesce(1).write.mode("overwrite").text(str(tmp_path / "mort"))
-    got = rows(ING.read_mortality_files(spark, str(tmp_path / "mort")), ["SEQN"])
+    folder = tmp_path / "SURVEY_2003_2004_MORT_2019_PUBLIC.dat"
+    lines.write.mode("overwrite").text(str(folder))
+    (tmp_path / "readme.dat").write_text("no record")
+    got = rows(ING.read_mortality_files(spark, str(tmp_path)), ["SEQN"])
+    assert {(r["CYCLE_LABEL"], r["FILE_CODE"], r["MORTALITY_PUBLIC_RELEASE_YEAR"]) for r in got} == {
+        ("2003-2004", "SURVEY_2003_2004_MORT_2019_PUBLIC", 2019)}
     assert [(r["SEQN"], r["MORTSTAT"], r["UCOD_LEADING"], r["PERMTH_EXM"]) for r in got] == [
         (7.0, 1.0, "005", 11.0), (8.0, None, None, 2.0)]
 
@@ -117,13 +121,16 @@ def test_followup_text(spark):
 def test_manifest_from_landed_catalog(spark, sf_dir):
     from cohortlab.sources.landing import landed_tables
 
-    cat = CAT.source_catalog(landed_tables(spark, sf_dir), followup_through="December 31, 2019")
+    releases = spark.createDataFrame([(y, 2019) for y in range(2003, 2019, 2)], "cycle_start_year long, latest_release_year long")
+    followup = spark.createDataFrame([("December 31, 2019",), (None,)], "followup_through string")
+    cat = CAT.source_catalog(landed_tables(spark, sf_dir), releases, followup)
     assert cat.count() == 56
     doc = json.loads(CAT.run_manifest(cat).first()[0])
     assert doc["cycles"][0] == "2003-2004" and len(doc["cycles"]) == 8
     assert doc["survey_assets"] == ["demo", "dr1iff", "dr1tot", "dr2iff", "dr2tot", "glu"]
     assert set(doc["public_mortality_release_year_by_cycle"].values()) == {2019}
     assert doc["mortality_followup_available_through"] == "December 31, 2019"
+    assert doc["linked_mortality_note"] and doc["paper_comparability_note"] and len(doc) == 7
 
 
 def test_group_map_csv_reads_with_declared_schema(spark, tmp_path):

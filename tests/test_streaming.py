@@ -1,10 +1,8 @@
-"""Incremental landing: rerun is a no-op, a new release replaces only its cycle."""
+"""Incremental landing: reruns change nothing, releases and files never replace one another wrongly."""
 
 from __future__ import annotations
 
-import os
-
-from cohortlab.streaming.incremental import run_incremental
+from cohortlab.streaming.incremental import latest_release, run_incremental
 
 
 def _line(seqn: int, mort: str = "0") -> str:
@@ -16,32 +14,37 @@ def _write(path, seqns, mort="0"):
         f.write("\n".join(_line(s, mort) for s in seqns) + "\n")
 
 
-def test_incremental_rerun_noop_and_release_replacement(spark, tmp_path):
+def _seen(spark, dst):
+    return {(r.CYCLE_START_YEAR, r.SEQN, r.MORTALITY_PUBLIC_RELEASE_YEAR) for r in latest_release(spark, dst).collect()}
+
+
+def test_rerun_is_a_noop_and_a_new_release_replaces_its_cycle(spark, tmp_path):
     src, dst, ckpt = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "ckpt")
     src.mkdir()
     _write(src / "SURVEY_2003_2004_MORT_2015_PUBLIC.dat", [1, 2, 3])
     _write(src / "SURVEY_2005_2006_MORT_2015_PUBLIC.dat", [4, 5])
     assert run_incremental(spark, str(src), dst, ckpt) == 5
-    landed = spark.read.parquet(dst)
-    assert landed.count() == 5
-    assert run_incremental(spark, str(src), dst, ckpt) == 0  # nothing new
-    assert spark.read.parquet(dst).count() == 5
-
-    # a new release of the 2003 cycle replaces that cycle only
+    assert run_incremental(spark, str(src), dst, ckpt) == 0
     _write(src / "SURVEY_2003_2004_MORT_2019_PUBLIC.dat", [1, 2, 3, 6], mort="1")
     assert run_incremental(spark, str(src), dst, ckpt) == 4
-    after = {(r.CYCLE_START_YEAR, r.SEQN, r.MORTALITY_PUBLIC_RELEASE_YEAR, r.MORTSTAT)
-             for r in spark.read.parquet(dst).collect()}
-    assert after == {(2003, 1.0, 2019, 1.0), (2003, 2.0, 2019, 1.0), (2003, 3.0, 2019, 1.0), (2003, 6.0, 2019, 1.0),
-                     (2005, 4.0, 2015, 0.0), (2005, 5.0, 2015, 0.0)}
-    assert os.path.isdir(ckpt)
+    assert _seen(spark, dst) == {(2003, float(s), 2019) for s in (1, 2, 3, 6)} | {(2005, 4.0, 2015), (2005, 5.0, 2015)}
 
 
-def test_two_releases_in_one_batch_keep_the_latest(spark, tmp_path):
+def test_late_older_release_and_second_file(spark, tmp_path):
     src, dst, ckpt = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "ckpt")
-    src.mkdir()
-    _write(src / "SURVEY_2007_2008_MORT_2011_PUBLIC.dat", [7, 8])
-    _write(src / "SURVEY_2007_2008_MORT_2019_PUBLIC.dat", [7, 8, 9])
+    (src / "SURVEY_2007_2008_MORT_2019_PUBLIC.dat").mkdir(parents=True)  # a release in two files
+    _write(src / "SURVEY_2007_2008_MORT_2019_PUBLIC.dat" / "part-0", [7, 8])
     run_incremental(spark, str(src), dst, ckpt)
-    got = {(r.SEQN, r.MORTALITY_PUBLIC_RELEASE_YEAR) for r in spark.read.parquet(dst).collect()}
-    assert got == {(7.0, 2019), (8.0, 2019), (9.0, 2019)}
+    _write(src / "SURVEY_2007_2008_MORT_2011_PUBLIC.dat", [7])
+    _write(src / "SURVEY_2007_2008_MORT_2019_PUBLIC.dat" / "part-1", [9])
+    run_incremental(spark, str(src), dst, ckpt)
+    assert _seen(spark, dst) == {(2007, 7.0, 2019), (2007, 8.0, 2019), (2007, 9.0, 2019)}
+
+
+def test_stray_names_are_skipped(spark, tmp_path):
+    src, dst, ckpt = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "ckpt")
+    src.mkdir()
+    _write(src / "SURVEY_2003_2004_MORT_2015_PUBLIC.dat", [1])
+    _write(src / "readme.dat", [99])
+    assert run_incremental(spark, str(src), dst, ckpt, glob="*.dat") == 1
+    assert _seen(spark, dst) == {(2003, 1.0, 2015)}
