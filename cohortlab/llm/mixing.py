@@ -64,10 +64,9 @@ def source_targets(sizes: DataFrame, max_repeat: int = 3, weights: tuple[int, ..
                         .otherwise(F.col("water") * F.col("w")).alias("target"))
 
 
-def plan_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
+def _planned(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
                 max_repeat: int = 3, seed: str = SEED) -> DataFrame:
-    """``docs`` with size, source_size, target and ``copies`` (0 .. max_repeat)."""
-    docs = without(docs, ("size", "source_size", "target", "copies"))
+    """row (the document), size, source_size, target and ``copies`` (0 .. max_repeat)."""
     digest = F.md5(F.concat_ws("\x1f", F.lit(seed), F.col(id_col).cast("string"), F.md5(F.coalesce(text, F.lit("")))))
     size = F.expr(f"cast(regexp_count(coalesce(`{text}`, ''), '{WORD_SQL}') as long)")
     # four classes for each doubling: sizes inside one differ by at most a quarter
@@ -92,16 +91,19 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sou
     offset = _number(F.substring(F.md5(F.concat_ws("\x1f", F.lit(seed), F.coalesce("source", F.lit("(null)")))), 1, 12)) / float(16 ** 12)
     at = F.col("start") + F.col("rank")
     copies = (F.floor(step * at + offset) - F.floor(step * (at - 1) + offset)).cast("long")
-    return joined.select("row.*", "size", "source_size", "target", copies.alias("copies"))
+    return joined.select("row", "size", "source_size", "target", copies.alias("copies"))
+
+
+def plan_copies(docs: DataFrame, **kw) -> DataFrame:
+    """``docs`` with size, source_size, target and ``copies``."""
+    docs = without(docs, ("size", "source_size", "target", "copies"))
+    return _planned(docs, **kw).select("row.*", "size", "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame, **kw) -> DataFrame:
-    """The mixture itself: each document as often as its copies, with its own columns."""
-    names = docs.columns
-    plan = plan_copies(docs, **kw).where(F.col("copies") > 0)
-    # the columns of the input in their order, also those an output name hides
-    return (plan.select(*[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"))
-            .drop("__copy"))
+    """The mixture itself: each document as often as its copies, with all its own columns."""
+    plan = _planned(docs, **kw).where(F.col("copies") > 0)
+    return plan.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
