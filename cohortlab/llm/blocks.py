@@ -74,8 +74,10 @@ class _Open:
                 start[i + 1] = len(flat)
             codes, ends = expand(np.asarray(flat, np.int64), start, seq, np.cumsum(n_units))
             words = list(tokens)
-        # frequent tokens get small numbers
-        order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        # frequent tokens get small numbers; equally frequent ones lie in their own
+        # order, so their neighbours share prefixes and the lists compress
+        times = np.bincount(codes, minlength=len(words)).tolist()
+        order = np.asarray(sorted(range(len(words)), key=lambda i: (-times[i], words[i])), np.int64)
         rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words))
         codes = rank[codes]
@@ -134,7 +136,8 @@ def coded_blocks(docs: DataFrame, units_of: Callable[[bytes], list[bytes]],
     name = scratch_name("llm_blocks")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    blocks.write.format("parquet").bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    (blocks.write.format("parquet").bucketBy(buckets, "block").option("path", path)
+     .option("compression", "zstd").saveAsTable(name))
     return spark.table(name)
 
 

@@ -131,7 +131,7 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def _encode_sorted(shared, flush_rows: int = 1 << 20):
-    """Rows (word, block, idx) sorted by word -> per block: indices, lengths and ids."""
+    """Rows (word, block, idx) sorted by word -> per block: steps of idx, lengths and ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
         last, last_ids = None, []
@@ -145,13 +145,13 @@ def _encode_sorted(shared, flush_rows: int = 1 << 20):
             block, index, length = np.concatenate(blocks), np.concatenate(idx), np.concatenate(lens)
             start, ids = np.concatenate([[0], np.cumsum(length)]), np.concatenate(flat)
             rows: list[tuple] = []
-            order = np.argsort(block, kind="stable")
+            order = np.lexsort((index, block))
             cuts = np.flatnonzero(np.diff(block[order])) + 1
             for mine in np.split(order, cuts):
                 n = length[mine]
                 total = np.concatenate([[0], np.cumsum(n)])
                 where = np.repeat(start[mine] - total[:-1], n) + np.arange(total[-1])
-                rows.append((int(block[mine[0]]), pack(index[mine]), pack(n), pack(ids[where])))
+                rows.append((int(block[mine[0]]), pack(np.diff(index[mine], prepend=0)), pack(n), pack(ids[where])))
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
                 names=["block", "idx", "lens", "token_ids"])
@@ -178,44 +178,62 @@ def _encode_sorted(shared, flush_rows: int = 1 << 20):
     return run
 
 
-def _assemble(id_kind: pa.DataType):
+def decode_ids(ids: np.ndarray, token: Callable[[int], bytes]) -> bytes:
+    """The bytes of token ids: each id is looked up in the token-byte table."""
+    return b"".join(map(token, ids.tolist()))
+
+
+def _assemble(id_kind: pa.DataType, tokens_of):
+    """A block and its words' ids -> its documents' ids, in batches of a few MB."""
+    kinds = [("id", id_kind), ("n_tokens", pa.int64()), ("ids", pa.binary())] + [("decoded", pa.binary())] * bool(tokens_of)
+    schema = pa.schema(kinds)
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids: list = []
-        blobs: list[bytes] = []
-        if left.num_rows:
-            words = len(left.column("codes")) and left.column("n_words")[0].as_py()
-            start, length = np.zeros(words, np.int64), np.full(words, -1, np.int64)
-            flat, at = [], 0
-            for i, n, t in zip(*(right.column(c).to_pylist() for c in ("idx", "lens", "token_ids"))):
-                index, n, t = unpack(i), unpack(n).astype(np.int64), unpack(t)
-                start[index] = at + np.cumsum(n) - n
-                length[index] = n
-                flat.append(t)
-                at += len(t)
-            if (length < 0).any():
-                raise RuntimeError("a pre-token came back without ids")
-            tokens = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-            codes = unpack(left.column("codes")[0].as_py())
-            begin = 0
-            ids = left.column("ids")[0].as_py()
-            for end in left.column("ends")[0].as_py():
-                own = codes[begin:end]
-                n = length[own]
-                total = np.concatenate([[0], np.cumsum(n)])
-                where = np.repeat(start[own] - total[:-1], n) + np.arange(total[-1])
-                blobs.append(tokens[where].astype("<u4").tobytes())
-                begin = end
-        return pa.table([pa.array(ids, id_kind), pa.array([len(b) // 4 for b in blobs], pa.int64()),
-                         pa.array(blobs, pa.binary())], names=["id", "n_tokens", "ids"])
+        if not left.num_rows:
+            return schema.empty_table()
+        words = left.column("n_words")[0].as_py()
+        start, length = np.zeros(words, np.int64), np.full(words, -1, np.int64)
+        flat, at = [], 0
+        for i, n, t in zip(*(right.column(c).to_pylist() for c in ("idx", "lens", "token_ids"))):
+            index, n, t = np.cumsum(unpack(i), dtype=np.int64), unpack(n).astype(np.int64), unpack(t)
+            start[index] = at + np.cumsum(n) - n
+            length[index] = n
+            flat.append(t)
+            at += len(t)
+        if (length < 0).any():
+            raise RuntimeError("a pre-token came back without ids")
+        tokens = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+        codes = unpack(left.column("codes")[0].as_py())
+        token = tokens_of.value.__getitem__ if tokens_of else None
+        done, held, rows = [], 0, []
+        begin = 0
+        for key, end in zip(left.column("ids")[0].as_py(), left.column("ends")[0].as_py()):
+            own = codes[begin:end]
+            n = length[own]
+            total = np.concatenate([[0], np.cumsum(n)])
+            ids = tokens[np.repeat(start[own] - total[:-1], n) + np.arange(total[-1])].astype("<u4")
+            rows.append((key, len(ids), ids.tobytes(), *([decode_ids(ids, token)] if token else [])))
+            begin, held = end, held + len(ids)
+            if held >= 1 << 20:
+                done.append(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema))
+                held, rows = 0, []
+        if rows:
+            done.append(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema))
+        return pa.Table.from_batches(done, schema)
 
     return run
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(id, n_tokens, ids) per document; ids are little-endian unsigned 32-bit integers."""
+           block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
+    """(id, n_tokens, ids) per document; ids are little-endian unsigned 32-bit integers.
+
+    With ``decoded`` the ids are decoded again in the same task, as column ``decoded``.
+    """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(read_ranks(spark, vocabulary))
+    ranks = read_ranks(spark, vocabulary)
+    shared = spark.sparkContext.broadcast(ranks)
+    tokens_of = spark.sparkContext.broadcast({i: b for b, i in ranks.items()}) if decoded else None
     units, tokens = cutter(pattern)
     named = docs.select(F.col(id_col).alias("id"), F.lit(False).alias("flag"), F.col(text).alias("text"))
     blocks = coded_blocks(named, units, tokens, block_bytes)
@@ -227,7 +245,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
     left = blocks.select("block", "ids", "ends", "codes", F.size("words").alias("n_words"))
     return left.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
-        _assemble(arrow), f"id {kind.simpleString()}, n_tokens long, ids binary")
+        _assemble(arrow, tokens_of),
+        f"id {kind.simpleString()}, n_tokens long, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(coded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -240,7 +259,7 @@ def decode(coded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "deco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value.__getitem__
         for batch in batches:
-            texts = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(1).to_pylist()]
+            texts = [decode_ids(np.frombuffer(x or b"", "<u4"), token) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["row", out])
 
     kind = rows.schema["row"].dataType.simpleString()
@@ -248,7 +267,7 @@ def decode(coded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "deco
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    coded = decode(encode(docs.select("doc_id", "text"), vocabulary, pattern), vocabulary)
+    coded = encode(docs.select("doc_id", "text"), vocabulary, pattern, decoded=True)
     return coded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
