@@ -63,9 +63,14 @@ def cast_safe_int(spark, d):
         f"{C.safe_int('l_discount * 100')} AS discount_pct_int"])
 
 
+_ACCOUNT_TEXT = "(CASE WHEN c_custkey % 5 = 0 THEN 'n/a' ELSE concat(cast(c_custkey as string), '.1234567894') END)"
+
+
 def cast_safe_numeric(spark, d):
     return project(L.read_driver(spark, d, "customer"),
-                   ["c_custkey", f"{C.safe_numeric('c_acctbal')} AS acctbal_numeric"])
+                   ["c_custkey", f"{C.safe_numeric('c_acctbal')} AS acctbal_numeric",
+                    # text: every fifth is no number, the others have more digits than the type keeps
+                    f"{C.safe_numeric(_ACCOUNT_TEXT)} * 1000000 AS text_numeric_millionths"])
 
 
 def cast_string(spark, d):
@@ -184,7 +189,7 @@ def band_plant_bins(spark, d):
 
 def label_title_case(spark, d):
     ev = L.read_driver(spark, d, "events")
-    label = RS.title_label("concat(event_type, '_rate')")
+    label = RS.title_label("concat('first_', event_type, '_rate')")
     return project(ev, ["event_id", f"{label} AS label"])
 
 

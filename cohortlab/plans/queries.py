@@ -68,8 +68,9 @@ def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _memo("marts", spark, sf_dir, lambda landed: MB.build_marts(spark, landed, stage(spark, sf_dir)))
 
 
-def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dag(spark, sf_dir)["validation_cohort"]
+def _stored_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports read the cohort mart, as the dashboard does."""
+    return stored_marts(spark, sf_dir)["validation_cohort"]
 
 
 def _flow_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,8 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validation_summary": _model("validation_summary"),
     "cycle_trends": _model("cycle_protein_trends"),
     # dashboard reports (M7, M8)
-    "mortality_rates_long": lambda spark, d: present(RP.mortality_rates_long(_cohort(spark, d))),
-    "source_rates_long": lambda spark, d: present(RP.source_rates_long(_cohort(spark, d))),
+    "mortality_rates_long": lambda spark, d: present(RP.mortality_rates_long(_stored_cohort(spark, d))),
+    "source_rates_long": lambda spark, d: present(RP.source_rates_long(_stored_cohort(spark, d))),
     # orchestrator flow (M9, M10)
     "flow_cohort": lambda spark, d: present(_flow_cohort(spark, d)),
     "flow_summary": lambda spark, d: present(FL.flow_summary(_flow_cohort(spark, d))),

@@ -580,7 +580,9 @@ ORACLE.update({
     "cast_safe_int": q(f"""SELECT l_orderkey, l_linenumber, {sint('l_quantity / 2')} AS half_qty_int,
         {sint('-l_quantity / 2')} AS neg_half_qty_int, {sint('l_discount * 100')} AS discount_pct_int
         FROM lineitem"""),
-    "cast_safe_numeric": q("SELECT c_custkey, round(TRY_CAST(c_acctbal AS DOUBLE), 6) AS acctbal_numeric FROM customer"),
+    "cast_safe_numeric": q("""SELECT c_custkey, round(TRY_CAST(c_acctbal AS DOUBLE), 6) AS acctbal_numeric,
+        CASE WHEN c_custkey % 5 <> 0 THEN (c_custkey * 1000000 + 123456)::DOUBLE + 0.789 END AS text_numeric_millionths
+        FROM customer"""),
     "cast_string": q(f"""SELECT l_orderkey, l_linenumber, {fstr('l_quantity')} AS qty_text,
         {fstr('(l_quantity / 2)')} AS half_qty_text, CAST(l_linenumber AS VARCHAR) AS line_text FROM lineitem"""),
     "key_composite": q(f"""SELECT {rkey()} AS respondent_key, {fstr('seqn')} || '|' || {fstr('ridageyr')} AS seqn_age_key
@@ -621,7 +623,7 @@ ORACLE.update({
     "band_plant_bins": q(f"""SELECT respondent_key, round(day_1_plant_protein_g_est, 6) AS day_1_plant_protein_g_est,
         {band('plant', 'day_1_plant_protein_g_est')} AS protein_quartile FROM m_sources
         WHERE day_1_plant_protein_g_est IS NOT NULL"""),
-    "label_title_case": q("SELECT event_id, upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) AS label FROM events"),
+    "label_title_case": q("SELECT event_id, 'First ' || upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) AS label FROM events"),
     "join_left_star": q("""SELECT d.respondent_key, d.age_years, round(t1.day_1_protein_g, 6) AS day_1_protein_g,
         round(t2.day_2_protein_g, 6) AS day_2_protein_g, round(g.fasting_glucose_mg_dl, 6) AS fasting_glucose_mg_dl,
         m.mortality_status
