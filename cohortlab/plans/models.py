@@ -268,7 +268,7 @@ def build_all(spark: SparkSession, stg: dict[str, DataFrame],
     """The whole DAG, lazily.
 
     ``cut(name, df)`` is applied to every model that other models read (M1-M4)
-    as it is built; pass :func:`cohortlab.sinks.tables.table_cut` to write
+    as it is built; pass :func:`cohortlab.plans.marts.store` to write
     each once to shared storage and have its dependants read that table (the
     model-build step of a scheduled run). The two independent roots (M1, M2)
     are cut concurrently, as separate Spark jobs. Leaf marts stay lazy.

@@ -82,21 +82,3 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, comment: str | Non
 
 def ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
-def write_and_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` (overwrite) and return the table read back."""
-    schema = ddl(df)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def table_cut(spark: SparkSession, root: str):
-    """A ``cut(name, df)`` hook that materializes each model under ``root``.
-
-    Every model is computed once, its lineage is cut at a table on shared
-    storage (it survives executor loss), and dependants read it with column
-    pruning and pushed filters.
-    """
-    return lambda name, df: write_and_read(spark, df, f"{root}/{name}")
-

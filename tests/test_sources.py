@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import io
 import json
-import os
 
 import pandas as pd
-import pytest
 from conftest import rows
 from xpt_builder import build_xpt
 
