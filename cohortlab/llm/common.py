@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,6 @@ from cohortlab.session import checkpoint_dir
 
 WORD_SQL = r"[^\\x20\\x09-\\x0D]+"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Text handled at once inside a task; a longer single text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
@@ -74,11 +73,6 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         start = stop
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: a bijection of 64-bit integers."""
     x = x.astype(np.uint64, copy=True)
@@ -90,13 +84,5 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def columns_of(batch: pa.RecordBatch, names: Iterable[str]) -> list[pa.Array]:
-    return [batch.column(batch.schema.get_field_index(n)) for n in names]
-
-
-def local_master(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
-
-
 def scratch_name(what: str) -> str:
     return f"{what}_{os.getpid()}_{uuid.uuid4().hex[:12]}"
