@@ -215,9 +215,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     classes = all_of.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes.where(F.col("rep").isNotNull()), "classes")
-    held = classes.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("bucket"))
+    held = classes.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("band", "bucket"))
     shared = held.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("members")).where(F.col("members") > 1)
-    members = written(held.join(shared, "bucket").select("bucket", "id", "n", "leader"), "members")
+    members = written(held.join(shared, "bucket").select("bucket", "band", "id", "n", "leader"), "members")
     star = members.where(F.col("id") != F.col("leader")).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     wanted = members.select("id").distinct()
     sets = written(full_sets(docs.join(wanted, "id", "left_semi")), "sets")
@@ -226,21 +226,23 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     # buckets that still join several components
     names = components(links)
     named = members.join(names.withColumnRenamed("id", "node"), F.col("id") == F.col("node"), "left").select(
-        "bucket", "id", "n", F.coalesce("root", "id").alias("root"))
+        "bucket", "band", "id", "n", F.coalesce("root", "id").alias("root"))
     # one member per component is enough to see that a bucket has several
     open_buckets = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    bits = all_of.select(F.col("id").alias("bit_id"), "bits").where(F.col("bit_id").isNotNull())
+    bits = all_of.select(F.col("id").alias("bit_id"), "bits", "bands").where(F.col("bit_id").isNotNull())
     rest = named.join(open_buckets, "bucket")
     ids = rest.select("id").distinct()
     bits = bits.join(ids, F.col("bit_id") == F.col("id"), "left_semi")
     rest = written(rest.join(bits, F.col("id") == F.col("bit_id")).select(
-        "bucket", "id", "n", "root", *[F.col("bits")[i].alias(f"w{i}") for i in range(LONGS)]), "rest")
+        "bucket", "band", "id", "n", "root", "bands", *[F.col("bits")[i].alias(f"w{i}") for i in range(LONGS)]), "rest")
     x, y = rest.alias("x"), rest.alias("y")
     differ = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(LONGS)), F.lit(0))
+    # a pair that shares several buckets is formed in the first of them only
+    first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True)
     pairs = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
                     & (F.col("x.root") != F.col("y.root"))
                     & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-                    & (differ <= bit_limit(percent)))
+                    & (differ <= bit_limit(percent)) & (first == F.col("x.band") + 1))
              .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
     more = verified(pairs.join(star, ["a", "b"], "left_anti"), sets, percent)
     final = components(links.unionByName(more))
