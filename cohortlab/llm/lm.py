@@ -117,10 +117,14 @@ class Model:
         pairs, where = np.unique(a.astype(np.int64) * width + b, return_inverse=True)
         q = self.predict(pairs // width, pairs % width)
         norm = np.empty(len(pairs))
+        # the normalisers' exponentials in single precision, their sums in double
+        target, bias = self.parts["target"].T.astype(np.float32), self.parts["bias"].astype(np.float32)
         for s in range(0, len(pairs), 2048):
-            x = q[s:s + 2048] @ self.parts["target"].T + self.parts["bias"]
-            top = x.max(axis=1)
-            norm[s:s + 2048] = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
+            x = q[s:s + 2048].astype(np.float32) @ target
+            x += bias
+            top = x.max(axis=1, keepdims=True)
+            x -= top
+            norm[s:s + 2048] = top[:, 0] + np.log(np.exp(x, out=x).sum(axis=1, dtype=np.float64))
         out = np.empty(len(w))
         for s in range(0, len(w), 1 << 17):  # bounds the gathered vectors
             e = slice(s, s + (1 << 17))
@@ -288,7 +292,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             for blob in batch.column(6).to_pylist():
                 waiting.append(unpack(blob))
                 held += len(waiting[-1])
-                if held >= 1 << 20:
+                if held >= 1 << 21:
                     add()
                     waiting, held = [], 0
             if waiting:
