@@ -2,11 +2,13 @@
 
 Groups of documents (equal texts, or any key) are indivisible. Sorted by size,
 each goes to the bin with the tightest remaining capacity that still holds it;
-a balanced search tree over the remaining capacities finds that bin.
+a balanced search tree over the remaining capacities finds that bin. A group
+larger than the fair share of what is left fills a shard alone before the others
+are packed evenly into the remaining shards.
 
-Only a bounded list is packed in order. A group larger than 1/``grain`` of a
-shard's fair share is an item of its own: there are at most shards * grain of
-these. All smaller groups are hashed into shards * grain parcels, which are
+Only a bounded list is packed in order. A group larger than 1/``grain`` of the
+fair share of the remaining shards is an item of its own: there are at most
+shards * grain of these. All smaller groups are hashed into shards * grain parcels, which are
 items as well; parcels have no fixed size, so they are packed by their true
 sizes with the rest. Counting, grouping and the way back to the documents are
 Spark joins; at most 2 * shards * grain (key, size) pairs reach the packer.
@@ -16,20 +18,21 @@ up, and only the rank within a bucket needs its rows together, so no task sees
 a whole shard.
 
 Defined cases: a null text has no bytes and equals the empty text; an empty
-table gives an empty result; a group larger than the capacity fills a shard
-alone; repeated and null ids get slots of their own; input columns named like an
+table gives an empty result; a group larger than the fair share fills a
+shard alone; repeated and null ids get slots of their own; input columns named like an
 output are replaced.
 """
 
 from __future__ import annotations
 
+import bisect
 import random
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import table, without
+from cohortlab.llm.common import table, without, written
 
 
 class CapacityTree:
@@ -95,8 +98,31 @@ def best_fit_decreasing(items: list[tuple[str, int]], capacity: int) -> tuple[di
     return place, fill
 
 
+def oversized(sizes: list[int], total: int, shards: int) -> tuple[int, int]:
+    """How many of the descending ``sizes`` get a shard alone, and what the others weigh.
+
+    A size above the fair share of what is left takes a shard; the share of the
+    others shrinks with it, so the next size is held against the new share.
+    """
+    alone = 0
+    for size in sizes:
+        if alone == shards - 1 or size * (shards - alone) <= total:
+            break
+        alone, total = alone + 1, total - size
+    return alone, total
+
+
 def pack_into(items: list[tuple[str, int]], shards: int) -> dict[str, int]:
-    """The smallest capacity (by bisection) at which ``shards`` bins suffice."""
+    """Items above the fair share get bins alone; the others the smallest
+    capacity (by bisection) at which the remaining bins suffice, then levelled."""
+    items = sorted(items, key=lambda x: (-x[1], x[0]))
+    alone, _ = oversized([s for _, s in items], sum(s for _, s in items), shards)
+    place = {key: at for at, (key, _) in enumerate(items[:alone])}
+    rest = _pack_evenly(items[alone:], shards - alone)
+    return {**place, **{key: alone + at for key, at in rest.items()}}
+
+
+def _pack_evenly(items: list[tuple[str, int]], shards: int) -> dict[str, int]:
     if not items:
         return {}
     total = sum(s for _, s in items)
@@ -109,8 +135,32 @@ def pack_into(items: list[tuple[str, int]], shards: int) -> dict[str, int]:
             best, high = place, mid
         else:
             low = mid + 1
-    return best if best is not None and high == low and len(set(best.values())) <= shards and _fits(best, items, low) \
-        else best_fit_decreasing(items, low)[0]
+    if best is None or high != low or len(set(best.values())) > shards or not _fits(best, items, low):
+        best = best_fit_decreasing(items, low)[0]
+    return _levelled(best, items, shards)
+
+
+def _levelled(place: dict[str, int], items: list[tuple[str, int]], shards: int) -> dict[str, int]:
+    """``place`` after moves from the fullest to the emptiest bin, while one lessens their gap.
+
+    Best fit fills bins to the capacity one after the other, so the last ones
+    hold what is left over.
+    """
+    own: list[list[tuple[int, str]]] = [[] for _ in range(max(shards, 1 + max(place.values())))]
+    for key, size in items:
+        own[place[key]].append((size, key))
+    for held in own:
+        held.sort()
+    fill = [sum(size for size, _ in held) for held in own]
+    while True:
+        top, low = fill.index(max(fill)), fill.index(min(fill))
+        at = bisect.bisect_right(own[top], ((fill[top] - fill[low]) // 2, chr(0x10FFFF))) - 1
+        if at < 0 or own[top][at][0] == 0:
+            break
+        size, key = own[top].pop(at)
+        bisect.insort(own[low], (size, key))
+        fill[top], fill[low] = fill[top] - size, fill[low] + size
+    return {key: at for at, held in enumerate(own) for _, key in held}
 
 
 def _fits(place: dict[str, int], items: list[tuple[str, int]], capacity: int) -> bool:
@@ -122,11 +172,14 @@ def _fits(place: dict[str, int], items: list[tuple[str, int]], capacity: int) ->
 
 def group_items(rows: DataFrame, shards: int, grain: int) -> tuple[DataFrame, list[tuple[str, int]]]:
     """(group, item) of every group, and the bounded list of (item, size)."""
-    groups = rows.groupBy("group").agg(F.sum("size").alias("size"))
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    groups = written(rows.groupBy("group").agg(F.sum("size").alias("size")), "groups")
+    total = groups.agg(F.sum("size")).first()[0] or 0
     parts = shards * grain
+    # at most ``shards`` rows; the grain follows the share of what the oversized leave
+    largest = [int(r["size"]) for r in groups.select("size").orderBy(F.desc("size")).limit(shards).collect()]
+    alone, rest = oversized(largest, int(total), shards)
     parcel = F.concat(F.lit("p"), F.pmod(F.xxhash64("group"), F.lit(parts)).cast("string"))
-    named = groups.withColumn("item", F.when(F.col("size") * parts > total, F.concat(F.lit("g"), "group")).otherwise(parcel))
+    named = groups.withColumn("item", F.when(F.col("size") * ((shards - alone) * grain) > rest, F.concat(F.lit("g"), "group")).otherwise(parcel))
     listed = named.groupBy("item").agg(F.sum("size").alias("size")).collect()
     return named.select("group", "item"), [(r["item"], int(r["size"])) for r in listed]
 

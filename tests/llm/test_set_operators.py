@@ -112,6 +112,29 @@ def test_small_groups_in_parcels_stay_even(docs_of):
     assert sharding.shard_documents(docs_of([]), shards=4).count() == 0
 
 
+@pytest.mark.parametrize("copies,long", [(1500, 0), (400, 0), (1500, 40)])
+def test_oversized_groups_leave_the_other_shards_even(docs_of, copies, long):
+    rows = [(i, f"own text {i:06d} " * 4) for i in range(3000)] + [(10_000 + i, "one copied text of some length " * 3) for i in range(copies)]
+    rows += [(20_000 + i, "x" * 1000) for i in range(long)]  # a second group above the share that the first leaves
+    got = sharding.shard_documents(docs_of(rows), shards=24).collect()
+    assert len(got) == len(rows)
+    sizes, texts = Counter(), defaultdict(set)
+    for r in got:
+        sizes[r.shard] += r.size
+        texts[r.shard].add(r.text)
+    assert set(sizes) == set(range(24))
+    alone = {s for s, t in texts.items() if len(t) == 1}
+    assert len(alone) == 1 + (long > 0)
+    others = [v for s, v in sizes.items() if s not in alone]
+    assert max(others) <= 1.03 * min(others)
+
+
+def test_items_equal_or_fewer_than_the_bins_are_spread():
+    assert sorted(sharding.pack_into([("a", 5), ("b", 5), ("c", 5)], 5).values()) == [0, 1, 2]
+    assert sharding.pack_into([("a", 9)], 1) == {"a": 0}
+    assert sharding.pack_into([], 3) == {}
+
+
 # ------------------------------------------------------------ mixing
 def targets_by_hand(sizes):
     names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
