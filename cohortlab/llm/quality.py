@@ -1,19 +1,26 @@
 """Quality rules with risk-controlled thresholds (operator 7).
 
 Each rule rejects documents whose feature exceeds a cutoff. Cutoffs are chosen
-per stratum (language) on the labelled documents: a cutoff is admissible if the
-exact (Clopper-Pearson) upper bound on the rate at which it rejects good
-documents is at most ``alpha`` / number of rules, at level ``delta`` divided by
-the number of (stratum, rule) tests. Along a rule's cutoffs, from one that
-rejects nothing downwards, testing stops at the first failure (fixed-sequence
-testing), so the cutoffs themselves need no further correction. With probability
-1 - ``delta`` every stratum then loses at most ``alpha`` of its good documents.
-A stratum with too few labelled good documents gets no cutoff: nothing is
-rejected there by the rules.
+per stratum (language) on the labelled documents, jointly for all rules: one fixed
+sequence of steps, each lowering one rule's cutoff by a bin, is tested from
+rejecting nothing downwards. A step is admissible if the exact (Clopper-Pearson)
+upper bound on the rate at which all rules together reject good documents is at
+most ``alpha``, at level ``delta`` divided by the number of strata that have enough
+good documents to reject anything. Testing stops at the first failure (fixed-
+sequence testing), so the steps themselves need no further correction. With
+probability 1 - ``delta`` every stratum then loses at most ``alpha`` of its good
+documents. A stratum with too few labelled good documents (``least_good``) gets no
+cutoff: nothing is rejected there by the rules.
+
+The sequence must not depend on the good documents it is tested on. It is drawn
+from the others, those labelled bad and those without a label: first the cutoffs
+that take a larger share of the bad than of the unlabelled, then the cutoffs of all
+rules by the share of the unlabelled that lies above them.
 
 Features are counted in numpy over whole slices of documents. The labelled
 documents are reduced to histograms (stratum, rule, bin), so what reaches the
-driver is bounded by strata x rules x bins; all labels are used.
+driver is bounded by strata x rules x bins; all labels are used. A good document
+counts at the first step that rejects it, so the counts add up to joint rejections.
 
 Defined cases: a null text has no words; a null or unseen stratum has its own
 cutoffs or none; labels without a document are ignored, repeated labels of one
@@ -165,45 +172,120 @@ def upper_bound(k: int, n: int, level: float) -> float:
     return high
 
 
-def choose_cutoffs(histogram: list[tuple[str | None, str, int, int]], alpha: float, delta: float
-                   ) -> dict[tuple[str | None, str], int]:
+def least_good(alpha: float, level: float) -> int:
+    """The fewest good documents with which a cutoff that rejects none of them is admissible."""
+    return math.ceil(math.log(level) / math.log1p(-alpha))
+
+
+def most_rejected(n: int, alpha: float, level: float) -> int:
+    """The largest k whose ``upper_bound`` is at most ``alpha``; -1 if there is none."""
+    chance, lp, lq = 0.0, math.log(alpha), math.log1p(-alpha)
+    for k in range(n):
+        chance += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * lp + (n - k) * lq)
+        if chance > level:
+            return k - 1
+    return n - 1
+
+
+def sequence(bad: dict[str, np.ndarray], unlabelled: dict[str, np.ndarray], lift: float = 2.0, least: int = 5) -> list[tuple[str, int]]:
+    """All steps (rule, cut) in the order of testing; each lowers the rule's cutoff to ``cut``.
+
+    ``bad``, ``unlabelled``: rule -> documents by bin. First come, by falling lift,
+    the runs of a rule's steps that take more than ``lift`` times the share of the
+    bad documents that they take of the unlabelled, and ``least`` bad documents.
+    """
+    steps, reached = [], dict.fromkeys(RULES, BINS)
+    while True:
+        best = None
+        for rule in RULES:
+            b, u = bad[rule], unlabelled[rule]
+            taken_b = taken_u = 0
+            for cut in range(reached[rule] - 1, -1, -1):
+                taken_b, taken_u = taken_b + int(b[cut + 1]), taken_u + int(u[cut + 1])
+                if taken_b < least:
+                    continue
+                gain = (taken_b / int(b.sum())) / ((taken_u + 1) / (int(u.sum()) + 1))
+                if gain > lift and (best is None or (gain, reached[rule] - cut) > best[:2]):
+                    best = gain, reached[rule] - cut, rule, cut
+        if best is None:
+            break
+        rule, cut = best[2:]
+        steps += [(rule, c) for c in range(reached[rule] - 1, cut - 1, -1)]
+        reached[rule] = cut
+    # the rest by the share of the unlabelled documents above the cut: the rules spend alpha evenly
+    above = {r: np.cumsum(unlabelled[r][::-1])[::-1] for r in RULES}
+    rest = [(int(above[r][cut + 1]), -cut, r) for r in RULES for cut in range(reached[r])]
+    return steps + [(r, -cut) for _, cut, r in sorted(rest, key=lambda x: x[:2])]
+
+
+def even_sequence() -> list[tuple[str, int]]:
+    none = {rule: np.zeros(BINS + 1, np.int64) for rule in RULES}
+    return sequence(none, none)
+
+
+def choose_cutoffs(histogram: list[tuple[str | None, str, int, int]], alpha: float, delta: float,
+                   steps: list[tuple[str, int]] | None = None) -> dict[tuple[str | None, str], int]:
     """(stratum, rule) -> largest bin that is still kept; rules without one reject nothing.
 
-    ``histogram``: (stratum, rule, bin, good documents).
+    ``histogram``: (stratum, rule, bin, good documents), every document once in
+    each rule. Rejections are added over the rules: exact if a document lies above
+    bin 0 only in the rule that rejects it first, and never too few.
     """
-    strata = {h[0] for h in histogram}
-    level, share = delta / max(1, len(strata) * len(RULES)), alpha / len(RULES)
+    good: dict[str | None, dict[str, np.ndarray]] = {}
+    for stratum, rule, b, n in histogram:
+        good.setdefault(stratum, {r: np.zeros(BINS + 1, np.int64) for r in RULES})[rule][b] += n
+    totals = {s: max(int(x.sum()) for x in by.values()) for s, by in good.items()}
+    # which strata are tested depends on their sizes alone, not on what is rejected
+    largest = sorted(totals, key=lambda s: (-totals[s], str(s)))
+    while largest and totals[largest[-1]] < least_good(alpha, delta / len(largest)):
+        largest.pop()
     cutoffs = {}
-    for stratum in strata:
-        for rule in RULES:
-            good = np.zeros(BINS + 1, np.int64)
-            for s, r, b, n in histogram:
-                if s == stratum and r == rule:
-                    good[b] += n
-            total = int(good.sum())
-            if not total:
-                continue
-            above = 0
-            for cut in range(BINS - 1, -1, -1):  # reject bins over cut
-                above += int(good[cut + 1])
-                # the bound is at least the share itself: no need to evaluate it
-                if above > share * total or upper_bound(above, total, level) > share:
-                    break
-                cutoffs[stratum, rule] = cut
+    for stratum in largest:
+        most, above = most_rejected(totals[stratum], alpha, delta / len(largest)), 0
+        for rule, cut in steps or even_sequence():
+            above += int(good[stratum][rule][cut + 1])
+            if above > most:
+                break
+            cutoffs[stratum, rule] = cut
     return cutoffs
 
 
 def calibrate(counted: DataFrame, labels: DataFrame, id_col: str, stratum: str, alpha: float, delta: float
               ) -> dict[tuple[str | None, str], int]:
-    """Cutoffs from the labelled documents that pass the base rules.
+    """Cutoffs from the documents that pass the base rules.
 
-    ``counted``: id, stratum, COUNTS. One shuffle of narrow rows on the id.
+    ``counted``: id, stratum, COUNTS. One shuffle of narrow rows on the id, whose
+    bins are stored for two histograms: of the documents that are not good, which
+    give the sequence, then of the good ones.
     """
     known = labels.groupBy(F.col(id_col).alias("label_id")).agg(F.min("quality").alias("quality"))
-    good = (counted.join(known, F.col(id_col) == F.col("label_id")).where((F.col("quality") == 1) & ~base_failed()))
-    bins = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), rule_bin(r).alias("bin")) for r in RULES])).alias("x")
-    rows = good.select(F.col(stratum).alias("stratum"), bins).groupBy("stratum", "x.rule", "x.bin").count().collect()
-    return choose_cutoffs([(r["stratum"], r["rule"], r["bin"], r["count"]) for r in rows], alpha, delta)
+    named = counted.where(F.col(id_col).isNotNull() & ~base_failed()).select(
+        F.col(id_col), F.col(stratum).alias("stratum"), *[rule_bin(r).alias(r) for r in RULES])
+    marked = written(named.join(known, F.col(id_col) == F.col("label_id"), "left").select("stratum", "quality", *RULES), "bins")
+    bins = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("bin")) for r in RULES])).alias("x")
+    others = (marked.where(F.col("quality").isNull() | (F.col("quality") != 1)).select(F.col("quality").isNotNull().alias("bad"), bins)
+              .groupBy("bad", "x.rule", "x.bin").count().collect())
+    counts = {flag: {r: np.zeros(BINS + 1, np.int64) for r in RULES} for flag in (True, False)}
+    for r in others:
+        counts[r["bad"]][r["rule"]][r["bin"]] += r["count"]
+    steps = sequence(counts[True], counts[False])
+    # the first step that rejects a bin of a rule: the one that lowers the cutoff below it
+    step_of = {rule: [len(steps)] * (BINS + 1) for rule in RULES}
+    for at, (rule, cut) in enumerate(steps):
+        step_of[rule][cut + 1] = at
+    first = F.least(*[F.element_at(F.array(*[F.lit(x) for x in step_of[r]]), F.col(r) + 1) for r in RULES])
+    rows = marked.where(F.col("quality") == 1).groupBy("stratum", first.alias("step")).count().collect()
+    totals: dict[str | None, int] = {}
+    histogram = []
+    for r in rows:
+        totals[r["stratum"]] = totals.get(r["stratum"], 0) + r["count"]
+        if r["step"] < len(steps):
+            rule, cut = steps[r["step"]]
+            histogram.append((r["stratum"], rule, cut + 1, r["count"]))
+    for s, n in totals.items():  # in its other rules a document lies in bin 0
+        for rule in RULES:
+            histogram.append((s, rule, 0, n - sum(h[3] for h in histogram if h[:2] == (s, rule) and h[2])))
+    return choose_cutoffs(histogram, alpha, delta, steps)
 
 
 def verdict(cutoffs: dict[tuple[str | None, str], int], stratum: str):

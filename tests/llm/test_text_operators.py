@@ -176,6 +176,58 @@ def test_cutoffs_control_false_rejection():
     assert {cuts["en", r] for r in quality.RULES} == {10}  # bin 10 holds too many good documents to go
 
 
+def test_joint_cutoffs_need_few_labels():
+    # four languages with 217 clean documents each; a fifth has too few to be tested and costs no level
+    clean = [(s, r, 0, 217) for s in ("en", "fr", "de", "es") for r in quality.RULES] + [("xx", r, 0, 40) for r in quality.RULES]
+    assert quality.least_good(0.02, 0.05 / 4) == 217
+    assert quality.choose_cutoffs(clean, 0.02, 0.05) == {(s, r): 0 for s in ("en", "fr", "de", "es") for r in quality.RULES}
+    assert quality.choose_cutoffs([("en", r, 0, 148) for r in quality.RULES], 0.02, 0.05) == {}
+
+
+def test_most_rejected_follows_the_bound_and_tests_stay_within_the_level():
+    for n in (100, 217, 1000, 5000):
+        k = quality.most_rejected(n, 0.02, 0.0125)
+        assert k < 0 or quality.upper_bound(k, n, 0.0125) <= 0.02
+        assert quality.upper_bound(k + 1, n, 0.0125) > 0.02
+    # at 200 documents each, four strata cannot be tested at delta / 4; two of them can at delta / 2
+    cuts = quality.choose_cutoffs([(s, r, 0, 200) for s in "abcd" for r in quality.RULES], 0.02, 0.05)
+    assert {s for s, _ in cuts} == {"a", "b"}
+
+
+def test_joint_rejection_stays_under_alpha():
+    # each rule alone would lose 1.2 % of the good documents, all together 6 %
+    some = [("en", r, b, n) for r in quality.RULES for b, n in ((0, 9_880), (30, 120))]
+    cuts = quality.choose_cutoffs(some, 0.02, 0.05)
+    assert sum(120 for r in quality.RULES if cuts["en", r] < 30) <= 200
+
+
+def test_sequence_starts_with_what_marks_bad_documents():
+    bad = {r: np.bincount([0] * 40, minlength=quality.BINS + 1) for r in quality.RULES}
+    rest = {r: np.bincount([0] * 900 + [20] * 100, minlength=quality.BINS + 1) for r in quality.RULES}
+    bad["symbols"] = np.bincount([100] * 40, minlength=quality.BINS + 1)
+    rest["symbols"] = np.bincount([0] * 900 + [100] * 100, minlength=quality.BINS + 1)
+    steps = quality.sequence(bad, rest)
+    assert steps[:100] == [("symbols", c) for c in range(99, -1, -1)]
+    assert sorted(steps) == sorted((r, c) for r in quality.RULES for c in range(100))
+    for r in quality.RULES:
+        assert [c for x, c in steps if x == r] == list(range(99, -1, -1))
+
+
+def test_small_languages_get_cutoffs(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(2000):
+        bad = i % 8 == 0
+        text = " ".join(f"w{rng.randrange(10_000)}" + ("#" if bad else "") for _ in range(20))
+        rows.append((i, text, "en" if i % 2 else "fr"))
+        if i % 3:
+            labels.append((i, 0 if bad else 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.id: r.kept for r in quality.judged(docs, marks).collect()}
+    assert all(got[i] == (i % 8 != 0) for i in got)
+
+
 def test_quality_over_a_fixture(spark):
     rng = random.Random(3)
     words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta"]
