@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pytest
-from conftest import one_col
+from helpers import one_col
 from pyspark.sql import functions as F
 
 from cohortlab.functions import bands as B

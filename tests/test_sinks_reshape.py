@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from cohortlab.functions.sql import project
 from cohortlab.operators import reshape as RS

@@ -6,7 +6,7 @@ import io
 import json
 
 import pandas as pd
-from conftest import rows
+from helpers import rows
 from xpt_builder import build_xpt
 
 from cohortlab.functions.sql import project
