@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlab.llm import ann, bpe, chat, html_extract, line_dedup, lm, minhash, mixing, quality, sharding
+from cohortlab.llm import ann, bpe, chat, html_extract, line_dedup, lm, minhash, mixing, quality, runs, sharding
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_minhash": minhash.op9_minhash,
     "op10_multi_index": ann.op10_multi_index,
+    "op12_periodic_runs": runs.op12_periodic_runs,
 }
 
 ORACLE = {
