@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from cohortlab.llm import ann, bpe, chat, html_extract, line_dedup, lm, minhash, mixing, quality, runs, sharding
+from cohortlab.llm import (
+    ann, bpe, chat, chat_repair, html_extract, line_dedup, lm, minhash, mixing, quality, runs, sharding,
+)
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_minhash": minhash.op9_minhash,
     "op10_multi_index": ann.op10_multi_index,
+    "op11_chat_repair": chat_repair.op11_chat_repair,
     "op12_periodic_runs": runs.op12_periodic_runs,
 }
 
@@ -22,4 +25,5 @@ ORACLE = {
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op8_chat_formatting": chat.OP8_SQL,
+    "op11_chat_repair": chat_repair.OP11_SQL,
 }
