@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cohortlab.llm import (
-    ann, bpe, chat, chat_repair, html_extract, line_dedup, lm, minhash, mixing, quality, runs, sharding,
+    ann, bpe, chat, chat_repair, html_extract, line_dedup, lm, minhash, mixing, quality, runs, sharding, sigtree,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_multi_index": ann.op10_multi_index,
     "op11_chat_repair": chat_repair.op11_chat_repair,
     "op12_periodic_runs": runs.op12_periodic_runs,
+    "op13_signature_trees": sigtree.op13_signature_trees,
 }
 
 ORACLE = {
