@@ -4,7 +4,8 @@ Each check returns its failing rows as a DataFrame (the warehouse-test
 convention) or, for the report, one row per check with the failing count.
 Not-NULL and accepted-values checks on one table are batched into a single
 aggregate pass; uniqueness needs one aggregate per key column, with
-map-side partial counts, so a hot key collapses before the shuffle.
+map-side partial counts, so a hot key collapses before the shuffle. Tables of a
+warehouse bring the counts of their writes along; of them only keys are read again.
 """
 
 from __future__ import annotations
@@ -130,8 +131,68 @@ def singular_report(name: str, model: str, failures: DataFrame) -> DataFrame:
                                     "'' AS column_name", "count(1) AS failing_rows"])
 
 
+@dataclass
+class KeyTest:
+    """A uniqueness test read from a table; ``stored``: bucketed by the column; ``nulls``: report NULLs too."""
+
+    model_name: str
+    df: DataFrame
+    column: str
+    stored: bool = False
+    nulls: bool = True
+
+
+def unique_report(tests: Sequence[KeyTest]) -> DataFrame:
+    """All uniqueness tests, each table scanned once for its key column alone.
+
+    Tables bucketed by the key are grouped where they lie; the keys of all others meet
+    in one exchange, with map-side counts. What remains is a row per test.
+    """
+    number = {id(t): i for i, t in enumerate(tests)}
+    stored = [aggregate(t.df, [f"{q(t.column)} AS k"], ["count(1) AS n"], where=f"{q(t.column)} IS NOT NULL") for t in tests if t.stored]
+    stored = [project(df, [f"{number[id(t)]} AS test", "cast(k as string) AS k", "n"]) for df, t in zip(stored, [t for t in tests if t.stored])]
+    # rows without a key bypass the grouping; one bucket would hold them all
+    stored += [aggregate(t.df, [], [f"{number[id(t)]} AS test", "cast(null as string) AS k", "count(1) AS n"],
+                         where=f"{q(t.column)} IS NULL") for t in tests if t.stored and t.nulls]
+    loose = [project(t.df, [f"{number[id(t)]} AS test", f"cast({q(t.column)} as string) AS k"]) for t in tests if not t.stored]
+    parts = stored + ([aggregate(union_all_by_name(loose), ["test", "k"], ["count(1) AS n"])] if loose else [])
+    sums = aggregate(union_all_by_name(parts), ["test"], [
+        "count_if(k IS NOT NULL AND n > 1) AS twice", "sum(CASE WHEN k IS NULL THEN n ELSE 0 END) AS nulls"])
+    spark = sums.sparkSession
+    rows = []
+    for i, t in enumerate(tests):
+        rows.append((i, "unique", t.model_name, t.column))
+        if t.nulls:
+            rows.append((i, "not_null", t.model_name, t.column))
+    named = spark.createDataFrame(rows, "test int, check_name string, model_name string, column_name string")  # a row per test
+    return spark.sql("SELECT /*+ BROADCAST(t) */ t.check_name, t.model_name, t.column_name, "
+                     "cast(coalesce(CASE WHEN check_name = 'unique' THEN s.twice ELSE s.nulls END, 0) as bigint) AS failing_rows "
+                     "FROM {t} t LEFT JOIN {s} s ON t.test = s.test", t=named, s=sums)
+
+
+def counted_report(spark, counted: Sequence[tuple[str, str, str, int]]) -> DataFrame:
+    """Rows of tests that were counted while their tables were written."""
+    return spark.createDataFrame(list(counted), "check_name string, model_name string, column_name string, failing_rows long")
+
+
+def reconcile_report(left: DataFrame, right: DataFrame, key: str, comparisons: Sequence[tuple[str, str, str, str]],
+                     tolerance: str = "0.1") -> DataFrame:
+    """Several reconciliations of two tables from one join: (name, model, left column, right column) each."""
+    exact = lambda x: f"cast({x} as decimal(38,9))"
+    fails = [f"count_if(abs({exact('l.' + q(a))} - {exact('r.' + q(b))}) > {exact(lit(tolerance))})" for _, _, a, b in comparisons]
+    structs = ", ".join(f"struct({lit(n)} AS check_name, {lit(m)} AS model_name, '' AS column_name, {f} AS failing_rows)"
+                        for (n, m, _, _), f in zip(comparisons, fails))
+    return left.sparkSession.sql(
+        f"SELECT inline(checks) FROM (SELECT /*+ SHUFFLE_HASH(r) */ array({structs}) AS checks FROM {{l}} l "
+        f"JOIN {{r}} r ON l.{q(key)} = r.{q(key)})", l=left, r=right)
+
+
+def report_of(parts: Sequence[DataFrame]) -> DataFrame:
+    return project(union_all_by_name(list(parts)), [*REPORT_COLUMNS[:-1], "failing_rows = 0 AS passed"])
+
+
 def quality_report(tables: Sequence[TableChecks], singular: Sequence[tuple[str, str, DataFrame]] = ()) -> DataFrame:
     """All tests as rows ``(check_name, model_name, column_name, failing_rows, passed)``."""
     parts = [table_report(t) for t in tables]
     parts += [singular_report(n, m, f) for n, m, f in singular]
-    return project(union_all_by_name(parts), [*REPORT_COLUMNS[:-1], "failing_rows = 0 AS passed"])
+    return report_of(parts)

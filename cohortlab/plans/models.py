@@ -16,7 +16,7 @@ DAG costs a few driver-to-JVM calls per model.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +26,7 @@ from cohortlab.operators.aggregates import mean, weighted_conditional, weighted_
 from cohortlab.operators.joins import lookup_join
 from cohortlab.operators.reshape import union_all_by_name
 from cohortlab.plans import notes
+from cohortlab.sinks.warehouse import star_join
 from cohortlab.sources import seeds
 
 KEY = "respondent_key"
@@ -47,7 +48,21 @@ def _tot_cols(day: int) -> list[str]:
                                        "carb_g", "fat_g")]
 
 
-def respondent_daily(stg: dict[str, DataFrame]) -> DataFrame:
+def _left_joins(fact: DataFrame, dims: dict[str, DataFrame], columns: Sequence[str], where: str = "",
+                stored: bool = False, keyless: bool = True) -> DataFrame:
+    """``fact`` (alias d) left joined to ``dims`` (alias -> table) by respondent.
+
+    ``stored``: all are tables of one warehouse, stored by respondent, and meet
+    without an exchange; ``keyless``: ``fact`` has rows without a key, which bypass the joins.
+    """
+    if stored:
+        return star_join(fact, list(dims.values()), KEY, columns, "d", list(dims), where, keyless)
+    joins = "".join(f"\nLEFT JOIN {{{n}}} {n} USING ({KEY})" for n in dims)
+    text = f"SELECT\n  {select_list(columns)}\nFROM {{d}} d{joins}" + (f"\nWHERE {where}" if where else "")
+    return fact.sparkSession.sql(text, d=fact, **dims)
+
+
+def respondent_daily(stg: Mapping[str, DataFrame], stored: bool = False, keyless: bool = True) -> DataFrame:
     """M1: one row per respondent with day totals, glucose and mortality."""
     cols = [
         f"d.{KEY}", *[f"d.{c}" for c in DEMO_COLS],
@@ -64,12 +79,8 @@ def respondent_daily(stg: dict[str, DataFrame]) -> DataFrame:
         f"{B.age_band_levine('d.age_years')} AS age_band_levine",
         f"{B.adult_age_band('d.age_years')} AS adult_age_band",
     ]
-    text = (f"SELECT\n  {select_list(cols)}\nFROM {{d}} d\n"
-            f"LEFT JOIN {{t1}} t1 USING ({KEY})\nLEFT JOIN {{t2}} t2 USING ({KEY})\n"
-            f"LEFT JOIN {{g}} g USING ({KEY})\nLEFT JOIN {{m}} m USING ({KEY})")
-    return stg["stg_demo"].sparkSession.sql(
-        text, d=stg["stg_demo"], t1=stg["stg_dr1tot"], t2=stg["stg_dr2tot"], g=stg["stg_glu"],
-        m=stg["stg_mortality"])
+    dims = {"t1": stg["stg_dr1tot"], "t2": stg["stg_dr2tot"], "g": stg["stg_glu"], "m": stg["stg_mortality"]}
+    return _left_joins(stg["stg_demo"], dims, cols, stored=stored, keyless=keyless)
 
 
 ITEM_COLUMNS = [
@@ -157,7 +168,7 @@ SOURCE_COLUMNS = [f"day_{d}_{c}" for d in (1, 2) for c in SOURCE_STEMS]
 
 
 def validation_cohort(daily: DataFrame, sources: DataFrame, comparability_note: str = notes.COHORT_NOTE,
-                      source_note: str = notes.SOURCE_NOTE) -> DataFrame:
+                      source_note: str = notes.SOURCE_NOTE, stored: bool = False, keyless: bool = True) -> DataFrame:
     """M4: mortality-eligible respondents aged 50+ with day-1 intake.
 
     The eligibility flag and the not-NULL filters reject NULLs from the
@@ -165,7 +176,7 @@ def validation_cohort(daily: DataFrame, sources: DataFrame, comparability_note:
     """
     share1 = B.protein_energy_share("day_1_protein_g", "day_1_energy_kcal")
     cols = [
-        KEY, "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label",
+        f"d.{KEY}", "respondent_id", "cycle_start_year", "cycle_end_year", "cycle_label",
         "survey_cycle_code", "age_years", "age_band_levine", "sex_code", "race_ethnicity_code",
         "education_code", "poverty_income_ratio", "survey_psu", "survey_strata",
         "interview_weight_2yr", "mec_weight_2yr", "day_1_recall_weight_2yr",
@@ -198,11 +209,9 @@ def validation_cohort(daily: DataFrame, sources: DataFrame, comparability_note:
         f"{B.lit(comparability_note)} AS comparability_note",
         f"{B.lit(source_note)} AS protein_source_note",
     ]
-    text = (f"SELECT\n  {select_list(cols)}\nFROM {{d}}\n"
-            f"LEFT JOIN (SELECT {KEY}, {', '.join(SOURCE_COLUMNS)} FROM {{p}}) USING ({KEY})\n"
-            "WHERE mortality_eligible_flag AND age_years >= 50\n"
-            "  AND day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL")
-    return daily.sparkSession.sql(text, d=daily, p=sources)
+    return _left_joins(daily, {"p": project(sources, [KEY, *SOURCE_COLUMNS])}, cols,
+                       "mortality_eligible_flag AND age_years >= 50\n"
+                       "  AND day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL", stored, keyless)
 
 
 def validation_summary(cohort: DataFrame) -> DataFrame:
@@ -231,7 +240,33 @@ def validation_summary(cohort: DataFrame) -> DataFrame:
 ADULT_BANDS = ["18_49", "50_65", "66_PLUS"]
 
 
-def cycle_protein_trends(daily: DataFrame, sources: DataFrame) -> DataFrame:
+SUMMARY_KEYS = ("age_band_levine", "protein_group_day_1")
+SUMMARY_SUMS = {
+    "weighted_population_day_1": None, "weighted_all_cause_deaths": "died_during_followup",
+    "weighted_cancer_deaths": "cancer_death_flag", "weighted_diabetes_mentions": "diabetes_mcod_flag"}
+SUMMARY_MEANS = ("protein_pct_kcal_day_1", "protein_pct_kcal_mean_2day", "day_1_animal_protein_share_est",
+                 "day_1_plant_protein_share_est", "fasting_glucose_mg_dl", "followup_months_interview",
+                 "followup_months_exam")
+
+
+def summary_parts(cohort: DataFrame) -> DataFrame:
+    """What M5 needs of each cycle: row counts, weighted sums, and sum and count of every mean."""
+    w = "day_1_recall_weight_16yr"
+    aggs = ["count(1) AS respondent_n"]
+    aggs += [f"{weighted_total(w) if flag is None else weighted_conditional(flag, w)} AS {n}" for n, flag in SUMMARY_SUMS.items()]
+    for c in SUMMARY_MEANS:
+        aggs += [f"sum(cast({c} as double)) AS sum_{c}", f"count({c}) AS n_{c}"]
+    return aggregate(cohort, ["cycle_start_year", *SUMMARY_KEYS], aggs)
+
+
+def merged_summary(parts: DataFrame) -> DataFrame:
+    """M5 from its per-cycle parts: the same rows as :func:`validation_summary` of the whole cohort."""
+    return aggregate(parts, [f"concat({SUMMARY_KEYS[0]}, '|', {SUMMARY_KEYS[1]}) AS summary_key", *SUMMARY_KEYS], [
+        "sum(respondent_n) AS respondent_n", *[f"sum({n}) AS {n}" for n in SUMMARY_SUMS],
+        *[f"{B.safe_ratio(f'sum(sum_{c})', f'sum(n_{c})')} AS avg_{c}" for c in SUMMARY_MEANS]])
+
+
+def cycle_protein_trends(daily: DataFrame, sources: DataFrame, stored: bool = False, keyless: bool = True) -> DataFrame:
     """M6: adults per cycle, age band and day-1 protein group."""
     share1 = B.protein_energy_share("day_1_protein_g", "day_1_energy_kcal")
     scored_cols = [
@@ -241,12 +276,10 @@ def cycle_protein_trends(daily: DataFrame, sources: DataFrame) -> DataFrame:
         "fasting_glucose_mg_dl", "day_1_animal_protein_share_est", "day_1_plant_protein_share_est",
     ]
     bands = ", ".join(B.lit(b) for b in ADULT_BANDS)
-    text = (f"SELECT\n  {select_list(scored_cols)}\nFROM {{d}}\n"
-            f"LEFT JOIN (SELECT {KEY}, day_1_animal_protein_share_est, day_1_plant_protein_share_est "
-            f"FROM {{p}}) USING ({KEY})\n"
-            "WHERE age_years >= 18 AND day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL\n"
-            f"  AND adult_age_band IN ({bands})")
-    scored = daily.sparkSession.sql(text, d=daily, p=sources)
+    shares = project(sources, [KEY, "day_1_animal_protein_share_est", "day_1_plant_protein_share_est"])
+    scored = _left_joins(daily, {"p": shares}, scored_cols,
+                         "age_years >= 18 AND day_1_energy_kcal IS NOT NULL AND day_1_protein_g IS NOT NULL\n"
+                         f"  AND adult_age_band IN ({bands})", stored, keyless)
     return aggregate(
         scored,
         ["concat(cycle_label, '|', adult_age_band, '|', protein_group_day_1) AS trend_key",
@@ -263,33 +296,15 @@ def cycle_protein_trends(daily: DataFrame, sources: DataFrame) -> DataFrame:
         ])
 
 
-def build_all(spark: SparkSession, stg: dict[str, DataFrame],
-              cut: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """The whole DAG, lazily.
-
-    ``cut(name, df)`` is applied to every model that other models read (M1-M4)
-    as it is built; pass :func:`cohortlab.plans.marts.store` to write
-    each once to shared storage and have its dependants read that table (the
-    model-build step of a scheduled run). The two independent roots (M1, M2)
-    are cut concurrently, as separate Spark jobs. Leaf marts stay lazy.
-    """
+def build_all(spark: SparkSession, stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The whole DAG over staging views, lazily; :mod:`cohortlab.plans.marts` stores it."""
     daily, items = respondent_daily(stg), protein_items(stg, seeds.group_map(spark))
-    if cut is not None:
-        from concurrent.futures import ThreadPoolExecutor
-
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            fd = pool.submit(cut, "respondent_daily", daily)
-            fi = pool.submit(cut, "protein_items", items)
-            daily, items = fd.result(), fi.result()
-    c = cut or (lambda name, df: df)
-    sources = c("protein_source_estimates", protein_source_estimates(items))
-    # a stored M3 is read as it is; otherwise the sums keyed by respondent
-    keyed = sources if cut is not None else protein_source_estimates(items, ())
-    cohort = c("validation_cohort", validation_cohort(daily, keyed))
+    keyed = protein_source_estimates(items, ())  # the sums keyed, and partitioned, by respondent
+    cohort = validation_cohort(daily, keyed)
     return {
         "respondent_daily": daily,
         "protein_items": items,
-        "protein_source_estimates": sources,
+        "protein_source_estimates": protein_source_estimates(items),
         "validation_cohort": cohort,
         "validation_summary": validation_summary(cohort),
         "cycle_protein_trends": cycle_protein_trends(daily, keyed),

@@ -20,17 +20,17 @@ from cohortlab.functions.sql import aggregate, project
 from cohortlab.operators import aggregates as A
 from cohortlab.operators import quality as Q
 from cohortlab.operators import reshape as RS
-from cohortlab.operators.joins import left_star_join, lookup_join
+from cohortlab.operators.joins import hot_keys, left_star_join, lookup_join, spread_star_join
 from cohortlab.plans import checks
 from cohortlab.plans import reports as RP
-from cohortlab.plans.staging import stg_source_catalog
+from cohortlab.plans.staging import stg_mortality, stg_source_catalog
 from cohortlab.session import checkpoint_dir
 from cohortlab.sinks import tables as SNK
 from cohortlab.sources import catalog as CAT
 from cohortlab.sources import ingest as ING
 from cohortlab.sources import landing as L
 from cohortlab.sources import seeds
-from cohortlab.streaming.incremental import latest_release, run_incremental
+from cohortlab.streaming.incremental import latest_release, newest_releases, run_incremental
 
 KEY = "respondent_key"
 
@@ -206,6 +206,15 @@ def join_left_star(spark, d):
 L_RAW_KEY = ["SEQN", "CYCLE_START_YEAR", "CYCLE_END_YEAR"]
 
 
+def join_skewed_star(spark, d):
+    """JN1 under skew: a third of the order lines has no key and another third one key."""
+    fact = project(_li(spark, d), ["l_orderkey", "l_linenumber", "l_quantity",
+                                   "CASE l_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 1 ELSE l_partkey END AS k"])
+    dims = [project(L.read_driver(spark, d, t), [f"{key} AS k", f"{name}"])
+            for t, key, name in (("part", "p_partkey", "p_name"), ("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"))]
+    return spread_star_join(fact, dims, "k", hot_keys(fact, "k", 100))
+
+
 def join_left_multikey(spark, d):
     lt = L.landed_tables(spark, d)
     return left_star_join(
@@ -466,6 +475,69 @@ def mart_build(spark, d):
     return stored_marts(spark, d)["validation_cohort"]
 
 
+def mart_bucketed_join(spark, d):
+    """JN1 and M1 over the stored respondent tables: five tables meet bucket by bucket."""
+    from cohortlab.plans import marts as MB
+    from cohortlab.plans import models as M
+    from cohortlab.plans.queries import warehouse
+    wh = warehouse(spark, d)
+    return M.respondent_daily({view: wh.stored(t) for view, t in MB.INPUTS.items()}, stored=True,
+                              keyless=MB.keyless(wh, "keyed_demo"))
+
+
+YEAR_READS = {
+    "one year": [("=", 2009)], "from and before": [(">=", 2011), ("<", 2015)], "listed": [("in", [2003, 2017, 2044])],
+    "all but one": [("<>", 2005)], "up to": [("<=", 2004)], "after": [(">", 2015)], "between": [("between", (2006, 2009))],
+    "known": [("is not null",)],
+}
+
+
+def mart_pruned_read(spark, d):
+    """SNK2: the stored cohort read by conditions on the year, each from its partitions alone."""
+    from cohortlab.plans.queries import warehouse
+    wh = warehouse(spark, d)
+    return RS.union_all_by_name([
+        project(wh.read("validation_cohort", *conditions), [f"{lit(name)} AS condition", KEY, "cycle_start_year", "age_years"])
+        for name, conditions in YEAR_READS.items()])
+
+
+def refreshed(spark, d):
+    """A clone of the marts after a second follow-up release of one cycle has landed and its cycle was rebuilt."""
+    from cohortlab.plans import marts as MB
+    from cohortlab.plans.queries import _memo, warehouse
+
+    def build(landed):
+        src, dst, ckpt = (_scratch(spark, f"refresh-{x}") for x in ("src", "landed", "ckpt"))
+        _release_files(spark, d, 2021, "cycle = 2009 AND cast(trim(substring(value, 1, 14)) as bigint) % 5 <> 0", src)
+        before = newest_releases(spark, dst)
+        run_incremental(spark, src, dst, ckpt)
+        years = [y for y, release in newest_releases(spark, dst).items() if before.get(y) != release]
+        rows = latest_release(spark, dst).where(f"CYCLE_START_YEAR IN ({', '.join(map(str, years))})")
+        code = L.mortality_file_code("CYCLE_START_YEAR", "CYCLE_END_YEAR", "MORTALITY_PUBLIC_RELEASE_YEAR")
+        rows = project(rows, ["*", f"{code} AS FILE_CODE", f"concat('landing/mortality/', {code}, '.dat') AS SOURCE_URL"])
+        mark = uuid.uuid4().hex[:12]
+        wh = warehouse(spark, d).clone(f"cohort_refresh_{mark}", _scratch(spark, "marts-refresh"))
+        MB.refresh_cycles(wh, years, {"stg_mortality": stg_mortality(rows)})
+        return wh
+
+    return _memo("refreshed", spark, d, build)
+
+
+def mart_refresh_cycle(spark, d):
+    """M4 after the refresh of one cycle: equal to a full rebuild with the new release."""
+    return refreshed(spark, d).table("validation_cohort")
+
+
+def mart_refresh_summary(spark, d):
+    """M5 after the refresh, merged from the parts of all cycles."""
+    return refreshed(spark, d).table("validation_summary")
+
+
+def mart_refresh_trends(spark, d):
+    """M6 after the refresh."""
+    return refreshed(spark, d).table("cycle_protein_trends")
+
+
 def flt_protein_type(spark, d):
     """FLT8 on M8 over the stored cohort."""
     from cohortlab.plans.queries import stored_marts
@@ -486,12 +558,15 @@ def dq_accepted_values(spark, d):
                                       ["signup", "click", "view", "purchase"])
 
 
+# day totals moved by exactly the tolerance, by a little more, and not at all
+SHIFT = ("CASE WHEN respondent_id % 7 = 1 THEN cast('0.1' as decimal(38,9)) "
+         "WHEN respondent_id % 7 = 2 THEN cast('0.11' as decimal(38,9)) ELSE cast(0 as decimal(38,9)) END")
+
+
 def _shifted(m: dict) -> dict:
-    """The models with day totals moved by exactly the tolerance, by a little more, and not at all."""
-    shift = ("CASE WHEN respondent_id % 7 = 1 THEN cast('0.1' as decimal(38,9)) "
-             "WHEN respondent_id % 7 = 2 THEN cast('0.11' as decimal(38,9)) ELSE cast(0 as decimal(38,9)) END")
+    """The models with moved day totals."""
     daily = project(m["respondent_daily"], [KEY, "respondent_id", *[
-        f"cast(day_{day}_protein_g as decimal(38,9)) + {shift} AS day_{day}_protein_g" for day in (1, 2)]])
+        f"cast(day_{day}_protein_g as decimal(38,9)) + {SHIFT} AS day_{day}_protein_g" for day in (1, 2)]])
     return {**m, "respondent_daily": daily}
 
 
@@ -504,17 +579,32 @@ def dq_reconcile(spark, d):
         for day in (1, 2)])
 
 
+def _with_spoilt(spark, d):
+    """The warehouse with a spoilt copy of the cohort whose tests must fail."""
+    from cohortlab.plans import marts as MB
+    from cohortlab.plans.queries import warehouse
+    wh = warehouse(spark, d)
+    if "spoilt_cohort" not in wh.layouts:
+        bad = MB.spoil(wh.table("validation_cohort"))
+        wh.publish("spoilt_cohort", bad, MB.layout_of("spoilt_cohort", bad.columns))
+    return wh
+
+
 def dq_report(spark, d):
-    """All tests on the stored tables, and again on spoilt ones that must fail."""
-    from cohortlab.plans.queries import stored_marts
-    stg = dict(_stage(spark, d))
-    stg["stg_source_catalog"] = stg_source_catalog(_catalog(spark, d))
-    m = stored_marts(spark, d)
-    spoilt = project(m["validation_cohort"], [
-        KEY, "CASE WHEN respondent_id % 10 = 3 THEN concat('BAND_', respondent_id % 4) ELSE age_band_levine END AS age_band_levine"])
-    bad = Q.TableChecks("spoilt_cohort", spoilt, not_null=[KEY], unique=[KEY], accepted={"age_band_levine": checks.COHORT_BANDS})
-    moved = [(f"shifted_totals_match_day_{day}", "spoilt_daily", checks.reconciliation(_shifted(m), day)) for day in (1, 2)]
-    return RS.union_all_by_name([checks.full_report(stg, m, seeds.group_map(spark)), Q.quality_report([bad], moved)])
+    """All tests of the stored tables, with the counts of their writes, and of spoilt ones that must fail."""
+    wh, stg = _with_spoilt(spark, d), _stage(spark, d)
+    item = ["protein_item_key"]
+    others = [Q.TableChecks(n, stg[n], not_null=item, unique=item) for n in ("stg_dr1iff", "stg_dr2iff")]
+    others.append(Q.TableChecks("stg_source_catalog", stg_source_catalog(_catalog(spark, d)),
+                                not_null=["source_asset_key"], unique=["source_asset_key"]))
+    others.append(Q.TableChecks("food_code_major_group_map", seeds.group_map(spark), not_null=["food_code_major_group"],
+                                unique=["food_code_major_group"], accepted={"protein_source_group": checks.SOURCE_GROUPS}))
+    daily = project(wh.stored("respondent_daily"), [
+        KEY, *[f"day_{day}_protein_g" for day in (1, 2)],
+        *[f"cast(day_{day}_protein_g as decimal(38,9)) + {SHIFT} AS moved_{day}" for day in (1, 2)]])
+    compared = [(f"protein_item_totals_match_day_{day}", "respondent_daily", f"day_{day}_protein_g", f"day_{day}_item_protein_g") for day in (1, 2)]
+    compared += [(f"shifted_totals_match_day_{day}", "spoilt_daily", f"moved_{day}", f"day_{day}_item_protein_g") for day in (1, 2)]
+    return checks.stored_report(wh, others, compared, daily)
 
 
 OPERATOR_QUERIES = {
@@ -541,6 +631,7 @@ OPERATOR_QUERIES = {
     "band_plant_bins": band_plant_bins,
     "label_title_case": label_title_case,
     "join_left_star": join_left_star,
+    "join_skewed_star": join_skewed_star,
     "join_left_multikey": join_left_multikey,
     "join_lookup_default": join_lookup_default,
     "agg_count": agg_count,
@@ -571,6 +662,11 @@ OPERATOR_QUERIES = {
     "snk_range_partition": snk_range_partition,
     "snk_full_refresh_shrinks": snk_full_refresh_shrinks,
     "mart_build": mart_build,
+    "mart_bucketed_join": mart_bucketed_join,
+    "mart_pruned_read": mart_pruned_read,
+    "mart_refresh_cycle": mart_refresh_cycle,
+    "mart_refresh_summary": mart_refresh_summary,
+    "mart_refresh_trends": mart_refresh_trends,
     "flt_protein_type": flt_protein_type,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,

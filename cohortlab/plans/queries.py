@@ -8,6 +8,7 @@ exactly with the DuckDB oracle.
 
 from __future__ import annotations
 
+import os
 import threading
 from collections.abc import Callable
 
@@ -21,6 +22,8 @@ from cohortlab.plans import models as M
 from cohortlab.plans import reports as RP
 from cohortlab.plans import marts as MB
 from cohortlab.plans.staging import Staged, staged
+from cohortlab.session import checkpoint_dir
+from cohortlab.sinks.warehouse import Warehouse
 from cohortlab.sources.landing import Landed, landed_tables
 
 ROUND_PLACES = 6
@@ -63,9 +66,19 @@ def dag(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _memo("dag", spark, sf_dir, lambda _: M.build_all(spark, stage(spark, sf_dir)))
 
 
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """All models built once and published under a database of their own for each folder and version."""
+    def build(landed: Landed) -> Warehouse:
+        mark = os.path.basename(landed.root)
+        return MB.build_warehouse(spark, landed, stage(spark, sf_dir), f"cohort_{mark}", os.path.join(checkpoint_dir(spark), "marts", mark))
+
+    return _memo("warehouse", spark, sf_dir, build)
+
+
 def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """M1-M6, M9 and M10 built once as tables (laid out and documented), then read back."""
-    return _memo("marts", spark, sf_dir, lambda landed: MB.build_marts(spark, landed, stage(spark, sf_dir)))
+    """M1-M6, M9 and M10 as published."""
+    wh = warehouse(spark, sf_dir)
+    return _memo("marts", spark, sf_dir, lambda _: {name: wh.table(name) for name in wh.layouts})
 
 
 def _stored_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:

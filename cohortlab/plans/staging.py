@@ -38,29 +38,29 @@ def _n(src: str, name: str) -> str:
     return f"{safe_numeric(src)} AS {name}"
 
 
-def stg_demo(demo: DataFrame) -> DataFrame:
-    return project(demo, [
+def demo_columns() -> list[str]:
+    return [
         *_common(),
         _i("sddsrvyr", "survey_cycle_code"), _i("ridageyr", "age_years"), _i("riagendr", "sex_code"),
         _i("ridreth1", "race_ethnicity_code"), _i("dmdeduc2", "education_code"),
         _n("indfmpir", "poverty_income_ratio"), _i("sdmvpsu", "survey_psu"), _i("sdmvstra", "survey_strata"),
         _n("wtint2yr", "interview_weight_2yr"), _n("wtmec2yr", "mec_weight_2yr"),
         *SOURCE_COLS,
-    ])
+    ]
 
 
-def stg_totals(tot: DataFrame, day: int) -> DataFrame:
+def totals_columns(day: int) -> list[str]:
     weight = "wtdrd1" if day == 1 else "wtdr2d"
-    return project(tot, [
+    return [
         *_common(),
         _n(weight, f"day_{day}_recall_weight_2yr"), _i(f"dr{day}drstz", f"day_{day}_recall_status"),
         _n(f"dr{day}tkcal", f"day_{day}_energy_kcal"), _n(f"dr{day}tprot", f"day_{day}_protein_g"),
         _n(f"dr{day}tcarb", f"day_{day}_carb_g"), _n(f"dr{day}ttfat", f"day_{day}_fat_g"),
         *SOURCE_COLS,
-    ])
+    ]
 
 
-def stg_items(iff: DataFrame, day: int) -> DataFrame:
+def items_columns(day: int) -> list[str]:
     """Item rows of one recall day with their key and food major group.
 
     Day 1 carries both the day-1 and the two-day weight; day 2 only its own.
@@ -70,7 +70,7 @@ def stg_items(iff: DataFrame, day: int) -> DataFrame:
     padded = padded_code(food_code)
     weights = ([_n("wtdrd1", "day_1_recall_weight_2yr"), _n("wtdr2d", "two_day_recall_weight_2yr")]
                if day == 1 else [_n("wtdr2d", "day_2_recall_weight_2yr")])
-    return project(iff, [
+    return [
         f"{item_key('seqn', 'cycle_start_year', 'cycle_end_year', day, p + 'line')} AS protein_item_key",
         *_common(),
         _i(f"{p}line", "food_line_number"),
@@ -83,22 +83,22 @@ def stg_items(iff: DataFrame, day: int) -> DataFrame:
         f"{float_text(f'dr{day}_030z')} AS eating_occasion",
         f"{float_text(f'dr{day}_040z')} AS ate_at_home_response",
         *SOURCE_COLS,
-    ])
+    ]
 
 
-def stg_glucose(glu: DataFrame) -> DataFrame:
-    return project(glu, [
+def glucose_columns() -> list[str]:
+    return [
         *_common(),
         _n("wtsaf2yr", "fasting_weight_2yr"), _n("lbxglu", "fasting_glucose_mg_dl"),
         _n("lbdglusi", "fasting_glucose_mmol_l"), _n("phafsthr", "fasting_hours"),
         _n("phafstmn", "fasting_minutes"), _n("lbxin", "fasting_insulin_uuml"),
         _n("lbdinsi", "fasting_insulin_pmol_l"),
         *SOURCE_COLS,
-    ])
+    ]
 
 
-def stg_mortality(mort: DataFrame) -> DataFrame:
-    return project(mort, [
+def mortality_columns() -> list[str]:
+    return [
         *_common(),
         _i("eligstat", "eligibility_status"), _i("mortstat", "mortality_status"),
         "cast(ucod_leading as string) AS underlying_cause_group_code",
@@ -106,11 +106,11 @@ def stg_mortality(mort: DataFrame) -> DataFrame:
         _n("permth_int", "followup_months_interview"), _n("permth_exm", "followup_months_exam"),
         _i("mortality_public_release_year", "mortality_public_release_year"),
         *SOURCE_COLS,
-    ])
+    ]
 
 
-def stg_source_catalog(catalog: DataFrame) -> DataFrame:
-    return project(catalog, [
+def source_catalog_columns() -> list[str]:
+    return [
         composite_key("cast(asset_type as string)", "cast(file_code as string)",
                       "cast(cycle_start_year as string)", "cast(cycle_end_year as string)")
         + " AS source_asset_key",
@@ -123,21 +123,35 @@ def stg_source_catalog(catalog: DataFrame) -> DataFrame:
         _i("mortality_public_release_year", "mortality_public_release_year"),
         "cast(mortality_followup_available_through as string) AS mortality_followup_available_through",
         "cast(paper_comparability_note as string) AS paper_comparability_note",
-    ])
+    ]
 
 
+# staging view: (landing table, its projection)
 STAGED = {
-    "stg_demo": ("demo", stg_demo),
-    "stg_dr1tot": ("dr1tot", lambda t: stg_totals(t, 1)),
-    "stg_dr2tot": ("dr2tot", lambda t: stg_totals(t, 2)),
-    "stg_dr1iff": ("dr1iff", lambda t: stg_items(t, 1)),
-    "stg_dr2iff": ("dr2iff", lambda t: stg_items(t, 2)),
-    "stg_glu": ("glu", stg_glucose),
-    "stg_mortality": ("mortality", stg_mortality),
-    "stg_source_catalog": ("source_catalog", stg_source_catalog),
+    "stg_demo": ("demo", demo_columns()),
+    "stg_dr1tot": ("dr1tot", totals_columns(1)),
+    "stg_dr2tot": ("dr2tot", totals_columns(2)),
+    "stg_dr1iff": ("dr1iff", items_columns(1)),
+    "stg_dr2iff": ("dr2iff", items_columns(2)),
+    "stg_glu": ("glu", glucose_columns()),
+    "stg_mortality": ("mortality", mortality_columns()),
+    "stg_source_catalog": ("source_catalog", source_catalog_columns()),
 }
 
 
+def stg_mortality(mortality: DataFrame) -> DataFrame:
+    return project(mortality, mortality_columns())
+
+
+def stg_source_catalog(catalog: DataFrame) -> DataFrame:
+    return project(catalog, source_catalog_columns())
+
+
+def view_text(name: str, source: str) -> str:
+    """The statement behind a staging view over the table called ``source``."""
+    return f"SELECT {', '.join(STAGED[name][1])} FROM {source}"
+
+
 class Staged(Mapping):
     """The staging view of every landing table there is; a view lands its table when first used."""
 
@@ -153,8 +167,8 @@ class Staged(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.views:
-            source, build = STAGED[name]
-            self.views[name] = build(self.landing[source])
+            source, columns = STAGED[name]
+            self.views[name] = project(self.landing[source], columns)
         return self.views[name]
 
 

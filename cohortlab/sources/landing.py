@@ -251,6 +251,7 @@ class Landed(Mapping):
     def __init__(self, spark: SparkSession, sf_dir: str, root: str) -> None:
         self.spark, self.sf_dir, self.root = spark, sf_dir, root
         self.schemas: dict[str, str] = {}
+        self.frames: dict[str, DataFrame] = {}  # a table's files are listed once
 
     __hash__ = object.__hash__  # one object per version of a folder
     __eq__ = object.__eq__
@@ -261,6 +262,12 @@ class Landed(Mapping):
     def __len__(self) -> int:
         return len(LANDING_NAMES)
 
+    def location(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def partition_columns(self, name: str) -> tuple[str, ...]:
+        return ("CYCLE_START_YEAR",)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in LANDING_NAMES:
             raise KeyError(name)
@@ -290,7 +297,9 @@ class Landed(Mapping):
 
     def _read(self, name: str) -> DataFrame:
         """With the declared schema: the partition column stays bigint."""
-        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}")
+        if name not in self.frames:
+            self.frames[name] = self.spark.read.schema(self.schemas[name]).parquet(self.location(name))
+        return self.frames[name]
 
 
 def landed_tables(spark: SparkSession, sf_dir: str) -> Landed:

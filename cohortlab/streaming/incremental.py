@@ -70,3 +70,14 @@ def latest_release(spark: SparkSession, target_dir: str) -> DataFrame:
     newest = rows.groupBy("CYCLE_START_YEAR").agg(F.max("MORTALITY_PUBLIC_RELEASE_YEAR").alias("MORTALITY_PUBLIC_RELEASE_YEAR"))
     keep = rows.join(F.broadcast(newest), ["CYCLE_START_YEAR", "MORTALITY_PUBLIC_RELEASE_YEAR"], "left_semi")
     return keep.drop("SOURCE_FILE").withColumns({c: F.col(c).cast("long") for c in LAYOUT[:2]})
+
+
+def newest_releases(spark: SparkSession, target_dir: str) -> dict[int, int]:
+    """Cycle start year -> newest landed release, from the partitions' names (a row per cycle)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(target_dir)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return {}
+    rows = spark.read.parquet(target_dir).groupBy("CYCLE_START_YEAR").agg(
+        F.max("MORTALITY_PUBLIC_RELEASE_YEAR").alias("release")).where("CYCLE_START_YEAR IS NOT NULL")
+    return {int(r["CYCLE_START_YEAR"]): int(r["release"]) for r in rows.collect()}
