@@ -30,7 +30,7 @@ from cohortlab.sources import catalog as CAT
 from cohortlab.sources import ingest as ING
 from cohortlab.sources import landing as L
 from cohortlab.sources import seeds
-from cohortlab.streaming.incremental import latest_release, newest_releases, run_incremental
+from cohortlab.streaming.incremental import latest_release, newest_releases, quarantined, run_incremental, run_quarantining
 
 KEY = "respondent_key"
 
@@ -429,6 +429,22 @@ def ing_incremental(spark, d):
     return latest_release(spark, dst)
 
 
+def ing_quarantine(spark, d):
+    """Release files with cut lines, lines without a number and a stray file: every line is landed or set aside."""
+    src, dst, bad, ckpt = (_scratch(spark, f"quarantine-{x}") for x in ("src", "landed", "bad", "ckpt"))
+    k = "cast(trim(substring(value, 1, 14)) as bigint)"
+    code = L.mortality_file_code("cycle", "cycle + 1", "2019")
+    lines = project(_mortality_lines(spark, d), [
+        f"CASE {k} % 50 WHEN 1 THEN substring(value, 1, 30) WHEN 2 THEN concat('x', substring(value, 2)) ELSE value END AS value",
+        f"CASE WHEN {k} % 50 = 3 THEN 'notes' ELSE {code} END AS file_code"])
+    lines.repartition(3, "value").write.partitionBy("file_code").text(src)
+    run_quarantining(spark, src, dst, bad, ckpt)
+    run_quarantining(spark, src, dst, bad, ckpt)  # nothing new: a no-op
+    landed = project(latest_release(spark, dst), ["'landed' AS outcome", "format_string('%14d', cast(SEQN as bigint)) AS start_of_line"])
+    aside = project(quarantined(spark, bad), ["reason AS outcome", "substring(line, 1, 14) AS start_of_line"])
+    return RS.union_all_by_name([landed, aside])
+
+
 def ing_load_files(spark, d):
     """The loader: release files of two years -> landing rows of each cycle's newest release."""
     src = _scratch(spark, "mort-files")
@@ -658,6 +674,7 @@ OPERATOR_QUERIES = {
     "ing_manifest": ing_manifest,
     "ing_incremental": ing_incremental,
     "ing_load_files": ing_load_files,
+    "ing_quarantine": ing_quarantine,
     "snk_overwrite_roundtrip": snk_overwrite_roundtrip,
     "snk_range_partition": snk_range_partition,
     "snk_full_refresh_shrinks": snk_full_refresh_shrinks,

@@ -725,6 +725,11 @@ ORACLE.update({
         mortality_public_release_year AS MORTALITY_PUBLIC_RELEASE_YEAR FROM l_mortality"""),
     "snk_full_refresh_shrinks": q("""SELECT seqn AS SEQN, cycle_start_year AS CYCLE_START_YEAR FROM l_mortality
         WHERE cycle_start_year > 2010"""),
+    "ing_quarantine": """SELECT CASE c_custkey % 50 WHEN 1 THEN 'line width' WHEN 2 THEN 'respondent number'
+            WHEN 3 THEN 'file name' ELSE 'landed' END AS outcome,
+          CASE WHEN c_custkey % 50 = 2 THEN 'x' || lpad(c_custkey::VARCHAR, 13, ' ') ELSE lpad(c_custkey::VARCHAR, 14, ' ') END
+            AS start_of_line
+        FROM customer WHERE c_custkey % 29 <> 0""",
     "join_skewed_star": """WITH f AS (SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS l_quantity,
           CASE WHEN l_orderkey % 3 = 1 THEN 1 WHEN l_orderkey % 3 = 2 THEN l_partkey END AS k FROM lineitem)
         SELECT f.*, p_name, c_name, s_name FROM f LEFT JOIN part ON p_partkey = k
