@@ -23,7 +23,7 @@ from cohortlab.operators import reshape as RS
 from cohortlab.operators.joins import hot_keys, left_star_join, lookup_join, spread_star_join
 from cohortlab.plans import checks
 from cohortlab.plans import reports as RP
-from cohortlab.plans.staging import stg_mortality, stg_source_catalog
+from cohortlab.plans.staging import stg_mortality
 from cohortlab.session import checkpoint_dir
 from cohortlab.sinks import tables as SNK
 from cohortlab.sources import catalog as CAT
@@ -363,52 +363,25 @@ def ing_union_cycles(spark, d):
     return _tagged_cycles(spark, d, drift=True)
 
 
-def _cycles(spark) -> DataFrame:
-    return spark.createDataFrame([(s, e) for s, e, _ in L.CYCLES], "cycle_start_year long, cycle_end_year long")
-
-
-def _listing(spark, d) -> DataFrame:
-    """Release listing text: one file name per respondent, of one of three releases."""
-    k = "c_custkey"
-    name = L.mortality_file_code(f"2003 + 2 * ({k} % 8)", f"2004 + 2 * ({k} % 8)",
-                                 f"2011 + 4 * (cast(floor({k} / 8) as bigint) % 3)")
-    return project(L.read_driver(spark, d, "customer"), [f"concat('<a href=\"', {name}, '.dat\">') AS listing"])
-
-
-def _releases(spark, d) -> DataFrame:
-    return CAT.latest_release_years(_listing(spark, d), "listing", cycles=_cycles(spark))
-
-
-def _followups(spark, d) -> DataFrame:
-    """Every page, a third of them with the sentence that names a horizon."""
-    page = ("CASE WHEN page_id % 3 = 0 THEN concat(html, '<p>Updated with mortality follow-up data through December 31, ', "
-            "2010 + page_id % 10, '.</p>') ELSE html END")
-    pages = project(L.read_driver(spark, d, "pages"), ["page_id", f"{page} AS html"])
-    return project(pages, ["page_id", f"{CAT.followup_text('html')} AS followup_through"])
-
-
-def _catalog(spark, d):
-    return CAT.source_catalog(L.landed_tables(spark, d), _releases(spark, d), _followups(spark, d))
-
-
 def ing_source_catalog(spark, d):
-    return _catalog(spark, d)
+    """The landed catalog: every file once, from the paths of the landed files."""
+    return L.landed_tables(spark, d)["source_catalog"]
 
 
 def stg_source_catalog_q(spark, d):
-    return stg_source_catalog(_catalog(spark, d))
+    return _stage(spark, d)["stg_source_catalog"]
 
 
 def ing_latest_release(spark, d):
-    return _releases(spark, d)
+    return L.landed_tables(spark, d).releases()
 
 
 def ing_followup_text(spark, d):
-    return _followups(spark, d)
+    return L.landed_tables(spark, d).followups()
 
 
 def ing_manifest(spark, d):
-    return CAT.run_manifest(_catalog(spark, d))
+    return CAT.run_manifest(L.landed_tables(spark, d)["source_catalog"])
 
 
 def _release_files(spark, d, release: int, where: str, path: str) -> None:
@@ -450,7 +423,7 @@ def ing_load_files(spark, d):
     src = _scratch(spark, "mort-files")
     _release_files(spark, d, 2019, "true", src)
     _release_files(spark, d, 2015, "true", src)
-    landed = ING.read_mortality_files(spark, src, _releases(spark, d))
+    landed = ING.read_mortality_files(spark, src, L.landed_tables(spark, d).releases())
     path = _scratch(spark, "mort-table")
     SNK.write_table(landed, path, ["CYCLE_START_YEAR"])
     return spark.read.schema(landed.schema).parquet(path)
@@ -611,7 +584,7 @@ def dq_report(spark, d):
     wh, stg = _with_spoilt(spark, d), _stage(spark, d)
     item = ["protein_item_key"]
     others = [Q.TableChecks(n, stg[n], not_null=item, unique=item) for n in ("stg_dr1iff", "stg_dr2iff")]
-    others.append(Q.TableChecks("stg_source_catalog", stg_source_catalog(_catalog(spark, d)),
+    others.append(Q.TableChecks("stg_source_catalog", stg["stg_source_catalog"],
                                 not_null=["source_asset_key"], unique=["source_asset_key"]))
     others.append(Q.TableChecks("food_code_major_group_map", seeds.group_map(spark), not_null=["food_code_major_group"],
                                 unique=["food_code_major_group"], accepted={"protein_source_group": checks.SOURCE_GROUPS}))

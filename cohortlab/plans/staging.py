@@ -143,10 +143,6 @@ def stg_mortality(mortality: DataFrame) -> DataFrame:
     return project(mortality, mortality_columns())
 
 
-def stg_source_catalog(catalog: DataFrame) -> DataFrame:
-    return project(catalog, source_catalog_columns())
-
-
 def view_text(name: str, source: str) -> str:
     """The statement behind a staging view over the table called ``source``."""
     return f"SELECT {', '.join(STAGED[name][1])} FROM {source}"

@@ -1,20 +1,19 @@
 """Source catalog, release-year and follow-up extraction, run manifest (ING4-ING8).
 
-The catalog lists each landed file once: its asset, code, cycle and source come
-from the landing tables' partitions, its release year from the listing's newest
+The catalog lists each landed file once, also one without rows: its asset, code, cycle
+and source come from the paths of the landed files, its release year from the listing's newest
 release of the cycle (an error when there is none), and the follow-up horizon from
 the release page.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.functions.bands import lit
 from cohortlab.functions.sql import aggregate, project
-from cohortlab.operators.reshape import union_all_by_name
 from cohortlab.plans import notes
 
 CATALOG_COLUMNS = [
@@ -24,24 +23,30 @@ CATALOG_COLUMNS = [
 ]
 
 
-def source_catalog(landing: Mapping[str, DataFrame], releases: DataFrame | None = None,
+def landed_files(spark: SparkSession, root: str, assets: Sequence[str]) -> DataFrame:
+    """asset_type, cycle_start_year, file_code of the files below ``root``: a listing, no content is read."""
+    paths = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(root).select("path"))
+    part = lambda i: f"regexp_extract(path, {lit('/([^/]+)/CYCLE_START_YEAR=([0-9]+)/FILE_CODE=([^/]+)/[^/]+$')}, {i})"
+    return aggregate(paths, [f"{part(1)} AS asset_type", f"cast({part(2)} as bigint) AS cycle_start_year", f"{part(3)} AS file_code"], [],
+                     where=f"{part(1)} IN ({', '.join(lit(a) for a in assets)})")
+
+
+def source_catalog(files: DataFrame, releases: DataFrame | None = None,
                    followup: DataFrame | None = None, note: str = notes.CATALOG_NOTE) -> DataFrame:
-    """Distinct landed assets per cycle, sorted by start year, asset type, file code.
+    """The landed ``files`` (:func:`landed_files`), sorted by start year, asset type, file code.
 
     ``releases``: (cycle_start_year, latest_release_year), for mortality files;
     ``followup``: rows with a column ``followup_through``, of which the largest
     is stamped on every row. Without them the columns are NULL.
     """
-    parts = []
-    for asset in landing:
-        is_dat = asset == "mortality"
-        parts.append(aggregate(landing[asset], [
-            "ASSET_TYPE AS asset_type", "FILE_CODE AS file_code",
-            f"{lit('DAT' if is_dat else 'XPT')} AS file_format",
-            "cast(CYCLE_START_YEAR as bigint) AS cycle_start_year",
-            "cast(CYCLE_END_YEAR as bigint) AS cycle_end_year",
-            "CYCLE_LABEL AS cycle_label", "SOURCE_URL AS source_url"], []))
-    cat = union_all_by_name(parts)  # a row per landed file
+    is_dat = "asset_type = 'mortality'"
+    cat = project(files, [
+        "asset_type", "file_code", f"CASE WHEN {is_dat} THEN 'DAT' ELSE 'XPT' END AS file_format",
+        "cycle_start_year", "cycle_start_year + 1 AS cycle_end_year",
+        "concat(cycle_start_year, '-', cycle_start_year + 1) AS cycle_label",
+        f"CASE WHEN {is_dat} THEN concat('landing/mortality/', file_code, '.dat') "
+        "ELSE concat('landing/', cycle_start_year, '/', file_code, '.xpt') END AS source_url"])
     spark = cat.sparkSession
     rel = releases if releases is not None else spark.createDataFrame([], "cycle_start_year long, latest_release_year long")
     through = followup if followup is not None else spark.createDataFrame([], "followup_through string")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlab.functions.sql import aggregate, project
 from cohortlab.session import checkpoint_dir
 from cohortlab.sinks.tables import ddl
+from cohortlab.sources import catalog as CAT
 
 # The eight survey cycles (start year, end year, file suffix),
 # the asset file-code templates and their per-cycle override.
@@ -48,7 +49,7 @@ MORTALITY_RELEASE_YEAR = 2019
 # landed; the engine does not download).
 LANDING_URL_TEMPLATE = "landing/{start}/{file_code}.xpt"
 
-DRIVER_TABLES = ("customer", "orders", "lineitem")
+DRIVER_TABLES = ("customer", "orders", "lineitem", "pages")
 
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -220,8 +221,36 @@ def mortality(customer: DataFrame) -> DataFrame:
     ], where=f"{k} % 29 <> 0")
 
 
+def cycles(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(s, e) for s, e, _ in CYCLES], "cycle_start_year long, cycle_end_year long")
+
+
+def release_listing(customer: DataFrame) -> DataFrame:
+    """Release listing text: one file name per respondent, of one of three releases."""
+    k = "c_custkey"
+    name = mortality_file_code(f"2003 + 2 * ({k} % 8)", f"2004 + 2 * ({k} % 8)", f"2011 + 4 * (cast(floor({k} / 8) as bigint) % 3)")
+    return project(customer, [f"concat('<a href=\"', {name}, '.dat\">') AS listing"])
+
+
+def release_pages(pages: DataFrame) -> DataFrame:
+    """Every page, a third of them with the sentence that names a horizon."""
+    page = ("CASE WHEN page_id % 3 = 0 THEN concat(html, '<p>Updated with mortality follow-up data through December 31, ', "
+            "2010 + page_id % 10, '.</p>') ELSE html END")
+    return project(pages, ["page_id", f"{page} AS html"])
+
+
+def file_codes(asset: str) -> list[tuple[int, str]]:
+    """(cycle start year, file code) of every file that an asset has, whether it holds rows or not."""
+    if asset == "mortality":
+        return [(s, f"SURVEY_{s}_{e}_MORT_{MORTALITY_RELEASE_YEAR}_PUBLIC") for s, e, _ in CYCLES]
+    return [(s, ASSET_OVERRIDES.get((asset, x), ASSET_TEMPLATES[asset].format(suffix=x))) for s, _, x in CYCLES]
+
+
 # ---------------------------------------------------------------- landed copies
-LANDING_NAMES = ("demo", "dr1iff", "dr2iff", "dr1tot", "dr2tot", "glu", "mortality")
+ASSETS = ("demo", "dr1iff", "dr2iff", "dr1tot", "dr2tot", "glu", "mortality")
+CATALOG = "source_catalog"
+LANDING_NAMES = (*ASSETS, CATALOG)
+FILE_COLUMNS = ("CYCLE_START_YEAR", "FILE_CODE")  # an asset's files: one folder each
 # (application, folder, input version) -> landed tables
 _LANDED: dict[tuple[str, str, str], "Landed"] = {}
 _LAND_LOCK = threading.RLock()
@@ -242,10 +271,12 @@ def input_version(spark: SparkSession, sf_dir: str) -> str:
 class Landed(Mapping):
     """The landing tables of one folder; a table is written when it is first asked for.
 
-    A copy lies in the cluster's shared folder, partitioned by cycle start year:
-    it survives lost executors, cuts the derivation's lineage, and models read it
+    A copy lies in the cluster's shared folder, partitioned by cycle start year and file
+    code: it survives lost executors, cuts the derivation's lineage, and models read it
     with column and partition pruning. Rows are rebalanced by cycle before the
-    write, so a task writes few files and a large cycle goes to several tasks.
+    write, so a task writes few files and a large cycle goes to several tasks. A source
+    file without rows leaves an empty file. The eighth table, the catalog, is made
+    from the names of the landed files; no row is read for it.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -266,17 +297,31 @@ class Landed(Mapping):
         return f"{self.root}/{name}"
 
     def partition_columns(self, name: str) -> tuple[str, ...]:
-        return ("CYCLE_START_YEAR",)
+        return FILE_COLUMNS if name in ASSETS else ()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in LANDING_NAMES:
             raise KeyError(name)
         with _LAND_LOCK:
             if name not in self.schemas:
-                self._write(name, self._derived(name), "CYCLE_START_YEAR")
+                self._write(name, self._derived(name), *self.partition_columns(name))
             return self._read(name)
 
+    def files(self) -> DataFrame:
+        """asset_type, cycle_start_year, file_code of every landed file, from its path alone."""
+        for name in ASSETS:
+            self[name]
+        return CAT.landed_files(self.spark, self.root, ASSETS)
+
+    def releases(self) -> DataFrame:
+        return CAT.latest_release_years(release_listing(self._driver("customer")), "listing", cycles=cycles(self.spark))
+
+    def followups(self) -> DataFrame:
+        return project(release_pages(self._driver("pages")), ["page_id", f"{CAT.followup_text('html')} AS followup_through"])
+
     def _derived(self, name: str) -> DataFrame:
+        if name == CATALOG:
+            return CAT.source_catalog(self.files(), self.releases(), self.followups())
         if name in ("demo", "glu", "mortality"):
             return {"demo": demo, "glu": glucose, "mortality": mortality}[name](self._driver("customer"))
         day = int(name[2])
@@ -293,8 +338,20 @@ class Landed(Mapping):
         out = df.hint("rebalance", *partitions) if partitions else df
         w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (w.partitionBy(*partitions) if partitions else w).parquet(f"{self.root}/{name}")
+        if partitions:
+            self._add_empty_files(name, df.drop(*partitions))
         self.schemas[name] = ddl(df)
 
+    def _add_empty_files(self, name: str, df: DataFrame) -> None:
+        """A file without rows where a source file has none, so that its folder stays listed."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for start, code in file_codes(name):
+            folder = f"{self.location(name)}/CYCLE_START_YEAR={start}/FILE_CODE={code}"
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if not path.getFileSystem(conf).exists(path):
+                self.spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(folder)
+
     def _read(self, name: str) -> DataFrame:
         """With the declared schema: the partition column stays bigint."""
         if name not in self.frames:

@@ -121,7 +121,7 @@ def test_manifest_from_landed_catalog(spark, sf_dir):
 
     releases = spark.createDataFrame([(y, 2019) for y in range(2003, 2019, 2)], "cycle_start_year long, latest_release_year long")
     followup = spark.createDataFrame([("December 31, 2019",), (None,)], "followup_through string")
-    cat = CAT.source_catalog(landed_tables(spark, sf_dir), releases, followup)
+    cat = CAT.source_catalog(landed_tables(spark, sf_dir).files(), releases, followup)
     assert cat.count() == 56
     doc = json.loads(CAT.run_manifest(cat).first()[0])
     assert doc["cycles"][0] == "2003-2004" and len(doc["cycles"]) == 8
@@ -131,6 +131,27 @@ def test_manifest_from_landed_catalog(spark, sf_dir):
     assert doc["linked_mortality_note"] and doc["paper_comparability_note"] and len(doc) == 7
 
 
+def test_catalog_lists_files_without_reading_rows(spark, sf_dir, tmp_path):
+    """A cycle of one asset without rows is still a file; the listing opens none."""
+    from cohortlab.sources import landing as L
+
+    class Fewer(L.Landed):
+        def _derived(self, name):
+            df = super()._derived(name)
+            return df.where("CYCLE_START_YEAR <> 2011") if name == "glu" else df
+
+    landed = Fewer(spark, sf_dir, str(tmp_path / "landing"))
+    cat = landed["source_catalog"]
+    assert cat.count() == 56 and len(landed) == 8
+    empty = cat.where("asset_type = 'glu' AND cycle_start_year = 2011").collect()
+    assert [(r.file_code, r.cycle_label, r.source_url) for r in empty] == [("GLU_G", "2011-2012", "landing/2011/GLU_G.xpt")]
+    assert landed["glu"].where("CYCLE_START_YEAR = 2011").count() == 0
+    assert sorted(r.file_code for r in cat.where("cycle_start_year = 2003").collect()) == sorted(
+        code for a in L.ASSETS for y, code in L.file_codes(a) if y == 2003)
+    plan = landed.files()._jdf.queryExecution().executedPlan().toString()
+    assert plan.lower().count("scan") == 1 and "binaryfile" in plan.lower() and "ReadSchema: struct<path:string>" in plan
+
+
 def test_group_map_csv_reads_with_declared_schema(spark, tmp_path):
     from cohortlab.operators.quality import TableChecks, quality_report
     from cohortlab.sources import seeds
