@@ -26,10 +26,11 @@ Then the dual traversal: pairs of nodes, from the roots down, are left where all
 members are of one component, or sizes or the possible overlap exclude a link;
 leaf pairs that remain compare members, and what remains there is verified exactly.
 
-Large trees are split: members are dealt by hash into pieces of about 4,096, leaves are cut from
+Large trees are split: members are dealt by hash into pieces of about 512, leaves are cut from
 the pieces, only leaf summaries (a 64th of the rows) of one tree meet in a task, and
 remaining leaf pairs spread over all tasks. Sets are 64-bit hashes, and only those in a shared
-tree are built again and moved.
+tree are built again and moved; they are stored by document, and pairs come to them. Joins of
+sides that grow with the corpus are merge joins at every size.
 
 Defined cases: null, empty or blank texts have an empty set and are linked with nothing;
 fewer words than a shingle are one shingle; rows that repeat an id are one document, with
@@ -47,11 +48,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import binary_list, mix64, slices, table, written
+from cohortlab.llm.common import binary_list, mix64, scratch_name, slices, table, written
 from cohortlab.llm.minhash import components, shingle_sets
+from cohortlab.session import checkpoint_dir
 
 WORDS, PERCENT = 3, 90
-LEAF, FAN, PIECE = 64, 16, 4096
+LEAF, FAN, PIECE = 64, 16, 512
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY_PART = np.uint64(0xD1B54A32D192ED03)
 
@@ -173,6 +175,20 @@ def built_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, n long, set binary, bits binary")
 
 
+def stored_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """The sets of the ``wanted`` documents, in the shared folder, bucketed by id.
+
+    Whatever is joined to them later by id comes to them; they don't move again.
+    """
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = docs.repartition(n, "id").join(wanted.repartition(n, "id").hint("merge"), "id", "left_semi")
+    name = scratch_name("llm_sets")
+    (built_sets(asked.dropDuplicates(["id", "text"]), words).write.format("parquet").bucketBy(n, "id")
+     .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+    return spark.table(name)
+
+
 # ------------------------------------------------------------ nodes
 def may_link(n1: np.ndarray, bits1: np.ndarray, n2: np.ndarray, bits2: np.ndarray, percent: int) -> np.ndarray:
     """Which members of one leaf may link with which of the other, shape (len(n1), len(n2))."""
@@ -383,9 +399,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     partners its rows are wide when they meet a's set, so a skewed partition shows and is split.
     """
     kind = pairs.schema["a"].dataType.simpleString()
-    both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-            .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-            .select("a", "b", "set_a", "set_b"))
+    of = lambda end: sets.select(F.col("id").alias(end), F.col("set").alias(f"set_{end}")).hint("merge")
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "set_a", "set_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -422,11 +437,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
                                       F.bit_xor(F.xxhash64("id")).alias("d1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("d2"))
     trees = written(shared.where("members > 1").groupBy("members", "least", "d1", "d2").agg(F.min("tree").alias("tree"))
                     .select("tree", "members"), "trees")
-    members = written(held.join(trees, "tree").select(
+    members = written(held.join(trees.hint("merge"), "tree").select(
         "tree", "id", F.expr(f"pmod(xxhash64(id, 2), 1 + (members - 1) div {piece})").alias("piece")), "members")
     wanted = members.select("id").distinct()
-    sets = written(built_sets(docs.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]), words), "sets")
-    wide = members.join(sets.select("id", "n", "bits"), "id")
+    sets = stored_sets(docs, wanted, words)
+    wide = members.join(sets.select("id", "n", "bits").hint("merge"), "id")
     nodes = written(leaves(wide, percent, leaf), "leaves")
 
     # along the edges
