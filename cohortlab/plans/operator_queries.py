@@ -490,6 +490,19 @@ def mart_pruned_read(spark, d):
         for name, conditions in YEAR_READS.items()])
 
 
+def snk_compaction(spark, d):
+    """SNK3: order lines added in ten increments to a clustered table, then compacted and read back."""
+    from cohortlab.sinks.warehouse import Layout, Warehouse
+    rows = project(_li(spark, d), ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "2003 + 2 * (l_orderkey % 4) AS y"])
+    mark = uuid.uuid4().hex[:12]
+    wh = Warehouse(spark, f"cohort_compact_{mark}", _scratch(spark, "compaction"), 4)
+    wh.publish("lines", rows.where("l_orderkey % 10 = 0"), Layout(cluster=("l_returnflag", "l_linestatus"), year="y"))
+    for part in range(1, 10):
+        wh.append("lines", rows.where(f"l_orderkey % 10 = {part}"))
+    wh.compact("lines")
+    return wh.table("lines")
+
+
 def refreshed(spark, d):
     """A clone of the marts after a second follow-up release of one cycle has landed and its cycle was rebuilt."""
     from cohortlab.plans import marts as MB
@@ -654,6 +667,7 @@ OPERATOR_QUERIES = {
     "mart_build": mart_build,
     "mart_bucketed_join": mart_bucketed_join,
     "mart_pruned_read": mart_pruned_read,
+    "snk_compaction": snk_compaction,
     "mart_refresh_cycle": mart_refresh_cycle,
     "mart_refresh_summary": mart_refresh_summary,
     "mart_refresh_trends": mart_refresh_trends,

@@ -11,6 +11,8 @@ kept in the session's catalog, so a database is addressed by name from SQL.
 * **Refresh of some partitions**: the new folder of a partition is written beside the old
   one and ``SET LOCATION`` commits it, a partition at a time. Files of other partitions are
   not touched, and a partition without rows is dropped.
+* **Increments and upkeep**: rows can be added to a table; :meth:`Warehouse.compact` rewrites
+  the partitions that have gathered many files, sorted again, and leaves the others alone.
 * **Reading by year**: :func:`year_predicate` adds the matching predicate on the bucket
   to any comparison with the year, so only its partitions are listed and read.
 * **Counted tests**: what a write can count, not-NULL and accepted values, it counts
@@ -57,6 +59,7 @@ class Layout:
     columns: Mapping[str, str] = field(default_factory=dict)
     not_null: Sequence[str] = ()
     accepted: Mapping[str, Sequence] = field(default_factory=dict)
+    row_group_bytes: int | None = None
 
     def counted(self) -> dict[str, str]:
         """Name of each test that a write counts -> its predicate for a failing row."""
@@ -138,6 +141,7 @@ class Warehouse:
         self.current: dict[str, str] = {}  # name -> snapshot table
         self.former: dict[str, str] = {}
         self.folders: dict[str, list[str]] = {}  # snapshot table -> folders written for it
+        self.shared: set[str] = set()  # tables whose files a clone reads as well
         self.lock = threading.RLock()
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(database)} LOCATION '{self.root}/_database'")
 
@@ -187,11 +191,15 @@ class Warehouse:
             self._drop(gone)
         return self.table(name)
 
-    def replace(self, name: str, df: DataFrame, buckets: Sequence[int | None], aligned: bool = False) -> DataFrame:
-        """Replace the partitions ``buckets`` by the rows of ``df``, which lie in them."""
+    def replace(self, name: str, df: DataFrame, buckets: Sequence[int | None], aligned: bool = False,
+                files: int | None = None) -> DataFrame:
+        """Replace the partitions ``buckets`` by the rows of ``df``, which lie in them.
+
+        ``files``: at most so many for the rows of a clustered table.
+        """
         layout = self.layouts[name]
         table, path = self._fresh(name)
-        counts = self._write(df, table, path, layout, aligned)
+        counts = self._write(df, table, path, layout, aligned, files)
         written = {_value(r[0]) for r in self.spark.sql(f"SHOW PARTITIONS {self.sql_name(table)}").collect()}
         if written - set(buckets):
             raise ValueError(f"{name}: rows outside of the partitions to replace: {sorted(map(str, written - set(buckets)))}")
@@ -213,6 +221,43 @@ class Warehouse:
         self._set_counts(name, kept | {k: v for k, v in counts.items() if _owner(k) in set(buckets)})
         return self.table(name)
 
+    def append(self, name: str, df: DataFrame) -> None:
+        """Add rows to the partitions they lie in; the files of one increment appear together."""
+        if name in self.shared:
+            raise ValueError(f"{name}: a clone reads the same files; refresh its partitions instead")
+        layout = self.layouts[name]
+        out, seen, names = self._observed(self._laid_out(df, layout, False), layout)
+        stored = self.stored(name)
+        out.select(*[q(c) for c in stored.columns]).write.insertInto(self.snapshot(name))
+        self.spark.catalog.refreshTable(self.snapshot(name))
+        counts = self._counts(name)
+        for key, n in self._seen(seen, names).items():
+            counts[key] = counts.get(key, 0) + n
+        self._set_counts(name, counts)
+
+    def files(self, name: str) -> dict[int | None, list[str]]:
+        """Partition -> its files (None also for a table without partitions)."""
+        out: dict[int | None, list[str]] = {}
+        for f in self.stored(name).inputFiles():
+            folder = f.rsplit("/", 2)[1]
+            out.setdefault(_value(folder) if folder.startswith(f"{BUCKET}=") else None, []).append(f)
+        return out
+
+    def compact(self, name: str, most: int | None = None) -> list[int | None]:
+        """Rewrite, in the table's order, the partitions with more than ``most`` files.
+
+        ``most``: by default one file per bucket, or four for a clustered table. Readers that
+        have begun keep the old files until the next full refresh. Returns the partitions.
+        """
+        layout = self.layouts[name]
+        if not layout.year:
+            raise ValueError(f"{name} has no partitions; a full refresh rewrites it")
+        most = most or (self.buckets if layout.key else 4)
+        crowded = [b for b, files in self.files(name).items() if len(files) > most]
+        for b in crowded:  # a partition's rows at a time, each in one distributed job
+            self.replace(name, self.cycle(name, [b]).drop(BUCKET), [b], files=None if layout.key else most)
+        return crowded
+
     def clone(self, database: str, root: str) -> "Warehouse":
         """The same tables under another name, sharing all files: only entries are copied.
 
@@ -237,6 +282,8 @@ class Warehouse:
                 self.spark.sql(f"ALTER TABLE {other.sql_name(table)} ADD {spec} LOCATION '{self._location(source, spec)}'")
             self.spark.catalog.refreshTable(other.sql_name(table))
             other.layouts[name], other.current[name], other.folders[table] = layout, table, []
+            other.shared.add(name)
+            self.shared.add(name)
             other._show(name, table, [c for c in df.columns if c != BUCKET], layout, self._counts(name))
         return other
 
@@ -244,7 +291,8 @@ class Warehouse:
         mark = uuid.uuid4().hex[:10]
         return f"{name}__{mark}", f"{self.root}/{name}/{mark}"
 
-    def _write(self, df: DataFrame, table: str, path: str, layout: Layout, aligned: bool) -> dict[str, int]:
+    def _laid_out(self, df: DataFrame, layout: Layout, aligned: bool, files: int | None = None) -> DataFrame:
+        """``df`` with its bucket column, its rows dealt as the layout stores them."""
         if layout.year:
             df = project(df, [*[q(c) for c in df.columns if c != BUCKET], f"{range_bucket(q(layout.year), START, END, STEP)} AS {BUCKET}"])
         if layout.key and not aligned:
@@ -252,17 +300,30 @@ class Warehouse:
             df = (df.where(f"{q(layout.key)} IS NOT NULL").repartition(self.buckets, layout.key)
                   .unionByName(df.where(f"{q(layout.key)} IS NULL")))
         elif not layout.key and layout.cluster:
-            df = clustered(df, [BUCKET] if layout.year else [], layout.cluster)
-        seen = Observation()
+            df = clustered(df, [BUCKET] if layout.year else [], layout.cluster, files)
+        return df
+
+    def _observed(self, df: DataFrame, layout: Layout) -> tuple[DataFrame, Observation, dict[str, str]]:
+        """``df`` that counts its tests while it is written, per partition; metric -> ``test|partition``."""
+        seen, names, metrics = Observation(), {}, []
         parts = [*range(LAST + 1), None] if layout.year else [None]
-        tests = {ROWS: "true", **layout.counted()}
-        names = {}
-        for i, (test, failing) in enumerate(tests.items()):
+        for i, (test, failing) in enumerate({ROWS: "true", **layout.counted()}.items()):
             for b in parts:
                 where = failing if not layout.year else f"({failing}) AND {BUCKET} <=> {'null' if b is None else b}"
-                names[f"m{i}_{'n' if b is None else b}"] = (f"{test}|{'' if b is None else b}", where)
-        df = df.observe(seen, *[F.expr(f"count_if({where})").alias(n) for n, (_, where) in names.items()])
+                names[f"m{i}_{'n' if b is None else b}"] = f"{test}|{'' if b is None else b}"
+                metrics.append(F.expr(f"count_if({where})").alias(f"m{i}_{'n' if b is None else b}"))
+        return df.observe(seen, *metrics), seen, names
+
+    def _seen(self, seen: Observation, names: Mapping[str, str]) -> dict[str, int]:
+        got = seen.get
+        return {key: int(got[n]) for n, key in names.items() if got[n]}
+
+    def _write(self, df: DataFrame, table: str, path: str, layout: Layout, aligned: bool,
+               files: int | None = None) -> dict[str, int]:
+        df, seen, names = self._observed(self._laid_out(df, layout, aligned, files), layout)
         w = df.write.format("parquet").option("path", path).option("partitionOverwriteMode", "static")
+        if layout.row_group_bytes:
+            w = w.option("parquet.block.size", layout.row_group_bytes)
         if layout.year:
             w = w.partitionBy(BUCKET)
         if layout.key:
@@ -272,8 +333,7 @@ class Warehouse:
         except Exception:
             self._remove(path)  # nothing refers to it
             raise
-        got = seen.get
-        return {key: int(got[n]) for n, (key, _) in names.items() if got[n]}
+        return self._seen(seen, names)
 
     def _show(self, name: str, table: str, columns: Sequence[str], layout: Layout, counts: Mapping[str, int]) -> None:
         """Commit: the view ``name`` reads ``table`` from now on."""

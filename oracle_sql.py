@@ -730,6 +730,7 @@ ORACLE.update({
           CASE WHEN c_custkey % 50 = 2 THEN 'x' || lpad(c_custkey::VARCHAR, 13, ' ') ELSE lpad(c_custkey::VARCHAR, 14, ' ') END
             AS start_of_line
         FROM customer WHERE c_custkey % 29 <> 0""",
+    "snk_compaction": """SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, 2003 + 2 * (l_orderkey % 4) AS y FROM lineitem""",
     "join_skewed_star": """WITH f AS (SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS l_quantity,
           CASE WHEN l_orderkey % 3 = 1 THEN 1 WHEN l_orderkey % 3 = 2 THEN l_partkey END AS k FROM lineitem)
         SELECT f.*, p_name, c_name, s_name FROM f LEFT JOIN part ON p_partkey = k

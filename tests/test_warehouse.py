@@ -319,6 +319,64 @@ def test_cycles_of_an_overflow_bucket_are_kept(spark, house, sf_dir):
     assert wh.table("keyed_mortality").where("cycle_start_year = 2021").count() == rows.count()
 
 
+# ------------------------------------------------------------ increments and upkeep
+def row_groups(wh, name, band, grp):
+    """(row groups, those whose statistics may hold rows of (band, grp)) of a table's files."""
+    import pyarrow.parquet as pq
+
+    every = may = 0
+    for files in wh.files(name).values():
+        for f in files:
+            meta = pq.ParquetFile(f.removeprefix("file:")).metadata
+            for g in range(meta.num_row_groups):
+                cols = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(meta.num_columns)}
+                every += 1
+                may += all(cols[c].min <= v <= cols[c].max for c, v in (("band", band), ("grp", grp)))
+    return every, may
+
+
+def test_ten_increments_and_compaction(spark, house):
+    wh = house()
+    rows = spark.range(40_000).selectExpr("id AS v", "concat('b', id % 3) AS band", "concat('g', cast(id / 3 as bigint) % 3) AS grp",
+                                          "CASE WHEN id % 500 = 73 THEN NULL WHEN cast(id / 10 as bigint) % 2 = 0 THEN 2003 ELSE 2009 END AS y")
+    lay = Layout(cluster=("band", "grp"), year="y", not_null=("y",), row_group_bytes=8 << 10)
+    wh.publish("t", rows.where("v % 10 = 0"), lay)
+    for i in range(1, 10):
+        wh.append("t", rows.where(f"v % 10 = {i}"))
+    crowded = {b: len(f) for b, f in wh.files("t").items()}
+    before = row_groups(wh, "t", "b1", "g1")
+    assert max(crowded.values()) > 8
+    assert wh.counted("t") == {"rows": 40_000, "not_null|y": 80}
+    small = {b: f for b, f in wh.files("t").items() if len(f) <= 8}
+    done = wh.compact("t", 8)
+    after = wh.files("t")
+    assert set(done) == {b for b, n in crowded.items() if n > 8} and all(len(f) <= 8 for f in after.values())
+    assert {b: after[b] for b in small} == small  # partitions with few files are not rewritten
+    assert sorted(map(str, wh.table("t").collect())) == sorted(map(str, rows.collect()))
+    assert wh.counted("t") == {"rows": 40_000, "not_null|y": rows.where("y IS NULL").count()}
+    every, may = row_groups(wh, "t", "b1", "g1")
+    assert every > 12 and 3 * may < every and before[1] * 2 > before[0], (before, (every, may))
+    assert wh.compact("t", 8) == []
+
+
+def test_increments_of_keyed_tables(spark, house, tmp_path):
+    wh = house()
+    rows = spark.range(4_000).selectExpr("concat('k', id) AS k", "2003 + 2 * (id % 3) AS y")
+    wh.publish("t", rows.where("substring(k, -1, 1) = '0'"), Layout(key="k", year="y", not_null=("k",)))
+    for i in range(1, 10):
+        wh.append("t", rows.where(f"substring(k, -1, 1) = '{i}'"))
+    assert sorted(wh.compact("t")) == [1, 2, 3] and all(len(f) <= wh.buckets for f in wh.files("t").values())
+    assert wh.table("t").count() == 4_000 == wh.counted("t")["rows"]
+    plan = physical(spark, wh.stored("t").groupBy("k").count())
+    assert "Exchange" not in plan
+    wh.clone(f"t_shared_{tmp_path.name}", str(tmp_path / "shared"))
+    with pytest.raises(ValueError, match="clone"):
+        wh.append("t", rows)
+    wh.publish("flat", rows.select("k"), Layout(key="k"))
+    with pytest.raises(ValueError, match="no partitions"):
+        wh.compact("flat")
+
+
 # ------------------------------------------------------------ names and texts
 def test_every_published_column_has_its_text(spark, sf_dir):
     wh = warehouse(spark, sf_dir)
