@@ -297,7 +297,9 @@ class Warehouse:
             df = project(df, [*[q(c) for c in df.columns if c != BUCKET], f"{range_bucket(q(layout.year), START, END, STEP)} AS {BUCKET}"])
         if layout.key and not aligned:
             # rows without a key stay where they are; one hash bucket would hold them all
-            df = (df.where(f"{q(layout.key)} IS NOT NULL").repartition(self.buckets, layout.key)
+            # by number: a plain repartition of a table bucketed alike is planned away, and its buckets with it
+            bucket = F.expr(f"pmod(hash({q(layout.key)}), {self.buckets})")
+            df = (df.where(f"{q(layout.key)} IS NOT NULL").repartitionById(self.buckets, bucket)
                   .unionByName(df.where(f"{q(layout.key)} IS NULL")))
         elif not layout.key and layout.cluster:
             df = clustered(df, [BUCKET] if layout.year else [], layout.cluster, files)
