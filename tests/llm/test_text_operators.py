@@ -90,6 +90,53 @@ def test_pages_without_an_article_element():
     assert html_extract.main_blocks(page) == ["Head", "One, two, three and some more words.", "Second <b> paragraph."]
 
 
+LONG = "The article, which has several clauses, goes on for a while, as articles do, and on."
+
+
+@pytest.mark.parametrize("name", ["post-comments", "article-comments", "entry-share", "main-sidebar", "related-content",
+                                  "sponsored-content", "story-newsletter", "content-nav"])
+def test_parts_beside_the_article_named_after_it(name):
+    page = (f"<body><div class=post><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><div class='{name}'><p>Not this, surely, no.</p></div></div>"
+            f"<section id={name}><p>Nor this, or that.</p></section></body>")
+    assert html_extract.main_blocks(page) == ["Head", LONG, LONG]
+
+
+def test_long_reader_comments_go_and_mixed_layout_names_stay():
+    many = "".join(f"<p>A reader says, at length, {LONG}</p>" for _ in range(9))
+    page = f"<div class='content with-sidebar'><p>{LONG}</p><p>{LONG}</p></div><div class='post-comments'>{many}</div>"
+    assert html_extract.main_blocks(page) == [LONG, LONG]
+    assert html_extract.main_blocks(f"<div class='has-sidebar'><p>{LONG}</p></div>") == [LONG]
+
+
+@pytest.mark.parametrize("page", [
+    f"<!DOCTYPE html><html><head><title>T</title><meta charset=utf-8><p>{LONG}</p></html>",
+    f"<title>T</title><link rel=x><h1>Head</h1><p>{LONG}",
+    f"<head><script>x</script><div class=post><p>{LONG}</p></div>"])
+def test_pages_without_end_of_head_and_body(page):
+    assert html_extract.main_blocks(page)[-1] == LONG and "T" not in html_extract.main_blocks(page)
+
+
+def test_a_form_around_the_page_and_one_in_it():
+    inner = f"<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></article><form><label>Mail</label><p>Join us, now.</p><input></form>"
+    page = f"<body><form id=aspnet method=post><input type=hidden><nav><p>Menu, menu, menu</p></nav>{inner}<select><option>x</select></form></body>"
+    assert html_extract.main_blocks(page) == ["Head", LONG, LONG]
+    assert html_extract.main_blocks(f"<body>{inner}</body>") == ["Head", LONG, LONG]
+
+
+@pytest.mark.parametrize("piece", ["<div>a,", "<div><p>a, b", "<i><div>a</b>", "<span>a,", "<li>a<ul>", "<div></section>", "<i><div><b>x</i>",
+                                   "<td>a<table>", "<div>a<span>"])
+def test_time_is_proportional_to_length(piece):
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        html_extract.main_blocks(piece * n)
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 9 * seconds(10_000) + 0.5
+
+
 def test_extraction_over_the_table(spark, sf_dir):
     import html
 
