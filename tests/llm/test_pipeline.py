@@ -35,7 +35,7 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_stages_by_hand(spark, sf_dir):
@@ -78,3 +78,31 @@ def test_stages_by_hand(spark, sf_dir):
         assert n == len(coded) and ids == hashlib.sha256(np.array(coded, "<u4").tobytes()).hexdigest()
         assert back == hashlib.sha256(by_id[i].encode()).hexdigest()
     assert public_tokenizers.PATTERN
+
+
+def test_stages_on_edges(spark, sf_dir):
+    """Nulls in every column, empty texts, a group of copies of a third of the rows, repeated rows, extra columns."""
+    good = "A sentence of more than ten words that says a little about nothing much, number {}."
+    rows = [(None, None, None, None, None), (1, None, "en", "s", None), (2, "", None, None, 0), (3, good.format(3), None, None, None)]
+    rows += [(100 + i, "Copies hold this short line here.\nAnd another short line as well.\nThen a third one to end it all.", "en", "hot", 1) for i in range(40)]
+    rows += [(200 + i, f"{good.format(i)}\nA line of at least forty characters that many share.\n{i} {i * 7} {i * 31} end", "en", f"s{i % 3}", 2)
+             for i in range(40)]
+    rows += [(300, good.format("again"), "fr", "s", 3)] * 2 + [(None, good.format("without id"), "en", "s", 4)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, keys string, size long")
+    names = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir).cache()
+        assert docs.columns == names, name
+    kept = [r.doc_id for r in docs.collect()]
+    assert set(kept) <= {r[0] for r in rows} and 100 in kept and not {101, 1, 2} & set(kept)
+    assert not any("many share" in (r.text or "") for r in docs.collect() if r.doc_id != 239)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert sorted(r.doc_id or 0 for r in last) == sorted(i or 0 for i in kept)
+
+
+def test_stages_on_no_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.count() == 0

@@ -236,6 +236,10 @@ def test_near_dedup_edges(docs_of):
     assert kept.columns == docs_of(rows).columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter({5: 2, None: 2, 11: 1, 12: 1})
     assert minhash.near_components(docs_of([])).count() == 0
+    from pyspark.sql import functions as F
+    clash = docs_of(rows).withColumns({c: F.lit(c) for c in ("id", "gone_id", "component_id", "gone", "docs")})
+    assert Counter(r.doc_id for r in minhash.near_dedup(clash).collect()) == Counter({5: 2, None: 2, 11: 1, 12: 1})
+    assert minhash.near_dedup(clash).columns == clash.columns
 
 
 def test_sketches_fill_and_estimate():
