@@ -8,7 +8,9 @@ separately as ``landing_sec``), then runs each model query on
 (default 3) timed runs. The staged and model plans are built once per application,
 in the warm-up. M1-M6, M9 and M10 run from the landing tables; M7, M8 and the data
 tests read the stored marts, whose build is timed as ``mart_build_sec``. Each run
-executes the full plan into the ``noop`` sink. Prints one JSON line.
+executes the full plan into the ``noop`` sink. ``machine_sec`` is the time of a fixed Spark
+job, by which runs on other machines can be compared; ``models_sec`` the sum of M1-M6,
+M9 and M10, which have done the same work in every round. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -37,6 +39,9 @@ HEADLINE = [
 ]
 
 
+MODELS = HEADLINE[:6] + ["flow_cohort", "flow_summary"]
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -51,6 +56,14 @@ def main() -> None:
         extra_conf={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
 
+    def machine() -> float:
+        t0 = time.perf_counter()
+        spark.range(0, 200_000_000, 1, 4 * cpus).selectExpr("id % 1000 AS k", "id * id % 97 AS v").groupBy("k").sum("v").write.format(
+            "noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    machine_sec = round(min(machine() for _ in range(3)), 4)
+
     # The loader step (landing tables written once per application) is timed
     # on its own; the model timings below read the landed tables.
     from cohortlab.sources.landing import drop_landed, landed_tables
@@ -89,6 +102,8 @@ def main() -> None:
         "unit": "sec",
         "queries": results,
         "sf": float(m.group(1)) if m else sf_dir,
+        "models_sec": round(sum(t for n, t in results.items() if n in MODELS), 4),
+        "machine_sec": machine_sec,
         "landing_sec": landing_sec,
         "mart_build_sec": mart_build_sec,
         "cpus": cpus,

@@ -87,15 +87,20 @@ def _stored_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flow_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FL.flow_cohort(landed_tables(spark, sf_dir))
+    return _memo("flow", spark, sf_dir, FL.flow_cohort)
+
+
+def _shown(kind: str, build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query's presented plan, defined once per folder like the views it reads."""
+    return lambda spark, sf_dir: _memo(f"shown-{kind}", spark, sf_dir, lambda _: present(build(spark, sf_dir)))
 
 
 def _staged(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: present(stage(spark, sf_dir)[name])
+    return _shown(name, lambda spark, sf_dir: stage(spark, sf_dir)[name])
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: present(dag(spark, sf_dir)[name])
+    return _shown(name, lambda spark, sf_dir: dag(spark, sf_dir)[name])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -115,11 +120,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validation_summary": _model("validation_summary"),
     "cycle_trends": _model("cycle_protein_trends"),
     # dashboard reports (M7, M8)
-    "mortality_rates_long": lambda spark, d: present(RP.mortality_rates_long(_stored_cohort(spark, d))),
-    "source_rates_long": lambda spark, d: present(RP.source_rates_long(_stored_cohort(spark, d))),
+    "mortality_rates_long": _shown("mortality_rates_long", lambda spark, d: RP.mortality_rates_long(_stored_cohort(spark, d))),
+    "source_rates_long": _shown("source_rates_long", lambda spark, d: RP.source_rates_long(_stored_cohort(spark, d))),
     # orchestrator flow (M9, M10)
-    "flow_cohort": lambda spark, d: present(_flow_cohort(spark, d)),
-    "flow_summary": lambda spark, d: present(FL.flow_summary(_flow_cohort(spark, d))),
+    "flow_cohort": _shown("flow_cohort", _flow_cohort),
+    "flow_summary": _shown("flow_summary", lambda spark, d: FL.flow_summary(_flow_cohort(spark, d))),
 }
 
 # Operator-level queries.
