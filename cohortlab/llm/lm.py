@@ -62,7 +62,10 @@ class Shape:
 
 
 class Model:
-    """Parameters as one flat vector, so that Spark can average them."""
+    """Parameters as one flat vector, so that Spark can average them.
+
+    Single precision while learning; averages are formed in double precision.
+    """
 
     def __init__(self, shape: Shape, unigram: np.ndarray) -> None:
         c, d = shape.classes, shape.dimension
@@ -70,17 +73,20 @@ class Model:
         self.shape, self.log_noise = shape, np.log(unigram)
         self.parts = {
             "target": rng.normal(0, 0.05, (c, d)), "context": rng.normal(0, 0.3, (c + 1, d)),  # last: before the text
-            "near": np.eye(d), "far": np.eye(d) * 0.5, "bias": self.log_noise.copy()}
-        self.seen = {k: np.full(v.shape, 0.02) for k, v in self.parts.items()}
+            "near": np.eye(d), "far": np.eye(d) * 0.5, "bias": self.log_noise}
+        self.parts = {k: v.astype(np.float32) for k, v in self.parts.items()}
+        self.seen = {k: np.full(v.shape, 0.02, np.float32) for k, v in self.parts.items()}
+        self.noise_p = np.exp(self.log_noise)
+        self.log_noise = (self.log_noise + np.log(shape.noise)).astype(np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for g in (self.parts, self.seen) for x in g.values()])
+        return np.concatenate([x.ravel() for g in (self.parts, self.seen) for x in g.values()]).astype(np.float64)
 
     def load(self, flat: np.ndarray) -> None:
         at = 0
         for group in (self.parts, self.seen):
             for k, v in group.items():
-                group[k] = flat[at:at + v.size].reshape(v.shape).copy()
+                group[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
                 at += v.size
 
     def predict(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,17 +100,18 @@ class Model:
     def learn(self, a: np.ndarray, b: np.ndarray, w: np.ndarray, rng: np.random.Generator) -> None:
         """One minibatch of noise-contrastive estimation."""
         p, k = self.parts, self.shape.noise
-        noise = rng.choice(len(self.log_noise), k, p=np.exp(self.log_noise))
+        noise = rng.choice(len(self.noise_p), k, p=self.noise_p)
         qa, qb = p["context"][a], p["context"][b]
         q = qa @ p["near"] + qb @ p["far"]
-        real = (q * p["target"][w]).sum(axis=1) + p["bias"][w] - self.log_noise[w] - np.log(k)
-        fake = q @ p["target"][noise].T + p["bias"][noise] - self.log_noise[noise] - np.log(k)
-        g_real = -1 / (1 + np.exp(np.clip(real, -30, 30))) / len(w)
-        g_fake = 1 / (1 + np.exp(np.clip(-fake, -30, 30))) / len(w)
+        real = (q * p["target"][w]).sum(axis=1) + p["bias"][w] - self.log_noise[w]
+        fake = q @ p["target"][noise].T + p["bias"][noise] - self.log_noise[noise]
+        each = np.float32(1 / len(w))
+        g_real = -each / (1 + np.exp(np.clip(real, -30, 30)))
+        g_fake = each / (1 + np.exp(np.clip(-fake, -30, 30)))
         dq = g_real[:, None] * p["target"][w] + g_fake @ p["target"][noise]
         target = _add_rows(w, g_real[:, None] * q, len(p["target"]))
         np.add.at(target, noise, g_fake.T @ q)
-        bias = np.bincount(w, g_real, minlength=len(p["bias"]))
+        bias = np.bincount(w, g_real, minlength=len(p["bias"])).astype(np.float32)
         np.add.at(bias, noise, g_fake.sum(axis=0))
         context = _add_rows(np.concatenate([a, b]), np.concatenate([dq @ p["near"].T, dq @ p["far"].T]), len(p["context"]))
         near, far = qa.T @ dq, qb.T @ dq
@@ -118,9 +125,9 @@ class Model:
         q = self.predict(pairs // width, pairs % width)
         norm = np.empty(len(pairs))
         # the normalisers' exponentials in single precision, their sums in double
-        target, bias = self.parts["target"].T.astype(np.float32), self.parts["bias"].astype(np.float32)
+        target, bias = self.parts["target"].T, self.parts["bias"]
         for s in range(0, len(pairs), 2048):
-            x = q[s:s + 2048].astype(np.float32) @ target
+            x = q[s:s + 2048] @ target
             x += bias
             top = x.max(axis=1, keepdims=True)
             x -= top
@@ -128,7 +135,7 @@ class Model:
         out = np.empty(len(w))
         for s in range(0, len(w), 1 << 17):  # bounds the gathered vectors
             e = slice(s, s + (1 << 17))
-            out[e] = (q[where[e]] * self.parts["target"][w[e]]).sum(axis=1) + self.parts["bias"][w[e]] - norm[where[e]]
+            out[e] = (q[where[e]] * self.parts["target"][w[e]]).sum(axis=1, dtype=np.float64) + self.parts["bias"][w[e]] - norm[where[e]]
         return out / np.log(10)
 
 
@@ -136,7 +143,7 @@ def _add_rows(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of ``rows`` by index: sorted segments instead of scattered writes."""
     order = np.argsort(index, kind="stable")
     values, starts = np.unique(index[order], return_index=True)
-    out = np.zeros((n, rows.shape[1]))
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
     out[values] = np.add.reduceat(rows[order], starts, axis=0)
     return out
 
