@@ -14,6 +14,7 @@ blocks join them without being shuffled themselves.
 from __future__ import annotations
 
 import os
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import binary_list, scratch_name, slices
 from cohortlab.session import checkpoint_dir
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 
 
 def pack(codes: np.ndarray) -> bytes:
@@ -66,18 +67,26 @@ class _Open:
             codes, ends = seq.astype(np.int64), np.cumsum(n_units)
             words = list(self.units)
         else:
-            flat: list[int] = []
+            flat = array("q")
             start = np.zeros(len(self.units) + 1, np.int64)
             code = tokens.__getitem__
             for i, unit in enumerate(self.units):
                 flat.extend(map(code, split_unit(unit)))
                 start[i + 1] = len(flat)
-            codes, ends = expand(np.asarray(flat, np.int64), start, seq, np.cumsum(n_units))
             words = list(tokens)
+            # a dictionary that counts by its own length refers to itself: without this only
+            # the cyclic collector would free it, some blocks later
+            tokens.default_factory = None
+            tokens.clear()
+            codes, ends = expand(np.array(flat, np.int64), start, seq, np.cumsum(n_units))
+        self.units.default_factory = None
+        self.units.clear()
+        self.seq.clear()
         # frequent tokens get small numbers; equally frequent ones lie in their own
         # order, so their neighbours share prefixes and the lists compress
-        times = np.bincount(codes, minlength=len(words)).tolist()
-        order = np.asarray(sorted(range(len(words)), key=lambda i: (-times[i], words[i])), np.int64)
+        times = np.bincount(codes, minlength=len(words))
+        order = np.asarray(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        order = order[np.argsort(-times[order], kind="stable")]
         rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words))
         codes = rank[codes]
