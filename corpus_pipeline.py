@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and
 returns a DataFrame that is written as Parquet and read again as the next stage's
 documents. All but the last return the columns of ``documents``.
+
+Defined cases: a null or empty text has no words and goes in the first stage; a document
+whose lines all repeat elsewhere stays with an empty text; rows that repeat an id are judged
+alike and count as one document in both dedup stages; a document without id or source is kept
+like others (its source is mixed as one of its own) and never keeps a shared line; extra columns pass
+through all stages but the last, whatever their names; no documents give no rows.
 """
 
 from __future__ import annotations
