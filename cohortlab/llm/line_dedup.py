@@ -131,8 +131,10 @@ def suspects(docs: DataFrame, id_col: str, text: str, min_chars: int, bits: int)
     shared = docs.sparkSession.sparkContext.broadcast(repeated_filter(docs, text, min_chars, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice = {s: np.unpackbits(np.frombuffer(zlib.decompress(b), np.uint8)).view(bool)
-                 for s, b in shared.value.items()}
+        twice = np.zeros(bits // 8, np.uint8)  # the filter as it is: one bit per position
+        for s, b in shared.value.items():
+            packed = np.frombuffer(zlib.decompress(b), np.uint8)
+            twice[s * len(packed):(s + 1) * len(packed)] = packed
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, keys = [], []
@@ -144,12 +146,8 @@ def suspects(docs: DataFrame, id_col: str, text: str, min_chars: int, bits: int)
                 if not keys:
                     continue
                 at = _positions(_hashes(keys), bits)
-                hit = np.ones(len(keys), bool)
-                for j in range(at.shape[1]):
-                    segment, offset = at[:, j] // np.uint64(SEGMENT_BITS), (at[:, j] % np.uint64(SEGMENT_BITS)).astype(np.int64)
-                    for s in np.unique(segment):
-                        mine = segment == s
-                        hit[mine] &= twice[int(s)][offset[mine]] if int(s) in twice else False
+                set_bits = twice[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))
+                hit = (set_bits & 1).all(axis=1)
                 where = np.flatnonzero(hit)
                 if len(where):
                     yield pa.RecordBatch.from_arrays(
