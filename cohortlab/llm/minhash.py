@@ -2,19 +2,19 @@
 
 1. Each document's set of word shingles gets a digest (equal sets are one class,
    represented by its smallest id), a fast similarity sketch, and from it 32 band
-   keys of 5 coordinates and 1,024 single bits.
+   keys of 5 coordinates and four bits of each of its 512 coordinates.
 2. Star round: in each band bucket every class is paired with the bucket's
    smallest only. The pairs are verified exactly on full sets, and the verified
    links give components.
 3. Rest: buckets whose members lie in several components still hide links.
    Only pairs of different components are considered there, and the join itself
-   keeps a pair only if sizes and the 1,024 bits allow the threshold; these are
+   keeps a pair only if sizes and the short coordinates allow the threshold; these are
    verified as well. So a group of thousands of near copies costs one pair per
    member, and no pair inside a component is ever formed.
 4. Links of both rounds give the final components by repeated contraction.
 
 Chance of missing a link at the threshold: (1 - 0.85^5)^32, below one in 100
-million for the bands (3 in a million at 0.8), and the bits are cut five standard deviations below.
+million for the bands (3 in a million at 0.8), and the short coordinates are cut five standard deviations below.
 
 Sets are hashes of 64 bits; texts are read whole. Sets are built again only for
 the classes that share a bucket, and only those texts move.
@@ -22,7 +22,8 @@ the classes that share a bucket, and only those texts move.
 Defined cases: null, empty or blank texts have an empty set and are linked with
 nothing; fewer words than a shingle are one shingle; rows that repeat an id are
 one document; a document without id is its own component unless an equal set has
-an id; an empty table gives an empty result; extra columns are ignored.
+an id; an empty table gives an empty result; extra columns are ignored, and kept by
+``near_dedup``, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,14 +33,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.llm.common import binary_list, mix64, slices, table, written
 
 WORDS = 5
-COORDINATES = 1024
-LONGS = COORDINATES // 64
+# the bands use 160 of them; four bits of each tell unlike sets apart
+COORDINATES = 512
+LONGS = COORDINATES // 16
+LOW_BITS = 0x1111111111111111
 BANDS, ROWS = 32, 5
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -127,8 +130,9 @@ def sketched(docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(binary_list(part.column(1)))
                 filled = sketch(sets)
                 keys = band_keys(filled).view(np.int64)
-                bits = np.packbits((filled & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
                 n = len(sets)
+                places = np.uint64(4) * np.arange(16, dtype=np.uint64)
+                bits = np.bitwise_or.reduce((filled & np.uint64(15)).reshape(n, LONGS, 16) << places, axis=2).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
@@ -155,10 +159,14 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach 100 * common >= percent * union."""
+    """The pairs (a, b) whose full sets reach 100 * common >= percent * union.
+
+    The sets of b come first: where one a leads many pairs, its rows are wide when they
+    meet a's set, so a skewed partition shows by its size and is split.
+    """
     kind = pairs.schema["a"].dataType.simpleString()
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+    both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+            .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
             .select("a", "b", "set_a", "set_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,10 +210,20 @@ def components(edges: DataFrame) -> DataFrame:
     return names
 
 
-def bit_limit(percent: int, bits: int = COORDINATES, deviations: float = 5.0) -> int:
-    """The most differing bits that a pair at the threshold shows, but for 5 deviations."""
-    p = (1 - percent / 100) / 2
-    return int(np.ceil(bits * p + deviations * np.sqrt(bits * p * (1 - p))))
+def differing(x: str, y: str) -> Column:
+    """The number of coordinates whose four bits differ, between rows ``x`` and ``y``."""
+    out = F.lit(0)
+    for i in range(LONGS):
+        z = F.col(f"{x}.w{i}").bitwiseXOR(F.col(f"{y}.w{i}"))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        out = out + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(LOW_BITS)))
+    return out
+
+
+def most_differing(percent: int, coordinates: int = COORDINATES, deviations: float = 5.0) -> int:
+    """The most differing short coordinates that a pair at the threshold shows, but for 5 deviations."""
+    p = (1 - percent / 100) * 15 / 16
+    return int(np.ceil(coordinates * p + deviations * np.sqrt(coordinates * p * (1 - p))))
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
@@ -216,7 +234,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes.where(F.col("rep").isNotNull()), "classes")
     held = classes.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("band", "bucket"))
-    shared = held.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("members")).where(F.col("members") > 1)
+    # written, so that the join below has its own exchanges, whose skewed partitions can be split
+    shared = written(held.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("members"))
+                     .where(F.col("members") > 1), "shared")
     members = written(held.join(shared, "bucket").select("bucket", "band", "id", "n", "leader"), "members")
     star = members.where(F.col("id") != F.col("leader")).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     wanted = members.select("id").distinct()
@@ -236,13 +256,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rest = written(rest.join(bits, F.col("id") == F.col("bit_id")).select(
         "bucket", "band", "id", "n", "root", "bands", *[F.col("bits")[i].alias(f"w{i}") for i in range(LONGS)]), "rest")
     x, y = rest.alias("x"), rest.alias("y")
-    differ = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(LONGS)), F.lit(0))
     # a pair that shares several buckets is formed in the first of them only
     first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True)
     pairs = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
                     & (F.col("x.root") != F.col("y.root"))
                     & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-                    & (differ <= bit_limit(percent)) & (first == F.col("x.band") + 1))
+                    & (differing("x", "y") <= most_differing(percent)) & (first == F.col("x.band") + 1))
              .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
     more = verified(pairs.join(star, ["a", "b"], "left_anti"), sets, percent)
     final = components(links.unionByName(more))
@@ -257,9 +276,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """One document of each component: the one with the smallest id; also those without id and component."""
     found = near_components(docs, id_col, text, percent)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id")) & F.col("id").isNotNull()).select(
-        F.col("id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("gone_id"), "left_anti")
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id")) & F.col("id").isNotNull()).select("id").distinct()
+    return docs.alias("docs").join(gone.alias("gone"), F.col(f"docs.`{id_col}`") == F.col("gone.id"), "left_anti")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -254,6 +254,20 @@ def test_sketches_fill_and_estimate():
     assert abs((x == y).mean() - true) < 0.06
 
 
+def test_short_coordinates_count_differences(spark):
+    rng = np.random.default_rng(4)
+    docs = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(6)]
+    docs += [docs[0] + " more", docs[1].replace("w1", "v1")]
+    filled = minhash.sketch(minhash.shingle_sets([d.encode() for d in docs]))
+    rows = minhash.sketched(spark.createDataFrame(list(enumerate(docs)), "id long, text string"))
+    words = rows.selectExpr("id", *[f"bits[{i}] AS w{i}" for i in range(minhash.LONGS)])
+    x, y = words.alias("x"), words.alias("y")
+    from pyspark.sql import functions as F
+    for a, b, n in x.join(y).select(F.col("x.id"), F.col("y.id"), minhash.differing("x", "y")).collect():
+        assert n == int(((filled[a] ^ filled[b]) & np.uint64(15) != 0).sum())
+    assert minhash.most_differing(85) < 0.25 * minhash.COORDINATES
+
+
 def test_contraction_of_a_long_chain(spark):
     n = 400
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001)], "a long, b long")
