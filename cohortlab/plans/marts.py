@@ -96,8 +96,10 @@ def build_warehouse(spark: SparkSession, landed: Mapping[str, DataFrame], stg: M
                     database: str, root: str, buckets: int | None = None) -> Warehouse:
     """Landing tables and staging views by name, then all tables, published."""
     if buckets is None:
-        frames = [landed[STAGED[s][0]] for s in INPUTS] + [landed["dr1iff"], landed["dr2iff"]]
-        buckets = bucket_number(max(sum(stored_bytes(spark, f) for f in _roots(df)) for df in frames))
+        # the items of both days are one table
+        tables = [[landed[STAGED[s][0]]] for s in INPUTS] + [[landed["dr1iff"], landed["dr2iff"]]]
+        buckets = bucket_number(max(sum(stored_bytes(spark, f) for df in t for f in _roots(df)) for t in tables),
+                                rows=max(sum(df.count() for df in t) for t in tables))
     wh = Warehouse(spark, database, root, buckets)
     register_staging(wh, landed)
 

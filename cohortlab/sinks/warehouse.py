@@ -43,8 +43,10 @@ BUCKET = "cycle_bucket"
 # The integer range of the reference's partitions and the buckets it gives (0 and LAST: overflow).
 START, END, STEP = 2003, 2019, 2
 LAST = (END - START) // STEP + 1
-# Stored bytes that one bucket of a keyed table should hold at most.
+# Stored bytes and rows that one bucket of a keyed table should hold at most. A task sorts a
+# bucket's decoded rows, which say more about its memory than their compressed bytes.
 BUCKET_BYTES = 64 << 20
+BUCKET_ROWS = 500_000
 ROWS = "rows"
 
 
@@ -400,6 +402,6 @@ def _owner(count_key: str) -> int | None:
     return int(text) if text else None
 
 
-def bucket_number(stored_bytes: int, least: int = 4) -> int:
-    """Buckets for keyed tables of which the largest has so many stored bytes."""
-    return max(least, -(-stored_bytes // BUCKET_BYTES))
+def bucket_number(stored_bytes: int, least: int = 4, rows: int = 0) -> int:
+    """Buckets for keyed tables of which the largest has so many stored bytes and rows."""
+    return max(least, -(-stored_bytes // BUCKET_BYTES), -(-rows // BUCKET_ROWS))

@@ -178,6 +178,24 @@ def test_bucket_numbers_follow_the_size():
     assert WH.bucket_number(0) == 4 and WH.bucket_number(100 * WH.BUCKET_BYTES + 1) == 101
 
 
+def test_buckets_hold_a_bounded_number_of_rows(spark, sf_dir, monkeypatch):
+    """However small they are stored: a task sorts the decoded items of both days in a bucket."""
+    landed = stage(spark, sf_dir).landing
+    items = landed["dr1iff"].count() + landed["dr2iff"].count()
+
+    class Chosen(Exception):
+        pass
+
+    def made(spark, database, root, buckets):
+        raise Chosen(buckets)
+
+    monkeypatch.setattr(WH, "BUCKET_ROWS", 100, raising=False)
+    monkeypatch.setattr(MB, "Warehouse", made)
+    with pytest.raises(Chosen) as chosen:
+        MB.build_warehouse(spark, landed, {}, "unmade", "unmade")
+    assert chosen.value.args[0] == -(-items // 100) > 4
+
+
 # ------------------------------------------------------------ counted tests
 def test_counts_of_a_write_equal_a_scan(spark, house):
     wh = house()
