@@ -149,20 +149,24 @@ def items(base: DataFrame, day: int) -> DataFrame:
     return project(base, cols, where=f"day = {day}")
 
 
-def totals(item_rows: DataFrame, day: int) -> DataFrame:
-    """dr1tot / dr2tot: the day's item sums per respondent.
+def day_sums(item_rows: DataFrame, day: int) -> DataFrame:
+    """The day's item sums per respondent k.
 
     A respondent's row is absent for ``k % 19 = 0`` (day 1) or
     ``k % 13 = 0`` (day 2).
     """
     pre = f"DR{day}I"
     skip = 19 if day == 1 else 13
-    agg = aggregate(
+    return aggregate(
         item_rows, ["cast(SEQN as bigint) AS k"],
         [f"sum({pre}KCAL) AS DR{day}TKCAL", f"sum({pre}PROT) AS DR{day}TPROT",
          f"sum({pre}CARB) AS DR{day}TCARB", f"sum({pre}TFAT) AS DR{day}TTFAT"],
         where=f"cast(SEQN as bigint) % {skip} <> 0")
-    return project(agg, [
+
+
+def total_rows(sums: DataFrame, day: int) -> DataFrame:
+    """dr1tot / dr2tot landing rows of :func:`day_sums`."""
+    return project(sums, [
         f"{_d('k')} AS SEQN",
         f"{_w1() if day == 1 else _w2()} AS {'WTDRD1' if day == 1 else 'WTDR2D'}",
         f"1.0D AS DR{day}DRSTZ",
@@ -171,6 +175,11 @@ def totals(item_rows: DataFrame, day: int) -> DataFrame:
     ])
 
 
+def totals(item_rows: DataFrame, day: int) -> DataFrame:
+    """dr1tot / dr2tot: the day's item sums per respondent."""
+    return total_rows(day_sums(item_rows, day), day)
+
+
 def glucose(customer: DataFrame) -> DataFrame:
     k = "c_custkey"
     glu = f"CASE WHEN {k} % 23 <> 0 THEN {_d(f'70 + ({k} * 11) % 90')} END"
@@ -247,6 +256,11 @@ def file_codes(asset: str) -> list[tuple[int, str]]:
 
 
 # ---------------------------------------------------------------- landed copies
+def by_cycle(df: DataFrame, k: str) -> DataFrame:
+    """Rows dealt by the cycle of respondent ``k``, before they are widened to landing rows."""
+    return project(df, [*[f"`{c}`" for c in df.columns], cycle_exprs(k)[0]]).hint("rebalance", "CYCLE_START_YEAR")
+
+
 ASSETS = ("demo", "dr1iff", "dr2iff", "dr1tot", "dr2tot", "glu", "mortality")
 CATALOG = "source_catalog"
 LANDING_NAMES = (*ASSETS, CATALOG)
@@ -274,8 +288,8 @@ class Landed(Mapping):
     A copy lies in the cluster's shared folder, partitioned by cycle start year and file
     code: it survives lost executors, cuts the derivation's lineage, and models read it
     with column and partition pruning. Rows are rebalanced by cycle before the
-    write, so a task writes few files and a large cycle goes to several tasks. A source
-    file without rows leaves an empty file. The eighth table, the catalog, is made
+    write, while they are narrow, so a task writes few files and a large cycle goes to
+    several tasks. A source file without rows leaves an empty file. The eighth table, the catalog, is made
     from the names of the landed files; no row is read for it.
     """
 
@@ -323,20 +337,20 @@ class Landed(Mapping):
         if name == CATALOG:
             return CAT.source_catalog(self.files(), self.releases(), self.followups())
         if name in ("demo", "glu", "mortality"):
-            return {"demo": demo, "glu": glucose, "mortality": mortality}[name](self._driver("customer"))
+            customer = by_cycle(project(self._driver("customer"), ["c_custkey", "c_nationkey"]), "c_custkey")
+            return {"demo": demo, "glu": glucose, "mortality": mortality}[name](customer)
         day = int(name[2])
         if name.endswith("tot"):
-            return totals(self[f"dr{day}iff"], day)
+            return total_rows(by_cycle(day_sums(self[f"dr{day}iff"], day), "k"), day)
         if "_item_base" not in self.schemas:  # the one big join, for both days
             self._write("_item_base", item_base(self._driver("orders"), self._driver("lineitem")))
-        return items(self._read("_item_base"), day)
+        return items(by_cycle(self._read("_item_base").where(f"day = {day}"), "k"), day)
 
     def _driver(self, name: str) -> DataFrame:
         return read_driver(self.spark, self.sf_dir, name)
 
     def _write(self, name: str, df: DataFrame, *partitions: str) -> None:
-        out = df.hint("rebalance", *partitions) if partitions else df
-        w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
         (w.partitionBy(*partitions) if partitions else w).parquet(f"{self.root}/{name}")
         if partitions:
             self._add_empty_files(name, df.drop(*partitions))

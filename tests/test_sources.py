@@ -152,6 +152,32 @@ def test_catalog_lists_files_without_reading_rows(spark, sf_dir, tmp_path):
     assert plan.lower().count("scan") == 1 and "binaryfile" in plan.lower() and "ReadSchema: struct<path:string>" in plan
 
 
+def test_landing_moves_narrow_rows(spark, sf_dir, tmp_path):
+    """Rows are dealt by cycle before they are widened, by every table, and files are packed with zstd."""
+    from cohortlab.sources import landing as L
+
+    written = {}
+
+    class Noted(L.Landed):
+        def _write(self, name, df, *partitions):
+            written[name] = df
+            super()._write(name, df, *partitions)
+
+    landed = Noted(spark, sf_dir, str(tmp_path / "landing"))
+    for name in L.ASSETS:
+        landed[name]
+
+    def dealt(plan):
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+        found = [p.output().size() for p in [plan] if p.nodeName() == "RebalancePartitions"]
+        return found + [n for p in below for n in dealt(p)]
+
+    for name in L.ASSETS:
+        moved = dealt(written[name]._jdf.queryExecution().optimizedPlan())
+        assert len(moved) == 1 and moved[0] <= 7 < len(written[name].columns), (name, moved)
+        assert sum(f.endswith(".zstd.parquet") for f in landed[name].inputFiles()) >= 8
+
+
 def test_group_map_csv_reads_with_declared_schema(spark, tmp_path):
     from cohortlab.operators.quality import TableChecks, quality_report
     from cohortlab.sources import seeds
