@@ -5,7 +5,9 @@ Differences from M4/M5: raw float age is banded without rounding (ages in
 start year is restricted to 2003-2017, weights are not NULL-coalesced in the
 summary, and there are no item-source columns. The four left joins share the
 3-column key, so the demo side is exchanged once; the ``ELIGSTAT = 1`` and
-not-NULL filters make the mortality and day-1 joins inner.
+not-NULL filters make the mortality and day-1 joins inner. They are merge joins
+by hint: a landed table's packed files say little about its decoded size, and
+one that passed for small would be broadcast through the driver.
 """
 
 from __future__ import annotations
@@ -49,7 +51,7 @@ def flow_cohort(landing: dict[str, DataFrame], note: str = notes.FLOW_NOTE) -> D
         f"{B.lit(note)} AS COMPARABILITY_NOTE",
     ]
     using = ", ".join(RAW_KEY)
-    text = (f"SELECT\n  {select_list(cols)}\nFROM {{d}} d\n"
+    text = (f"SELECT /*+ MERGE(t1, t2, g, m) */\n  {select_list(cols)}\nFROM {{d}} d\n"
             f"LEFT JOIN {{t1}} t1 USING ({using})\nLEFT JOIN {{t2}} t2 USING ({using})\n"
             f"LEFT JOIN {{g}} g USING ({using})\nLEFT JOIN {{m}} m USING ({using})\n"
             "WHERE d.CYCLE_START_YEAR BETWEEN 2003 AND 2017 AND d.RIDAGEYR >= 50\n"

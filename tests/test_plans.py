@@ -55,6 +55,16 @@ def test_flow_cohort_prunes_cycles_and_pushes_age(spark, sf_dir):
     assert "GreaterThanOrEqual(RIDAGEYR,50.0)" in scan
 
 
+def test_flow_cohort_sends_no_survey_table_through_the_driver(spark, sf_dir):
+    """Tables of any file size meet by exchange, the demo side once."""
+    cohort = _flow_cohort(spark, sf_dir).select("*")
+    assert cohort.collect()
+    plan = physical(cohort).split("== Initial Plan ==")[0]  # as it ran
+    assert "Broadcast" not in plan
+    assert plan.count("SortMergeJoin") == 4
+    assert plan.count("Exchange hashpartitioning") == 5
+
+
 def test_source_rates_scan_the_cohort_once(models):
     plan = optimized(reports.source_rates_wide(models["validation_cohort"]))
     assert plan.count("Generate inline") == 1
